@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ("text",)
+_AREAS = ("text", "aggregates")
 
 
 def _modules():
