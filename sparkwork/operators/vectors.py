@@ -30,9 +30,11 @@ def element_mean(df: DataFrame, vec: str, scale: float = 1.0):
 
 def center(df: DataFrame, vec: str, scale: float = 255.0, out: str | None = None) -> DataFrame:
     """Divide every element by ``scale``, then subtract the global scalar mean of the scaled elements."""
-    mean = element_mean(df, vec, scale)
     s = F.lit(float(scale))
-    return df.withColumn(out or vec, F.transform(F.col(vec), lambda x: x / s - mean))
+    # the scalar subquery becomes a column first: subqueries may not sit inside lambdas
+    with_mean = df.withColumn("_mean", element_mean(df, vec, scale))
+    centred = with_mean.withColumn(out or vec, F.transform(F.col(vec), lambda x: x / s - F.col("_mean")))
+    return centred.drop("_mean")
 
 
 def vector_sum_by(df: DataFrame, key: str | Sequence[str], vec: str, d: int, out: str = "total") -> DataFrame:
@@ -56,3 +58,14 @@ def explode_vector(df: DataFrame, keys: str | Sequence[str], vec: str, value: st
 def label_lookup(df: DataFrame, names: DataFrame, label: str = "label") -> DataFrame:
     """Adds the class name of ``label``; ``names`` is a (label, name) dimension of bounded size."""
     return df.join(F.broadcast(names), label, "left")
+
+
+def sparse_axpy(alpha: float, x: DataFrame, y: DataFrame, key: str = "term", value: str = "val") -> DataFrame:
+    """(key, value) = alpha * x + y for sparse vectors stored as (key, value) rows.
+
+    A full outer join on the key; a key missing on one side counts as 0 there.
+    """
+    xs = x.select(F.col(key), F.col(value).alias("_x"))
+    ys = y.select(F.col(key), F.col(value).alias("_y"))
+    out = F.lit(float(alpha)) * F.coalesce(F.col("_x"), F.lit(0.0)) + F.coalesce(F.col("_y"), F.lit(0.0))
+    return xs.join(ys, key, "full_outer").select(key, out.alias(value))
