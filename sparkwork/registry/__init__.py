@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_AREAS = ("text", "aggregates", "factorise", "linear", "vectors")
+_AREAS = ("text", "aggregates", "factorise", "linear", "vectors", "sources")
 
 
 def _modules():
