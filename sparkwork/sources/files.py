@@ -30,7 +30,7 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 def read_docs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(doc, text): one row per file, the file path as the document key."""
-    df = spark.read.option("wholetext", "true").text(_paths(paths))
+    df = spark.read.text(_paths(paths), wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("text"))
 
 
