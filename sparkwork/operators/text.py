@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_terms, split_words
-from ..session import sized_broadcast
+from ..session import sized_broadcast, spread_small_input
 
 
 def _keys(keys: str | Sequence[str] | None) -> list[str]:
@@ -26,13 +26,15 @@ def _keys(keys: str | Sequence[str] | None) -> list[str]:
 def tokens(df: DataFrame, text: str = "text", keys: str | Sequence[str] | None = "doc_id") -> DataFrame:
     """(keys..., word): whitespace tokens of ``text``, case and punctuation kept."""
     ks = _keys(keys)
-    return df.select(*ks, F.explode(split_words(text)).alias("word")).where(F.col("word") != "")
+    src = spread_small_input(df.select(*ks, text))
+    return src.select(*ks, F.explode(split_words(text)).alias("word")).where(F.col("word") != "")
 
 
 def terms(df: DataFrame, text: str = "text", keys: str | Sequence[str] | None = "doc_id") -> DataFrame:
     """(keys..., term): lowercased, letters-only tokens; empty ones dropped."""
     ks = _keys(keys)
-    return df.select(*ks, F.explode(split_terms(text)).alias("term")).where(F.col("term") != "")
+    src = spread_small_input(df.select(*ks, text))
+    return src.select(*ks, F.explode(split_terms(text)).alias("term")).where(F.col("term") != "")
 
 
 def word_count(df: DataFrame, text: str = "text") -> DataFrame:
@@ -72,9 +74,25 @@ def idf(
     ``idf = ln(N/df)``; ``smooth=True`` gives ``ln((1+N)/(1+df)) + 1``.
     N enters the plan as a scalar subquery, not through a driver round trip.
     """
+    return idf_from_tf(tf(terms(docs, text, keys=doc), keys=doc), docs, doc, smooth)
+
+
+def idf_from_tf(
+    tf_rows: DataFrame,
+    docs: DataFrame,
+    doc: str = "doc_id",
+    smooth: bool = False,
+) -> DataFrame:
+    """``idf`` from (doc, term, tf) rows: each row is one distinct (doc, term) pair.
+
+    Sharing the TF rows with ``tfidf`` lets Spark reuse their shuffle, so the texts
+    are tokenised once.
+    """
     n_docs = docs.select(F.count_distinct(doc)).scalar()
-    doc_terms = terms(docs, text, keys=doc).distinct()
-    freq = doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # count_if(tf > 0) equals count(*) here but reads ``tf``, so the optimizer keeps the
+    # TF aggregate identical to the one feeding ``tfidf`` and Spark reuses its shuffle
+    # instead of tokenising the texts a second time
+    freq = tf_rows.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     n = n_docs.cast("double")
     dfc = F.col("df").cast("double")
     score = F.ln((n + 1) / (dfc + 1)) + 1 if smooth else F.ln(n / dfc)
@@ -126,12 +144,16 @@ def cosine_to(
 ) -> DataFrame:
     """(doc, dot, sim): cosine of every other document's score vector to ``target``'s.
 
-    One-to-many, never all pairs.  The target's vector is broadcast only when its
-    counted size is under the threshold; otherwise the join shuffles.  Documents
-    sharing no term get sim 0; documents with a zero norm get NULL.
+    One-to-many, never all pairs.  When the caller knows a bound on the target's
+    terms (``target_max_terms``) and it fits the threshold, the target is broadcast
+    outright; otherwise AQE measures the target side's shuffle output at run time and
+    turns the join into a broadcast only when that measured size is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (else a shuffle join with hot-term
+    splitting).  Documents sharing no term get sim 0; a zero norm gives NULL.
     """
     tgt = scores.where(F.col(doc) == F.lit(target)).select(F.col(term).alias("_t"), F.col(value).alias("_b"))
-    tgt = sized_broadcast(tgt, row_bytes=64, rows=target_max_terms)
+    if target_max_terms is not None:
+        tgt = sized_broadcast(tgt, row_bytes=64, rows=target_max_terms)
     t_norm = _norm(tgt, "_b")
     others = scores.where(F.col(doc) != F.lit(target))
     norms = others.groupBy(doc).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_na"))

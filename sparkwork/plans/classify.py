@@ -40,9 +40,9 @@ def softmax_gradient(df: DataFrame, x: str, label: str, W: Sequence[Sequence[flo
     vector sums are one hash aggregate.
     """
     n_classes = len(W)
-    p = softmax(class_scores(x, W))
-    resid = F.transform(p, lambda v, i: v - F.when(F.col(label) == i, F.lit(1.0)).otherwise(F.lit(0.0)))
-    rows = df.select(x, F.posexplode(resid).alias("c", "_r"))
+    scored = predict_softmax(df.select(x, label), x, W)
+    resid = F.transform("probs", lambda v, i: v - F.when(F.col(label) == i, F.lit(1.0)).otherwise(F.lit(0.0)))
+    rows = scored.select(x, F.posexplode(resid).alias("c", "_r"))
     scaled = rows.select("c", F.transform(x, lambda v: v * F.col("_r")).alias("_g"))
     n = df.select(F.count(F.lit(1))).scalar()
     sums = vector_sum_by(scaled, "c", "_g", d, out="_s").withColumn("_n", n)
@@ -78,8 +78,8 @@ def train_softmax(
 
 def predict_softmax(df: DataFrame, x: str, W: Sequence[Sequence[float]]) -> DataFrame:
     """Adds ``probs`` (softmax of the class scores) and ``pred`` (first arg-max)."""
-    probs = softmax(class_scores(x, W))
-    out = df.withColumn("probs", probs)
+    # staged columns: a lambda must reference the scores, not re-evaluate them per element
+    out = df.withColumn("_scores", class_scores(x, W)).withColumn("probs", softmax(F.col("_scores"))).drop("_scores")
     return out.withColumn("pred", (F.array_position("probs", F.array_max("probs")) - 1).cast("int"))
 
 

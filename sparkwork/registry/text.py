@@ -45,7 +45,8 @@ def q_idf_smooth(spark, sf):
 
 def _tfidf(spark, sf):
     docs = _docs(spark, sf)
-    return T.tfidf(T.tf(T.terms(docs)), T.idf(docs))
+    tf = T.tf(T.terms(docs))
+    return T.tfidf(tf, T.idf_from_tf(tf, docs))
 
 
 def q_tfidf(spark, sf):

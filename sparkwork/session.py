@@ -103,3 +103,17 @@ def sized_broadcast(small: DataFrame, row_bytes: int, rows: int | None = None) -
     if fits_broadcast(small.sparkSession, n, row_bytes):
         return F.broadcast(small)
     return small
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cores when it arrives in fewer partitions than cores.
+
+    For CPU-heavy per-row work (tokenising long texts) on an input of a few large
+    splits.  A large input already has many splits and is returned unchanged, so no
+    shuffle is added at scale.  The explicit partition count is kept by AQE.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

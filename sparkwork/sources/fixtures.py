@@ -49,13 +49,17 @@ def features_sparse(spark: SparkSession, sf: str) -> DataFrame:
     y = 2*quality - 1.  Only documents with at least one vocabulary term have rows;
     ``examples`` gives every labelled document.
     """
-    t = terms(spark, sf)
+    # one (doc, term) count table feeds the vocabulary, the lengths and the features,
+    # so its shuffle is reused and the texts are tokenised once
+    counts = terms(spark, sf).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c"))
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
-    lengths = t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    lengths = counts.groupBy("doc_id").agg(F.sum("c").alias("n"))
+    voc = (
+        counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        .orderBy(F.desc("df"), F.asc("term")).limit(100).select("term")
+    )
     return (
-        t.join(F.broadcast(vocab(spark, sf)), "term")  # bounded: ``size`` rows
-        .groupBy("doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("c"))
+        counts.join(F.broadcast(voc), "term")  # bounded: 100 rows
         .join(lengths, "doc_id")
         .join(labels, "doc_id")
         .select(
