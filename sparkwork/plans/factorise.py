@@ -92,25 +92,29 @@ def norm_penalty(P: DataFrame, lam: float) -> Column:
 
 
 def _step_sums(rows: DataFrame, keys: list[str], d: int, gamma: float, weighted: bool) -> DataFrame:
-    """Aggregate (keys..., own, other, delta) rows into the updated ``p`` per key."""
+    """Aggregate (keys..., own, other, delta, _lam) rows into the updated ``p`` per key.
+
+    Only fixed-width buffers (doubles, longs): the own vector is carried as d
+    ``any_value`` components (every row of a key holds the same vector), so the
+    plan is a hash aggregate with partial aggregation, not a sort-based one.
+    """
     other = F.col("other")
-    aggs = [F.sum(F.lit(2.0) * F.col("delta") * F.get(other, k)).alias(f"_g{k}") for k in range(d)]
+    grads = [F.sum(F.lit(2.0) * F.col("delta") * F.get(other, k)).alias(f"_g{k}") for k in range(d)]
+    owns = [F.any_value(F.get("own", k)).alias(f"_o{k}") for k in range(d)]
     agg = rows.groupBy(*keys).agg(
-        F.any_value("own").alias("own"),
         F.any_value("_lam").alias("_lam"),
         F.count(F.lit(1)).alias("n_ratings"),
         F.sum(F.col("delta") * F.col("delta")).alias("sse"),
-        *aggs,
+        *owns,
+        *grads,
     )
     w = F.col("n_ratings").cast("double") if weighted else F.lit(1.0)
     g = F.lit(float(gamma))
     new = F.array(
-        *[
-            F.get("own", k) - g * (F.col(f"_g{k}") + F.lit(2.0) * F.col("_lam") * w * F.get("own", k))
-            for k in range(d)
-        ]
+        *[F.col(f"_o{k}") - g * (F.col(f"_g{k}") + F.lit(2.0) * F.col("_lam") * w * F.col(f"_o{k}")) for k in range(d)]
     )
-    return agg.select(*keys, new.alias("p"), "n_ratings", "sse", norm_sq("own").alias("old_norm_sq"))
+    old_norm = sum((F.col(f"_o{k}") * F.col(f"_o{k}") for k in range(1, d)), F.col("_o0") * F.col("_o0"))
+    return agg.select(*keys, new.alias("p"), "n_ratings", "sse", old_norm.alias("old_norm_sq"))
 
 
 def step(

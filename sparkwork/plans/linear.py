@@ -7,9 +7,10 @@ non-zero and per example; dense vectors are exploded to the same form.  The mode
 Per iteration (margins s = <beta, x> are kept per example and updated linearly,
 s' = s - gamma <g, x>, so the data is read twice per step, not once per candidate):
 
-1. gradient: X joined with the example margins on ``id`` (both hash-partitioned by
-   ``id`` and checkpointed, so no shuffle), coefficient dloss/ds times value, hash
-   aggregate by feature (partial sums before the shuffle), plus 2 lam beta;
+1. gradient: X joined with the example margins on ``id``; X is written once to the
+   checkpoint folder, hash-partitioned by ``id`` and persisted, so only the margins
+   (one row per example) are shuffled to meet it; coefficient dloss/ds times value,
+   hash aggregate by feature (partial sums before the shuffle), plus 2 lam beta;
 2. line search: X joined with the gradient (broadcast when its counted size allows)
    gives <g, x> per example; all candidate step sizes are evaluated in ONE aggregate.
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +68,17 @@ def dloss_expr(loss: str, s: Column, y: Column) -> Column:
 
 # ------------------------------------------------------------------ data
 def prepare_sparse(X: DataFrame, E: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Hash-partition X(id, feature, value) and E(id, y) by id and checkpoint both."""
+    """Checkpoint X(id, feature, value) and E(id, y), then hash-partition both by id and persist.
+
+    The checkpoint bounds recovery after a lost executor to re-reading these files;
+    the persisted hash partitioning (which a checkpoint does not keep) lets the
+    per-example aggregates and joins on ``id`` run without shuffling X.
+    """
     n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    Xp = cut_lineage(X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value")).repartition(n, "id"))
-    Ep = cut_lineage(E.select("id", F.col("y").cast("double").alias("y")).repartition(n, "id"))
+    xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
+    es = E.select("id", F.col("y").cast("double").alias("y"))
+    Xp = cut_lineage(xs).repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    Ep = cut_lineage(es).repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
     return Xp, Ep
 
 
@@ -231,8 +240,10 @@ def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None,
         history.append((k, L, gnorm, gamma, bool(chosen["ok"])))
         beta = cut_lineage(update_beta(beta, grad, gamma))
         n_beta = n_grad  # grad covers every feature of beta (its 2 lam beta term)
-        EM = cut_lineage(EMG.select("id", "y", (F.col("s") - F.lit(gamma) * F.col("gs")).alias("s")))
+        EM = EMG.select("id", "y", (F.col("s") - F.lit(gamma) * F.col("gs")).alias("s"))  # one projection of a checkpoint
         L = chosen["loss"]
         k += 1
     hist = spark.createDataFrame(history, "iter int, loss double, grad_norm double, gamma double, line_search_ok boolean")
+    Xp.unpersist()
+    Ep.unpersist()
     return beta, hist

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..operators.text import terms as text_terms
+from ..session import cut_lineage
 from .tables import read_table
 
 FOLD_SEED = "42"
@@ -49,9 +50,9 @@ def features_sparse(spark: SparkSession, sf: str) -> DataFrame:
     y = 2*quality - 1.  Only documents with at least one vocabulary term have rows;
     ``examples`` gives every labelled document.
     """
-    # one (doc, term) count table feeds the vocabulary, the lengths and the features,
-    # so its shuffle is reused and the texts are tokenised once
-    counts = terms(spark, sf).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c"))
+    # one (doc, term) count table feeds the vocabulary, the lengths and the features;
+    # it is written once to the checkpoint folder so the texts are tokenised once
+    counts = cut_lineage(terms(spark, sf).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c")))
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
     lengths = counts.groupBy("doc_id").agg(F.sum("c").alias("n"))
     voc = (
