@@ -79,3 +79,9 @@ def one_hot(label, n: int) -> Column:
 def element(x, k: int) -> Column:
     """x[k] (0-based), NULL when out of range."""
     return F.get(_c(x), k)
+
+
+def flatten_tensor(x) -> Column:
+    """n-d nested arrays to one vector (e.g. an image's rows x columns x channels)."""
+    xs = _c(x)
+    return F.flatten(xs)

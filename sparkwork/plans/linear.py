@@ -224,13 +224,14 @@ def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None,
     k, gnorm = 0, 2 * p.eps
     while k < p.max_iter and gnorm > p.eps:
         grad = cut_lineage(gradient(Xp, EM, beta, p.loss, p.lam))
+        # grad holds every feature of beta (its 2 lam beta term), so one left join gives all three sums
         g = grad.join(beta, "feature", "left").agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.col("grad") * F.col("grad")).alias("g2"),
             F.sum(F.col("grad") * F.coalesce(F.col("beta"), F.lit(0.0))).alias("bg"),
+            F.sum(F.coalesce(F.col("beta"), F.lit(0.0)) ** 2).alias("b2"),
         ).first()
-        b2 = beta.select(F.sum(F.col("beta") * F.col("beta"))).first()[0] or 0.0
-        n_grad, g2, bg = g["n"], g["g2"] or 0.0, g["bg"] or 0.0
+        n_grad, g2, bg, b2 = g["n"], g["g2"] or 0.0, g["bg"] or 0.0, g["b2"] or 0.0
         gnorm = math.sqrt(g2)
         EMG = cut_lineage(direction_margins(Xp, EM, grad, n_grad))
         table = line_search_table(EMG, p.loss, p.lam, L, g2, bg, b2, p.a, p.b, p.candidates)
@@ -247,3 +248,60 @@ def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None,
     Xp.unpersist()
     Ep.unpersist()
     return beta, hist
+
+
+# ------------------------------------------------------------------ helpers over labelled maps
+def feature_keys(df: DataFrame, x: str = "x") -> DataFrame:
+    """(feature): distinct keys of a ``map<string,double>`` feature column."""
+    return df.select(F.explode(F.map_keys(x)).alias("feature")).distinct()
+
+
+def map_to_sparse(df: DataFrame, x: str = "x", y: str = "y", id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(X, E) from rows of (x map, y); ids from ``monotonically_increasing_id`` on a checkpoint."""
+    base = df if id_col else cut_lineage(df.withColumn("id", F.monotonically_increasing_id()))
+    ident = id_col or "id"
+    X = base.select(F.col(ident).alias("id"), F.explode(x).alias("feature", "value"))
+    return X, base.select(F.col(ident).alias("id"), F.col(y).alias("y"))
+
+
+# ------------------------------------------------------------------ cross-validation
+def cross_validate_linear(
+    X: DataFrame,
+    E: DataFrame,
+    k: int,
+    params: LinearParams | None = None,
+    seed: int | str = 42,
+) -> DataFrame:
+    """k-fold CV of ``train_linear``: one row per held-out fold plus the mean metric.
+
+    Folds are md5 buckets of the example id.  Logistic loss reports
+    (acc, pre, rec) of sign(<beta, x>) on the held-out examples; squared loss
+    reports the held-out RMSE.  The fold is attached to X once (one join, written
+    to the checkpoint folder); each fold then filters.
+    """
+    from ..operators.folds import assign_folds
+
+    p = params or LinearParams()
+    spark = X.sparkSession
+    folds = cut_lineage(assign_folds(E.select("id", "y"), "id", k, seed))
+    Xf = cut_lineage(X.select("id", "feature", "value").join(folds.select("id", "fold"), "id"))
+    rows = []
+    for f in range(k):
+        Etr, Ete = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+        Xtr, Xte = Xf.where(F.col("fold") != f), Xf.where(F.col("fold") == f)
+        beta, _ = train_linear(Xtr.drop("fold"), Etr.drop("fold"), p)
+        scored = score(Xte.drop("fold"), Ete.drop("fold"), beta)
+        n_train, n_test = Etr.count(), Ete.count()
+        if p.loss == "logistic":
+            m = binary_metrics(scored, "score", "y").first()
+            rows.append((f, n_train, n_test, m["acc"], m["pre"], m["rec"], None))
+        else:
+            m = scored.agg(F.sqrt(F.avg((F.col("score") - F.col("y")) ** 2)).alias("rmse")).first()
+            rows.append((f, n_train, n_test, None, None, None, m["rmse"]))
+    out = spark.createDataFrame(
+        rows, "fold int, n_train bigint, n_test bigint, acc double, pre double, rec double, rmse double"
+    )
+    metric = "acc" if p.loss == "logistic" else "rmse"
+    vals = [r[3] if metric == "acc" else r[6] for r in rows]
+    mean = sum(v for v in vals if v is not None) / max(1, sum(v is not None for v in vals))
+    return out.withColumn(f"mean_{metric}", F.lit(mean))

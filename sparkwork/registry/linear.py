@@ -99,7 +99,29 @@ def q_lambda_sweep(spark, sf):
     return out.select("lam", "iter", _r("loss"), _r("grad_norm"), _r("gamma"), "line_search_ok")
 
 
+def q_logistic_cv(spark, sf):
+    cv = LN.cross_validate_linear(*_sparse(spark, sf), 2, _params(), seed=42)
+    return cv.select("fold", "n_train", "n_test", _r("acc"), _r("pre"), _r("rec"), "rmse", _r("mean_acc"))
+
+
+def q_linear_cv(spark, sf):
+    cv = LN.cross_validate_linear(*_regression(spark, sf), 3, _params("squared"), seed=42)
+    return cv.select("fold", "n_train", "n_test", _r("rmse"), _r("mean_rmse"))
+
+
+def q_labelled_features(spark, sf):
+    from ..session import scratch_path
+    from ..sources import files as FI
+
+    path = scratch_path(spark, "labelled-keys")
+    FI.write_table(FI.labelled_lines(X.features_sparse(spark, sf), X.examples(spark, sf)), path, "text")
+    return LN.feature_keys(FI.read_labelled(spark, path), "x")
+
+
 QUERIES = {
+    "logistic_cv": q_logistic_cv,
+    "linear_cv": q_linear_cv,
+    "labelled_features": q_labelled_features,
     "logistic_gradient": q_logistic_gradient,
     "logistic_loss": q_logistic_loss,
     "line_search_table": q_line_search_table,
@@ -130,40 +152,47 @@ def _lit(x: float) -> str:
     return f"({float(x)!r})::double"
 
 
-def lin_ctes(x_sql: str, e_sql: str, p: LN.LinearParams, tail: bool = True) -> list[str]:
-    """CTEs X, E, B0..B{iters}, S{k}, G{k}, GS{k}, C{k} (candidates), H{k} (history rows)."""
+def lin_ctes(x_sql: str, e_sql: str, p: LN.LinearParams, pre: str = "") -> list[str]:
+    """CTEs X, E, B0.., S{k}, G{k}, GS{k}, C{k} (candidates), H{k} (history rows), names prefixed by ``pre``."""
     lam, a = _lit(p.lam), _lit(p.a)
     tvals = ", ".join(f"({t}, {_lit(p.b ** t)})" for t in range(p.candidates))
+    X, E, TT = f"{pre}X", f"{pre}E", f"{pre}TT"
+
+    def n(base: str, k: int) -> str:
+        return f"{pre}{base}{k}"
+
     c = [
-        f"X as ({x_sql})",
-        f"E as ({e_sql})",
-        "B0 as (select feature, beta from (values ('', 0.0::double)) v(feature, beta) where false)",
-        f"TT as (select * from (values {tvals}) v(t, gamma))",
-        f"S0 as (select E.id, E.y, coalesce(m.s, 0.0) as s from E left join (select X.id, sum(X.value * B.beta) as s "
-        f"from X join B0 B on X.feature = B.feature group by X.id) m on m.id = E.id)",
-        f"L0 as (select sum({_loss(p.loss, 's', 'y')}) + {lam} * coalesce((select sum(beta * beta) from B0), 0.0) as loss from S0)",
+        f"{X} as ({x_sql})",
+        f"{E} as ({e_sql})",
+        f"{n('B', 0)} as (select feature, beta from (values ('', 0.0::double)) v(feature, beta) where false)",
+        f"{TT} as (select * from (values {tvals}) v(t, gamma))",
+        f"{n('S', 0)} as (select e.id, e.y, coalesce(m.s, 0.0) as s from {E} e left join (select x.id, sum(x.value * b.beta) as s "
+        f"from {X} x join {n('B', 0)} b on x.feature = b.feature group by x.id) m on m.id = e.id)",
+        f"{n('L', 0)} as (select sum({_loss(p.loss, 's', 'y')}) + {lam} * coalesce((select sum(beta * beta) from {n('B', 0)}), 0.0) "
+        f"as loss from {n('S', 0)})",
     ]
     for k in range(p.max_iter):
+        B, S, L, G, N, GS, C, CH = (n(b, k) for b in ("B", "S", "L", "G", "N", "GS", "C", "CH"))
         c += [
-            f"G{k} as (select coalesce(d.feature, r.feature) as feature, coalesce(d.g, 0.0) + coalesce(r.r, 0.0) as grad from "
-            f"(select X.feature, sum(c.c * X.value) as g from X join (select id, {_dloss(p.loss, 's', 'y')} as c from S{k}) c "
-            f"on c.id = X.id group by X.feature) d full outer join (select feature, 2 * {lam} * beta as r from B{k}) r "
+            f"{G} as (select coalesce(d.feature, r.feature) as feature, coalesce(d.g, 0.0) + coalesce(r.r, 0.0) as grad from "
+            f"(select x.feature, sum(c.c * x.value) as g from {X} x join (select id, {_dloss(p.loss, 's', 'y')} as c from {S}) c "
+            f"on c.id = x.id group by x.feature) d full outer join (select feature, 2 * {lam} * beta as r from {B}) r "
             f"on d.feature = r.feature)",
-            f"N{k} as (select sum(G.grad * G.grad) as g2, sum(G.grad * coalesce(B.beta, 0.0)) as bg, "
-            f"coalesce((select sum(beta * beta) from B{k}), 0.0) as b2 from G{k} G left join B{k} B on B.feature = G.feature)",
-            f"GS{k} as (select S.id, S.y, S.s, coalesce(m.gs, 0.0) as gs from S{k} S left join (select X.id, "
-            f"sum(X.value * G.grad) as gs from X join G{k} G on X.feature = G.feature group by X.id) m on m.id = S.id)",
-            f"C{k} as (select t, gamma, loss, loss <= (select loss from L{k}) - {a} * gamma * (select g2 from N{k}) as ok from "
-            f"(select TT.t, TT.gamma, sum({_loss(p.loss, 'GS.s - TT.gamma * GS.gs', 'GS.y')}) + {lam} * "
-            f"((select b2 from N{k}) - 2 * TT.gamma * (select bg from N{k}) + TT.gamma * TT.gamma * (select g2 from N{k})) "
-            f"as loss from GS{k} GS, TT group by TT.t, TT.gamma))",
-            f"CH{k} as (select * from C{k} where t = coalesce((select min(t) from C{k} where ok), {p.candidates - 1}))",
-            f"H{k} as (select {k} as iter, (select loss from L{k}) as loss, sqrt((select g2 from N{k})) as grad_norm, "
-            f"gamma, ok as line_search_ok from CH{k})",
-            f"B{k + 1} as (select coalesce(B.feature, G.feature) as feature, coalesce(B.beta, 0.0) - "
-            f"(select gamma from CH{k}) * coalesce(G.grad, 0.0) as beta from B{k} B full outer join G{k} G on B.feature = G.feature)",
-            f"S{k + 1} as (select id, y, s - (select gamma from CH{k}) * gs as s from GS{k})",
-            f"L{k + 1} as (select loss from CH{k})",
+            f"{N} as (select sum(g.grad * g.grad) as g2, sum(g.grad * coalesce(b.beta, 0.0)) as bg, "
+            f"coalesce((select sum(beta * beta) from {B}), 0.0) as b2 from {G} g left join {B} b on b.feature = g.feature)",
+            f"{GS} as (select s.id, s.y, s.s, coalesce(m.gs, 0.0) as gs from {S} s left join (select x.id, "
+            f"sum(x.value * g.grad) as gs from {X} x join {G} g on x.feature = g.feature group by x.id) m on m.id = s.id)",
+            f"{C} as (select t, gamma, loss, loss <= (select loss from {L}) - {a} * gamma * (select g2 from {N}) as ok from "
+            f"(select tt.t, tt.gamma, sum({_loss(p.loss, 'gs.s - tt.gamma * gs.gs', 'gs.y')}) + {lam} * "
+            f"((select b2 from {N}) - 2 * tt.gamma * (select bg from {N}) + tt.gamma * tt.gamma * (select g2 from {N})) "
+            f"as loss from {GS} gs, {TT} tt group by tt.t, tt.gamma))",
+            f"{CH} as (select * from {C} where t = coalesce((select min(t) from {C} where ok), {p.candidates - 1}))",
+            f"{n('H', k)} as (select {k} as iter, (select loss from {L}) as loss, sqrt((select g2 from {N})) as grad_norm, "
+            f"gamma, ok as line_search_ok from {CH})",
+            f"{n('B', k + 1)} as (select coalesce(b.feature, g.feature) as feature, coalesce(b.beta, 0.0) - "
+            f"(select gamma from {CH}) * coalesce(g.grad, 0.0) as beta from {B} b full outer join {G} g on b.feature = g.feature)",
+            f"{n('S', k + 1)} as (select id, y, s - (select gamma from {CH}) * gs as s from {GS})",
+            f"{n('L', k + 1)} as (select loss from {CH})",
         ]
     return c
 
@@ -221,7 +250,42 @@ def _sweep_sql():
     return " union all ".join(parts)
 
 
+def _cv_sql(k: int = 2) -> str:
+    fe = (
+        f"select id, y, (('0x' || substr(md5(concat_ws(':', '42', id)), 1, 8))::bigint % {k}) as fold "
+        f"from ({SPARSE_E})"
+    )
+    parts, ctes = [], [f"FE as ({fe})"]
+    for f in range(k):
+        pre = f"f{f}_"
+        ctes += lin_ctes(
+            f"select x.id, x.feature, x.value from ({SPARSE_X}) x join FE on FE.id = x.id where FE.fold <> {f}",
+            f"select id, y from FE where fold <> {f}",
+            _P,
+            pre,
+        )
+        ctes += [
+            f"{pre}SC as (select e.id, e.y, coalesce(m.s, 0.0) as s from (select id, y from FE where fold = {f}) e left join "
+            f"(select x.id, sum(x.value * b.beta) as s from ({SPARSE_X}) x join {pre}B{ITERS} b on x.feature = b.feature "
+            f"group by x.id) m on m.id = e.id)",
+            f"{pre}CC as (select count(*) filter (where s > 0 and y > 0) as tp, count(*) filter (where s > 0 and y <= 0) as fp, "
+            f"count(*) filter (where s <= 0 and y <= 0) as tn, count(*) filter (where s <= 0 and y > 0) as fn from {pre}SC)",
+        ]
+        parts.append(
+            f"select {f} as fold, (select count(*) from FE where fold <> {f}) as n_train, "
+            f"(select count(*) from FE where fold = {f}) as n_test, (tp + tn)::double / nullif(tp + fp + tn + fn, 0) as acc, "
+            f"tp::double / nullif(tp + fp, 0) as pre, tp::double / nullif(tp + fn, 0) as rec from {pre}CC"
+        )
+    body = (
+        "select fold, n_train, n_test, round(acc, 6) as acc, round(pre, 6) as pre, round(rec, 6) as rec, "
+        "null::double as rmse, round(avg(acc) over (), 6) as mean_acc from (" + " union all ".join(parts) + ")"
+    )
+    return _with(ctes, body)
+
+
 ORACLE = {
+    "logistic_cv": _cv_sql(2),
+    "labelled_features": f"select distinct feature from ({SPARSE_X})",
     "logistic_gradient": _with(lin_ctes(SPARSE_X, SPARSE_E, _P1), "select feature, round(grad, 6) as grad from G0"),
     "logistic_loss": _with(
         lin_ctes(SPARSE_X, SPARSE_E, _P1)
