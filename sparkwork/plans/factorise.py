@@ -21,6 +21,7 @@ No rating is ever grouped into one row: the per-key sums are d numbers.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -202,7 +203,9 @@ def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | N
     p = params or MFParams()
     spark = R.sparkSession
     R = cut_lineage(R.select("i", "j", "r"))
-    R_test = R if R_test is None else cut_lineage(R_test.select("i", "j", "r"))
+    self_test = R_test is None
+    R_test = R if self_test else cut_lineage(R_test.select("i", "j", "r"))
+    n_total = R.count() if self_test else None
     U = cut_lineage(init_profiles(R, "i", p.d, p.seed, "u"))
     V = cut_lineage(init_profiles(R, "j", p.d, p.seed, "v"))
     n_users, n_items = U.count(), V.count()
@@ -214,11 +217,20 @@ def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | N
         both = cut_lineage(joint_step(R, U, V, p, gamma, n_users, n_items))
         stats = both.groupBy().agg(
             F.sum(F.when(F.col("side") == "u", F.col("sse"))).alias("sse"),
+            F.sum(F.when(F.col("side") == "u", F.col("n_ratings"))).alias("n_scored"),
             F.sum(F.when(F.col("side") == "u", F.col("old_norm_sq"))).alias("nu"),
             F.sum(F.when(F.col("side") == "v", F.col("old_norm_sq"))).alias("nv"),
         )
-        test = rmse(R_test, U, V, n_users, n_items, p.d)
-        srow, trow = stats.first(), test.first()  # two one-row results to the driver
+        srow = stats.first()  # one row to the driver
+        if self_test:
+            # testing on the training ratings: the step's own squared error gives the RMSE
+            sse_t, n_sc = srow["sse"] or 0.0, srow["n_scored"] or 0
+            trow = {
+                "rmse": math.sqrt(sse_t / n_sc) if n_sc else None,
+                "rmse_all_rows": math.sqrt(sse_t / n_total) if n_total else None,
+            }
+        else:
+            trow = rmse(R_test, U, V, n_users, n_items, p.d).first()
         s = srow["sse"] or 0.0
         new_obj = s + p.lam * (srow["nu"] or 0.0) + p.mu * (srow["nv"] or 0.0)
         change = abs(new_obj - obj) if obj != float("inf") else float("inf")
