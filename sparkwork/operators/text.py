@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_terms, split_words
-from ..session import sized_broadcast, spread_small_input
+from ..session import cut_lineage, sized_broadcast, spread_small_input
 
 
 def _keys(keys: str | Sequence[str] | None) -> list[str]:
@@ -144,24 +144,31 @@ def cosine_to(
 ) -> DataFrame:
     """(doc, dot, sim): cosine of every other document's score vector to ``target``'s.
 
-    One-to-many, never all pairs.  When the caller knows a bound on the target's
-    terms (``target_max_terms``) and it fits the threshold, the target is broadcast
-    outright; otherwise AQE measures the target side's shuffle output at run time and
-    turns the join into a broadcast only when that measured size is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (else a shuffle join with hot-term
-    splitting).  Documents sharing no term get sim 0; a zero norm gives NULL.
+    One-to-many, never all pairs.  The scores are materialised once; then every row is left-joined with
+    the target's vector on the term and ONE aggregate by document yields each
+    document's squared norm and its dot product with the target (the target's own
+    row gives the target norm).  When the caller knows a bound on the target's terms
+    (``target_max_terms``) under the threshold, the target is broadcast outright;
+    otherwise AQE measures the target side at run time and broadcasts it only when
+    that size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (else a
+    shuffle join with hot-term splitting).  Documents sharing no term get sim 0; a
+    zero norm gives NULL.
     """
+    # the scores feed three branches (target vector, per-document sums, target norm):
+    # write them once to the checkpoint folder instead of recomputing them per branch
+    scores = cut_lineage(scores.select(doc, term, value))
     tgt = scores.where(F.col(doc) == F.lit(target)).select(F.col(term).alias("_t"), F.col(value).alias("_b"))
     if target_max_terms is not None:
         tgt = sized_broadcast(tgt, row_bytes=64, rows=target_max_terms)
-    t_norm = _norm(tgt, "_b")
-    others = scores.where(F.col(doc) != F.lit(target))
-    norms = others.groupBy(doc).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_na"))
-    dots = (
-        others.select(doc, F.col(term).alias("_t"), F.col(value).alias("_a"))
-        .join(tgt, "_t")
+    rows = scores.select(doc, F.col(term).alias("_t"), F.col(value).alias("_a"))
+    per_doc = (
+        rows.join(tgt, "_t", "left")
         .groupBy(doc)
-        .agg(F.sum(F.col("_a") * F.col("_b")).alias("dot"))
+        .agg(
+            F.sqrt(F.sum(F.col("_a") * F.col("_a"))).alias("_na"),
+            F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0.0)).alias("dot"),
+        )
     )
-    joined = norms.join(dots, doc, "left").select(doc, F.coalesce(F.col("dot"), F.lit(0.0)).alias("dot"), "_na")
-    return joined.select(doc, "dot", (F.col("dot") / F.nullif(F.col("_na") * t_norm, F.lit(0.0))).alias("sim"))
+    t_norm = per_doc.where(F.col(doc) == F.lit(target)).select(F.max("_na")).scalar()
+    others = per_doc.where(F.col(doc) != F.lit(target))
+    return others.select(doc, "dot", (F.col("dot") / F.nullif(F.col("_na") * t_norm, F.lit(0.0))).alias("sim"))

@@ -59,7 +59,9 @@ def q_top_terms(spark, sf):
 
 
 def q_cosine_pair(spark, sf):
-    s = _tfidf(spark, sf)
+    from ..session import cut_lineage
+
+    s = cut_lineage(_tfidf(spark, sf))  # both score sets and both norms read it
     a = s.where("doc_id = 0").select("term", "val")
     b = s.where("doc_id = 1").select("term", "val")
     return T.cosine(a, b).select(*[F.round(c, R6).alias(c) for c in ("dot", "norm_a", "norm_b", "sim")])

@@ -61,7 +61,10 @@ def q_vector_axpy(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     from ..operators import text as T
 
-    s = T.tfidf(T.tf(T.terms(docs)), T.idf(docs))
+    from ..session import cut_lineage
+
+    tf = T.tf(T.terms(docs))
+    s = cut_lineage(T.tfidf(tf, T.idf_from_tf(tf, docs)))  # both vectors read it
     a = s.where("doc_id = 0").select("term", "val")
     b = s.where("doc_id = 1").select("term", "val")
     return V.sparse_axpy(-0.5, b, a).select("term", _r("val"))
