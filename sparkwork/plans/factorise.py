@@ -22,6 +22,7 @@ No rating is ever grouped into one row: the per-key sums are d numbers.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -194,7 +195,7 @@ def rmse(R_test: DataFrame, U: DataFrame, V: DataFrame, n_users=None, n_items=No
 def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | None = None):
     """Gradient-descent factorisation.  Returns (U, V, history).
 
-    ``history`` rows: (iter, gamma, objective, sse, change, test_rmse, test_rmse_all_rows);
+    ``history`` rows: (iter, gamma, objective, sse, change, test_rmse, test_rmse_all_rows, seconds);
     the objective and test RMSE of iteration i are measured with the profiles before
     its step, the step size is gain / i^power, and the loop ends after ``maxiter``
     iterations or when |change of objective| <= eps.  ``R_test=None`` tests on the
@@ -213,6 +214,7 @@ def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | N
     obj, change, it = float("inf"), float("inf"), 0
     while it < p.maxiter and change > p.eps:
         it += 1
+        t_start = time.perf_counter()
         gamma = p.gain / it**p.power
         both = cut_lineage(joint_step(R, U, V, p, gamma, n_users, n_items))
         stats = both.groupBy().agg(
@@ -235,12 +237,16 @@ def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | N
         new_obj = s + p.lam * (srow["nu"] or 0.0) + p.mu * (srow["nv"] or 0.0)
         change = abs(new_obj - obj) if obj != float("inf") else float("inf")
         obj = new_obj
-        history.append((it, gamma, obj, s, None if change == float("inf") else change, trow["rmse"], trow["rmse_all_rows"]))
+        history.append(
+            (it, gamma, obj, s, None if change == float("inf") else change, trow["rmse"], trow["rmse_all_rows"],
+             time.perf_counter() - t_start)
+        )
         U = both.where(F.col("side") == "u").select(F.col("key").alias("i"), "p")
         V = both.where(F.col("side") == "v").select(F.col("key").alias("j"), "p")
     hist = spark.createDataFrame(
         history,
-        "iter int, gamma double, objective double, sse double, change double, test_rmse double, test_rmse_all_rows double",
+        "iter int, gamma double, objective double, sse double, change double, test_rmse double, "
+        "test_rmse_all_rows double, seconds double",
     )
     return U, V, hist
 

@@ -22,6 +22,7 @@ partition while the model is broadcast.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -209,7 +210,7 @@ def evaluate(X: DataFrame, E: DataFrame, beta: DataFrame) -> DataFrame:
 def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None, beta0: DataFrame | None = None):
     """Gradient descent from beta0 (default 0).  Returns (beta, history).
 
-    history: (iter, loss, grad_norm, gamma, line_search_ok); ``loss`` and
+    history: (iter, loss, grad_norm, gamma, line_search_ok, seconds); ``loss`` and
     ``grad_norm`` belong to the model before the step of that iteration.  The loop
     stops after ``max_iter`` steps or once ||grad|| <= eps (that step is still taken).
     """
@@ -223,6 +224,7 @@ def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None,
     history = []
     k, gnorm = 0, 2 * p.eps
     while k < p.max_iter and gnorm > p.eps:
+        t_start = time.perf_counter()
         grad = cut_lineage(gradient(Xp, EM, beta, p.loss, p.lam))
         # grad holds every feature of beta (its 2 lam beta term), so one left join gives all three sums
         g = grad.join(beta, "feature", "left").agg(
@@ -238,13 +240,13 @@ def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None,
         cands = table.orderBy("t").collect()  # ``candidates`` rows
         chosen = next((r for r in cands if r["ok"]), cands[-1])
         gamma = chosen["gamma"]
-        history.append((k, L, gnorm, gamma, bool(chosen["ok"])))
         beta = cut_lineage(update_beta(beta, grad, gamma))
+        history.append((k, L, gnorm, gamma, bool(chosen["ok"]), time.perf_counter() - t_start))
         n_beta = n_grad  # grad covers every feature of beta (its 2 lam beta term)
         EM = EMG.select("id", "y", (F.col("s") - F.lit(gamma) * F.col("gs")).alias("s"))  # one projection of a checkpoint
         L = chosen["loss"]
         k += 1
-    hist = spark.createDataFrame(history, "iter int, loss double, grad_norm double, gamma double, line_search_ok boolean")
+    hist = spark.createDataFrame(history, "iter int, loss double, grad_norm double, gamma double, line_search_ok boolean, seconds double")
     Xp.unpersist()
     Ep.unpersist()
     return beta, hist

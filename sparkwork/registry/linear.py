@@ -95,7 +95,7 @@ def q_linear_history(spark, sf):
 
 def q_lambda_sweep(spark, sf):
     Xd, Ed = _sparse(spark, sf)
-    out = sweep([0.0, 0.1, 1.0], lambda lam: LN.train_linear(Xd, Ed, _params(lam=lam, iters=1))[1])
+    out = sweep([0.0, 0.1, 1.0], lambda lam: LN.train_linear(Xd, Ed, _params(lam=lam, iters=1))[1].drop("seconds"))
     return out.select("lam", "iter", _r("loss"), _r("grad_norm"), _r("gamma"), "line_search_ok")
 
 
