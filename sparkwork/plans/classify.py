@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, literal_vector, softmax
 from ..operators.vectors import vector_sum_by
+from ..session import spread_small_input
 
 # The class names of the ten-class image set the reference classifies.
 IMAGE_LABEL_NAMES = ["airplane", "automobile", "bird", "cat", "deer", "dog", "frog", "horse", "ship", "truck"]
@@ -78,8 +79,9 @@ def train_softmax(
 
 def predict_softmax(df: DataFrame, x: str, W: Sequence[Sequence[float]]) -> DataFrame:
     """Adds ``probs`` (softmax of the class scores) and ``pred`` (first arg-max)."""
-    # staged columns: a lambda must reference the scores, not re-evaluate them per element
-    out = df.withColumn("_scores", class_scores(x, W)).withColumn("probs", softmax(F.col("_scores"))).drop("_scores")
+    # staged columns: a lambda must reference the scores, not re-evaluate them per element;
+    # per-row work is d x classes multiply-adds, so a few large input splits are spread over the cores
+    out = spread_small_input(df).withColumn("_scores", class_scores(x, W)).withColumn("probs", softmax(F.col("_scores"))).drop("_scores")
     return out.withColumn("pred", (F.array_position("probs", F.array_max("probs")) - 1).cast("int"))
 
 

@@ -7,9 +7,9 @@ non-zero and per example; dense vectors are exploded to the same form.  The mode
 Per iteration (margins s = <beta, x> are kept per example and updated linearly,
 s' = s - gamma <g, x>, so the data is read twice per step, not once per candidate):
 
-1. gradient: X joined with the example margins on ``id``; X is written once to the
-   checkpoint folder, hash-partitioned by ``id`` and persisted, so only the margins
-   (one row per example) are shuffled to meet it; coefficient dloss/ds times value,
+1. gradient: X joined with the example margins on ``id``; X is hash-partitioned by
+   ``id`` and persisted, so only the margins (one row per example) are shuffled to
+   meet it; coefficient dloss/ds times value,
    hash aggregate by feature (partial sums before the shuffle), plus 2 lam beta;
 2. line search: X joined with the gradient (broadcast when its counted size allows)
    gives <g, x> per example; all candidate step sizes are evaluated in ONE aggregate.
@@ -69,17 +69,18 @@ def dloss_expr(loss: str, s: Column, y: Column) -> Column:
 
 # ------------------------------------------------------------------ data
 def prepare_sparse(X: DataFrame, E: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Checkpoint X(id, feature, value) and E(id, y), then hash-partition both by id and persist.
+    """Hash-partition X(id, feature, value) and E(id, y) by id and persist both.
 
-    The checkpoint bounds recovery after a lost executor to re-reading these files;
-    the persisted hash partitioning (which a checkpoint does not keep) lets the
-    per-example aggregates and joins on ``id`` run without shuffling X.
+    The persisted hash partitioning (which a checkpoint would not keep) lets the
+    per-example aggregates and joins on ``id`` run without shuffling X.  Lost cached
+    partitions are recomputed from the input's (fixed-length) lineage; the state
+    that grows with the iterations (margins, gradient, model) is checkpointed.
     """
     n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
     es = E.select("id", F.col("y").cast("double").alias("y"))
-    Xp = cut_lineage(xs).repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
-    Ep = cut_lineage(es).repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    Xp = xs.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    Ep = es.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
     return Xp, Ep
 
 
