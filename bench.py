@@ -19,7 +19,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from sparkwork import registry  # noqa: E402
 from sparkwork.operators import text as T  # noqa: E402
@@ -27,7 +26,6 @@ from sparkwork.plans import factorise as MF  # noqa: E402
 from sparkwork.plans import linear as LN  # noqa: E402
 from sparkwork.session import local_session  # noqa: E402
 from sparkwork.sources import fixtures as X  # noqa: E402
-from sparkwork.sources.tables import read_table  # noqa: E402
 
 
 def _sink(df):
@@ -35,17 +33,19 @@ def _sink(df):
 
 
 def q_word_count(spark, sf):
-    _sink(T.word_count(read_table(spark, sf, "documents")))
+    _sink(T.word_count(X.documents(spark, sf)))
 
 
 def q_tfidf(spark, sf):
-    docs = read_table(spark, sf, "documents")
-    _sink(T.tfidf(T.tf(T.terms(docs)), T.idf(docs)))
+    docs = X.documents(spark, sf)
+    tf = T.tf(T.terms(docs))
+    _sink(T.tfidf(tf, T.idf_from_tf(tf, docs)))
 
 
 def q_cosine_one_to_many(spark, sf):
-    docs = read_table(spark, sf, "documents")
-    _sink(T.cosine_to(T.tfidf(T.tf(T.terms(docs)), T.idf(docs)), 0))
+    docs = X.documents(spark, sf)
+    tf = T.tf(T.terms(docs))
+    _sink(T.cosine_to(T.tfidf(tf, T.idf_from_tf(tf, docs)), 0))
 
 
 STEP_TIMES: dict[str, float] = {}

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import split_terms, split_words
-from ..session import cut_lineage, sized_broadcast, spread_small_input
+from ..session import cut_lineage, sized_broadcast
 
 
 def _keys(keys: str | Sequence[str] | None) -> list[str]:
@@ -26,15 +26,13 @@ def _keys(keys: str | Sequence[str] | None) -> list[str]:
 def tokens(df: DataFrame, text: str = "text", keys: str | Sequence[str] | None = "doc_id") -> DataFrame:
     """(keys..., word): whitespace tokens of ``text``, case and punctuation kept."""
     ks = _keys(keys)
-    src = spread_small_input(df.select(*ks, text))
-    return src.select(*ks, F.explode(split_words(text)).alias("word")).where(F.col("word") != "")
+    return df.select(*ks, F.explode(split_words(text)).alias("word")).where(F.col("word") != "")
 
 
 def terms(df: DataFrame, text: str = "text", keys: str | Sequence[str] | None = "doc_id") -> DataFrame:
     """(keys..., term): lowercased, letters-only tokens; empty ones dropped."""
     ks = _keys(keys)
-    src = spread_small_input(df.select(*ks, text))
-    return src.select(*ks, F.explode(split_terms(text)).alias("term")).where(F.col("term") != "")
+    return df.select(*ks, F.explode(split_terms(text)).alias("term")).where(F.col("term") != "")
 
 
 def word_count(df: DataFrame, text: str = "text") -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import NON_LETTER, WHITESPACE_RUN
 from ..operators import text as T
-from ..sources.tables import read_table
+from ..sources import fixtures as X
 
 R6 = 6  # decimals kept on every float compared with the oracle
 
 
 def _docs(spark, sf):
-    return read_table(spark, sf, "documents").select("doc_id", "text")
+    return X.documents(spark, sf)
 
 
 def q_word_count(spark, sf):

@@ -12,7 +12,6 @@ from ..operators.folds import assign_folds, split
 from ..plans import classify as C
 from ..session import cut_lineage
 from ..sources import fixtures as X
-from ..sources.tables import read_table
 from .aggregates import DENSE
 from .text import _TFIDF
 
@@ -60,7 +59,7 @@ def q_vector_sum_by_key(spark, sf):
 
 
 def q_vector_axpy(spark, sf):
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    docs = X.documents(spark, sf)
     tf = T.tf(T.terms(docs))
     s = cut_lineage(T.tfidf(tf, T.idf_from_tf(tf, docs)))  # both vectors read it
     a = s.where("doc_id = 0").select("term", "val")

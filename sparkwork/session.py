@@ -106,11 +106,13 @@ def sized_broadcast(small: DataFrame, row_bytes: int, rows: int | None = None) -
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cores when it arrives in fewer partitions than cores.
+    """Round-robin a freshly read table over the cores when it has fewer splits than cores.
 
-    For CPU-heavy per-row work (tokenising long texts) on an input of a few large
-    splits.  A large input already has many splits and is returned unchanged, so no
-    shuffle is added at scale.  The explicit partition count is kept by AQE.
+    For CPU-heavy per-row work (tokenising long texts, vector scoring) on an input of
+    a few large splits.  A large input already has many splits and is returned
+    unchanged, so no shuffle is added at scale.  Call it on a source scan only:
+    asking a plan that contains shuffles for its partition count would run them.
+    The explicit partition count is kept by AQE.
     """
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism

@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 from ..functions import hashing as H
 from ..operators.text import terms as text_terms
 from ..session import cut_lineage
-from .tables import read_table
+from .tables import read_spread, read_table
 
 FOLD_SEED = "42"
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, text) of ``documents``, spread over the cores when it has few splits."""
+    return read_spread(spark, sf, "documents", ["doc_id", "text"])
+
+
 def terms(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, term) normalised tokens of ``documents``."""
-    return text_terms(read_table(spark, sf, "documents").select("doc_id", "text"))
+    return text_terms(documents(spark, sf))
 
 
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,7 +86,7 @@ def examples(spark: SparkSession, sf: str) -> DataFrame:
 
 def features_dense(spark: SparkSession, sf: str) -> DataFrame:
     """(id, y, x, label): embeddings as double vectors, y = +1 for labels 0-4, else -1."""
-    return read_table(spark, sf, "embeddings").select(
+    return read_spread(spark, sf, "embeddings", ["vec_id", "embedding", "label"]).select(
         F.col("vec_id").alias("id"),
         F.when(F.col("label") < 5, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("y"),
         F.col("embedding").cast("array<double>").alias("x"),

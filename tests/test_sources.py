@@ -1,7 +1,6 @@
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparkwork.sources import files as FI
 from sparkwork.streaming.wordcount import word_count_stream
