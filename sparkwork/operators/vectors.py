@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import sized_broadcast
+
 
 def _list(x):
     return [x] if isinstance(x, str) else list(x)
@@ -56,8 +58,12 @@ def explode_vector(df: DataFrame, keys: str | Sequence[str], vec: str, value: st
 
 
 def label_lookup(df: DataFrame, names: DataFrame, label: str = "label") -> DataFrame:
-    """Adds the class name of ``label``; ``names`` is a (label, name) dimension of bounded size."""
-    return df.join(F.broadcast(names), label, "left")
+    """Adds the class name of ``label`` from a (label, name) dimension.
+
+    The dimension is broadcast only after its rows are counted under the threshold;
+    a larger one is joined by shuffle.
+    """
+    return df.join(sized_broadcast(names, row_bytes=64), label, "left")
 
 
 def sparse_axpy(alpha: float, x: DataFrame, y: DataFrame, key: str = "term", value: str = "val") -> DataFrame:
