@@ -16,6 +16,7 @@ from ..sources import fixtures as X
 from ..sources.tables import read_table
 from ..streaming.wordcount import word_count_stream
 from .aggregates import FOLDS, RATINGS, features_sparse_sql
+from .text import _TERMS
 from .text import ORACLE as TEXT_ORACLE
 
 
@@ -72,7 +73,24 @@ def q_model_roundtrip(spark, sf):
     return FI.read_model(spark, path).select("feature", F.round("beta", 6).alias("beta"))
 
 
+def q_tf_file(spark, sf):
+    """TF of one text file: every document's text written as lines of one folder."""
+    path = scratch_path(spark, "tf-file")
+    FI.write_table(read_table(spark, sf, "documents").select(F.coalesce("text", F.lit("")).alias("value")), path, "text")
+    return T.tf(T.terms(FI.read_lines(spark, path), "value", keys=None), keys=None)
+
+
+def q_idf_files(spark, sf):
+    """IDF over a list of files, one document per file (the file path is the document key)."""
+    base = scratch_path(spark, "idf-files")
+    docs = read_table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    FI.write_table(docs, base, "text", partition_by=["doc_id"])  # one folder, one file per document
+    return T.idf(FI.read_docs(spark, base), "text", "doc").select("term", "df", F.round("idf", 6).alias("idf"))
+
+
 QUERIES = {
+    "tf_file": q_tf_file,
+    "idf_files": q_idf_files,
     "ratings_scan": q_ratings_scan,
     "folds_scan": q_folds_scan,
     "labelled_scan": q_labelled_scan,
@@ -83,6 +101,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "tf_file": f"select term, count(*) as tf from ({_TERMS}) group by term",
+    "idf_files": TEXT_ORACLE["idf"],
     "ratings_scan": f"select i, j, round(r, 6) as r from ({RATINGS})",
     "folds_scan": f"select i, j, round(r, 6) as r, fold from ({FOLDS})",
     "labelled_scan": f"select feature, round(value, 6) as value, y from ({features_sparse_sql()})",

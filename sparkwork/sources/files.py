@@ -93,9 +93,14 @@ def read_model(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("feature", "beta")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write ``df`` as parquet (default), csv or text; an existing path is an error."""
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> None:
+    """Write ``df`` as parquet (default), csv or text; an existing path is an error.
+
+    ``partition_by`` writes one sub-folder per value of those columns.
+    """
     w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if fmt == "parquet":
         w.parquet(path)
     elif fmt == "csv":
