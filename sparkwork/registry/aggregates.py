@@ -166,8 +166,8 @@ ORACLE = {
     "feature_vocab": f"select distinct feature from ({features_sparse_sql()})",
     "topk_values": "select event_id, value from events order by value desc, event_id limit 13",
     "topk_per_type": (
-        "select * from (select event_id, event_type, value, row_number() over "
-        "(partition by event_type order by value desc, event_id) as rank from events) where rank <= 3"
+        "select * from (select event_id, event_type, value, cast(row_number() over "
+        "(partition by event_type order by value desc, event_id) as integer) as rank from events) where rank <= 3"
     ),
     "hash_sample": f"select event_id, value from events where {HASH_UNIT.format(seed='42', key='event_id')} < 0.5",
     "balanced_sample": f"""

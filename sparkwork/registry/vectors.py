@@ -142,13 +142,13 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracle SQL
 _LONG = (
-    "select id, label, (pos - 1) as k, x[pos] as v from "
+    "select id, label, (pos - 1)::integer as k, x[pos] as v from "
     f"(select id, label, x, unnest(range(1, len(x) + 1)) as pos from ({DENSE}))"
 )
 _SOFTMAX_CTES = f"""
     L as ({_LONG}),
     NN as (select count(*)::double as n from ({DENSE})),
-    CL as (select range as c from range({N_CLASSES})),
+    CL as (select range::integer as c from range({N_CLASSES})),
     G0 as (select CL.c, L.k, sum((0.1::double - case when L.label = CL.c then 1.0 else 0.0 end) * L.v) / (select n from NN) as g
            from L, CL group by CL.c, L.k),
     W1 as (select c, k, 0.0::double - {LR!r}::double * g as w from G0),
@@ -163,8 +163,8 @@ _NAMES = "select * from (values " + ", ".join(f"({i}, '{n}')" for i, n in enumer
 
 ORACLE = {
     "onehot_labels": (
-        f"select id, c as k, case when label = c then 1.0 else 0.0 end as value from ({DENSE}), "
-        f"(select range as c from range({N_CLASSES}))"
+        f"select id, c as k, case when label = c then 1.0::double else 0.0::double end as value from ({DENSE}), "
+        f"(select range::integer as c from range({N_CLASSES}))"
     ),
     "vector_center": f"""
         with L as ({_LONG}), M as (select avg(v / 255.0::double) as m from L)
