@@ -55,13 +55,22 @@ def subtract(x, y) -> Column:
     return F.zip_with(_c(x), _c(y), lambda a, b: a - b)
 
 
+def _broadcast_scalar(value: Column, like: Column) -> Column:
+    """An array repeating ``value`` to the length of ``like``: evaluated once per row, zipped in."""
+    return F.array_repeat(value, F.size(like))
+
+
 def softmax(x) -> Column:
-    """exp(x - max x) / sum(exp(x - max x)); stable for large scores."""
+    """exp(x - max x) / sum(exp(x - max x)); stable for large scores.
+
+    No lambda refers to an expression outside itself: the row maximum and the row
+    total are computed once per row and zipped in, so nothing is re-evaluated per
+    element even when the optimizer inlines ``x``.
+    """
     xs = _c(x)
-    m = F.array_max(xs)
-    e = F.transform(xs, lambda v: F.exp(v - m))
+    e = F.zip_with(xs, _broadcast_scalar(F.array_max(xs), xs), lambda v, m: F.exp(v - m))
     total = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / total)
+    return F.zip_with(e, _broadcast_scalar(total, e), lambda v, t: v / t)
 
 
 def argmax(x) -> Column:
