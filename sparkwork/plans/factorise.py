@@ -45,6 +45,7 @@ class MFParams:
     eps: float = 1e-99
     seed: int = 1234567
     weighted: bool = True  # regulariser added per rating row, as in the reference's step
+    partitions: int | None = None  # spread the ratings over this many partitions (else as they come)
 
 
 def init_profiles(R: DataFrame, key: str, d: int, seed: int, salt: str) -> DataFrame:
@@ -203,7 +204,10 @@ def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | N
     """
     p = params or MFParams()
     spark = R.sparkSession
-    R = cut_lineage(R.select("i", "j", "r"))
+    R = R.select("i", "j", "r")
+    if p.partitions:
+        R = R.repartition(p.partitions)  # round-robin: even tasks whatever the key skew
+    R = cut_lineage(R)
     self_test = R_test is None
     R_test = R if self_test else cut_lineage(R_test.select("i", "j", "r"))
     n_total = R.count() if self_test else None

@@ -208,12 +208,21 @@ def evaluate(X: DataFrame, E: DataFrame, beta: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ training
-def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None, beta0: DataFrame | None = None):
+def train_linear(
+    X: DataFrame,
+    E: DataFrame,
+    params: LinearParams | None = None,
+    beta0: DataFrame | None = None,
+    test: tuple[DataFrame, DataFrame] | None = None,
+):
     """Gradient descent from beta0 (default 0).  Returns (beta, history).
 
-    history: (iter, loss, grad_norm, gamma, line_search_ok, seconds); ``loss`` and
-    ``grad_norm`` belong to the model before the step of that iteration.  The loop
-    stops after ``max_iter`` steps or once ||grad|| <= eps (that step is still taken).
+    history: (iter, loss, grad_norm, gamma, line_search_ok, seconds, acc, pre, rec);
+    ``loss`` and ``grad_norm`` belong to the model before the step of that
+    iteration.  With ``test=(X_test, E_test)`` the updated model of each iteration is
+    scored on the test examples (accuracy, precision, recall in one aggregate);
+    otherwise those columns are NULL.  The loop stops after ``max_iter`` steps or
+    once ||grad|| <= eps (that step is still taken).
     """
     p = params or LinearParams()
     spark = X.sparkSession
@@ -242,12 +251,20 @@ def train_linear(X: DataFrame, E: DataFrame, params: LinearParams | None = None,
         chosen = next((r for r in cands if r["ok"]), cands[-1])
         gamma = chosen["gamma"]
         beta = cut_lineage(update_beta(beta, grad, gamma))
-        history.append((k, L, gnorm, gamma, bool(chosen["ok"]), time.perf_counter() - t_start))
+        metrics = (None, None, None)
+        if test is not None:
+            m = binary_metrics(score(test[0], test[1], beta, n_grad), "score", "y").first()
+            metrics = (m["acc"], m["pre"], m["rec"])
+        history.append((k, L, gnorm, gamma, bool(chosen["ok"]), time.perf_counter() - t_start, *metrics))
         n_beta = n_grad  # grad covers every feature of beta (its 2 lam beta term)
         EM = EMG.select("id", "y", (F.col("s") - F.lit(gamma) * F.col("gs")).alias("s"))  # one projection of a checkpoint
         L = chosen["loss"]
         k += 1
-    hist = spark.createDataFrame(history, "iter int, loss double, grad_norm double, gamma double, line_search_ok boolean, seconds double")
+    hist = spark.createDataFrame(
+        history,
+        "iter int, loss double, grad_norm double, gamma double, line_search_ok boolean, seconds double, "
+        "acc double, pre double, rec double",
+    )
     Xp.unpersist()
     Ep.unpersist()
     return beta, hist

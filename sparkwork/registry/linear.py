@@ -95,10 +95,22 @@ def q_linear_history(spark, sf):
 
 def q_lambda_sweep(spark, sf):
     Xd, Ed = _sparse(spark, sf)
-    out = sweep([0.0, 0.1, 1.0], lambda lam: LN.train_linear(Xd, Ed, _params(lam=lam, iters=1))[1].drop("seconds"))
+    out = sweep([0.0, 0.1, 1.0], lambda lam: LN.train_linear(Xd, Ed, _params(lam=lam, iters=1))[1])
     return out.select("lam", "iter", _r("loss"), _r("grad_norm"), _r("gamma"), "line_search_ok")
 
 
+def q_logistic_history_test(spark, sf):
+    """Train on folds 1.. of a 2-fold split, report test metrics of every iteration's model."""
+    from ..operators.folds import assign_folds
+
+    Xd, Ed = _sparse(spark, sf)
+    folds = assign_folds(Ed, "id", 2, 42)
+    tr, te = folds.where("fold <> 0").drop("fold"), folds.where("fold = 0").drop("fold")
+    Xtr, Xte = Xd.join(tr.select("id"), "id", "left_semi"), Xd.join(te.select("id"), "id", "left_semi")
+    _, h = LN.train_linear(Xtr, tr, _params(), test=(Xte, te))
+    return h.select("iter", _r("loss"), _r("grad_norm"), _r("gamma"), _r("acc"), _r("pre"), _r("rec"))
+
+
 def q_logistic_cv(spark, sf):
     cv = LN.cross_validate_linear(*_sparse(spark, sf), 2, _params(), seed=42)
     return cv.select("fold", "n_train", "n_test", _r("acc"), _r("pre"), _r("rec"), "rmse", _r("mean_acc"))
@@ -119,6 +131,7 @@ def q_labelled_features(spark, sf):
 
 
 QUERIES = {
+    "logistic_history_test": q_logistic_history_test,
     "logistic_cv": q_logistic_cv,
     "linear_cv": q_linear_cv,
     "labelled_features": q_labelled_features,
@@ -283,7 +296,40 @@ def _cv_sql(k: int = 2) -> str:
     return _with(ctes, body)
 
 
+def _history_test_sql() -> str:
+    fe = (
+        "select id, y, (('0x' || substr(md5(concat_ws(':', '42', id)), 1, 8))::bigint % 2) as fold "
+        f"from ({SPARSE_E})"
+    )
+    ctes = [f"FE as ({fe})", f"XS as ({SPARSE_X})"]
+    ctes += lin_ctes(
+        "select x.id, x.feature, x.value from XS x join FE on FE.id = x.id where FE.fold <> 0",
+        "select id, y from FE where fold <> 0",
+        _P,
+        "t_",
+    )
+    rows = []
+    for k in range(ITERS):
+        ctes += [
+            f"SC{k} as (select e.id, e.y, coalesce(m.s, 0.0) as s from (select id, y from FE where fold = 0) e left join "
+            f"(select x.id, sum(x.value * b.beta) as s from XS x join t_B{k + 1} b on x.feature = b.feature "
+            f"group by x.id) m on m.id = e.id)",
+            f"CC{k} as (select count(*) filter (where s > 0 and y > 0) as tp, count(*) filter (where s > 0 and y <= 0) as fp, "
+            f"count(*) filter (where s <= 0 and y <= 0) as tn, count(*) filter (where s <= 0 and y > 0) as fn from SC{k})",
+        ]
+        rows.append(
+            f"select h.iter, h.loss, h.grad_norm, h.gamma, (tp + tn)::double / nullif(tp + fp + tn + fn, 0) as acc, "
+            f"tp::double / nullif(tp + fp, 0) as pre, tp::double / nullif(tp + fn, 0) as rec from t_H{k} h, CC{k}"
+        )
+    body = (
+        "select iter, round(loss, 6) as loss, round(grad_norm, 6) as grad_norm, round(gamma, 6) as gamma, "
+        "round(acc, 6) as acc, round(pre, 6) as pre, round(rec, 6) as rec from (" + " union all ".join(rows) + ")"
+    )
+    return _with(ctes, body)
+
+
 ORACLE = {
+    "logistic_history_test": _history_test_sql(),
     "logistic_cv": _cv_sql(2),
     "labelled_features": f"select distinct feature from ({SPARSE_X})",
     "logistic_gradient": _with(lin_ctes(SPARSE_X, SPARSE_E, _P1), "select feature, round(grad, 6) as grad from G0"),
