@@ -105,3 +105,32 @@ def test_mf_init_independent_of_partitioning(spark):
     a = {r.i: r.p for r in MF.init_profiles(R, "i", 4, 1, "u").collect()}
     b = {r.i: r.p for r in MF.init_profiles(R.repartition(9), "i", 4, 1, "u").collect()}
     assert a == b
+
+
+def test_flatten_tensor(spark):
+    df = spark.createDataFrame([([[1.0, 2.0], [3.0]],)], "t array<array<double>>")
+    assert df.select(VF.flatten_tensor("t").alias("v")).first().v == [1.0, 2.0, 3.0]
+
+
+def test_train_all_and_save_profiles(spark):
+    import tempfile
+
+    from sparkwork.sources import files as FI
+
+    rows = [(i, j, float((i + j) % 4)) for i in range(20) for j in range(10) if (i * j) % 3 == 0]
+    R = spark.createDataFrame(rows, "i long, j long, r double")
+    U, V_, hist = MF.train_mf(R, None, MF.MFParams(d=3, maxiter=2, partitions=4))
+    d = tempfile.mkdtemp(prefix="sw-test-")
+    FI.write_table(U, f"{d}/U")
+    FI.write_table(V_, f"{d}/V")
+    assert spark.read.parquet(f"{d}/U").count() == U.count() == 20
+    assert hist.count() == 2
+
+
+def test_train_linear_with_test_metrics_and_cv(spark):
+    X, E = _toy(spark)
+    _, hist = LN.train_linear(X, E, LN.LinearParams(lam=0.1, max_iter=2), test=(X, E))
+    rows = hist.orderBy("iter").collect()
+    assert len(rows) == 2 and all(r.acc is not None and 0.0 <= r.acc <= 1.0 for r in rows)
+    cv = LN.cross_validate_linear(X, E, 2, LN.LinearParams(lam=0.1, max_iter=1)).collect()
+    assert sorted(r.n_train + r.n_test for r in cv) == [5, 5]
