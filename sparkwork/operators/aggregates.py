@@ -79,11 +79,6 @@ def hash_sample(df: DataFrame, key: str | Sequence[str], fraction: float, seed:
     return df.where(H.unit(F.lit(str(seed)), *_list(key)) < F.lit(float(fraction)))
 
 
-def _hot_groups_state(counts: DataFrame, label: str) -> DataFrame:
-    m = counts.select(F.min("n")).scalar()
-    return counts.select(label, "n", m.alias("need"))
-
-
 def balanced_sample(
     df: DataFrame,
     label: str,
@@ -99,34 +94,37 @@ def balanced_sample(
     refinement, ``level_bits`` bits per pass, each pass a filtered histogram
     aggregate (classes x 2^level_bits rows).  The final hash value is resolved
     exactly; only rows sharing that one hash are ordered by key.  ``key`` must be
-    unique.
+    unique; rows with a NULL label are not sampled.
     """
-    seed_s = str(seed)
-    rows = df.withColumn("_h", H.order_key(F.lit(seed_s), key))
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    state = _hot_groups_state(counts, label).select(label, "need", F.lit(0).cast("bigint").alias("_p"))
+    spark = df.sparkSession
+    rows = df.withColumn("_h", H.order_key(F.lit(str(seed)), key))
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where(F.col(label).isNotNull()).cache()
     n_groups = counts.count()
+
+    def small(state: DataFrame) -> DataFrame:  # one row per class
+        return F.broadcast(state) if fits_broadcast(spark, n_groups, 64) else state
+
+    # state per class: rows still to take (need) and the hash prefix (_p) resolved so far
+    m = counts.select(F.min("n")).scalar()
+    state = counts.select(label, m.alias("need"), F.lit(0).cast("bigint").alias("_p")).cache()
     mask = (1 << level_bits) - 1
-    levels = total_bits // level_bits
-    for lvl in range(levels):
+    for lvl in range(total_bits // level_bits):
         shift = total_bits - (lvl + 1) * level_bits
-        st = F.broadcast(state) if fits_broadcast(df.sparkSession, n_groups, 64) else state
-        cand = rows.join(st, label).where(F.shiftright("_h", shift + level_bits) == F.col("_p"))
+        cand = rows.join(small(state), label).where(F.shiftright("_h", shift + level_bits) == F.col("_p"))
         hist = cand.groupBy(label, "need", "_p", F.shiftright("_h", shift).bitwiseAND(F.lit(mask)).alias("_b")).agg(
             F.count(F.lit(1)).alias("_c")
         )
-        w = Window.partitionBy(label).orderBy("_b")
-        cum = hist.withColumn("_cum", F.sum("_c").over(w))
+        cum = hist.withColumn("_cum", F.sum("_c").over(Window.partitionBy(label).orderBy("_b")))
         hit = cum.where((F.col("_cum") >= F.col("need")) & (F.col("_cum") - F.col("_c") < F.col("need")))
-        state = hit.select(
+        nxt = hit.select(
             label,
             (F.col("need") - (F.col("_cum") - F.col("_c"))).alias("need"),
             (F.shiftleft("_p", level_bits) + F.col("_b")).alias("_p"),
-        )
-        state = state.cache()
-        state.count()
-    st = F.broadcast(state) if fits_broadcast(df.sparkSession, n_groups, 64) else state
-    marked = rows.join(st, label)
+        ).cache()
+        nxt.count()
+        state.unpersist()
+        state = nxt
+    marked = rows.join(small(state), label)
     below = marked.where(F.col("_h") < F.col("_p"))
     tie_rows = marked.where(F.col("_h") == F.col("_p"))
     tie_w = Window.partitionBy(label, "_h").orderBy(key)

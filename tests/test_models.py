@@ -134,3 +134,13 @@ def test_train_linear_with_test_metrics_and_cv(spark):
     assert len(rows) == 2 and all(r.acc is not None and 0.0 <= r.acc <= 1.0 for r in rows)
     cv = LN.cross_validate_linear(X, E, 2, LN.LinearParams(lam=0.1, max_iter=1)).collect()
     assert sorted(r.n_train + r.n_test for r in cv) == [5, 5]
+
+
+def test_rmse_with_unseen_user(spark):
+    R = spark.createDataFrame([(1, 1, 1.0), (1, 2, 2.0), (2, 1, 3.0)], "i long, j long, r double")
+    U = MF.init_profiles(R, "i", 2, 5, "u")
+    V_ = MF.init_profiles(R, "j", 2, 5, "v")
+    test = spark.createDataFrame([(1, 1, 1.0), (9, 1, 2.0)], "i long, j long, r double")  # user 9 unseen
+    r = MF.rmse(test, U, V_, d=2).first()
+    assert (r.n_test, r.n_scored) == (2, 1)
+    assert r.rmse_all_rows < r.rmse  # the reference's form divides by all test rows

@@ -70,3 +70,9 @@ def test_top_terms(spark):
     got = [(r.term, r.val) for r in T.top_terms(p, 5).collect()]
     want = sorted(((f"t{i}", float(i % 7)) for i in range(50)), key=lambda x: (-x[1], x[0]))[:5]
     assert got == want
+
+
+def test_cosine_zero_norm_is_null(spark):
+    a = spark.createDataFrame([("x", 0.0)], "term string, val double")
+    b = spark.createDataFrame([("x", 1.0)], "term string, val double")
+    assert T.cosine(a, b).first().sim is None
