@@ -54,40 +54,44 @@ def cross_entropy(df: DataFrame, probs: str | Column, label: str | Column) -> Da
     return df.agg(F.count(F.lit(1)).alias("n"), F.avg(-F.ln(p)).alias("cross_entropy"))
 
 
-def row_index(df: DataFrame, order: list) -> DataFrame:
-    """Adds ``_rn`` (0-based) in the total order ``order`` without a single-task window.
-
-    The frame is range-partitioned and sorted, materialised in the checkpoint folder
-    (so partition contents are fixed), then each row gets its partition's offset
-    (a prefix sum over one row per partition) plus its position inside the partition.
-    ``order`` must be a total order for a reproducible result.
+def row_index(df: DataFrame, order: list, by: list[str] | None = None) -> DataFrame:
+    """Adds ``_rn`` (0-based) in the total order ``order`` (within each ``by`` group) without a single-task window.
+
+    The frame is range-partitioned and sorted by (by, order), written to the checkpoint
+    folder (so partition contents are fixed), then each row gets the count of its
+    group's rows in earlier partitions (a prefix sum over one row per partition and
+    group) plus its position inside the partition.  ``order`` must be a total order
+    for a reproducible result.
     """
+    groups = list(by or [])
+    sort_cols = [F.asc(g) for g in groups] + list(order)
     sorted_df = cut_lineage(
-        df.orderBy(*order).withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    )
-    per_part = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    offsets = per_part.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        df.orderBy(*sort_cols).withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     )
-    # one row per partition: bounded by the partition count
-    indexed = sorted_df.join(F.broadcast(offsets.select("_pid", "_off", "_first")), "_pid")
+    per_part = sorted_df.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+    # one row per (partition, group): bounded by the partition count times the group count
+    keys = ["_pid", *groups]
+    indexed = sorted_df.join(F.broadcast(offsets.select(*keys, "_off", "_first")), keys)
     return indexed.withColumn("_rn", F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_off", "_first")
 
 
-def batch_metric_mean(df: DataFrame, metric: str, order: list, batch: int) -> DataFrame:
-    """One row (n_batches, batch_mean): mean over full batches of ``batch`` rows of the per-batch mean.
+def batch_metric_mean(df: DataFrame, metric: str, order: list, batch: int, by: list[str] | None = None) -> DataFrame:
+    """(by..., n_batches, batch_mean): mean over full batches of ``batch`` rows of the per-batch mean.
 
-    Rows are numbered in ``order``; the incomplete last batch is dropped, as a
-    mini-batch loop with ``int(n / batch)`` steps does.
+    Rows are numbered in ``order`` (per ``by`` group, e.g. train and test split); the
+    incomplete last batch of each group is dropped, as a mini-batch loop with
+    ``int(n / batch)`` steps does.
     """
-    idx = row_index(df.select(metric, *[c for c in df.columns if c != metric]), order)
-    n = df.select(F.count(F.lit(1))).scalar()
-    full = F.floor(n / F.lit(batch))
-    per_batch = (
-        idx.withColumn("_b", F.floor(F.col("_rn") / F.lit(batch)))
-        .where(F.col("_b") < full)
-        .groupBy("_b")
-        .agg(F.avg(metric).alias("_m"))
-    )
-    return per_batch.agg(F.count(F.lit(1)).alias("n_batches"), F.avg("_m").alias("batch_mean"))
-
+    groups = list(by or [])
+    idx = row_index(df, order, groups)
+    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")) if groups else None
+    per_row = idx.withColumn("_b", F.floor(F.col("_rn") / F.lit(batch)))
+    if groups:
+        per_row = per_row.join(sizes, groups).where(F.col("_b") < F.floor(F.col("_n") / F.lit(batch)))
+    else:
+        n = df.select(F.count(F.lit(1))).scalar()
+        per_row = per_row.where(F.col("_b") < F.floor(n / F.lit(batch)))
+    per_batch = per_row.groupBy(*groups, "_b").agg(F.avg(metric).alias("_m"))
+    return per_batch.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_batches"), F.avg("_m").alias("batch_mean"))

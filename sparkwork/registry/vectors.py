@@ -94,6 +94,21 @@ def q_batch_metric_mean(spark, sf):
     return M.batch_metric_mean(sc, "correct", [F.asc("id")], 64).select("n_batches", _r("batch_mean"))
 
 
+def q_batch_means_by_split(spark, sf):
+    """Mini-batch means of correctness and cross-entropy, train (folds 1-4) and test (fold 0) numbered apart."""
+    sc = assign_folds(_scored(spark, sf), "id", 5, 42).select(
+        "id",
+        F.when(F.col("fold") == 0, F.lit("test")).otherwise(F.lit("train")).alias("split"),
+        (F.col("pred") == F.col("label")).cast("double").alias("correct"),
+        (-F.ln(F.element_at("probs", F.col("label") + 1))).alias("xent"),
+    )
+    acc = M.batch_metric_mean(sc, "correct", [F.asc("id")], 64, by=["split"])
+    loss = M.batch_metric_mean(sc, "xent", [F.asc("id")], 64, by=["split"])
+    return acc.select("split", "n_batches", _r("batch_mean", name="batch_accuracy")).join(
+        loss.select("split", _r("batch_mean", name="batch_loss")), "split"
+    )
+
+
 def q_label_lookup(spark, sf):
     pred = _scored(spark, sf).select("id", F.col("pred").alias("label"))
     return V.label_lookup(pred, C.label_names(spark)).select("id", F.col("label").alias("pred"), "name")
@@ -134,6 +149,7 @@ QUERIES = {
     "cross_entropy": q_cross_entropy,
     "multiclass_accuracy": q_multiclass_accuracy,
     "batch_metric_mean": q_batch_metric_mean,
+    "batch_means_by_split": q_batch_means_by_split,
     "label_lookup": q_label_lookup,
     "random_forest_score": q_random_forest_score,
     "mlp_score": q_mlp_score,
@@ -186,6 +202,18 @@ ORACLE = {
         R as (select (row_number() over (order by id) - 1) as rn, case when pred = label then 1.0 else 0.0 end as correct from SC),
         B as (select floor(rn / 64) as b, avg(correct) as m from R where floor(rn / 64) < floor((select count(*) from R) / 64) group by 1)
         select count(*) as n_batches, round(avg(m), 6) as batch_mean from B""",
+    "batch_means_by_split": f"""with {_SOFTMAX_CTES},
+        PL as (select P.id, -ln(P.p) as xent from P join LB on P.id = LB.id and P.c = LB.label),
+        R as (select SC.id, case when (('0x' || substr(md5(concat_ws(':', '42', SC.id)), 1, 8))::bigint % 5) = 0
+                     then 'test' else 'train' end as split,
+                     case when pred = label then 1.0 else 0.0 end as correct, PL.xent
+              from SC join PL on SC.id = PL.id),
+        RN as (select *, (row_number() over (partition by split order by id) - 1) as rn,
+                      count(*) over (partition by split) as n from R),
+        B as (select split, floor(rn / 64) as b, avg(correct) as ma, avg(xent) as ml from RN
+              where floor(rn / 64) < floor(n / 64) group by split, floor(rn / 64))
+        select split, count(*) as n_batches, round(avg(ma), 6) as batch_accuracy, round(avg(ml), 6) as batch_loss
+        from B group by split""",
     "label_lookup": f"""with {_SOFTMAX_CTES}, NM as ({_NAMES})
         select PR.id, PR.pred, NM.name from PR left join NM on NM.label = PR.pred""",
 }
