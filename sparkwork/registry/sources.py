@@ -16,7 +16,7 @@ from ..sources import fixtures as X
 from ..sources.tables import read_table
 from ..streaming.wordcount import word_count_stream
 from .aggregates import FOLDS, RATINGS, features_sparse_sql
-from .text import _TERMS
+from .text import _IDF, _TERMS
 from .text import ORACLE as TEXT_ORACLE
 
 
@@ -88,7 +88,37 @@ def q_idf_files(spark, sf):
     return T.idf(FI.read_docs(spark, base), "text", "doc").select("term", "df", F.round("idf", 6).alias("idf"))
 
 
+def _pair_file(spark, df, key, value, name):
+    path = scratch_path(spark, name)
+    FI.write_table(FI.pair_lines(df, key, value), path, "text")
+    return FI.read_pairs(spark, path)
+
+
+def q_tfidf_files(spark, sf):
+    """TFIDF mode: TF pairs of one text and IDF pairs of the collection, each read from a pair file."""
+    docs = X.documents(spark, sf)
+    tf = T.tf(T.terms(docs, keys=None), keys=None)
+    idf = T.idf(docs)
+    tf_pairs = _pair_file(spark, tf, "term", "tf", "tf-pairs").withColumnRenamed("val", "tf")
+    idf_pairs = _pair_file(spark, idf, "term", "idf", "idf-pairs").withColumnRenamed("val", "idf")
+    return T.tfidf(tf_pairs, idf_pairs, keys=None).select("term", F.round("val", 6).alias("val"))
+
+
+def q_cosine_files(spark, sf):
+    """SIM mode: the TF-IDF scores of two documents, each read from a pair file."""
+    from ..session import cut_lineage
+
+    docs = X.documents(spark, sf)
+    tf = T.tf(T.terms(docs))
+    s = cut_lineage(T.tfidf(tf, T.idf_from_tf(tf, docs)))
+    a = _pair_file(spark, s.where("doc_id = 0"), "term", "val", "sim-a")
+    b = _pair_file(spark, s.where("doc_id = 1"), "term", "val", "sim-b")
+    return T.cosine(a, b).select(*[F.round(c, 6).alias(c) for c in ("dot", "norm_a", "norm_b", "sim")])
+
+
 QUERIES = {
+    "tfidf_files": q_tfidf_files,
+    "cosine_files": q_cosine_files,
     "tf_file": q_tf_file,
     "idf_files": q_idf_files,
     "ratings_scan": q_ratings_scan,
@@ -102,6 +132,11 @@ QUERIES = {
 
 ORACLE = {
     "tf_file": f"select term, count(*) as tf from ({_TERMS}) group by term",
+    "tfidf_files": (
+        f"select t.term, round(t.tf * i.idf, 6) as val from (select term, count(*)::double as tf from ({_TERMS}) "
+        f"group by term) t join ({_IDF}) i on t.term = i.term"
+    ),
+    "cosine_files": TEXT_ORACLE["cosine_pair"],
     "idf_files": TEXT_ORACLE["idf"],
     "ratings_scan": f"select i, j, round(r, 6) as r from ({RATINGS})",
     "folds_scan": f"select i, j, round(r, 6) as r, fold from ({FOLDS})",
