@@ -69,17 +69,23 @@ def dloss_expr(loss: str, s: Column, y: Column) -> Column:
 
 # ------------------------------------------------------------------ data
 def prepare_sparse(X: DataFrame, E: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Hash-partition X(id, feature, value) and E(id, y) by id and persist both.
-
-    The persisted hash partitioning (which a checkpoint would not keep) lets the
-    per-example aggregates and joins on ``id`` run without shuffling X.  Lost cached
-    partitions are recomputed from the input's (fixed-length) lineage; the state
-    that grows with the iterations (margins, gradient, model) is checkpointed.
+    """Lay out X(id, feature, value) and E(id, y) for the iterations and persist both.
+
+    Normally both are hash-partitioned by id: the persisted partitioning (which a
+    checkpoint would not keep) lets the per-example aggregates and joins on ``id``
+    run without shuffling X.  One aggregate first measures the largest example; if
+    it alone holds more rows than an average partition, X is spread round-robin
+    instead, so no task gets the hot example's rows whole (joins on ``id`` then
+    shuffle and AQE splits the hot partition).  Lost cached partitions are
+    recomputed from the input's fixed-length lineage; the state that grows with the
+    iterations (margins, gradient, model) is checkpointed.
     """
     n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
     es = E.select("id", F.col("y").cast("double").alias("y"))
-    Xp = xs.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = xs.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k").alias("top"), F.sum("_k").alias("total")).first()
+    hot = (sizes["top"] or 0) > max(1, (sizes["total"] or 0) // n)
+    Xp = (xs.repartition(n) if hot else xs.repartition(n, "id")).persist(StorageLevel.MEMORY_AND_DISK)
     Ep = es.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
     return Xp, Ep
 
