@@ -64,3 +64,17 @@ def test_streaming_word_count(spark):
     q.awaitTermination()
     got = {r.word: r.n for r in spark.read.parquet(f"{d}/out").collect()}
     assert got == {"a": 2, "b": 2, "c": 1}
+
+
+def test_streaming_resumes_from_checkpoint(spark):
+    import os
+
+    d = tempfile.mkdtemp(prefix="sw-test-")
+    os.makedirs(f"{d}/src")
+    _write(f"{d}/src/1.txt", "a b\n")
+    word_count_stream(spark, f"{d}/src", f"{d}/out", f"{d}/ckpt").awaitTermination()
+    _write(f"{d}/src/2.txt", "a c\n")
+    # a restart with the same checkpoint processes only the new file and keeps the state
+    word_count_stream(spark, f"{d}/src", f"{d}/out", f"{d}/ckpt").awaitTermination()
+    got = {r.word: r.n for r in spark.read.parquet(f"{d}/out").collect()}
+    assert got == {"a": 2, "b": 1, "c": 1}
