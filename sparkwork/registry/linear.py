@@ -111,6 +111,18 @@ def q_logistic_history_test(spark, sf):
     return h.select("iter", _r("loss"), _r("grad_norm"), _r("gamma"), _r("acc"), _r("pre"), _r("rec"))
 
 
+def q_logistic_from_file(spark, sf):
+    """The reference's flow: labelled examples read from a text file, then trained."""
+    from ..session import scratch_path
+    from ..sources import files as FI
+
+    path = scratch_path(spark, "labelled-train")
+    FI.write_table(FI.labelled_lines(*_sparse(spark, sf)), path, "text")
+    Xd, Ed = LN.map_to_sparse(FI.read_labelled(spark, path))
+    _, h = LN.train_linear(Xd, Ed, _params())
+    return _history(h)
+
+
 def q_logistic_cv(spark, sf):
     cv = LN.cross_validate_linear(*_sparse(spark, sf), 2, _params(), seed=42)
     return cv.select("fold", "n_train", "n_test", _r("acc"), _r("pre"), _r("rec"), "rmse", _r("mean_acc"))
@@ -131,6 +143,7 @@ def q_labelled_features(spark, sf):
 
 
 QUERIES = {
+    "logistic_from_file": q_logistic_from_file,
     "logistic_history_test": q_logistic_history_test,
     "logistic_cv": q_logistic_cv,
     "linear_cv": q_linear_cv,
@@ -330,6 +343,7 @@ def _history_test_sql() -> str:
 
 ORACLE = {
     "logistic_history_test": _history_test_sql(),
+    "logistic_from_file": _with(lin_ctes(SPARSE_X, SPARSE_E, _P), _HIST_BODY.format(_hist_union(ITERS))),
     "logistic_cv": _cv_sql(2),
     "labelled_features": f"select distinct feature from ({SPARSE_X})",
     "logistic_gradient": _with(lin_ctes(SPARSE_X, SPARSE_E, _P1), "select feature, round(grad, 6) as grad from G0"),

@@ -144,3 +144,17 @@ def test_rmse_with_unseen_user(spark):
     r = MF.rmse(test, U, V_, d=2).first()
     assert (r.n_test, r.n_scored) == (2, 1)
     assert r.rmse_all_rows < r.rmse  # the reference's form divides by all test rows
+
+
+def test_vector_add_subtract_scale(spark):
+    df = spark.createDataFrame([([1.0, 2.0], [3.0, 5.0])], "a array<double>, b array<double>")
+    r = df.select(
+        VF.add("a", "b").alias("s"), VF.subtract("b", "a").alias("d"), VF.scale(F.lit(3.0), "a").alias("m")
+    ).first()
+    assert (r.s, r.d, r.m) == ([4.0, 7.0], [2.0, 3.0], [3.0, 6.0])
+
+
+def test_map_to_sparse(spark):
+    df = spark.createDataFrame([({"a": 1.0, "b": 2.0}, 1.0), ({}, -1.0)], "x map<string,double>, y double")
+    X, E = LN.map_to_sparse(df)
+    assert X.count() == 2 and E.count() == 2
