@@ -255,11 +255,18 @@ def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | N
     return U, V, hist
 
 
-def cross_validate_mf(R: DataFrame, k: int, params: MFParams | None = None, seed: int | str = 42) -> DataFrame:
+def cross_validate_mf(
+    R: DataFrame,
+    k: int,
+    params: MFParams | None = None,
+    seed: int | str = 42,
+    fold_col: str | None = None,
+) -> DataFrame:
     """(fold, n_train, n_test, test_rmse, test_rmse_all_rows, mean_rmse): k-fold CV of ``train_mf``.
 
-    Folds come from the md5 of (seed, i, j); fold f trains on the others and reports
-    the last iteration's test RMSE.  k = 1 trains and tests on all ratings.
+    Folds come from ``fold_col`` when given (e.g. read from fold files), else from the
+    md5 of (seed, i, j); fold f trains on the others and reports the last
+    iteration's test RMSE.  k = 1 trains and tests on all ratings.
     """
     from ..operators.folds import assign_folds
 
@@ -272,7 +279,10 @@ def cross_validate_mf(R: DataFrame, k: int, params: MFParams | None = None, seed
         n = R.count()
         rows.append((0, n, n, last["test_rmse"], last["test_rmse_all_rows"]))
     else:
-        folded = cut_lineage(assign_folds(R.select("i", "j", "r"), ["i", "j"], k, seed))
+        if fold_col:
+            folded = cut_lineage(R.select("i", "j", "r", F.col(fold_col).alias("fold")))
+        else:
+            folded = cut_lineage(assign_folds(R.select("i", "j", "r"), ["i", "j"], k, seed))
         for f in range(k):
             train, test = split(folded, f)
             _, _, h = train_mf(train.drop("fold"), test.drop("fold"), p)

@@ -116,7 +116,22 @@ def q_cosine_files(spark, sf):
     return T.cosine(a, b).select(*[F.round(c, 6).alias(c) for c in ("dot", "norm_a", "norm_b", "sim")])
 
 
+def q_mf_cv_from_folds(spark, sf):
+    """The reference's flow: ratings read from fold0..fold4 files, 5-fold CV, 2 iterations per fold."""
+    from ..plans import factorise as MF
+
+    base = scratch_path(spark, "mf-folds")
+    rf = X.ratings_folds(spark, sf)
+    for f in range(5):
+        FI.write_table(rf.where(F.col("fold") == f).select(F.concat_ws(",", "i", "j", "r").alias("value")), f"{base}/fold{f}", "text")
+    cv = MF.cross_validate_mf(FI.read_folds(spark, base, 5), 5, MF.MFParams(maxiter=2), fold_col="fold")
+    return cv.select(
+        "fold", "n_train", "n_test", *[F.round(c, 6).alias(c) for c in ("test_rmse", "test_rmse_all_rows", "mean_rmse")]
+    )
+
+
 QUERIES = {
+    "mf_cv_from_folds": q_mf_cv_from_folds,
     "tfidf_files": q_tfidf_files,
     "cosine_files": q_cosine_files,
     "tf_file": q_tf_file,
@@ -130,7 +145,27 @@ QUERIES = {
     "model_roundtrip": q_model_roundtrip,
 }
 
+def _mf_cv5_sql() -> str:
+    from .factorise import _with, mf_ctes
+
+    ctes, parts = [], []
+    for f in range(5):
+        ctes += mf_ctes(
+            f"f{f}_", f"select i, j, r from ({FOLDS}) where fold <> {f}", f"select i, j, r from ({FOLDS}) where fold = {f}", 2
+        )
+        parts.append(
+            f"select {f} as fold, (select count(*) from f{f}_R) as n_train, (select count(*) from f{f}_T) as n_test, "
+            f"test_rmse, test_rmse_all_rows from f{f}_H2"
+        )
+    return _with(
+        ctes,
+        "select fold, n_train, n_test, round(test_rmse, 6) as test_rmse, round(test_rmse_all_rows, 6) as test_rmse_all_rows, "
+        "round(avg(test_rmse) over (), 6) as mean_rmse from (" + " union all ".join(parts) + ")",
+    )
+
+
 ORACLE = {
+    "mf_cv_from_folds": _mf_cv5_sql(),
     "tf_file": f"select term, count(*) as tf from ({_TERMS}) group by term",
     "tfidf_files": (
         f"select t.term, round(t.tf * i.idf, 6) as val from (select term, count(*)::double as tf from ({_TERMS}) "
