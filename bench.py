@@ -64,13 +64,13 @@ def q_mf_train_2iter(spark, sf):
 
 def q_logistic_train_2iter(spark, sf):
     Xd = X.features_sparse(spark, sf).select("id", "feature", "value")
-    _, h = LN.train_linear(Xd, X.examples(spark, sf), LN.LinearParams(lam=0.1, max_iter=2))
+    _, h = LN.train_linear(Xd, X.examples(spark, sf), LN.LinearParams(lam=0.1, max_iter=2, max_rows_per_example=100))
     _last_step("logistic_step", h)
 
 
 def q_linear_train_2iter(spark, sf):
     Xd, Ed = LN.columns_to_sparse(X.regression(spark, sf), ["x1", "x2", "x3"])
-    _, h = LN.train_linear(Xd, Ed, LN.LinearParams(loss="squared", lam=0.1, max_iter=2))
+    _, h = LN.train_linear(Xd, Ed, LN.LinearParams(loss="squared", lam=0.1, max_iter=2, max_rows_per_example=3))
     _last_step("linear_step", h)
 
 

@@ -45,6 +45,7 @@ class LinearParams:
     b: float = 0.5  # backtracking factor: candidates gamma = b^t
     candidates: int = 20
     partitions: int | None = None  # hash partitions of X and E by id (default: shuffle partitions)
+    max_rows_per_example: int | None = None  # known bound on an example's non-zeros (else measured)
 
 
 # ------------------------------------------------------------------ losses
@@ -68,23 +69,45 @@ def dloss_expr(loss: str, s: Column, y: Column) -> Column:
 
 
 # ------------------------------------------------------------------ data
-def prepare_sparse(X: DataFrame, E: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _advisory_bytes(spark) -> int:
+    raw = str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")).strip().lower()
+    units = {"kb": 1 << 10, "k": 1 << 10, "mb": 1 << 20, "m": 1 << 20, "gb": 1 << 30, "g": 1 << 30, "b": 1}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
+
+
+ROW_BYTES = 48  # an exploded (id, feature, value) row, roughly
+
+
+def prepare_sparse(
+    X: DataFrame,
+    E: DataFrame,
+    partitions: int | None = None,
+    max_rows_per_example: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Lay out X(id, feature, value) and E(id, y) for the iterations and persist both.
 
     Normally both are hash-partitioned by id: the persisted partitioning (which a
     checkpoint would not keep) lets the per-example aggregates and joins on ``id``
-    run without shuffling X.  One aggregate first measures the largest example; if
-    it alone holds more rows than an average partition, X is spread round-robin
-    instead, so no task gets the hot example's rows whole (joins on ``id`` then
-    shuffle and AQE splits the hot partition).  Lost cached partitions are
-    recomputed from the input's fixed-length lineage; the state that grows with the
-    iterations (margins, gradient, model) is checkpointed.
+    run without shuffling X.  If one example's rows alone exceed a target partition
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), X is spread round-robin
+    instead, so no task gets that example whole (joins on ``id`` then shuffle and
+    AQE splits the hot partition).  The largest example is taken from
+    ``max_rows_per_example`` when the caller knows it (dense vectors: d; vocabulary
+    features: the vocabulary size), else measured by one aggregate.  Lost cached
+    partitions are recomputed from the input's fixed-length lineage; the state that
+    grows with the iterations (margins, gradient, model) is checkpointed.
     """
-    n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = X.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
     es = E.select("id", F.col("y").cast("double").alias("y"))
-    sizes = xs.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k").alias("top"), F.sum("_k").alias("total")).first()
-    hot = (sizes["top"] or 0) > max(1, (sizes["total"] or 0) // n)
+    top = max_rows_per_example
+    if top is None:
+        top = xs.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
+    hot = top * ROW_BYTES > _advisory_bytes(spark)
     Xp = (xs.repartition(n) if hot else xs.repartition(n, "id")).persist(StorageLevel.MEMORY_AND_DISK)
     Ep = es.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
     return Xp, Ep
@@ -232,7 +255,7 @@ def train_linear(
     """
     p = params or LinearParams()
     spark = X.sparkSession
-    Xp, Ep = prepare_sparse(X, E, p.partitions)
+    Xp, Ep = prepare_sparse(X, E, p.partitions, p.max_rows_per_example)
     beta = cut_lineage(beta0.select("feature", "beta")) if beta0 is not None else empty_beta(spark)
     n_beta = beta.count()
     EM = cut_lineage(margins(Xp, Ep, beta, n_beta))

@@ -30,8 +30,11 @@ def _regression(spark, sf):
     return LN.columns_to_sparse(X.regression(spark, sf), ["x1", "x2", "x3"])
 
 
-def _params(loss="logistic", lam=LAM, iters=ITERS):
-    return LN.LinearParams(loss=loss, lam=lam, max_iter=iters)
+VOCAB_SIZE = 100  # features_sparse keeps the 100 most widespread terms: an example has at most 100 rows
+
+
+def _params(loss="logistic", lam=LAM, iters=ITERS, bound=VOCAB_SIZE):
+    return LN.LinearParams(loss=loss, lam=lam, max_iter=iters, max_rows_per_example=bound)
 
 
 def _gradient_at_zero(spark, Xd, Ed, loss, lam):
@@ -79,7 +82,7 @@ def q_logistic_score(spark, sf):
 
 
 def q_logistic_dense_history(spark, sf):
-    _, h = LN.train_linear(*_dense(spark, sf), _params())
+    _, h = LN.train_linear(*_dense(spark, sf), _params(bound=64))
     return _history(h)
 
 
@@ -89,7 +92,7 @@ def q_linear_gradient(spark, sf):
 
 
 def q_linear_history(spark, sf):
-    _, h = LN.train_linear(*_regression(spark, sf), _params("squared"))
+    _, h = LN.train_linear(*_regression(spark, sf), _params("squared", bound=3))
     return _history(h)
 
 
@@ -129,7 +132,7 @@ def q_logistic_cv(spark, sf):
 
 
 def q_linear_cv(spark, sf):
-    cv = LN.cross_validate_linear(*_regression(spark, sf), 3, _params("squared"), seed=42)
+    cv = LN.cross_validate_linear(*_regression(spark, sf), 3, _params("squared", bound=3), seed=42)
     return cv.select("fold", "n_train", "n_test", _r("rmse"), _r("mean_rmse"))
 
 

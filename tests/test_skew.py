@@ -96,11 +96,10 @@ def test_linear_hot_example_layout_gives_same_model(spark):
     rows += [(i, f"f{(i * 7 + t) % 300}", 1.0) for i in range(1, 300) for t in range(2)]
     X = spark.createDataFrame(rows, "id long, feature string, value double")
     E = spark.createDataFrame([(i, 1.0 if i % 3 else -1.0) for i in range(300)], "id long, y double")
-    Xp, _ = LN.prepare_sparse(X, E, 8)
-    assert Xp.rdd.getNumPartitions() == 8
-    _, h_hot = LN.train_linear(X, E, LN.LinearParams(lam=0.1, max_iter=2, partitions=8))
-    # the same data without the hot example's layout decision: many partitions make it "not hot"
-    _, h_even = LN.train_linear(X, E, LN.LinearParams(lam=0.1, max_iter=2, partitions=1))
+    params = LN.LinearParams(lam=0.1, max_iter=2, partitions=8)
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"}):  # 300 rows outweigh a partition
+        _, h_hot = LN.train_linear(X, E, params)
+    _, h_even = LN.train_linear(X, E, params)  # default 64MB: laid out by id
     a = [(r.iter, round(r.loss, 9), round(r.gamma, 9)) for r in h_hot.orderBy("iter").collect()]
     b = [(r.iter, round(r.loss, 9), round(r.gamma, 9)) for r in h_even.orderBy("iter").collect()]
     assert a == b
