@@ -193,23 +193,30 @@ def rmse(R_test: DataFrame, U: DataFrame, V: DataFrame, n_users=None, n_items=No
     )
 
 
-def train_mf(R: DataFrame, R_test: DataFrame | None = None, params: MFParams | None = None):
+def train_mf(
+    R: DataFrame,
+    R_test: DataFrame | None = None,
+    params: MFParams | None = None,
+    materialize: bool = True,
+):
     """Gradient-descent factorisation.  Returns (U, V, history).
 
     ``history`` rows: (iter, gamma, objective, sse, change, test_rmse, test_rmse_all_rows, seconds);
     the objective and test RMSE of iteration i are measured with the profiles before
     its step, the step size is gain / i^power, and the loop ends after ``maxiter``
     iterations or when |change of objective| <= eps.  ``R_test=None`` tests on the
-    training ratings.
+    training ratings.  ``materialize=False`` skips writing the ratings to the checkpoint
+    folder, for inputs that already are short-lineage reads (e.g. filters of one).
     """
     p = params or MFParams()
     spark = R.sparkSession
+    keep = cut_lineage if materialize else (lambda df: df)
     R = R.select("i", "j", "r")
     if p.partitions:
         R = R.repartition(p.partitions)  # round-robin: even tasks whatever the key skew
-    R = cut_lineage(R)
+    R = keep(R)
     self_test = R_test is None
-    R_test = R if self_test else cut_lineage(R_test.select("i", "j", "r"))
+    R_test = R if self_test else keep(R_test.select("i", "j", "r"))
     n_total = R.count() if self_test else None
     U = cut_lineage(init_profiles(R, "i", p.d, p.seed, "u"))
     V = cut_lineage(init_profiles(R, "j", p.d, p.seed, "v"))
@@ -285,7 +292,7 @@ def cross_validate_mf(
             folded = cut_lineage(assign_folds(R.select("i", "j", "r"), ["i", "j"], k, seed))
         for f in range(k):
             train, test = split(folded, f)
-            _, _, h = train_mf(train.drop("fold"), test.drop("fold"), p)
+            _, _, h = train_mf(train.drop("fold"), test.drop("fold"), p, materialize=False)  # filters of a checkpoint
             last = h.orderBy(F.desc("iter")).first()
             rows.append((f, train.count(), test.count(), last["test_rmse"], last["test_rmse_all_rows"]))
     out = spark.createDataFrame(rows, "fold int, n_train bigint, n_test bigint, test_rmse double, test_rmse_all_rows double")
