@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, sized_broadcast
 
 
 
@@ -71,9 +71,9 @@ def row_index(df: DataFrame, order: list, by: list[str] | None = None) -> DataFr
     per_part = sorted_df.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    # one row per (partition, group): bounded by the partition count times the group count
+    # one row per (partition, group): broadcast after counting it, else joined by shuffle
     keys = ["_pid", *groups]
-    indexed = sorted_df.join(F.broadcast(offsets.select(*keys, "_off", "_first")), keys)
+    indexed = sorted_df.join(sized_broadcast(offsets.select(*keys, "_off", "_first"), row_bytes=64), keys)
     return indexed.withColumn("_rn", F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_off", "_first")
 
 
