@@ -76,3 +76,25 @@ def test_cosine_zero_norm_is_null(spark):
     a = spark.createDataFrame([("x", 0.0)], "term string, val double")
     b = spark.createDataFrame([("x", 1.0)], "term string, val double")
     assert T.cosine(a, b).first().sim is None
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ALPHABET = "abcXYZ019.,:'-éÜßçñΣσ" + " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0  　"
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=40), min_size=1, max_size=6))
+def test_tokens_and_terms_match_python(spark, texts):
+    docs = _docs(spark, texts)
+    got_tokens = sorted((r.doc_id, r.word) for r in T.tokens(docs).collect())
+    assert got_tokens == sorted((i, w) for i, t in enumerate(texts) for w in t.split())
+    got_terms = sorted((r.doc_id, r.term) for r in T.terms(docs).collect())
+    want = []
+    for i, t in enumerate(texts):
+        for w in t.split():
+            term = "".join(c for c in w.lower() if c.isalpha())
+            if term:
+                want.append((i, term))
+    assert got_terms == sorted(want)
