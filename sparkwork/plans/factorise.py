@@ -211,12 +211,12 @@ def train_mf(
     p = params or MFParams()
     spark = R.sparkSession
     keep = cut_lineage if materialize else (lambda df: df)
-    R = R.select("i", "j", "r")
+    R = R.select("i", "j", "r").dropna()  # NULL user, item or rating: not a rating
     if p.partitions:
         R = R.repartition(p.partitions)  # round-robin: even tasks whatever the key skew
     R = keep(R)
     self_test = R_test is None
-    R_test = R if self_test else keep(R_test.select("i", "j", "r"))
+    R_test = R if self_test else keep(R_test.select("i", "j", "r").dropna())
     n_total = R.count() if self_test else None
     U = cut_lineage(init_profiles(R, "i", p.d, p.seed, "u"))
     V = cut_lineage(init_profiles(R, "j", p.d, p.seed, "v"))

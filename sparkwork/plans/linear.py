@@ -104,6 +104,7 @@ def prepare_sparse(
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
     es = E.select("id", F.col("y").cast("double").alias("y"))
+    xs, es = xs.dropna(), es.dropna()  # a NULL id, feature, value or label carries no example
     top = max_rows_per_example
     if top is None:
         top = xs.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0

@@ -110,7 +110,8 @@ QUERIES = {
 # Shared derived tables as DuckDB SQL (see FIXTURES.md).
 RATINGS = (
     "select o_custkey as i, l_partkey as j, avg(l_quantity) / 10 as r "
-    "from lineitem join orders on l_orderkey = o_orderkey group by o_custkey, l_partkey"
+    "from lineitem join orders on l_orderkey = o_orderkey group by o_custkey, l_partkey "
+    "having o_custkey is not null and l_partkey is not null and avg(l_quantity) is not null"
 )
 FOLDS = (
     f"select i, j, r, (('0x' || substr(md5(concat_ws(':', '42', i, j)), 1, 8))::bigint % 5)::integer as fold "

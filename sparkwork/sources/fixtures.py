@@ -35,6 +35,7 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
         li.join(od, li.l_orderkey == od.o_orderkey)
         .groupBy(F.col("o_custkey").alias("i"), F.col("l_partkey").alias("j"))
         .agg((F.avg("l_quantity") / 10).alias("r"))
+        .dropna()  # a rating needs a user, an item and a value
     )
 
 
