@@ -25,13 +25,14 @@ import math
 import time
 from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions.vectors import dot, norm_sq
 from ..operators.folds import split
-from ..session import cut_lineage, fits_broadcast
+from ..session import advisory_partition_bytes, cut_lineage, fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -193,6 +194,30 @@ def rmse(R_test: DataFrame, U: DataFrame, V: DataFrame, n_users=None, n_items=No
     )
 
 
+RATING_BYTES = 32  # an (i, j, r) row, roughly
+
+
+def _layout_for_shuffle_joins(R: DataFrame, n_users: int, p: MFParams) -> DataFrame:
+    """Hash-partition the ratings by user and persist them when the user profiles must be shuffle-joined.
+
+    Then each iteration shuffles only the (small) profile table to meet the ratings,
+    not the ratings.  Skipped when the profiles are broadcast (no shuffle to save) or
+    when one user's ratings alone exceed a target partition
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): a persisted partition
+    cannot be split, while AQE splits a hot partition of a shuffle join.
+    """
+    spark = R.sparkSession
+    if fits_broadcast(spark, n_users, _profile_row_bytes(p.d)):
+        return R
+    top = R.groupBy("i").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
+    if top * RATING_BYTES > advisory_partition_bytes(spark):
+        return R
+    n = p.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = R.repartition(n, "i").persist(StorageLevel.MEMORY_AND_DISK)
+    laid.count()  # a cached plan reports its hash partitioning to later plans only once materialised
+    return laid
+
+
 def train_mf(
     R: DataFrame,
     R_test: DataFrame | None = None,
@@ -221,6 +246,8 @@ def train_mf(
     U = cut_lineage(init_profiles(R, "i", p.d, p.seed, "u"))
     V = cut_lineage(init_profiles(R, "j", p.d, p.seed, "v"))
     n_users, n_items = U.count(), V.count()
+    laid_out = _layout_for_shuffle_joins(R, n_users, p)
+    persisted, R = laid_out is not R, laid_out
     history = []
     obj, change, it = float("inf"), float("inf"), 0
     while it < p.maxiter and change > p.eps:
@@ -259,6 +286,8 @@ def train_mf(
         "iter int, gamma double, objective double, sse double, change double, test_rmse double, "
         "test_rmse_all_rows double, seconds double",
     )
+    if persisted:
+        R.unpersist()
     return U, V, hist
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import binary_metrics
-from ..session import cut_lineage, fits_broadcast
+from ..session import advisory_partition_bytes, cut_lineage, fits_broadcast
 
 LOSSES = ("logistic", "squared")
 
@@ -69,15 +69,6 @@ def dloss_expr(loss: str, s: Column, y: Column) -> Column:
 
 
 # ------------------------------------------------------------------ data
-def _advisory_bytes(spark) -> int:
-    raw = str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")).strip().lower()
-    units = {"kb": 1 << 10, "k": 1 << 10, "mb": 1 << 20, "m": 1 << 20, "gb": 1 << 30, "g": 1 << 30, "b": 1}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
-
-
 ROW_BYTES = 48  # an exploded (id, feature, value) row, roughly
 
 
@@ -108,9 +99,12 @@ def prepare_sparse(
     top = max_rows_per_example
     if top is None:
         top = xs.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
-    hot = top * ROW_BYTES > _advisory_bytes(spark)
+    hot = top * ROW_BYTES > advisory_partition_bytes(spark)
     Xp = (xs.repartition(n) if hot else xs.repartition(n, "id")).persist(StorageLevel.MEMORY_AND_DISK)
     Ep = es.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
+    # a cached plan reports its hash partitioning to later plans only once materialised
+    Xp.count()
+    Ep.count()
     return Xp, Ep
 
 

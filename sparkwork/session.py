@@ -76,9 +76,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_limit_bytes(spark: SparkSession) -> int:
-    """The session's broadcast threshold in bytes (``-1`` disables broadcasting)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+def _bytes(raw: str) -> int:
+    raw = raw.strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     for suffix in sorted(units, key=len, reverse=True):
         if raw.endswith(suffix):
@@ -86,6 +85,16 @@ def broadcast_limit_bytes(spark: SparkSession) -> int:
     return int(raw)
 
 
+def broadcast_limit_bytes(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (``-1`` disables broadcasting)."""
+    return _bytes(str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")))
+
+
+def advisory_partition_bytes(spark: SparkSession) -> int:
+    """The session's target partition size (AQE coalescing and skew splitting)."""
+    return _bytes(str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")))
+
+
 def fits_broadcast(spark: SparkSession, rows: int, row_bytes: int) -> bool:
     """True when ``rows`` rows of about ``row_bytes`` bytes stay under the broadcast threshold."""
     limit = broadcast_limit_bytes(spark)

@@ -103,3 +103,16 @@ def test_linear_hot_example_layout_gives_same_model(spark):
     a = [(r.iter, round(r.loss, 9), round(r.gamma, 9)) for r in h_hot.orderBy("iter").collect()]
     b = [(r.iter, round(r.loss, 9), round(r.gamma, 9)) for r in h_even.orderBy("iter").collect()]
     assert a == b
+
+
+def test_mf_training_same_with_partitioned_ratings(spark):
+    # no hot user: without broadcast the ratings are hash-partitioned by user and persisted
+    rows = [(i, (i * 7 + t) % 150, float((i + t) % 5)) for i in range(300) for t in range(4)]
+    R = spark.createDataFrame(rows, "i long, j long, r double")
+    p = MF.MFParams(d=3, maxiter=2)
+    _, _, h_b = MF.train_mf(R, None, p)
+    with conf(spark, NO_BROADCAST_SKEW | {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB"}):
+        _, _, h_s = MF.train_mf(R, None, p)
+    a = [(r.iter, round(r.objective, 6)) for r in h_b.orderBy("iter").collect()]
+    b = [(r.iter, round(r.objective, 6)) for r in h_s.orderBy("iter").collect()]
+    assert a == b
