@@ -124,9 +124,23 @@ def explode_dense(df: DataFrame, x: str = "x", y: str = "y", id_col: str | None
     return X, E
 
 
-def columns_to_sparse(df: DataFrame, features: list[str], y: str = "y") -> tuple[DataFrame, DataFrame]:
-    """Wide numeric columns to (X, E) with the column names as features (ids as in ``explode_dense``)."""
-    base = cut_lineage(df.select(y, *features).withColumn("id", F.monotonically_increasing_id()))
+def columns_to_sparse(
+    df: DataFrame, features: list[str], y: str = "y", order: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Wide numeric columns to (X, E) with the column names as features.
+
+    Ids come from ``monotonically_increasing_id`` on a checkpointed copy, or, with
+    ``order``, are the row's rank in that order (a distributed sort, see
+    ``operators.metrics.row_index``): reproducible anywhere, and rows that tie on
+    every ``order`` column are interchangeable when ``order`` covers all columns.
+    """
+    cols = df.select(y, *features)
+    if order:
+        from ..operators.metrics import row_index
+
+        base = row_index(cols, [F.asc(c) for c in order]).withColumnRenamed("_rn", "id")
+    else:
+        base = cut_lineage(cols.withColumn("id", F.monotonically_increasing_id()))
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])
     X = base.select("id", F.inline(pairs))
     return X, base.select("id", F.col(y).alias("y"))
