@@ -177,7 +177,40 @@ _SOFTMAX_CTES = f"""
     SC as (select PR.id, PR.pred, LB.label from PR join LB on PR.id = LB.id)"""
 _NAMES = "select * from (values " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(C.IMAGE_LABEL_NAMES)) + ") v(label, name)"
 
+def _softmax_history_sql(steps: int = 3) -> str:
+    ctes = [
+        f"L as ({_LONG})",
+        f"NN as (select count(*)::double as n from ({DENSE}))",
+        f"CL as (select range::integer as c from range({N_CLASSES}))",
+        f"KK as (select range::integer as k from range({D}))",
+        "W0 as (select c, k, 0.0::double as w from CL, KK)",
+    ]
+    hist = []
+    for s in range(steps):
+        ctes += [
+            f"S{s} as (select L.id, W.c, sum(L.v * W.w) as s from L join W{s} W on W.k = L.k group by L.id, W.c)",
+            f"E{s} as (select id, c, exp(s - max(s) over (partition by id)) as e from S{s})",
+            f"P{s} as (select id, c, e / sum(e) over (partition by id) as p from E{s})",
+            f"PM{s} as (select id, max(p) as mp from P{s} group by id)",
+            f"PR{s} as (select P.id, min(P.c) as pred from P{s} P join PM{s} M on P.id = M.id and P.p = M.mp group by P.id)",
+            f"LB{s} as (select distinct id, label from L)",
+            f"H{s} as (select {s} as step, (select avg(-ln(P.p)) from P{s} P join LB{s} B on P.id = B.id and P.c = B.label) "
+            f"as cross_entropy, (select avg(case when R.pred = B.label then 1.0 else 0.0 end) from PR{s} R join LB{s} B "
+            f"on R.id = B.id) as accuracy)",
+            f"G{s} as (select P.c, L.k, sum((P.p - case when L.label = P.c then 1.0 else 0.0 end) * L.v) / (select n from NN) as g "
+            f"from P{s} P join L on L.id = P.id group by P.c, L.k)",
+            f"W{s + 1} as (select W.c, W.k, W.w - {LR!r}::double * G.g as w from W{s} W join G{s} G on G.c = W.c and G.k = W.k)",
+        ]
+        hist.append(f"select * from H{s}")
+    body = (
+        "select step, round(cross_entropy, 6) as cross_entropy, round(accuracy, 6) as accuracy from ("
+        + " union all ".join(hist) + ")"
+    )
+    return "with " + ",\n".join(ctes) + "\n" + body
+
+
 ORACLE = {
+    "softmax_history": _softmax_history_sql(3),
     "onehot_labels": (
         f"select id, c as k, case when label = c then 1.0::double else 0.0::double end as value from ({DENSE}), "
         f"(select range::integer as c from range({N_CLASSES}))"
