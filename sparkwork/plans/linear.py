@@ -309,6 +309,14 @@ def train_linear(
 
 
 # ------------------------------------------------------------------ helpers over labelled maps
+def data_summary(X: DataFrame, E: DataFrame) -> DataFrame:
+    """One row (n_examples, n_features, n_nonzeros): what a training run reports about its data."""
+    n_ex = E.select(F.count(F.lit(1))).scalar()
+    return X.agg(F.count_distinct("feature").alias("n_features"), F.count(F.lit(1)).alias("n_nonzeros")).select(
+        n_ex.alias("n_examples"), "n_features", "n_nonzeros"
+    )
+
+
 def feature_keys(df: DataFrame, x: str = "x") -> DataFrame:
     """(feature): distinct keys of a ``map<string,double>`` feature column."""
     return df.select(F.explode(F.map_keys(x)).alias("feature")).distinct()

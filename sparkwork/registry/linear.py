@@ -127,6 +127,10 @@ def q_logistic_from_file(spark, sf):
     return _history(h)
 
 
+def q_labelled_summary(spark, sf):
+    return LN.data_summary(*_sparse(spark, sf))
+
+
 def q_logistic_cv(spark, sf):
     cv = LN.cross_validate_linear(*_sparse(spark, sf), 2, _params(), seed=42)
     return cv.select("fold", "n_train", "n_test", _r("acc"), _r("pre"), _r("rec"), "rmse", _r("mean_acc"))
@@ -147,6 +151,7 @@ def q_labelled_features(spark, sf):
 
 
 QUERIES = {
+    "labelled_summary": q_labelled_summary,
     "logistic_from_file": q_logistic_from_file,
     "logistic_history_test": q_logistic_history_test,
     "logistic_cv": q_logistic_cv,
@@ -382,6 +387,10 @@ def _linear_cv_sql(k: int = 3) -> str:
 
 
 ORACLE = {
+    "labelled_summary": (
+        f"select (select count(*) from ({SPARSE_E})) as n_examples, count(distinct feature) as n_features, "
+        f"count(*) as n_nonzeros from ({SPARSE_X})"
+    ),
     "linear_cv": _linear_cv_sql(3),
     "logistic_history_test": _history_test_sql(),
     "logistic_from_file": _with(lin_ctes(SPARSE_X, SPARSE_E, _P), _HIST_BODY.format(_hist_union(ITERS))),
