@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "spark
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
