@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from sparkwork.operators import text as T  # noqa: E402
 from sparkwork.plans import factorise as MF  # noqa: E402
 from sparkwork.plans import linear as LN  # noqa: E402
-from sparkwork.session import local_session  # noqa: E402
+from sparkwork.session import cut_lineage, local_session  # noqa: E402
 from sparkwork.sources import fixtures as X  # noqa: E402
 
 
@@ -35,10 +35,11 @@ def cosine_one_to_many(spark, sf):
 
 
 def mf_step(spark, sf):
-    R = X.ratings(spark, sf)
+    # as inside train_mf: ratings and profiles are checkpoints when an iteration is planned
+    R = cut_lineage(X.ratings(spark, sf))
     p = MF.MFParams()
-    U = MF.init_profiles(R, "i", p.d, p.seed, "u")
-    V = MF.init_profiles(R, "j", p.d, p.seed, "v")
+    U = cut_lineage(MF.init_profiles(R, "i", p.d, p.seed, "u"))
+    V = cut_lineage(MF.init_profiles(R, "j", p.d, p.seed, "v"))
     return MF.joint_step(R, U, V, p, p.gain, U.count(), V.count())
 
 
