@@ -69,9 +69,9 @@ def label_lookup(df: DataFrame, names: DataFrame, label: str = "label") -> DataF
 def sparse_axpy(alpha: float, x: DataFrame, y: DataFrame, key: str = "term", value: str = "val") -> DataFrame:
     """(key, value) = alpha * x + y for sparse vectors stored as (key, value) rows.
 
-    A full outer join on the key; a key missing on one side counts as 0 there.
+    A union and one hash aggregate by key (no full outer join); a key missing on one
+    side contributes nothing there.
     """
-    xs = x.select(F.col(key), F.col(value).alias("_x"))
-    ys = y.select(F.col(key), F.col(value).alias("_y"))
-    out = F.lit(float(alpha)) * F.coalesce(F.col("_x"), F.lit(0.0)) + F.coalesce(F.col("_y"), F.lit(0.0))
-    return xs.join(ys, key, "full_outer").select(key, out.alias(value))
+    xs = x.select(F.col(key), (F.lit(float(alpha)) * F.col(value)).alias("_v"))
+    ys = y.select(F.col(key), F.col(value).alias("_v"))
+    return xs.unionByName(ys).groupBy(key).agg(F.sum("_v").alias(value))

@@ -172,13 +172,15 @@ def total_loss(EM: DataFrame, loss: str, lam: float, beta: DataFrame) -> DataFra
 
 
 def gradient(X: DataFrame, EM: DataFrame, beta: DataFrame, loss: str, lam: float) -> DataFrame:
-    """(feature, grad): sum over examples of dloss/ds * x, plus 2 lam beta."""
+    """(feature, grad): sum over examples of dloss/ds * x, plus 2 lam beta.
+
+    The regulariser rows are unioned into the same hash aggregate by feature (partial
+    sums before the one shuffle) rather than full-outer-joined afterwards.
+    """
     coef = EM.select("id", dloss_expr(loss, F.col("s"), F.col("y")).alias("c"))
-    data = X.join(coef, "id").groupBy("feature").agg(F.sum(F.col("c") * F.col("value")).alias("g"))
-    reg = beta.select("feature", (F.lit(2.0 * lam) * F.col("beta")).alias("r"))
-    return data.join(reg, "feature", "full_outer").select(
-        "feature", (F.coalesce(F.col("g"), F.lit(0.0)) + F.coalesce(F.col("r"), F.lit(0.0))).alias("grad")
-    )
+    data = X.join(coef, "id").select("feature", (F.col("c") * F.col("value")).alias("g"))
+    reg = beta.select("feature", (F.lit(2.0 * lam) * F.col("beta")).alias("g"))
+    return data.unionByName(reg).groupBy("feature").agg(F.sum("g").alias("grad"))
 
 
 def direction_margins(X: DataFrame, EM: DataFrame, grad: DataFrame, n_grad: int) -> DataFrame:
@@ -228,10 +230,9 @@ def line_search_table(
 
 
 def update_beta(beta: DataFrame, grad: DataFrame, gamma: float) -> DataFrame:
-    """beta - gamma * grad over the union of their features."""
-    return beta.join(grad, "feature", "full_outer").select(
-        "feature", (F.coalesce(F.col("beta"), F.lit(0.0)) - F.lit(gamma) * F.coalesce(F.col("grad"), F.lit(0.0))).alias("beta")
-    )
+    """beta - gamma * grad over the union of their features (a union and one hash aggregate)."""
+    step = grad.select("feature", (F.lit(-gamma) * F.col("grad")).alias("beta"))
+    return beta.select("feature", "beta").unionByName(step).groupBy("feature").agg(F.sum("beta").alias("beta"))
 
 
 def score(X: DataFrame, E: DataFrame, beta: DataFrame, n_beta: int | None = None) -> DataFrame:
