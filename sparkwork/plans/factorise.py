@@ -6,15 +6,17 @@ Data layout: ratings ``(i, j, r)``; profiles ``(id, p: array<double>)`` for user
 Per iteration the plan is:
 
 1. one pass over the ratings: join both profile tables (broadcast when their counted
-   size is under the threshold, otherwise shuffle joins whose hot keys AQE splits),
-   compute the residual, and emit each rating twice, once keyed by its user and once
-   by its item;
+   size is under the threshold, otherwise shuffle joins whose hot keys AQE splits;
+   then, if no user is hot, the ratings are hash-partitioned by user and persisted
+   once so only the profiles move), compute the residual, and emit each rating
+   twice, once keyed by its user and once by its item;
 2. one hash aggregate by (side, key) with partial aggregation before the shuffle,
    giving the new user and item profiles (the simultaneous update of both) plus each
    key's squared error and old norm, from which the objective follows;
 3. the new profiles are checkpointed to the shared checkpoint folder (lineage cut,
    safe against lost executors);
-4. one pass over the test ratings for the RMSE.
+4. one pass over the test ratings for the RMSE (none when testing on the training
+   ratings: the step's own squared error gives it).
 
 No rating is ever grouped into one row: the per-key sums are d numbers.
 """

@@ -9,14 +9,15 @@ s' = s - gamma <g, x>, so the data is read twice per step, not once per candidat
 
 1. gradient: X joined with the example margins on ``id``; X is hash-partitioned by
    ``id`` and persisted, so only the margins (one row per example) are shuffled to
-   meet it; coefficient dloss/ds times value,
-   hash aggregate by feature (partial sums before the shuffle), plus 2 lam beta;
+   meet it; coefficient dloss/ds times value and the 2 lam beta rows go into one
+   hash aggregate by feature (partial sums before the shuffle);
 2. line search: X joined with the gradient (broadcast when its counted size allows)
-   gives <g, x> per example; all candidate step sizes are evaluated in ONE aggregate.
+   gives <g, x> per example; all candidate step sizes are evaluated in ONE aggregate;
+3. the model update is a union and one hash aggregate; margins, gradient and model
+   are checkpointed.
 
-Every example's rows are at most the number of features, which is the broadcast
-bound of the model, so hash-partitioning X by ``id`` cannot create an unbounded
-partition while the model is broadcast.
+An example whose rows alone exceed a target partition makes ``prepare_sparse`` lay X
+out round-robin instead of by id (see there), so no task holds it whole.
 """
 
 from __future__ import annotations
