@@ -127,6 +127,26 @@ def q_logistic_from_file(spark, sf):
     return _history(h)
 
 
+def _saved_model(spark, beta, name):
+    from ..session import scratch_path
+    from ..sources import files as FI
+
+    path = scratch_path(spark, name)
+    FI.write_model(beta, path)
+    return FI.read_model(spark, path).select("feature", _r("beta"))
+
+
+def q_logistic_model(spark, sf):
+    """beta after 2 steps, written with the model sink and read back."""
+    beta, _ = LN.train_linear(*_sparse(spark, sf), _params())
+    return _saved_model(spark, beta, "logistic-beta")
+
+
+def q_linear_model(spark, sf):
+    beta, _ = LN.train_linear(*_regression(spark, sf), _params("squared", bound=3))
+    return _saved_model(spark, beta, "linear-beta")
+
+
 def q_labelled_summary(spark, sf):
     return LN.data_summary(*_sparse(spark, sf))
 
@@ -151,6 +171,8 @@ def q_labelled_features(spark, sf):
 
 
 QUERIES = {
+    "logistic_model": q_logistic_model,
+    "linear_model": q_linear_model,
     "labelled_summary": q_labelled_summary,
     "logistic_from_file": q_logistic_from_file,
     "logistic_history_test": q_logistic_history_test,
@@ -387,6 +409,8 @@ def _linear_cv_sql(k: int = 3) -> str:
 
 
 ORACLE = {
+    "logistic_model": _with(lin_ctes(SPARSE_X, SPARSE_E, _P), f"select feature, round(beta, 6) as beta from B{ITERS}"),
+    "linear_model": _with(_reg_ctes(_PS), f"select feature, round(beta, 6) as beta from B{ITERS}"),
     "labelled_summary": (
         f"select (select count(*) from ({SPARSE_E})) as n_examples, count(distinct feature) as n_features, "
         f"count(*) as n_nonzeros from ({SPARSE_X})"
