@@ -132,6 +132,13 @@ def q_mlp_score(spark, sf):
     return C.score_model(model, test).select("n", _r("accuracy"))
 
 
+def q_softmax_model(spark, sf):
+    """W after 3 steps: the classes x d model as (c, k, w) rows."""
+    W, _ = C.train_softmax(_dense(spark, sf), "x", "label", N_CLASSES, D, LR, steps=3)
+    rows = [(c, k, float(w)) for c, row in enumerate(W) for k, w in enumerate(row)]  # classes x d numbers
+    return spark.createDataFrame(rows, "c int, k int, w double").select("c", "k", _r("w"))
+
+
 def q_softmax_history(spark, sf):
     _, h = C.train_softmax(_dense(spark, sf), "x", "label", N_CLASSES, D, LR, steps=3)
     return h.select("step", _r("cross_entropy"), _r("accuracy"))
@@ -154,6 +161,7 @@ QUERIES = {
     "random_forest_score": q_random_forest_score,
     "mlp_score": q_mlp_score,
     "softmax_history": q_softmax_history,
+    "softmax_model": q_softmax_model,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -209,7 +217,14 @@ def _softmax_history_sql(steps: int = 3) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
+def _softmax_model_sql(steps: int = 3) -> str:
+    full = _softmax_history_sql(steps)
+    head = full[: full.rindex("\n") + 1]  # the CTEs, without the history body
+    return head + f"select c, k, round(w, 6) as w from W{steps}"
+
+
 ORACLE = {
+    "softmax_model": _softmax_model_sql(3),
     "softmax_history": _softmax_history_sql(3),
     "onehot_labels": (
         f"select id, c as k, case when label = c then 1.0::double else 0.0::double end as value from ({DENSE}), "
