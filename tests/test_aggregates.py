@@ -93,3 +93,11 @@ def test_row_index_and_batches(spark):
 
     ms = [np.mean([(i % 3) for i in range(b * 64, (b + 1) * 64)]) for b in range(1000 // 64)]
     assert r.n_batches == 1000 // 64 and abs(r.batch_mean - float(np.mean(ms))) < 1e-12
+
+
+def test_balanced_sample_single_class_and_sample_edges(spark):
+    df = spark.createDataFrame([(i, 1) for i in range(50)], "k long, label int")
+    assert A.balanced_sample(df, "label", "k", 3).count() == 50
+    nums = spark.range(100)
+    assert A.hash_sample(nums, "id", 0.0, 1).count() == 0
+    assert A.hash_sample(nums, "id", 1.0, 1).count() == 100

@@ -98,3 +98,12 @@ def test_tokens_and_terms_match_python(spark, texts):
             if term:
                 want.append((i, term))
     assert got_terms == sorted(want)
+
+
+def test_relative_tf_without_keys_and_missing_cosine_target(spark):
+    docs = _docs(spark, ["a a b", "b"])
+    rel = {r.term: r.tf for r in T.tf(T.terms(docs, keys=None), keys=None, relative=True).collect()}
+    assert rel == {"a": 0.5, "b": 0.5}
+    s = spark.createDataFrame([(1, "x", 1.0), (2, "y", 2.0)], "doc_id long, term string, val double")
+    got = {r.doc_id: (r.dot, r.sim) for r in T.cosine_to(s, 99).collect()}
+    assert got == {1: (0.0, None), 2: (0.0, None)}  # no target vector: no similarity
