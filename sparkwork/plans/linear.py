@@ -344,15 +344,16 @@ def cross_validate_linear(
 
     Folds are md5 buckets of the example id.  Logistic loss reports
     (acc, pre, rec) of sign(<beta, x>) on the held-out examples; squared loss
-    reports the held-out RMSE.  The fold is attached to X once (one join, written
-    to the checkpoint folder); each fold then filters.
+    reports the held-out RMSE.  The fold is a pure function of the example id, so it
+    is computed on X's rows directly (no join) and written once to the checkpoint
+    folder; each fold then filters.
     """
     from ..operators.folds import assign_folds
 
     p = params or LinearParams()
     spark = X.sparkSession
     folds = cut_lineage(assign_folds(E.select("id", "y"), "id", k, seed))
-    Xf = cut_lineage(X.select("id", "feature", "value").join(folds.select("id", "fold"), "id"))
+    Xf = cut_lineage(assign_folds(X.select("id", "feature", "value"), "id", k, seed))
     rows = []
     for f in range(k):
         Etr, Ete = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
