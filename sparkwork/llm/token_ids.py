@@ -39,19 +39,33 @@ BLOCKS_SCHEMA = (
 IDS_SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 
 
+def packed(ids: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
+    """uint32 ids as zstandard-packed byte planes; two planes if the ids fit them, else four."""
+    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
+    n = 4 if len(ids) and ids.max() > 0xFFFF else 2
+    return bytes([n]) + squeeze.compress(planes[:, :n].T.tobytes())
+
+
+def unpacked(z: bytes) -> np.ndarray:
+    """The ids of one ``packed`` value."""
+    cache = worker_cache()
+    if "unzip" not in cache:
+        cache["unzip"] = zstandard.ZstdDecompressor()
+    planes = np.frombuffer(cache["unzip"].decompress(z[1:]), dtype=np.uint8).reshape(z[0], -1)
+    ids = planes[0] | planes[1].astype(np.uint32) << 8
+    return ids if z[0] == 2 else ids | planes[2].astype(np.uint32) << 16 | planes[3].astype(np.uint32) << 24
+
+
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, ids): ids are zstandard-packed little-endian uint32, ``end_id`` last.  Null text is empty."""
+    """(doc_id, n_tokens, ids): ids are ``packed``, ``end_id`` last.  Null text is empty."""
 
     def run(batches):
-        enc, pack = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
+        enc, squeeze = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in batches_by_size(texts):
-                n, z = [], []
-                for ids in enc.encode(texts[a:b]):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    n.append(len(ids))
-                    z.append(pack.compress(ids.view(np.uint8).reshape(-1, 4).T.tobytes()))  # byte planes
+                ids = [np.append(x, np.uint32(end_id)) for x in enc.encode(texts[a:b])]
+                n, z = [len(x) for x in ids], [packed(x, squeeze) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[a:b], pa.int64()), pa.array(n, pa.int64()), pa.array(z, pa.binary())],
                     ["doc_id", "n_tokens", "ids"],
@@ -60,20 +74,15 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
-def unpacked(z: bytes) -> np.ndarray:
-    """The uint32 ids of one row of ``tokenised``."""
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
-
-
 def token_counts(ids: DataFrame) -> dict[int, int]:
     """How often each id occurs in all rows of ``tokenised``; as many entries as ids of the vocabulary occur."""
 
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for z in batch.column(0).to_pylist():
-                c = np.bincount(unpacked(z))
+            column = batch.column(0).to_pylist()
+            for a in range(0, len(column), 512):
+                c = np.bincount(np.concatenate([unpacked(z) for z in column[a : a + 512]]))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[: len(c)] += c
@@ -123,14 +132,16 @@ def encode_bits(code: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, bytes]:
     """Concatenate codes: (bit offset of each, the bytes)."""
     ends = np.cumsum(bits)
     at = ends - bits
-    word, shift = at >> 6, 64 - (at & 63) - bits  # room left in the word; negative: the code runs over
-    code = code.astype(np.uint64)
-    over = shift < 0
-    head = np.where(over, code >> np.abs(shift * over).astype(np.uint64), code << (shift * ~over).astype(np.uint64))
-    out = np.zeros((int(ends[-1]) + 63 >> 6) + 1, dtype=np.uint64)
+    word = at >> 6
     first = np.flatnonzero(np.diff(word, prepend=-1))
+    out = np.zeros((int(ends[-1]) + 63 >> 6) + 1, dtype=np.uint64)
+    shift = 64 - (at & 63) - bits  # room left in the word; negative: the code runs over, one at most per word
+    over = np.flatnonzero(shift < 0)
+    spill = code[over].astype(np.uint64) << (64 + shift[over]).astype(np.uint64)
+    head = code.astype(np.uint64) << np.maximum(shift, 0).astype(np.uint64)
+    head[over] = code[over].astype(np.uint64) >> (-shift[over]).astype(np.uint64)
     out[word[first]] = np.bitwise_or.reduceat(head, first)
-    out[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)  # one code at most runs over a word's end
+    out[word[over] + 1] |= spill
     return at, out.astype(">u8").tobytes()[: int(ends[-1]) + 7 >> 3]
 
 

@@ -1,10 +1,11 @@
 """Token ids by the ``tokenizers`` library, with a cache of the pieces between white space.
 
 The library's encoding of a text is the concatenation of the encodings of its
-pre-tokens.  Natural text repeats its words, so a text is cut at places where the
-tokenizer certainly cuts too, each distinct piece is encoded once per Python
-worker, and a text's ids are gathered from the cached pieces.  Texts with
-unusual white space, and tokenizers of an unknown kind, are encoded whole.
+pre-tokens.  Texts repeat their words, so they are cut at places where the
+tokenizer certainly cuts too; the pieces are named by 64-bit hashes, all at once in
+numpy; each distinct piece is encoded once per Python worker, and a text's ids are
+gathered from the cached pieces.  Texts with unusual white space, and tokenizers of
+an unknown kind, are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,17 +18,47 @@ import numpy as np
 
 from .common import worker_cache
 
-#: code points of white space, and near it, that Python's and the tokenizers' patterns may judge differently
-ODD_SPACE = re.compile(
-    "[" + "".join(map(chr, [9, 11, 12, 13, *range(28, 32), 133, 160, 5760, 6158, *range(8192, 8208)]))
+#: code points of white space, and near it, that the tokenizers' patterns may judge differently than this module;
+#: 0 stands between texts
+ODD = re.compile(
+    "[" + "".join(map(chr, [0, 9, 11, 12, 13, *range(28, 32), 133, 160, 5760, 6158, *range(8192, 8208)]))
     + "".join(map(chr, [8232, 8233, 8239, 8287, 12288, 65279])) + "]"
 )
-#: a run of Latin-1 letters that an ASCII non-letter or the end follows, else a run without white space
-LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-BYTE_LEVEL = re.compile(rf" ?[{LETTERS}]+(?=[\x00-@\[-`{{-\x7f]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
-WORD_LEVEL = re.compile(rf"[{LETTERS}]+(?=[\x00-@\[-`{{-\x7f]|\Z)|[^ \n]+")
-BEYOND_LATIN = re.compile("[^\x00-\xff]")
-MAX_PIECES = 600_000  # cached pieces of one worker; the rest are encoded each time
+PLAIN_SPACE = re.compile("(?<=[^ \n]) (?=[^ \n])")
+LONG = 1 << 22  # longer texts are cut at a plain space
+MAX_PIECES = 1_000_000  # cached pieces of one worker; beyond it new ones are encoded each time
+BETWEEN, SPACE, LINE, LETTER, OTHER, WIDE = range(6)
+CLASS = np.array(
+    [
+        BETWEEN if b == 0 else SPACE if b == 32 else LINE if b == 10 else WIDE if b > 127 else LETTER if chr(b).isalpha() else OTHER
+        for b in range(256)
+    ],
+    dtype=np.uint8,
+)
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of STEP and of its inverse modulo 2^64, ``n`` at least."""
+    cache = worker_cache()
+    if len(cache.get("powers", ((), ()))[0]) < n:
+        both = []
+        for x in (STEP, pow(STEP, -1, 1 << 64)):
+            p = np.full(n, x, dtype=np.uint64)
+            p[0] = 1
+            both.append(np.multiply.accumulate(p))
+        cache["powers"] = tuple(both)
+    return cache["powers"]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash of each span of bytes; equal spans have equal hashes wherever they stand."""
+    up, down = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=total[1:])
+    return (total[end] - total[start]) * down[start]
 
 
 def _kind(path: str) -> str:
@@ -64,67 +95,125 @@ class PieceEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.kind = _kind(path)
+        self.line = (self.tok.encode("\n", add_special_tokens=False).ids or [-1])[0]
+        vocabulary = self.tok.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes that a token stands for
+        for token, i in vocabulary.items():
+            self.width[i] = len(token.removesuffix("</w>") if self.kind == "word" else token)
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int64)
 
-    def _pieces(self, text: str) -> list[str] | None:
-        if not text:
-            return []
-        if self.kind == "whole" or ODD_SPACE.search(text):
-            return None
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        n = np.array([len(g) for g in got], dtype=np.int64)
+        return np.array([i for g in got for i in g], dtype=np.uint32), n
+
+    def _together(self, groups: list[list[str]], glue: str) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, ids of each piece) of groups of pieces, each encoded as one text and told apart by the tokens' widths."""
+        out = []
+        texts = [glue.join(g) for g in groups]
+        for group, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=np.uint32)
+            if glue == "\n":
+                ids = ids[ids != self.line]
+            ends, want = np.cumsum(self.width[ids]), np.cumsum([len(p.encode()) for p in group])
+            at = np.searchsorted(ends, want)
+            if not len(ends) or at[-1] != len(ends) - 1 or (ends[at] != want).any():
+                out.append(self._each(group))  # the widths don't add up
+            else:
+                out.append((ids, np.diff(at, prepend=-1)))
+        return out
+
+    def _learn(self, names: list[int], pieces: list[str]) -> None:
         if self.kind == "byte":
-            return BYTE_LEVEL.findall(text)
-        return WORD_LEVEL.findall(text if BEYOND_LATIN.search(text) else text.lower())
-
-    def _learn(self, pieces: list[str]) -> None:
-        for piece, e in zip(pieces, self.tok.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            ids, k = e.ids, len(self.known)
-            if k == len(self.start):
-                self.start, self.count = np.resize(self.start, 2 * k), np.resize(self.count, 2 * k)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[k], self.count[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[piece] = k
+            spaced = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:2] not in ("", " ", "\n")]
+            bare = [i for i, p in enumerate(pieces) if p[0] not in " \n"]
+            rest = [i for i, p in enumerate(pieces) if not (p[0] == " " and p[1:2] not in ("", " ", "\n")) and p[0] in " \n"]
+            groups = [(spaced, ""), (bare, "\n"), (rest, None)]
+        else:
+            plain = [i for i, p in enumerate(pieces) if p.isascii()]
+            groups = [(plain, " "), ([i for i, p in enumerate(pieces) if not p.isascii()], None)]
+        order, ids, counts = [], [], []
+        for members, glue in groups:
+            order += members
+            some = [[pieces[i] for i in members[a : a + 256]] for a in range(0, len(members), 256)]
+            for got, n in [self._each(g) for g in some] if glue is None else self._together(some, glue):
+                ids.append(got)
+                counts.append(n)
+        flat, n, k = np.concatenate(ids), np.concatenate(counts), len(self.known)
+        while k + len(n) > len(self.start):
+            self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.start[k : k + len(n)] = self.used + np.cumsum(n) - n
+        self.count[k : k + len(n)] = n
+        self.used += len(flat)
+        self.known.update(zip([names[i] for i in order], range(k, k + len(n)), strict=True))
+
+    def _segments(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(from, to) of the pieces of texts with a 0 byte before each and after the last."""
+        kind = CLASS[data]
+        latin = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7))  # the Latin-1 letters
+        kind[latin] = kind[latin + 1] = LETTER
+        solid = kind >= LETTER
+        before = np.concatenate([[False], solid[:-1]])
+        was = np.concatenate([[BETWEEN], kind[:-1]])
+        start = (solid & ~before) | (~solid & before) | ((kind == OTHER) & (was == LETTER))
+        if self.kind == "byte":  # a space before a word belongs to it; the last of several white spaces stands alone
+            after = np.concatenate([solid[1:], [False]])
+            start &= ~(solid & (was == SPACE))
+            start |= (kind == BETWEEN) | (was == BETWEEN) | (~solid & (kind != BETWEEN) & after)
+        at = np.flatnonzero(start)
+        end = np.append(at[1:], len(data))
+        keep = kind[at] != BETWEEN if self.kind == "byte" else solid[at]
+        return at[keep], end[keep]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """One uint32 array per text, for a batch of a few million characters at most."""
-        cut = [self._pieces(t) for t in texts]
-        flat: list[str] = []
-        for c in cut:
-            if c:
-                flat += c
-        at = list(map(self.known.get, flat))
-        full, used, fresh = len(self.known) >= MAX_PIECES, self.used, set()
-        if None in at:
-            fresh = {p for p, k in zip(flat, at, strict=True) if k is None}
-            self._learn(sorted(fresh))
-            at = list(map(self.known.get, flat))
-        at = np.array(at, dtype=np.int64)
-        n = self.count[at]
+        """One uint32 array per text, for a batch of a few million characters at most, or one longer text."""
+        whole = {i for i, t in enumerate(texts) if self.kind == "whole" or ODD.search(t)}
+        if len(texts) == 1 and len(texts[0]) > LONG and not whole:
+            cuts, at = [0], LONG // 2
+            while m := PLAIN_SPACE.search(texts[0], at):
+                cuts.append(m.start())
+                at = m.start() + LONG // 2
+            parts = [texts[0][a:b] for a, b in zip(cuts, [*cuts[1:], None], strict=True)]
+            if len(parts) > 1:
+                return [np.concatenate([self.encode([p])[0] for p in parts])]
+        raws = [b"" if i in whole else t.encode() for i, t in enumerate(texts)]
+        data = np.frombuffer(b"\0" + b"\0".join(raws) + b"\0", dtype=np.uint8)
+        if self.kind == "word":
+            data = LOWER[data]
+        at, to = self._segments(data)
+        names, first, place = np.unique(span_hashes(data, at, to), return_index=True, return_inverse=True)
+        names = names.tolist()
+        k = list(map(self.known.get, names))
+        fresh, full, used = [i for i, x in enumerate(k) if x is None], len(self.known) >= MAX_PIECES, self.used
+        if fresh:
+            raw, a, b = data.tobytes(), at[first].tolist(), to[first].tolist()
+            self._learn([names[i] for i in fresh], [raw[a[i] : b[i]].decode() for i in fresh])
+            k = list(map(self.known.get, names))
+        k = np.array(k, dtype=np.int64)[place]
+        n = self.count[k]
         ends = np.cumsum(n)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[at] - (ends - n), n) + np.arange(total)]
-        out, p = [], 0
-        for text, c in zip(texts, cut, strict=True):
-            if c is None:
-                out.append(np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
-            else:
-                a = int(ends[p - 1]) if p else 0
-                p += len(c)
-                out.append(ids[a : int(ends[p - 1]) if p else 0])
-        if full and 2 * len(fresh) > len(flat):  # other texts than those the cache was filled with
+        ids = self.flat[np.repeat(self.start[k] - (ends - n), n) + np.arange(total)]
+        text_ends = np.cumsum([len(r) + 1 for r in raws])
+        cut = np.concatenate([[0], ends])[np.concatenate([[0], np.searchsorted(at, text_ends)])].tolist()
+        out = [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        for i in whole:
+            out[i] = np.array(self.tok.encode(texts[i], add_special_tokens=False).ids, dtype=np.uint32)
+        if full and 2 * len(fresh) > len(names):  # other texts than those the cache was filled with
             self._reset()
         elif full:
-            for piece in fresh:
-                del self.known[piece]
+            for i in fresh:
+                del self.known[names[i]]
             self.used = used
         return out
 
