@@ -21,8 +21,9 @@ from .common import WORD_BYTES, doc_bucket
 SAMPLE_DOCS = 192  # labelled documents per language, those of the smallest text hash
 SAMPLE_CHARS = 1000  # from the middle of each
 CHUNK = 1024  # bytes compressed at once: small beside the dictionary, so that it decides
-LEVEL = 3
-MIN_MARGIN = 0.004  # a smaller share of bytes between the first and the second language is no decision
+LEVEL, SHORT_LEVEL = 3, 12
+SHORT = 512  # bytes of words up to which the slower level, which finds more, is used
+MIN_MARGIN = 0.002  # a smaller share of bytes between the first and the second language is no decision
 UNKNOWN = "und"
 SCHEMA = "lang_pred string, score double, rejected boolean"
 
@@ -53,25 +54,28 @@ def train(labelled: DataFrame) -> list[tuple[str, bytes]]:
     return [(lang, b" ".join(parts)) for lang, parts in out.items()]
 
 
-def classify(raw: bytes, models: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
+def classify(raw: bytes, models: list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
     """(language, score, rejected) of a text in UTF-8."""
     if not models or not any(map(str.isalpha, raw.decode("utf-8", "replace"))):
         return UNKNOWN, 0.0, True
     words = normal(raw)
     chunks = [words[a : a + CHUNK] for a in range(0, len(words), CHUNK)] or [raw]
-    sizes = [(sum(len(z.compress(c)) for c in chunks), i) for i, (_, z) in enumerate(models)]
+    level = 2 if len(words) <= SHORT else 1
+    sizes = [(sum(len(m[level].compress(c)) for c in chunks), i) for i, m in enumerate(models)]
     best, second = sorted(sizes)[:2] if len(sizes) > 1 else (sizes[0], (2 * sizes[0][0], 0))
     score = 1 - best[0] / second[0]
     return models[best[1]][0], score, score < MIN_MARGIN
 
 
-def compressors(dictionaries: list[tuple[str, bytes]]) -> list[tuple[str, zstandard.ZstdCompressor]]:
-    out = []
-    for lang, data in dictionaries:
+def compressors(dictionaries: list[tuple[str, bytes]]) -> list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]:
+    """(language, compressor, compressor for short texts) of each dictionary."""
+
+    def made(data: bytes, level: int) -> zstandard.ZstdCompressor:
         held = zstandard.ZstdCompressionDict(data or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        held.precompute_compress(level=LEVEL)
-        out.append((lang, zstandard.ZstdCompressor(dict_data=held, write_checksum=False, write_content_size=False)))
-    return out
+        held.precompute_compress(level=level)
+        return zstandard.ZstdCompressor(dict_data=held, write_checksum=False, write_content_size=False)
+
+    return [(lang, made(data, LEVEL), made(data, SHORT_LEVEL)) for lang, data in dictionaries]
 
 
 def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], name: str = "lid") -> DataFrame:
