@@ -25,13 +25,13 @@ from .common import WORD_BYTES
 from .tokens import batches_by_size, span_hashes
 
 EXACT, SKETCH = 4, 128
+PART = 1 << 20  # bytes hashed at once
 CHUNKS_PER_PARTITION = 2  # chunks of the global order for each shuffle partition
 WORD_TABLE = np.frombuffer(WORD_BYTES, dtype=np.uint8)
 ODD_1, ODD_2, ODD_3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
-def vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(EXACT lanes as uint64, SKETCH lanes as int16) of each text in UTF-8."""
+def _vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     exact = np.zeros((len(raws), EXACT), dtype=np.uint64)
     for i, raw in enumerate(raws):
         digests = b"".join(hashlib.blake2b(p, digest_size=8 * EXACT).digest() for p in raw.split(b"\n") if p)
@@ -61,6 +61,25 @@ def vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return exact, total.astype(np.int64).astype(np.int16).reshape(len(raws), SKETCH)
 
 
+def vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(EXACT lanes as uint64, SKETCH lanes as int16) of each text in UTF-8; a long text is the sum of its parts."""
+    parts, of = [], []
+    for i, raw in enumerate(raws):
+        a = 0
+        while len(raw) - a > PART and (b := raw.find(b"\n", a + PART)) >= 0:
+            parts.append(raw[a:b])
+            of.append(i)
+            a = b + 1
+        parts.append(raw[a:])
+        of.append(i)
+    exact, sketch = np.zeros((len(raws), EXACT), dtype=np.uint64), np.zeros((len(raws), SKETCH), dtype=np.int16)
+    for a, b in batches_by_size(parts, PART):
+        e, s = _vectors(parts[a:b])
+        np.add.at(exact, of[a:b], e)
+        np.add.at(sketch, of[a:b], s)
+    return exact, sketch
+
+
 def as_text(exact: np.ndarray, sketch: np.ndarray) -> str:
     return exact.astype("<u8").tobytes().hex() + sketch.astype("<i2").tobytes().hex()
 
