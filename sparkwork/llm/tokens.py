@@ -82,6 +82,13 @@ def _kind(path: str) -> str:
     return "whole"
 
 
+def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two (names, places) tables in ascending order of names as one."""
+    names = np.concatenate([a[0], b[0]])
+    order = np.argsort(names, kind="stable")
+    return names[order], np.concatenate([a[1], b[1]])[order]
+
+
 class PieceEncoder:
     """Encodes batches of texts; equal to ``Tokenizer.encode(text, add_special_tokens=False)`` of each.
 
@@ -103,11 +110,27 @@ class PieceEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[int, int] = {}
+        # names of the cached pieces in ascending order, with their places; the newer ones apart, merged now and then
+        self.old = self.new = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32))
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
+        self.used = self.pieces = 0
         self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.count = np.zeros(1 << 14, dtype=np.int64)
+        self.count = np.zeros(1 << 14, dtype=np.int32)
+
+    def _find(self, names: np.ndarray) -> np.ndarray:
+        """The places of ascending names; -1 for unknown ones."""
+        out = np.full(len(names), -1, dtype=np.int64)
+        for known, place in (self.old, self.new):
+            if len(known):
+                i = np.minimum(np.searchsorted(known, names), len(known) - 1)
+                hit = known[i] == names
+                out[hit] = place[i[hit]]
+        return out
+
+    def _remember(self, names: np.ndarray, places: np.ndarray) -> None:
+        self.new = merged(self.new, (names, places.astype(np.int32)))
+        if 8 * len(self.new[0]) > len(self.old[0]):
+            self.old, self.new = merged(self.old, self.new), (self.new[0][:0], self.new[1][:0])
 
     def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -130,7 +153,8 @@ class PieceEncoder:
                 out.append((ids, np.diff(at, prepend=-1)))
         return out
 
-    def _learn(self, names: list[int], pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Encode new pieces; their places."""
         if self.kind == "byte":
             spaced = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:2] not in ("", " ", "\n")]
             bare = [i for i, p in enumerate(pieces) if p[0] not in " \n"]
@@ -146,16 +170,19 @@ class PieceEncoder:
             for got, n in [self._each(g) for g in some] if glue is None else self._together(some, glue):
                 ids.append(got)
                 counts.append(n)
-        flat, n, k = np.concatenate(ids), np.concatenate(counts), len(self.known)
+        flat, n, k = np.concatenate(ids), np.concatenate(counts), self.pieces
         while k + len(n) > len(self.start):
             self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
         while self.used + len(flat) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
+            self.flat = np.resize(self.flat, len(self.flat) * 3 // 2)
         self.flat[self.used : self.used + len(flat)] = flat
         self.start[k : k + len(n)] = self.used + np.cumsum(n) - n
         self.count[k : k + len(n)] = n
         self.used += len(flat)
-        self.known.update(zip([names[i] for i in order], range(k, k + len(n)), strict=True))
+        self.pieces += len(n)
+        places = np.empty(len(n), dtype=np.int64)
+        places[order] = np.arange(k, k + len(n))
+        return places
 
     def _segments(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(from, to) of the pieces of texts with a 0 byte before each and after the last."""
@@ -192,16 +219,17 @@ class PieceEncoder:
             data = LOWER[data]
         at, to = self._segments(data)
         names, first, place = np.unique(span_hashes(data, at, to), return_index=True, return_inverse=True)
-        names = names.tolist()
-        k = list(map(self.known.get, names))
-        fresh, full, used = [i for i, x in enumerate(k) if x is None], len(self.known) >= MAX_PIECES, self.used
-        if fresh:
-            raw, a, b = data.tobytes(), at[first].tolist(), to[first].tolist()
-            self._learn([names[i] for i in fresh], [raw[a[i] : b[i]].decode() for i in fresh])
-            k = list(map(self.known.get, names))
-        k = np.array(k, dtype=np.int64)[place]
+        k = self._find(names)
+        fresh, full, used, pieces = np.flatnonzero(k < 0), self.pieces >= MAX_PIECES, self.used, self.pieces
+        if len(fresh):
+            raw = data.tobytes()
+            spans = zip(at[first[fresh]].tolist(), to[first[fresh]].tolist(), strict=True)
+            k[fresh] = self._learn([raw[a:b].decode() for a, b in spans])
+            if not full:
+                self._remember(names[fresh], k[fresh])
+        k = k[place]
         n = self.count[k]
-        ends = np.cumsum(n)
+        ends = np.cumsum(n, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(self.start[k] - (ends - n), n) + np.arange(total)]
         text_ends = np.cumsum([len(r) + 1 for r in raws])
@@ -212,9 +240,7 @@ class PieceEncoder:
         if full and 2 * len(fresh) > len(names):  # other texts than those the cache was filled with
             self._reset()
         elif full:
-            for i in fresh:
-                del self.known[names[i]]
-            self.used = used
+            self.used, self.pieces = used, pieces
         return out
 
 
