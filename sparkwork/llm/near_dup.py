@@ -40,6 +40,7 @@ BLOCK = 256  # nodes of one side in an exhaustive comparison
 MAX_STARS = 8  # star rounds before the exhaustive one
 EXCESS = 4  # star rounds go on while the exhaustive one would read more than so many times the buckets' rows
 BATCH = 1 << 22  # bytes of texts whose signatures are made at once
+NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what stands between words
 WORD_TABLE = np.frombuffer(WORD_BYTES, dtype=np.uint8)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -320,11 +321,11 @@ def block_pairs(buckets: DataFrame, open_: DataFrame, nodes: DataFrame) -> DataF
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, tie (hash of the text), class_id, group_id.
+    """One row per row of ``docs``: doc_id, tie (hash of the text), class_id, group_id, kept.
 
     class_id is the least doc_id among the documents of the same word sequence; group_id the least among all
     documents linked by similarities of SIMILARITY or more between multisets of SHINGLE-word shingles, directly or
-    through others.  A null text, or one without words, is like nothing: both ids are its own.  Repeated rows are
+    through others.  A null text, or one without words, is like nothing: both ids are its own, it is kept.  Repeated rows are
     copies of each other; null ids are greater than all; an empty table gives no rows; other columns are not read.
     """
     rows = stored(sketches(docs), "sketches")
@@ -372,20 +373,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if last:
             break
 
-    grouped = labelled(nodes.select("words", "node", F.col("doc_id").alias("class_id")), comps, "node", "comp")
-    grouped = stored(grouped.select("words", "class_id", "comp"), "node-groups")
-    groups = stored(grouped.groupBy("comp").agg(F.min("class_id").alias("group_id")), "groups")
-    named = stored(grouped.join(groups, "comp").select("words", "class_id", "group_id"), "named-nodes")
-    out = rows.select("doc_id", "tie", "words").join(named, "words", "left")
+    grouped = nodes.select("words", "node", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie").alias("least"))
+    grouped = stored(labelled(grouped, comps, "node", "comp").select("words", "least", "comp"), "node-groups")
+    groups = stored(grouped.groupBy("comp").agg(F.min("least").alias("first")), "groups")
+    named = grouped.join(groups, "comp").select("words", F.col("least.doc_id").alias("class_id"), "first")
+    out = rows.select("doc_id", "tie", "words").join(stored(named, "named-nodes"), "words", "left")
     alone = F.col("words").isNull()
+    chosen = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tie") == F.col("first.tie"))
     return out.select(
         "doc_id",
         "tie",
         F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("group_id"),
+        (alone | chosen).alias("kept"),
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps: the least document of each group, once if rows repeat.
+
+    Documents without words are all kept.  All columns stay; one named tie is read anew from the text.
+    """
+    found = stored(near_duplicates(docs), "near-duplicates")
+    keys = found.filter("kept").groupBy("doc_id", "tie").agg(F.count("*").alias("n"))
+    keys = stored(keys.select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie"), "n"), "kept")
+    name = "_text_hash"
+    while name in docs.columns:
+        name = "_" + name
+    rows = docs.withColumn(name, F.xxhash64("text"))
+    met = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col(name) == F.col("kept_tie"))
+    out = rows.join(keys.filter("n = 1"), met, "left_semi")
+    if keys.filter("n > 1").limit(1).count():  # rows of one id and text
+        again = rows.join(keys.filter("n > 1"), met, "left_semi")
+        worded = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), NO_WORD, "")) > 0
+        out = out.unionByName(again.filter(worded).dropDuplicates(["doc_id", name])).unionByName(again.filter(~worded))
+    return out.select(*docs.columns)
+
+
 def _few(open_: DataFrame, total: int) -> bool:
     """Whether the pairs between groups of a bucket are at most a small multiple of the rows."""
     pairs = open_.agg(F.sum(F.col("total").cast("double") * F.col("others")).alias("n")).first()["n"]
