@@ -203,7 +203,7 @@ def pack(
         return pd.DataFrame(rows, columns=[*PLACED, *ids]).astype({c: "Int64" for c in PLACED})
 
     # at most one sequence of ids per pattern: a bound that the length classes set, not the input
-    rest = placed.filter("sequence_id < 0").select("units", "part", "nth")
+    rest = F.broadcast(placed.filter("sequence_id < 0").select("units", "part", "nth"))
     rest = pieces.join(rest, ["units", "part", "nth"]).groupBy(F.lit("rest").alias("all")).applyInPandas(
         cut_rest, ", ".join([f"{c} long" for c in PLACED] + [f"{c} binary" for c in ids])
     )
