@@ -7,23 +7,26 @@ non-zero and per example; dense vectors are exploded to the same form.  The mode
 Per iteration (margins s = <beta, x> are kept per example and updated linearly,
 s' = s - gamma <g, x>, so the data is read twice per step, not once per candidate):
 
-1. gradient: X joined with the example margins on ``id``; X is hash-partitioned by
-   ``id`` and persisted, so only the margins (one row per example) are shuffled to
-   meet it; coefficient dloss/ds times value and the 2 lam beta rows go into one
-   hash aggregate by feature (partial sums before the shuffle);
-2. line search: X joined with the gradient (broadcast when its counted size allows)
-   gives <g, x> per example; all candidate step sizes are evaluated in ONE aggregate;
+1. gradient: X is hash-partitioned by ``id`` and persisted, so only the margins (one
+   row per example) are shuffled to meet it; coefficient dloss/ds times value and the
+   2 lam beta rows go into one hash aggregate by feature (partial sums before the shuffle);
+2. line search: X meets the gradient on the feature.  A gradient whose counted size
+   allows it is broadcast; beyond that, a second persisted copy of X, hash-partitioned
+   by feature, meets it, so the gradient moves and X does not.  Partial sums of
+   <g, x> per example are shuffled, and the candidate step sizes are evaluated in one
+   aggregate per batch of them, batch after batch until one is accepted;
 3. the model update is a union and one hash aggregate; margins, gradient and model
    are checkpointed.
 
-An example whose rows alone exceed a target partition makes ``prepare_sparse`` lay X
-out round-robin instead of by id (see there), so no task holds it whole.
+A key (example or feature) whose rows alone exceed a target partition is split by a salt;
+its side of the join is repeated once per salt.  The layout of all other keys is the same.
 """
 
 from __future__ import annotations
 
 import math
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -33,6 +36,8 @@ from pyspark.sql import functions as F
 from ..operators.metrics import binary_metrics
 from ..session import advisory_partition_bytes, cut_lineage, fits_broadcast
 
+MIN_STEP = 1e-300  # a smaller step size is no step: the search ends with an error
+
 LOSSES = ("logistic", "squared")
 
 
@@ -44,7 +49,7 @@ class LinearParams:
     eps: float = 0.01
     a: float = 0.3  # Armijo sufficient-decrease factor
     b: float = 0.5  # backtracking factor: candidates gamma = b^t
-    candidates: int = 20
+    candidates: int = 20  # step sizes evaluated in one aggregate; the search goes on until one is accepted
     partitions: int | None = None  # hash partitions of X and E by id (default: shuffle partitions)
     max_rows_per_example: int | None = None  # known bound on an example's non-zeros (else measured)
 
@@ -73,42 +78,77 @@ def dloss_expr(loss: str, s: Column, y: Column) -> Column:
 ROW_BYTES = 48  # an exploded (id, feature, value) row, roughly
 
 
+def _hot_keys(X: DataFrame, key: str, known_top: int | None = None) -> DataFrame | None:
+    """(key, salts) of the keys whose rows alone exceed a target partition; None if there are none."""
+    most = max(1, advisory_partition_bytes(X.sparkSession) // ROW_BYTES)
+    if known_top is not None and known_top <= most:
+        return None
+    counts = X.groupBy(key).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > most)
+    hot = cut_lineage(counts.select(key, F.ceil(F.col("_k") / most).cast("int").alias("salts")))
+    return None if hot.isEmpty() else hot
+
+
+def _laid_out(X: DataFrame, key: str, other: str, n: int, hot: DataFrame | None) -> DataFrame:
+    """X hash-partitioned by ``key`` and persisted; rows of a hot key are dealt by a salt from ``other``."""
+    if hot is None:
+        out = X.repartition(n, key)
+    else:
+        salt = F.coalesce(F.pmod(F.xxhash64(other), F.col("salts")), F.lit(0)).cast("int")
+        out = X.join(hot, key, "left").withColumn("salt", salt).drop("salts").repartition(n, key, "salt")
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()  # a cached plan reports its hash partitioning to later plans only once materialised
+    return out
+
+
+def _repeated(side: DataFrame, key: str, X: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``side`` with one row per salt of its key, and the columns to join X on."""
+    if "salt" not in X.columns:
+        return side.drop("salts"), [key]
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)).alias("salt")
+    return side.select("*", salts).drop("salts"), [key, "salt"]
+
+
+def _clean(X: DataFrame, E: DataFrame) -> tuple[DataFrame, DataFrame]:
+    xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
+    es = E.select("id", F.col("y").cast("double").alias("y"))
+    return xs.dropna(), es.dropna()  # a NULL id, feature, value or label carries no example
+
+
 def prepare_sparse(
     X: DataFrame,
     E: DataFrame,
     partitions: int | None = None,
     max_rows_per_example: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Lay out X(id, feature, value) and E(id, y) for the iterations and persist both.
-
-    Normally both are hash-partitioned by id: the persisted partitioning (which a
-    checkpoint would not keep) lets the per-example aggregates and joins on ``id``
-    run without shuffling X.  If one example's rows alone exceed a target partition
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), X is spread round-robin
-    instead, so no task gets that example whole (joins on ``id`` then shuffle and
-    AQE splits the hot partition).  The largest example is taken from
-    ``max_rows_per_example`` when the caller knows it (dense vectors: d; vocabulary
-    features: the vocabulary size), else measured by one aggregate.  Lost cached
-    partitions are recomputed from the input's fixed-length lineage; the state that
-    grows with the iterations (margins, gradient, model) is checkpointed.
+    """Lay out X(id, feature, value) and E(id, y) by id for the iterations and persist both.
+
+    The persisted partitioning (which a checkpoint would not keep) lets the joins on
+    ``id`` run without shuffling X.  The rows of an example that alone exceed a target
+    partition (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) are split by a salt
+    (column ``salt`` of X; E then says in ``salts`` how many).  Such examples are looked for
+    by one aggregate, unless ``max_rows_per_example`` (dense vectors: d) rules them out.
+    Lost cached partitions are recomputed from the input's fixed-length lineage; the
+    state that grows with the iterations (margins, gradient, model) is checkpointed.
     """
-    spark = X.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
-    es = E.select("id", F.col("y").cast("double").alias("y"))
-    xs, es = xs.dropna(), es.dropna()  # a NULL id, feature, value or label carries no example
-    top = max_rows_per_example
-    if top is None:
-        top = xs.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
-    hot = top * ROW_BYTES > advisory_partition_bytes(spark)
-    Xp = (xs.repartition(n) if hot else xs.repartition(n, "id")).persist(StorageLevel.MEMORY_AND_DISK)
+    n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    xs, es = _clean(X, E)
+    hot = _hot_keys(xs, "id", max_rows_per_example)
+    Xp = _laid_out(xs, "id", "feature", n, hot)
+    if hot is not None:
+        es = es.join(hot, "id", "left")
     Ep = es.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
-    # a cached plan reports its hash partitioning to later plans only once materialised
-    Xp.count()
     Ep.count()
     return Xp, Ep
 
 
+def prepare_by_feature(X: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(X laid out by feature and persisted, its hot features): meets a model too large to broadcast."""
+    n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    xs = X.select("id", "feature", "value")
+    hot = _hot_keys(xs, "feature")
+    return _laid_out(xs, "feature", "id", n, hot), hot
+
+
 def explode_dense(df: DataFrame, x: str = "x", y: str = "y", id_col: str | None = "id") -> tuple[DataFrame, DataFrame]:
     """Dense ``array<double>`` rows to (X, E); features are the 0-based positions as strings.
 
@@ -151,16 +191,33 @@ def empty_beta(spark) -> DataFrame:
     return spark.createDataFrame([], "feature string, beta double")
 
 
-def _bcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df.sparkSession, rows, 64) else df
+def _example_columns(E: DataFrame) -> list[str]:
+    return [c for c in ("id", "y", "s", "salts") if c in E.columns]
+
+
+def products(X: DataFrame, w: DataFrame, n_w: int, by_feature: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
+    """(id, p): p = <w, x> for w(feature, w) of ``n_w`` rows; examples without a known feature are absent.
+
+    ``w`` is broadcast if its size allows; else it is shuffled to meet ``by_feature``
+    (see ``prepare_by_feature``), if there is one, or meets X by a shuffle join.
+    """
+    if fits_broadcast(w.sparkSession, n_w, 64):
+        met = X.join(F.broadcast(w), "feature")
+    elif by_feature is not None:
+        laid, hot = by_feature
+        side = w if hot is None else w.join(hot, "feature", "left")
+        side, on = _repeated(side, "feature", laid)
+        met = laid.join(side.hint("merge"), on)
+    else:
+        met = X.join(w, "feature")
+    return met.groupBy("id").agg(F.sum(F.col("value") * F.col("w")).alias("p"))
 
 
 # ------------------------------------------------------------------ pieces
-def margins(X: DataFrame, E: DataFrame, beta: DataFrame, n_beta: int) -> DataFrame:
+def margins(X: DataFrame, E: DataFrame, beta: DataFrame, n_beta: int, by_feature=None) -> DataFrame:
     """(id, y, s): s = <beta, x>; examples without a known feature get s = 0."""
-    b = _bcast(beta.select("feature", "beta"), n_beta)
-    s = X.join(b, "feature").groupBy("id").agg(F.sum(F.col("value") * F.col("beta")).alias("s"))
-    return E.join(s, "id", "left").select("id", "y", F.coalesce(F.col("s"), F.lit(0.0)).alias("s"))
+    p = products(X, beta.select("feature", F.col("beta").alias("w")), n_beta, by_feature)
+    return E.join(p, "id", "left").select(*_example_columns(E), F.coalesce(F.col("p"), F.lit(0.0)).alias("s"))
 
 
 def total_loss(EM: DataFrame, loss: str, lam: float, beta: DataFrame) -> DataFrame:
@@ -178,17 +235,17 @@ def gradient(X: DataFrame, EM: DataFrame, beta: DataFrame, loss: str, lam: float
     The regulariser rows are unioned into the same hash aggregate by feature (partial
     sums before the one shuffle) rather than full-outer-joined afterwards.
     """
-    coef = EM.select("id", dloss_expr(loss, F.col("s"), F.col("y")).alias("c"))
-    data = X.join(coef, "id").select("feature", (F.col("c") * F.col("value")).alias("g"))
+    coef = EM.select(*_example_columns(EM), dloss_expr(loss, F.col("s"), F.col("y")).alias("c")).drop("y", "s")
+    coef, on = _repeated(coef, "id", X)
+    data = X.join(coef, on).select("feature", (F.col("c") * F.col("value")).alias("g"))
     reg = beta.select("feature", (F.lit(2.0 * lam) * F.col("beta")).alias("g"))
     return data.unionByName(reg).groupBy("feature").agg(F.sum("g").alias("grad"))
 
 
-def direction_margins(X: DataFrame, EM: DataFrame, grad: DataFrame, n_grad: int) -> DataFrame:
+def direction_margins(X: DataFrame, EM: DataFrame, grad: DataFrame, n_grad: int, by_feature=None) -> DataFrame:
     """(id, y, s, gs): adds gs = <grad, x> per example."""
-    g = _bcast(grad.select("feature", F.col("grad").alias("_g")), n_grad)
-    gs = X.join(g, "feature").groupBy("id").agg(F.sum(F.col("value") * F.col("_g")).alias("gs"))
-    return EM.join(gs, "id", "left").select("id", "y", "s", F.coalesce(F.col("gs"), F.lit(0.0)).alias("gs"))
+    p = products(X, grad.select("feature", F.col("grad").alias("w")), n_grad, by_feature)
+    return EM.join(p, "id", "left").select(*_example_columns(EM), F.coalesce(F.col("p"), F.lit(0.0)).alias("gs"))
 
 
 def line_search_table(
@@ -202,15 +259,16 @@ def line_search_table(
     a: float = 0.3,
     b: float = 0.5,
     candidates: int = 20,
+    start: int = 0,
 ) -> DataFrame:
-    """(t, gamma, loss, ok) for gamma = b^t, t < candidates, from ONE aggregate.
+    """(t, gamma, loss, ok) for gamma = b^t, ``candidates`` values of t from ``start`` on, from ONE aggregate.
 
     loss(gamma) = sum loss(s - gamma gs, y) + lam ||beta - gamma g||^2;
     ok when loss(gamma) <= current - a gamma ||g||^2 (Armijo).
     """
     sums = [
         F.sum(loss_expr(loss, F.col("s") - F.lit(b**t) * F.col("gs"), F.col("y"))).alias(f"_l{t}")
-        for t in range(candidates)
+        for t in range(start, start + candidates)
     ]
     row = EMG.agg(*sums)
     rows = F.array(
@@ -223,13 +281,29 @@ def line_search_table(
                     + F.lit(lam * (beta_norm2 - 2 * b**t * beta_dot_g + b ** (2 * t) * gnorm2))
                 ).alias("loss"),
             )
-            for t in range(candidates)
+            for t in range(start, start + candidates)
         ]
     )
     out = row.select(F.inline(rows))
     return out.withColumn("ok", F.col("loss") <= F.lit(current_loss) - F.lit(a) * F.col("gamma") * F.lit(gnorm2))
 
 
+def search_step(EMG: DataFrame, p: LinearParams, loss: float, gnorm2: float, beta_dot_g: float, beta_norm2: float):
+    """The row (t, gamma, loss, ok) of the largest step size b^t that the Armijo test accepts.
+
+    Batches of ``p.candidates`` sizes are evaluated until one is accepted; the needed size shrinks with the number of
+    rows, so there is no last candidate.  A step too small to be one raises ``ArithmeticError``.
+    """
+    start = 0
+    while p.b**start > MIN_STEP:
+        table = line_search_table(EMG, p.loss, p.lam, loss, gnorm2, beta_dot_g, beta_norm2, p.a, p.b, p.candidates, start)
+        for row in table.orderBy("t").collect():  # ``candidates`` rows
+            if row["ok"]:
+                return row
+        start += p.candidates
+    raise ArithmeticError(f"no step size above {MIN_STEP} decreases the loss {loss} (gradient norm {math.sqrt(gnorm2)})")
+
+
 def update_beta(beta: DataFrame, grad: DataFrame, gamma: float) -> DataFrame:
     """beta - gamma * grad over the union of their features (a union and one hash aggregate)."""
     step = grad.select("feature", (F.lit(-gamma) * F.col("grad")).alias("beta"))
@@ -257,19 +331,22 @@ def train_linear(
 ):
     """Gradient descent from beta0 (default 0).  Returns (beta, history).
 
-    history: (iter, loss, grad_norm, gamma, line_search_ok, seconds, acc, pre, rec);
+    history: (iter, loss, grad_norm, gamma, line_search_ok, seconds, acc, pre, rec, converged);
     ``loss`` and ``grad_norm`` belong to the model before the step of that
     iteration.  With ``test=(X_test, E_test)`` the updated model of each iteration is
     scored on the test examples (accuracy, precision, recall in one aggregate);
     otherwise those columns are NULL.  The loop stops after ``max_iter`` steps or
-    once ||grad|| <= eps (that step is still taken).
+    once ||grad|| <= eps (that step is still taken; ``converged`` is true in its row).
+    No rejected step is taken, see ``search_step``.
     """
     p = params or LinearParams()
     spark = X.sparkSession
     Xp, Ep = prepare_sparse(X, E, p.partitions, p.max_rows_per_example)
     beta = cut_lineage(beta0.select("feature", "beta")) if beta0 is not None else empty_beta(spark)
     n_beta = beta.count()
-    EM = cut_lineage(margins(Xp, Ep, beta, n_beta))
+    n_features = Xp.agg(F.count_distinct("feature").alias("n")).first()["n"]
+    by_feature = None if fits_broadcast(spark, max(n_features, n_beta), 64) else prepare_by_feature(Xp, p.partitions)
+    EM = cut_lineage(margins(Xp, Ep, beta, n_beta, by_feature))
     L = total_loss(EM, p.loss, p.lam, beta).first()["loss"]
     history = []
     k, gnorm = 0, 2 * p.eps
@@ -285,28 +362,27 @@ def train_linear(
         ).first()
         n_grad, g2, bg, b2 = g["n"], g["g2"] or 0.0, g["bg"] or 0.0, g["b2"] or 0.0
         gnorm = math.sqrt(g2)
-        EMG = cut_lineage(direction_margins(Xp, EM, grad, n_grad))
-        table = line_search_table(EMG, p.loss, p.lam, L, g2, bg, b2, p.a, p.b, p.candidates)
-        cands = table.orderBy("t").collect()  # ``candidates`` rows
-        chosen = next((r for r in cands if r["ok"]), cands[-1])
+        EMG = cut_lineage(direction_margins(Xp, EM, grad, n_grad, by_feature))
+        chosen = search_step(EMG, p, L, g2, bg, b2)
         gamma = chosen["gamma"]
         beta = cut_lineage(update_beta(beta, grad, gamma))
         metrics = (None, None, None)
         if test is not None:
             m = binary_metrics(score(test[0], test[1], beta, n_grad), "score", "y").first()
             metrics = (m["acc"], m["pre"], m["rec"])
-        history.append((k, L, gnorm, gamma, bool(chosen["ok"]), time.perf_counter() - t_start, *metrics))
+        history.append((k, L, gnorm, gamma, True, time.perf_counter() - t_start, *metrics, gnorm <= p.eps))
         n_beta = n_grad  # grad covers every feature of beta (its 2 lam beta term)
-        EM = EMG.select("id", "y", (F.col("s") - F.lit(gamma) * F.col("gs")).alias("s"))  # one projection of a checkpoint
+        keep = [c for c in _example_columns(EMG) if c != "s"]
+        EM = EMG.select(*keep, (F.col("s") - F.lit(gamma) * F.col("gs")).alias("s"))  # one projection of a checkpoint
         L = chosen["loss"]
         k += 1
     hist = spark.createDataFrame(
         history,
         "iter int, loss double, grad_norm double, gamma double, line_search_ok boolean, seconds double, "
-        "acc double, pre double, rec double",
+        "acc double, pre double, rec double, converged boolean",
     )
-    Xp.unpersist()
-    Ep.unpersist()
+    for held in (Xp, Ep, *([by_feature[0]] if by_feature else [])):
+        held.unpersist()
     return beta, hist
 
 
@@ -324,41 +400,50 @@ def feature_keys(df: DataFrame, x: str = "x") -> DataFrame:
     return df.select(F.explode(F.map_keys(x)).alias("feature")).distinct()
 
 
-def map_to_sparse(df: DataFrame, x: str = "x", y: str = "y", id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(X, E) from rows of (x map, y); ids from ``monotonically_increasing_id`` on a checkpoint."""
+def map_to_sparse(
+    df: DataFrame, x: str = "x", y: str = "y", id_col: str | None = None, keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(X, E) from rows of (x map, y); ids from ``monotonically_increasing_id`` on a checkpoint; both carry ``keep``."""
     base = df if id_col else cut_lineage(df.withColumn("id", F.monotonically_increasing_id()))
     ident = id_col or "id"
-    X = base.select(F.col(ident).alias("id"), F.explode(x).alias("feature", "value"))
-    return X, base.select(F.col(ident).alias("id"), F.col(y).alias("y"))
+    X = base.select(F.col(ident).alias("id"), *keep, F.explode(x).alias("feature", "value"))
+    return X, base.select(F.col(ident).alias("id"), F.col(y).alias("y"), *keep)
 
 
 # ------------------------------------------------------------------ cross-validation
-def cross_validate_linear(
+def cross_validate_models(
     X: DataFrame,
     E: DataFrame,
     k: int,
     params: LinearParams | None = None,
     seed: int | str = 42,
-) -> DataFrame:
-    """k-fold CV of ``train_linear``: one row per held-out fold plus the mean metric.
-
-    Folds are md5 buckets of the example id.  Logistic loss reports
-    (acc, pre, rec) of sign(<beta, x>) on the held-out examples; squared loss
-    reports the held-out RMSE.  The fold is a pure function of the example id, so it
-    is computed on X's rows directly (no join) and written once to the checkpoint
-    folder; each fold then filters.
+    fold_col: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """k-fold CV of ``train_linear``: (summary, models, histories).
+
+    ``summary`` has one row per held-out fold plus the mean metric: logistic loss reports
+    (acc, pre, rec) of sign(<beta, x>) on the held-out examples, squared loss the held-out
+    RMSE (NULL if nothing is held out).  ``models`` is (fold, feature, beta), ``histories``
+    the training histories with their fold.  Folds come from column ``fold_col`` of X and E
+    (e.g. read from fold files), else from md5 buckets of the example id; they are a
+    column of the rows, written once to the checkpoint folder, and each fold filters.
     """
     from ..operators.folds import assign_folds
 
     p = params or LinearParams()
     spark = X.sparkSession
-    folds = cut_lineage(assign_folds(E.select("id", "y"), "id", k, seed))
-    Xf = cut_lineage(assign_folds(X.select("id", "feature", "value"), "id", k, seed))
-    rows = []
+
+    def folded(df: DataFrame, columns: list[str]) -> DataFrame:
+        if fold_col:
+            return cut_lineage(df.select(*columns, F.col(fold_col).alias("fold")))
+        return cut_lineage(assign_folds(df.select(*columns), "id", k, seed))
+
+    Ef, Xf = folded(E, ["id", "y"]), folded(X, ["id", "feature", "value"])
+    rows, models, histories = [], None, None
     for f in range(k):
-        Etr, Ete = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
+        Etr, Ete = Ef.where(F.col("fold") != f), Ef.where(F.col("fold") == f)
         Xtr, Xte = Xf.where(F.col("fold") != f), Xf.where(F.col("fold") == f)
-        beta, _ = train_linear(Xtr.drop("fold"), Etr.drop("fold"), p)
+        beta, hist = train_linear(Xtr.drop("fold"), Etr.drop("fold"), p)
         scored = score(Xte.drop("fold"), Ete.drop("fold"), beta)
         n_train, n_test = Etr.count(), Ete.count()
         if p.loss == "logistic":
@@ -367,10 +452,25 @@ def cross_validate_linear(
         else:
             m = scored.agg(F.sqrt(F.avg((F.col("score") - F.col("y")) ** 2)).alias("rmse")).first()
             rows.append((f, n_train, n_test, None, None, None, m["rmse"]))
+        beta, hist = (df.select(F.lit(f).alias("fold"), "*") for df in (beta, hist))
+        models = beta if models is None else models.unionByName(beta)
+        histories = hist if histories is None else histories.unionByName(hist)
     out = spark.createDataFrame(
         rows, "fold int, n_train bigint, n_test bigint, acc double, pre double, rec double, rmse double"
     )
-    metric = "acc" if p.loss == "logistic" else "rmse"
-    vals = [r[3] if metric == "acc" else r[6] for r in rows]
-    mean = sum(v for v in vals if v is not None) / max(1, sum(v is not None for v in vals))
-    return out.withColumn(f"mean_{metric}", F.lit(mean))
+    metric, at = ("acc", 3) if p.loss == "logistic" else ("rmse", 6)
+    vals = [r[at] for r in rows if r[at] is not None]
+    mean = F.lit(sum(vals) / len(vals) if vals else None).cast("double")
+    return out.withColumn(f"mean_{metric}", mean), models, histories
+
+
+def cross_validate_linear(
+    X: DataFrame,
+    E: DataFrame,
+    k: int,
+    params: LinearParams | None = None,
+    seed: int | str = 42,
+    fold_col: str | None = None,
+) -> DataFrame:
+    """The summary of ``cross_validate_models``."""
+    return cross_validate_models(X, E, k, params, seed, fold_col)[0]

@@ -125,23 +125,17 @@ def terms_sql():
     return _TERMS
 
 
-VOCAB = (
-    "select term from (select term, count(distinct doc_id) as df from ({terms}) group by term) "
-    "order by df desc, term limit 100"
-)
 FEATURES_SPARSE = (
     "select t.doc_id as id, t.term as feature, count(*)::double / any_value(n.n) as value, "
     "any_value(2.0 * l.quality - 1)::double as y "
-    "from ({terms}) t join ({vocab}) v on t.term = v.term join labels l on l.doc_id = t.doc_id "
+    "from ({terms}) t join labels l on l.doc_id = t.doc_id "
     "join (select doc_id, count(*) as n from ({terms}) group by doc_id) n on n.doc_id = t.doc_id "
     "group by t.doc_id, t.term"
 )
 
 
 def features_sparse_sql():
-    terms = terms_sql()
-    vocab = VOCAB.format(terms=terms)
-    return FEATURES_SPARSE.format(terms=terms, vocab=vocab)
+    return FEATURES_SPARSE.format(terms=terms_sql())
 
 
 DENSE = (

@@ -26,15 +26,18 @@ def _dense(spark, sf):
     return LN.explode_dense(X.features_dense(spark, sf))
 
 
-def _regression(spark, sf, ranked: bool = False):
-    order = ["y", "x1", "x2", "x3"] if ranked else None  # ranked ids let the oracle rebuild the folds
-    return LN.columns_to_sparse(X.regression(spark, sf), ["x1", "x2", "x3"], order=order)
+SCALE = 10  # the scaled rows' curvature is 100 times the rows' own: the first steps need a smaller size
 
 
-VOCAB_SIZE = 100  # features_sparse keeps the 100 most widespread terms: an example has at most 100 rows
+def _regression(spark, sf, ranked: bool = False, scale: int = 1):
+    order = ["y", "x1", "x2", "x3"] if ranked else None  # ranked ids let the oracle rebuild the folds
+    rows = X.regression(spark, sf)
+    if scale != 1:
+        rows = rows.select(*[(F.col(c) * scale).alias(c) for c in rows.columns])
+    return LN.columns_to_sparse(rows, ["x1", "x2", "x3"], order=order)
 
 
-def _params(loss="logistic", lam=LAM, iters=ITERS, bound=VOCAB_SIZE):
+def _params(loss="logistic", lam=LAM, iters=ITERS, bound=None):
     return LN.LinearParams(loss=loss, lam=lam, max_iter=iters, max_rows_per_example=bound)
 
 
@@ -67,6 +70,17 @@ def q_line_search_table(spark, sf):
     return LN.line_search_table(EMG, "logistic", LAM, L, g2, 0.0, 0.0).select("t", _r("gamma"), _r("loss"), "ok")
 
 
+def q_line_search_deep(spark, sf):
+    """Step sizes 2^-20 .. 2^-39 of the scaled regression: the search's second batch."""
+    Xp, Ep, g = _gradient_at_zero(spark, *_regression(spark, sf, scale=SCALE), "squared", LAM)
+    EM = LN.margins(Xp, Ep, LN.empty_beta(spark), 0)
+    L = LN.total_loss(EM, "squared", LAM, LN.empty_beta(spark)).first()["loss"]
+    g2 = g.select(F.sum(F.col("grad") * F.col("grad"))).first()[0]
+    EMG = LN.direction_margins(Xp, EM, g, g.count())
+    table = LN.line_search_table(EMG, "squared", LAM, L, g2, 0.0, 0.0, candidates=20, start=20)
+    return table.select("t", F.round(F.col("gamma") * 1e9, 6).alias("gamma_e9"), _r("loss", 3), "ok")
+
+
 def _history(df):
     return df.select("iter", _r("loss"), _r("grad_norm"), _r("gamma"), "line_search_ok")
 
@@ -97,6 +111,12 @@ def q_linear_history(spark, sf):
     return _history(h)
 
 
+def q_linear_history_scaled(spark, sf):
+    """Training whose first steps need sizes beyond the search's first batch at scale."""
+    _, h = LN.train_linear(*_regression(spark, sf, scale=SCALE), _params("squared", bound=3))
+    return h.select("iter", _r("loss", 3), _r("grad_norm", 3), F.round(F.col("gamma") * 1e9, 6).alias("gamma_e9"), "line_search_ok")
+
+
 def q_lambda_sweep(spark, sf):
     Xd, Ed = _sparse(spark, sf)
     out = sweep([0.0, 0.1, 1.0], lambda lam: LN.train_linear(Xd, Ed, _params(lam=lam, iters=1))[1])
@@ -161,6 +181,57 @@ def q_linear_cv(spark, sf):
     return cv.select("fold", "n_train", "n_test", _r("rmse"), _r("mean_rmse"))
 
 
+def q_linear_cv_from_folds(spark, sf):
+    """The same cross-validation from labelled text files, one folder per fold."""
+    from ..operators.folds import assign_folds
+    from ..session import cut_lineage, scratch_path
+    from ..sources import files as FI
+
+    Xd, Ed = _regression(spark, sf, ranked=True)
+    folder = scratch_path(spark, "labelled-folds")
+    rows = cut_lineage(FI.labelled_lines(Xd, assign_folds(Ed, "id", 3, 42), keep=["fold"]))
+    for f in range(3):
+        FI.write_table(rows.where(F.col("fold") == f).select("value"), f"{folder}/fold{f}", "text")
+    Xf, Ef = LN.map_to_sparse(FI.read_labelled_folds(spark, folder, 3), keep=["fold"])
+    cv = LN.cross_validate_linear(Xf, Ef, 3, _params("squared", bound=3), fold_col="fold")
+    return cv.select("fold", "n_train", "n_test", _r("rmse"), _r("mean_rmse"))
+
+
+def q_linear_cv_models(spark, sf):
+    """beta of each fold's training, written and read back."""
+    from ..session import scratch_path
+    from ..sources import files as FI
+
+    _, models, _ = LN.cross_validate_models(*_regression(spark, sf, ranked=True), 3, _params("squared", bound=3), seed=42)
+    path = scratch_path(spark, "fold-models")
+    FI.write_table(models, path, partition_by=["fold"])
+    return spark.read.parquet(path).select("fold", "feature", _r("beta"))
+
+
+def q_linear_cv_history(spark, sf):
+    """The training history of each fold, written and read back."""
+    from ..session import scratch_path
+    from ..sources import files as FI
+
+    _, _, history = LN.cross_validate_models(*_regression(spark, sf, ranked=True), 3, _params("squared", bound=3), seed=42)
+    path = scratch_path(spark, "fold-history")
+    FI.write_table(history, path, partition_by=["fold"])
+    return spark.read.parquet(path).select("fold", "iter", _r("loss"), _r("grad_norm"), _r("gamma"), "line_search_ok")
+
+
+def q_logistic_score_saved(spark, sf):
+    """Metrics of a model that was written and is read from its file."""
+    from ..session import scratch_path
+    from ..sources import files as FI
+
+    Xd, Ed = _sparse(spark, sf)
+    beta, _ = LN.train_linear(Xd, Ed, _params())
+    path = scratch_path(spark, "scored-beta")
+    FI.write_model(beta, path)
+    out = LN.evaluate(Xd, Ed, FI.read_model(spark, path))
+    return out.select("tp", "fp", "tn", "fn", _r("acc"), _r("pre"), _r("rec"))
+
+
 def q_labelled_features(spark, sf):
     from ..session import scratch_path
     from ..sources import files as FI
@@ -188,6 +259,12 @@ QUERIES = {
     "linear_gradient": q_linear_gradient,
     "linear_history": q_linear_history,
     "lambda_sweep": q_lambda_sweep,
+    "line_search_deep": q_line_search_deep,
+    "linear_history_scaled": q_linear_history_scaled,
+    "linear_cv_from_folds": q_linear_cv_from_folds,
+    "linear_cv_models": q_linear_cv_models,
+    "linear_cv_history": q_linear_cv_history,
+    "logistic_score_saved": q_logistic_score_saved,
 }
 
 
@@ -209,10 +286,13 @@ def _lit(x: float) -> str:
     return f"({float(x)!r})::double"
 
 
+SEARCHED = 45  # step sizes that the oracle tries; the engine's search has no last one
+
+
 def lin_ctes(x_sql: str, e_sql: str, p: LN.LinearParams, pre: str = "") -> list[str]:
     """CTEs X, E, B0.., S{k}, G{k}, GS{k}, C{k} (candidates), H{k} (history rows), names prefixed by ``pre``."""
     lam, a = _lit(p.lam), _lit(p.a)
-    tvals = ", ".join(f"({t}, {_lit(p.b ** t)})" for t in range(p.candidates))
+    tvals = ", ".join(f"({t}, {_lit(p.b ** t)})" for t in range(SEARCHED))
     X, E, TT = f"{pre}X", f"{pre}E", f"{pre}TT"
 
     def n(base: str, k: int) -> str:
@@ -243,7 +323,7 @@ def lin_ctes(x_sql: str, e_sql: str, p: LN.LinearParams, pre: str = "") -> list[
             f"(select tt.t, tt.gamma, sum({_loss(p.loss, 'gs.s - tt.gamma * gs.gs', 'gs.y')}) + {lam} * "
             f"((select b2 from {N}) - 2 * tt.gamma * (select bg from {N}) + tt.gamma * tt.gamma * (select g2 from {N})) "
             f"as loss from {GS} gs, {TT} tt group by tt.t, tt.gamma))",
-            f"{CH} as (select * from {C} where t = coalesce((select min(t) from {C} where ok), {p.candidates - 1}))",
+            f"{CH} as (select * from {C} where t = (select min(t) from {C} where ok))",
             f"{n('H', k)} as (select {k} as iter, (select loss from {L}) as loss, sqrt((select g2 from {N})) as grad_norm, "
             f"gamma, ok as line_search_ok from {CH})",
             f"{n('B', k + 1)} as (select coalesce(b.feature, g.feature) as feature, coalesce(b.beta, 0.0) - "
@@ -271,14 +351,15 @@ _REG = (
 )
 
 
-def _reg_ctes(p):
+def _reg_ctes(p, scale: int = 1):
     ctes = lin_ctes(
         "select id, feature, value from (select id, unnest(fs, recursive := true) from "
         "(select id, [{'feature': 'x1', 'value': x1}, {'feature': 'x2', 'value': x2}, {'feature': 'x3', 'value': x3}] as fs from R))",
         "select id, y from R",
         p,
     )
-    return [f"R as ({_REG})"] + ctes
+    rows = _REG if scale == 1 else f"select id, y * {scale} as y, x1 * {scale} as x1, x2 * {scale} as x2, x3 * {scale} as x3 from ({_REG})"
+    return [f"R as ({rows})"] + ctes
 
 
 _HIST_BODY = (
@@ -286,7 +367,7 @@ _HIST_BODY = (
 )
 
 
-def _hist_union(iters, lam_col=None):
+def _hist_union(iters):
     return " union all ".join(f"select * from H{k}" for k in range(iters))
 
 
@@ -372,7 +453,7 @@ def _history_test_sql() -> str:
     return _with(ctes, body)
 
 
-def _linear_cv_sql(k: int = 3) -> str:
+def _linear_cv_sql(k: int = 3, part: str = "summary") -> str:
     reg = (
         "select row_number() over (order by y, x1, x2, x3) - 1 as id, y, x1, x2, x3 from "
         "(select l_extendedprice / 10000 as y, l_quantity / 50 as x1, l_discount as x2, l_tax as x3 from lineitem)"
@@ -401,6 +482,17 @@ def _linear_cv_sql(k: int = 3) -> str:
             f"select {f} as fold, (select count(*) from FE where fold <> {f}) as n_train, "
             f"(select count(*) from FE where fold = {f}) as n_test, sqrt(avg((s - y) * (s - y))) as rmse from {pre}SC"
         )
+    if part == "models":
+        betas = [f"select {f} as fold, feature, round(beta, 6) as beta from f{f}_B{ITERS}" for f in range(k)]
+        return _with(ctes, " union all ".join(betas))
+    if part == "history":
+        rows = [
+            f"select {f} as fold, iter, round(loss, 6) as loss, round(grad_norm, 6) as grad_norm, round(gamma, 6) as gamma, "
+            f"line_search_ok from f{f}_H{i}"
+            for f in range(k)
+            for i in range(ITERS)
+        ]
+        return _with(ctes, " union all ".join(rows))
     body = (
         "select fold, n_train, n_test, round(rmse, 6) as rmse, round(avg(rmse) over (), 6) as mean_rmse from ("
         + " union all ".join(parts) + ")"
@@ -432,7 +524,7 @@ ORACLE = {
         f"(select sum(beta * beta) from BL), 6) as loss from SL",
     ),
     "line_search_table": _with(
-        lin_ctes(SPARSE_X, SPARSE_E, _P1), "select t, round(gamma, 6) as gamma, round(loss, 6) as loss, ok from C0"
+        lin_ctes(SPARSE_X, SPARSE_E, _P1), "select t, round(gamma, 6) as gamma, round(loss, 6) as loss, ok from C0 where t < 20"
     ),
     "logistic_history": _with(lin_ctes(SPARSE_X, SPARSE_E, _P), _HIST_BODY.format(_hist_union(ITERS))),
     "logistic_score": _with(
@@ -450,4 +542,17 @@ ORACLE = {
     "linear_gradient": _with(_reg_ctes(LN.LinearParams(loss="squared", lam=LAM, max_iter=1)), "select feature, round(grad, 6) as grad from G0"),
     "linear_history": _with(_reg_ctes(_PS), _HIST_BODY.format(_hist_union(ITERS))),
     "lambda_sweep": _sweep_sql(),
+    "line_search_deep": _with(
+        _reg_ctes(LN.LinearParams(loss="squared", lam=LAM, max_iter=1), SCALE),
+        "select t, round(gamma * 1e9, 6) as gamma_e9, round(loss, 3) as loss, ok from C0 where t between 20 and 39",
+    ),
+    "linear_history_scaled": _with(
+        _reg_ctes(_PS, SCALE),
+        "select iter, round(loss, 3) as loss, round(grad_norm, 3) as grad_norm, round(gamma * 1e9, 6) as gamma_e9, "
+        f"line_search_ok from ({_hist_union(ITERS)})",
+    ),
+    "linear_cv_from_folds": _linear_cv_sql(3),
+    "linear_cv_models": _linear_cv_sql(3, "models"),
+    "linear_cv_history": _linear_cv_sql(3, "history"),
 }
+ORACLE["logistic_score_saved"] = ORACLE["logistic_score"]

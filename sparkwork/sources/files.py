@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RATINGS_SCHEMA = "i BIGINT, j BIGINT, r DOUBLE"
 # Fixed pattern: a Python-literal pair "(TERM, VAL)", with optional u'' / '' / "" quotes.
 PAIR_PATTERN = r"""^\(u?['"]?([^'",]*)['"]?\s*,\s*(.*)\)$"""
 # Fixed pattern: a labelled example "({feature: value, ...}, y)".
@@ -34,29 +33,55 @@ def read_docs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("text"))
 
 
+def _checked(rows: DataFrame, parsed, ok, what: str) -> DataFrame:
+    """The fields of the struct ``parsed`` of rows that are ``ok``; any other row fails the job.
+
+    The guard is a filter over the parsed line, so it holds whatever columns a query
+    reads, ``count()`` included: column pruning cannot take it away.
+    """
+    guard = F.when(ok, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit(f"malformed {what} line: "), F.col("value"))).cast("boolean")
+    )
+    # nullable fields would let the optimizer drop a guard on a constant; the line itself is not one
+    return rows.select("*", parsed.alias("_row")).where(guard).drop("value")
+
+
+RATING_PATTERN = r"^\s*([+-]?\d+)\s*,\s*([+-]?\d+)\s*,\s*([^,]+?)\s*$"
+
+
+def _rating_rows(raw: DataFrame) -> DataFrame:
+    def part(k: int, kind: str):
+        return F.regexp_extract("value", RATING_PATTERN, k).try_cast(kind)
+
+    row = F.struct(part(1, "bigint").alias("i"), part(2, "bigint").alias("j"), part(3, "double").alias("r"))
+    ok = F.col("_row.i").isNotNull() & F.col("_row.j").isNotNull() & F.col("_row.r").isNotNull()
+    return _checked(raw.where(F.trim("value") != ""), row, ok, "rating")
+
+
 def read_ratings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(i, j, r) from ``i,j,r`` lines."""
-    return (
-        spark.read.schema(RATINGS_SCHEMA)
-        .option("mode", "FAILFAST")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(_paths(path))
-    )
+    return _rating_rows(read_lines(spark, path)).select("_row.*")
 
 
-def read_folds(spark: SparkSession, folder: str, k: int) -> DataFrame:
-    """(i, j, r, fold) from ``folder/fold0`` ... ``folder/fold{k-1}``; fold from the file path."""
+def _fold_lines(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    """(value, fold) of ``folder/fold0`` ... ``folder/fold{k-1}``; fold from the file path."""
     paths = [f"{folder.rstrip('/')}/fold{f}" for f in range(k)]
-    df = (
-        spark.read.schema(RATINGS_SCHEMA)
-        .option("mode", "FAILFAST")
-        .option("ignoreLeadingWhiteSpace", True)
-        .option("ignoreTrailingWhiteSpace", True)
-        .csv(paths)
-    )
     fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(\d+)(/|$)", 1).cast("int")
-    return df.select("i", "j", "r", fold.alias("fold"))
+    return spark.read.text(paths).select("value", fold.alias("fold"))
+
+
+def read_folds(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    """(i, j, r, fold) from fold folders of ``i,j,r`` lines."""
+    return _rating_rows(_fold_lines(spark, folder, k)).select("_row.*", "fold")
+
+
+def _labelled_rows(raw: DataFrame) -> DataFrame:
+    body = F.regexp_extract("value", LABELLED_PATTERN, 1)
+    label = F.regexp_extract("value", LABELLED_PATTERN, 2)
+    x = F.from_json(body, "map<string,double>", {"allowSingleQuotes": "true", "mode": "FAILFAST"})
+    row = F.struct(x.alias("x"), label.try_cast("double").alias("y"))
+    ok = F.col("_row.x").isNotNull() & F.col("_row.y").isNotNull()
+    return _checked(raw.where(F.trim("value") != ""), row, ok, "labelled")
 
 
 def read_labelled(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -65,16 +90,12 @@ def read_labelled(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     Parsed as JSON with single quotes allowed (never evaluated as code); a line that
     does not parse fails the job.
     """
-    raw = read_lines(spark, path).where(F.trim("value") != "")
-    body = F.regexp_extract("value", LABELLED_PATTERN, 1)
-    label = F.regexp_extract("value", LABELLED_PATTERN, 2)
-    x = F.from_json(body, "map<string,double>", {"allowSingleQuotes": "true", "mode": "FAILFAST"})
-    y = label.try_cast("double")
-    bad = x.isNull() | y.isNull()
-    return raw.select(
-        F.when(bad, F.raise_error(F.concat(F.lit("malformed labelled line: "), F.col("value")))).otherwise(x).alias("x"),
-        y.alias("y"),
-    )
+    return _labelled_rows(read_lines(spark, path)).select("_row.*")
+
+
+def read_labelled_folds(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    """(x, y, fold) from fold folders of labelled lines."""
+    return _labelled_rows(_fold_lines(spark, folder, k)).select("_row.*", "fold")
 
 
 def read_pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -82,10 +103,8 @@ def read_pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     raw = read_lines(spark, path).where(F.trim("value") != "")
     term = F.regexp_extract("value", PAIR_PATTERN, 1)
     val = F.trim(F.regexp_extract("value", PAIR_PATTERN, 2)).try_cast("double")
-    return raw.select(
-        term.alias("term"),
-        F.when(val.isNull(), F.raise_error(F.concat(F.lit("malformed pair line: "), F.col("value")))).otherwise(val).alias("val"),
-    )
+    row = F.struct(term.alias("term"), val.alias("val"))
+    return _checked(raw, row, F.col("_row.val").isNotNull(), "pair").select("_row.*")
 
 
 def read_model(spark: SparkSession, path: str) -> DataFrame:
@@ -121,12 +140,16 @@ def pair_lines(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.select(F.format_string("('%s', %s)", F.col(key), F.col(value).cast("string")).alias("value"))
 
 
-def labelled_lines(X: DataFrame, E: DataFrame) -> DataFrame:
-    """(value: string) lines ``({"feature": value, ...}, y)`` for (id, feature, value) and (id, y).
+def labelled_lines(X: DataFrame, E: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(value: string, keep...) lines ``({"feature": value, ...}, y)`` for (id, feature, value) and (id, y, keep...).
 
-    One line per example; its map holds the example's own features only.
+    One line per example; its map holds the example's own features only.  A label that
+    is a whole number is written without a fraction.
     """
     maps = X.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("x"))
     rows = E.join(maps, "id", "left")
     body = F.coalesce(F.to_json("x"), F.lit("{}"))
-    return rows.select(F.format_string("(%s, %s)", body, F.col("y").cast("int").cast("string")).alias("value"))
+    y = F.col("y")
+    whole = y.cast("long")
+    label = F.when(y == whole, whole.cast("string")).otherwise(y.cast("string"))
+    return rows.select(F.format_string("(%s, %s)", body, label).alias("value"), *keep)

@@ -44,31 +44,20 @@ def ratings_folds(spark: SparkSession, sf: str, k: int = 5) -> DataFrame:
     return ratings(spark, sf).withColumn("fold", H.bucket(k, F.lit(FOLD_SEED), "i", "j").cast("int"))
 
 
-def vocab(spark: SparkSession, sf: str, size: int = 100) -> DataFrame:
-    """(term): the ``size`` terms found in most documents (ties by term)."""
-    df = terms(spark, sf).groupBy("term").agg(F.count_distinct("doc_id").alias("df"))
-    return df.orderBy(F.desc("df"), F.asc("term")).limit(size).select("term")
-
-
 def features_sparse(spark: SparkSession, sf: str) -> DataFrame:
-    """(id, feature, value, y): relative frequency of vocabulary terms in labelled documents.
+    """(id, feature, value, y): relative frequency of every term in the labelled documents.
 
-    y = 2*quality - 1.  Only documents with at least one vocabulary term have rows;
-    ``examples`` gives every labelled document.
+    y = 2*quality - 1.  Only documents with at least one term have rows;
+    ``examples`` gives every labelled document.  Documents without a label are dropped
+    before their texts are tokenised.
     """
-    # one (doc, term) count table feeds the vocabulary, the lengths and the features;
-    # it is written once to the checkpoint folder so the texts are tokenised once
-    counts = cut_lineage(terms(spark, sf).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c")))
     labels = read_table(spark, sf, "labels").select("doc_id", "quality")
+    labelled = documents(spark, sf).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    # written once to the checkpoint folder: the counts feed the lengths and the features
+    counts = cut_lineage(text_terms(labelled).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("c")))
     lengths = counts.groupBy("doc_id").agg(F.sum("c").alias("n"))
-    voc = (
-        counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        .orderBy(F.desc("df"), F.asc("term")).limit(100).select("term")
-    )
     return (
-        counts.join(F.broadcast(voc), "term")  # bounded: 100 rows
-        .join(lengths, "doc_id")
-        .join(labels, "doc_id")
+        counts.join(lengths.join(labels, "doc_id"), "doc_id")
         .select(
             F.col("doc_id").alias("id"),
             F.col("term").alias("feature"),
