@@ -20,11 +20,6 @@ def _c(x) -> Column:
     return F.lit(x)
 
 
-def literal_vector(values: Sequence[float]) -> Column:
-    """A constant ``array<double>`` (for small, bounded models only)."""
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def dot(a, b) -> Column:
     """Inner product <a, b>."""
     return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)

@@ -77,11 +77,11 @@ def row_index(df: DataFrame, order: list, by: list[str] | None = None) -> DataFr
     return indexed.withColumn("_rn", F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_off", "_first")
 
 
-def batch_metric_mean(df: DataFrame, metric: str, order: list, batch: int, by: list[str] | None = None) -> DataFrame:
-    """(by..., n_batches, batch_mean): mean over full batches of ``batch`` rows of the per-batch mean.
+def batch_metric_means(df: DataFrame, metrics: list[str], order: list, batch: int, by: list[str] | None = None) -> DataFrame:
+    """(by..., n_batches, metrics...): of each metric, the mean over full batches of ``batch`` rows of the per-batch mean.
 
-    Rows are numbered in ``order`` (per ``by`` group, e.g. train and test split); the
-    incomplete last batch of each group is dropped, as a mini-batch loop with
+    Rows are numbered in ``order`` (per ``by`` group, e.g. train and test split), once for
+    all metrics; the incomplete last batch of each group is dropped, as a mini-batch loop with
     ``int(n / batch)`` steps does.
     """
     groups = list(by or [])
@@ -93,5 +93,10 @@ def batch_metric_mean(df: DataFrame, metric: str, order: list, batch: int, by: l
     else:
         n = df.select(F.count(F.lit(1))).scalar()
         per_row = per_row.where(F.col("_b") < F.floor(n / F.lit(batch)))
-    per_batch = per_row.groupBy(*groups, "_b").agg(F.avg(metric).alias("_m"))
-    return per_batch.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_batches"), F.avg("_m").alias("batch_mean"))
+    per_batch = per_row.groupBy(*groups, "_b").agg(*[F.avg(m).alias(m) for m in metrics])
+    return per_batch.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_batches"), *[F.avg(m).alias(m) for m in metrics])
+
+
+def batch_metric_mean(df: DataFrame, metric: str, order: list, batch: int, by: list[str] | None = None) -> DataFrame:
+    """``batch_metric_means`` of one metric, as ``batch_mean``."""
+    return batch_metric_means(df, [metric], order, batch, by).withColumnRenamed(metric, "batch_mean")

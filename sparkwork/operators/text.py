@@ -104,9 +104,10 @@ def tfidf(tf_rows: DataFrame, idf_rows: DataFrame, keys: str | Sequence[str] | N
     size allows; otherwise it is a sort-merge join whose hot-term partitions AQE splits.
     """
     ks = _keys(keys)
-    return tf_rows.join(idf_rows.select("term", "idf"), "term").select(
-        *ks, "term", (F.col("tf") * F.col("idf")).alias("val")
-    )
+    # AQE splits a join's partitions only if both sides come from a shuffle of their own.  The IDF aggregate is
+    # already partitioned by term; under a key that is an expression it is shuffled once more, a row per term.
+    side = idf_rows.select(F.concat("term", F.lit("")).alias("_term"), "idf")
+    return tf_rows.join(side, F.col("term") == F.col("_term")).select(*ks, "term", (F.col("tf") * F.col("idf")).alias("val"))
 
 
 def top_terms(pairs: DataFrame, k: int = 20, value: str = "val", term: str = "term") -> DataFrame:
@@ -139,6 +140,7 @@ def cosine_to(
     term: str = "term",
     value: str = "val",
     target_max_terms: int | None = None,
+    docs: DataFrame | None = None,
 ) -> DataFrame:
     """(doc, dot, sim): cosine of every other document's score vector to ``target``'s.
 
@@ -150,7 +152,8 @@ def cosine_to(
     otherwise AQE measures the target side at run time and broadcasts it only when
     that size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (else a
     shuffle join with hot-term splitting).  Documents sharing no term get sim 0; a
-    zero norm gives NULL.
+    zero norm gives NULL.  With ``docs``, which has every document's key, those without any term
+    are in the result too: dot 0, sim NULL.
     """
     # the scores feed three branches (target vector, per-document sums, target norm):
     # write them once to the checkpoint folder instead of recomputing them per branch
@@ -168,5 +171,8 @@ def cosine_to(
         )
     )
     t_norm = per_doc.where(F.col(doc) == F.lit(target)).select(F.max("_na")).scalar()
+    if docs is not None:
+        every = docs.select(doc).distinct().join(per_doc, doc, "left")
+        per_doc = every.withColumn("dot", F.coalesce("dot", F.lit(0.0)))
     others = per_doc.where(F.col(doc) != F.lit(target))
     return others.select(doc, "dot", (F.col("dot") / F.nullif(F.col("_na") * t_norm, F.lit(0.0))).alias("sim"))

@@ -42,13 +42,15 @@ def center(df: DataFrame, vec: str, scale: float = 255.0, out: str | None = None
 def vector_sum_by(df: DataFrame, key: str | Sequence[str], vec: str, d: int, out: str = "total") -> DataFrame:
     """(key..., total): element-wise sum of d-long vectors per key.
 
-    d sum aggregates in one hash aggregate: partial sums per task before the
-    shuffle, so a hot key ships one partial row per task.
+    The elements are exploded and summed by (key, position): partial sums per task before the
+    shuffle, so a hot key ships d partial rows per task, and a plan that does not grow with d.
+    Then one array per key is made of its d sums.
     """
     keys = _list(key)
-    sums = [F.sum(F.get(F.col(vec), k)).alias(f"_s{k}") for k in range(d)]
-    agg = df.groupBy(*keys).agg(*sums)
-    return agg.select(*keys, F.array(*[F.col(f"_s{k}") for k in range(d)]).alias(out))
+    elements = df.select(*keys, F.posexplode(F.slice(vec, 1, d)).alias("_k", "_v"))
+    sums = elements.groupBy(*keys, "_k").agg(F.sum("_v").alias("_s"))
+    rows = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_k", "_s"))).alias("_e"))
+    return rows.select(*keys, F.transform("_e", lambda e: e["_s"]).alias(out))
 
 
 def explode_vector(df: DataFrame, keys: str | Sequence[str], vec: str, value: str = "value") -> DataFrame:

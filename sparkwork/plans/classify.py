@@ -1,9 +1,9 @@
 """Multiclass classifiers over vectors.
 
 * ``train_softmax``: softmax (multinomial logistic) regression by full-batch gradient
-  steps.  The model is a classes x d matrix (bounded by the label count and the
-  vector length), kept on the driver as literals; each step is one pass over the
-  data whose per-class gradient rows are hash-aggregated (partial sums per task).
+  steps.  The model is a table (c, w) of one vector per class, never on the driver; a plan
+  reads it as one scalar (bounded by the label count and the vector length).  Each step is
+  one pass over the persisted data whose per-class gradients are hash-aggregated.
 * ``train_forest`` / ``train_mlp``: Spark ML's random forest and multilayer
   perceptron in a pipeline with a fixed seed.
 """
@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import dot, literal_vector, softmax
+from ..functions.vectors import dot, softmax
 from ..operators.vectors import vector_sum_by
+from ..session import cut_lineage
 
 # The class names of the ten-class image set the reference classifies.
 IMAGE_LABEL_NAMES = ["airplane", "automobile", "bird", "cat", "deer", "dog", "frog", "horse", "ship", "truck"]
@@ -27,27 +29,29 @@ def label_names(spark, names: Sequence[str] = IMAGE_LABEL_NAMES) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "label int, name string")
 
 
-def class_scores(x: str | Column, W: Sequence[Sequence[float]]) -> Column:
-    """array of <W_c, x> for each class c (W is a small classes x d matrix)."""
-    xc = F.col(x) if isinstance(x, str) else x
-    return F.array(*[dot(xc, literal_vector(row)) for row in W])
+def zero_model(spark, n_classes: int, d: int) -> DataFrame:
+    """(c, w): one d-long zero vector per class."""
+    return spark.range(n_classes).select(F.col("id").cast("int").alias("c"), F.array_repeat(F.lit(0.0), d).alias("w"))
 
 
-def softmax_gradient(df: DataFrame, x: str, label: str, W: Sequence[Sequence[float]], d: int) -> DataFrame:
+def _matrix(W: DataFrame) -> Column:
+    """The model as one array of vectors, in class order (a scalar subquery: classes x d numbers)."""
+    return W.agg(F.transform(F.array_sort(F.collect_list(F.struct("c", "w"))), lambda e: e["w"])).scalar()
+
+
+def softmax_gradient(df: DataFrame, x: str, label: str, W: DataFrame, d: int) -> DataFrame:
     """(c, grad): mean over rows of (p_c - [label = c]) x, as d-long arrays, one row per class.
 
     Each row's residual vector is exploded to its classes and the per-class
     vector sums are one hash aggregate.
     """
-    n_classes = len(W)
     scored = predict_softmax(df.select(x, label), x, W)
     resid = F.transform("probs", lambda v, i: v - F.when(F.col(label) == i, F.lit(1.0)).otherwise(F.lit(0.0)))
     rows = scored.select(x, F.posexplode(resid).alias("c", "_r"))
     scaled = rows.select("c", F.transform(x, lambda v: v * F.col("_r")).alias("_g"))
     n = df.select(F.count(F.lit(1))).scalar()
     sums = vector_sum_by(scaled, "c", "_g", d, out="_s").withColumn("_n", n)
-    out = sums.select("c", F.transform("_s", lambda v: v / F.col("_n")).alias("grad"))
-    return out.where(F.col("c") < n_classes)
+    return sums.select("c", F.transform("_s", lambda v: v / F.col("_n")).alias("grad"))
 
 
 def train_softmax(
@@ -58,32 +62,47 @@ def train_softmax(
     d: int | None = None,
     lr: float = 0.1,
     steps: int = 1,
+    test: DataFrame | None = None,
 ):
     """Gradient descent on the mean cross-entropy from W = 0.  Returns (W, history).
 
-    ``history`` rows: (step, cross_entropy, accuracy) measured before each update.
+    ``W`` is a (c, w) table.  ``history`` rows: (step, cross_entropy, accuracy, test_cross_entropy,
+    test_accuracy) measured before each update, the last two on ``test`` (NULL without one; test
+    rows are only scored, they never move the model).
     """
     spark = df.sparkSession
+    rows = df.select(x, label).persist(StorageLevel.MEMORY_AND_DISK)
+    held = None if test is None else test.select(x, label).persist(StorageLevel.MEMORY_AND_DISK)
     if d is None:
-        d = df.select(F.max(F.size(x))).first()[0]
-    W = [[0.0] * d for _ in range(n_classes)]
+        d = rows.select(F.max(F.size(x))).first()[0]
+    W = zero_model(spark, n_classes, d)
     hist = []
     for s in range(steps):
-        m = evaluate_softmax(df, x, label, W).first()
-        hist.append((s, m["cross_entropy"], m["accuracy"]))
-        grads = {r["c"]: r["grad"] for r in softmax_gradient(df, x, label, W, d).collect()}  # classes x d numbers
-        W = [[w - lr * g for w, g in zip(W[c], grads.get(c, [0.0] * d))] for c in range(n_classes)]
-    return W, spark.createDataFrame(hist, "step int, cross_entropy double, accuracy double")
-
-
-def predict_softmax(df: DataFrame, x: str, W: Sequence[Sequence[float]]) -> DataFrame:
+        m = evaluate_softmax(rows, x, label, W).first()
+        t = (None, None)
+        if held is not None:
+            e = evaluate_softmax(held, x, label, W).first()
+            t = (e["cross_entropy"], e["accuracy"])
+        hist.append((s, m["cross_entropy"], m["accuracy"], *t))
+        grad = softmax_gradient(rows, x, label, W, d)
+        moved = F.zip_with("w", F.coalesce("grad", F.array_repeat(F.lit(0.0), d)), lambda w, g: w - F.lit(lr) * g)
+        W = cut_lineage(W.join(grad, "c", "left").select("c", moved.alias("w")))
+    rows.unpersist()
+    if held is not None:
+        held.unpersist()
+    schema = "step int, cross_entropy double, accuracy double, test_cross_entropy double, test_accuracy double"
+    return W, spark.createDataFrame(hist, schema)
+
+
+def predict_softmax(df: DataFrame, x: str, W: DataFrame) -> DataFrame:
     """Adds ``probs`` (softmax of the class scores) and ``pred`` (first arg-max)."""
-    # staged columns: a lambda must reference the scores, not re-evaluate them per element
-    out = df.withColumn("_scores", class_scores(x, W)).withColumn("probs", softmax(F.col("_scores"))).drop("_scores")
+    # staged columns: a lambda must reference the model and the scores, not re-evaluate them per element
+    out = df.withColumn("_W", _matrix(W)).withColumn("_scores", F.transform("_W", lambda w: dot(F.col(x), w)))
+    out = out.withColumn("probs", softmax(F.col("_scores"))).drop("_scores", "_W")
     return out.withColumn("pred", (F.array_position("probs", F.array_max("probs")) - 1).cast("int"))
 
 
-def evaluate_softmax(df: DataFrame, x: str, label: str, W) -> DataFrame:
+def evaluate_softmax(df: DataFrame, x: str, label: str, W: DataFrame) -> DataFrame:
     """One row (n, cross_entropy, accuracy)."""
     scored = predict_softmax(df, x, W)
     p_true = F.element_at("probs", F.col(label).cast("int") + 1)

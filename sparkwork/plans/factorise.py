@@ -138,10 +138,12 @@ def step(
     p <- p - gamma * sum over the key's ratings of (2 delta other + 2 lam p)
     (``weighted=False``: the regulariser once per key, as the stated objective has it).
     """
-    rows = J.select(
-        key, F.col(own).alias("own"), F.col(other).alias("other"), "delta", F.lit(float(lam)).alias("_lam")
+    # through a generator the key loses the join's partitioning: the sums get a shuffle of their own, after partial
+    # sums, and AQE may split the join's hot keys
+    row = F.struct(
+        F.col(key).alias(key), F.col(own).alias("own"), F.col(other).alias("other"), F.lit(float(lam)).alias("_lam")
     )
-    return _step_sums(rows, [key], d, gamma, weighted)
+    return _step_sums(J.select("delta", F.inline(F.array(row))), [key], d, gamma, weighted)
 
 
 def joint_step(
@@ -237,7 +239,8 @@ def train_mf(
     """
     p = params or MFParams()
     spark = R.sparkSession
-    keep = cut_lineage if materialize else (lambda df: df)
+    # a repartitioned table is written in any case: each iteration would deal it anew
+    keep = cut_lineage if materialize or p.partitions else (lambda df: df)
     R = R.select("i", "j", "r").dropna()  # NULL user, item or rating: not a rating
     if p.partitions:
         R = R.repartition(p.partitions)  # round-robin: even tasks whatever the key skew
@@ -327,7 +330,8 @@ def cross_validate_mf(
             last = h.orderBy(F.desc("iter")).first()
             rows.append((f, train.count(), test.count(), last["test_rmse"], last["test_rmse_all_rows"]))
     out = spark.createDataFrame(rows, "fold int, n_train bigint, n_test bigint, test_rmse double, test_rmse_all_rows double")
-    return out.withColumn("mean_rmse", F.lit(sum(r[3] for r in rows) / len(rows)))
+    scored = [r[3] for r in rows if r[3] is not None]  # a fold none of whose ratings can be scored has no RMSE
+    return out.withColumn("mean_rmse", F.lit(sum(scored) / len(scored) if scored else None).cast("double"))
 
 
 def with_params(p: MFParams, **kw) -> MFParams:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import text as T
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import files as FI
 from ..sources import fixtures as X
 from ..sources.tables import read_table
@@ -26,12 +26,17 @@ def q_ratings_scan(spark, sf):
     return FI.read_ratings(spark, path).select("i", "j", F.round("r", 6).alias("r"))
 
 
-def q_folds_scan(spark, sf):
-    base = scratch_path(spark, "folds")
-    rf = X.ratings_folds(spark, sf)
+def _fold_files(spark, sf, name):
+    """fold0 .. fold4 of the ratings as text folders, from one derivation."""
+    base = scratch_path(spark, name)
+    rows = cut_lineage(X.ratings_folds(spark, sf).select(F.concat_ws(",", "i", "j", "r").alias("value"), "fold"))
     for f in range(5):
-        lines = rf.where(F.col("fold") == f).select(F.concat_ws(",", "i", "j", "r").alias("value"))
-        FI.write_table(lines, f"{base}/fold{f}", "text")
+        FI.write_table(rows.where(F.col("fold") == f).select("value"), f"{base}/fold{f}", "text")
+    return base
+
+
+def q_folds_scan(spark, sf):
+    base = _fold_files(spark, sf, "folds")
     return FI.read_folds(spark, base, 5).select("i", "j", F.round("r", 6).alias("r"), "fold")
 
 
@@ -106,11 +111,9 @@ def q_tfidf_files(spark, sf):
 
 def q_cosine_files(spark, sf):
     """SIM mode: the TF-IDF scores of two documents, each read from a pair file."""
-    from ..session import cut_lineage
+    from .text import two_documents
 
-    docs = X.documents(spark, sf)
-    tf = T.tf(T.terms(docs))
-    s = cut_lineage(T.tfidf(tf, T.idf_from_tf(tf, docs)))
+    s = two_documents(spark, sf)
     a = _pair_file(spark, s.where("doc_id = 0"), "term", "val", "sim-a")
     b = _pair_file(spark, s.where("doc_id = 1"), "term", "val", "sim-b")
     return T.cosine(a, b).select(*[F.round(c, 6).alias(c) for c in ("dot", "norm_a", "norm_b", "sim")])
@@ -120,10 +123,7 @@ def q_mf_cv_from_folds(spark, sf):
     """The reference's flow: ratings read from fold0..fold4 files, 5-fold CV, 2 iterations per fold."""
     from ..plans import factorise as MF
 
-    base = scratch_path(spark, "mf-folds")
-    rf = X.ratings_folds(spark, sf)
-    for f in range(5):
-        FI.write_table(rf.where(F.col("fold") == f).select(F.concat_ws(",", "i", "j", "r").alias("value")), f"{base}/fold{f}", "text")
+    base = _fold_files(spark, sf, "mf-folds")
     cv = MF.cross_validate_mf(FI.read_folds(spark, base, 5), 5, MF.MFParams(maxiter=2), fold_col="fold")
     return cv.select(
         "fold", "n_train", "n_test", *[F.round(c, 6).alias(c) for c in ("test_rmse", "test_rmse_all_rows", "mean_rmse")]

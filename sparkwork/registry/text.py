@@ -58,17 +58,24 @@ def q_top_terms(spark, sf):
     return T.top_terms(pairs, 20)
 
 
-def q_cosine_pair(spark, sf):
+def two_documents(spark, sf):
+    """TF-IDF scores of documents 0 and 1: only the IDF needs the whole corpus."""
     from ..session import cut_lineage
 
-    s = cut_lineage(_tfidf(spark, sf))  # both score sets and both norms read it
+    docs = _docs(spark, sf)
+    tf = T.tf(T.terms(docs.where(F.col("doc_id").isin(0, 1))))
+    return cut_lineage(T.tfidf(tf, T.idf(docs)))  # two documents' rows, read several times
+
+
+def q_cosine_pair(spark, sf):
+    s = two_documents(spark, sf)
     a = s.where("doc_id = 0").select("term", "val")
     b = s.where("doc_id = 1").select("term", "val")
     return T.cosine(a, b).select(*[F.round(c, R6).alias(c) for c in ("dot", "norm_a", "norm_b", "sim")])
 
 
 def q_cosine_one_to_many(spark, sf):
-    return T.cosine_to(_tfidf(spark, sf), 0).select(
+    return T.cosine_to(_tfidf(spark, sf), 0, docs=_docs(spark, sf)).select(
         "doc_id", F.round("dot", R6).alias("dot"), F.round("sim", R6).alias("sim")
     )
 
@@ -129,7 +136,8 @@ ORACLE = {
         with s as ({_TFIDF}),
         t as (select term, val from s where doc_id = 0),
         tn as (select sqrt(sum(val * val)) as nb from t),
-        o as (select doc_id, sqrt(sum(val * val)) as na from s where doc_id <> 0 group by doc_id),
+        o as (select d.doc_id, sqrt(sum(s.val * s.val)) as na from (select distinct doc_id from documents) d
+              left join s on s.doc_id = d.doc_id where d.doc_id <> 0 group by d.doc_id),
         d as (select s.doc_id, sum(s.val * t.val) as dot from s join t on s.term = t.term
               where s.doc_id <> 0 group by s.doc_id)
         select o.doc_id, round(coalesce(d.dot, 0.0), 6) as dot,

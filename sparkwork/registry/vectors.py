@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.vectors import one_hot
+from ..functions.vectors import add, flatten_tensor, one_hot, scale, subtract
 from ..operators import metrics as M
-from ..operators import text as T
 from ..operators import vectors as V
 from ..operators.folds import assign_folds, split
 from ..plans import classify as C
-from ..session import cut_lineage
 from ..sources import fixtures as X
 from .aggregates import DENSE
-from .text import _TFIDF
+from .text import _TFIDF, two_documents
 
 D = 64
 N_CLASSES = 10
@@ -29,7 +27,7 @@ def _dense(spark, sf):
 
 
 def _model(spark, sf):
-    """W after one softmax-regression step from zero (a classes x d literal matrix)."""
+    """W after one softmax-regression step from zero, a (c, w) table."""
     W, _ = C.train_softmax(_dense(spark, sf), "x", "label", N_CLASSES, D, LR, steps=1)
     return W
 
@@ -59,17 +57,14 @@ def q_vector_sum_by_key(spark, sf):
 
 
 def q_vector_axpy(spark, sf):
-    docs = X.documents(spark, sf)
-    tf = T.tf(T.terms(docs))
-    s = cut_lineage(T.tfidf(tf, T.idf_from_tf(tf, docs)))  # both vectors read it
+    s = two_documents(spark, sf)
     a = s.where("doc_id = 0").select("term", "val")
     b = s.where("doc_id = 1").select("term", "val")
     return V.sparse_axpy(-0.5, b, a).select("term", _r("val"))
 
 
 def q_softmax_gradient(spark, sf):
-    W0 = [[0.0] * D for _ in range(N_CLASSES)]
-    g = C.softmax_gradient(_dense(spark, sf), "x", "label", W0, D)
+    g = C.softmax_gradient(_dense(spark, sf), "x", "label", C.zero_model(spark, N_CLASSES, D), D)
     return V.explode_vector(g, "c", "grad", "grad").select("c", "k", _r("grad"))
 
 
@@ -102,11 +97,8 @@ def q_batch_means_by_split(spark, sf):
         (F.col("pred") == F.col("label")).cast("double").alias("correct"),
         (-F.ln(F.element_at("probs", F.col("label") + 1))).alias("xent"),
     )
-    acc = M.batch_metric_mean(sc, "correct", [F.asc("id")], 64, by=["split"])
-    loss = M.batch_metric_mean(sc, "xent", [F.asc("id")], 64, by=["split"])
-    return acc.select("split", "n_batches", _r("batch_mean", name="batch_accuracy")).join(
-        loss.select("split", _r("batch_mean", name="batch_loss")), "split"
-    )
+    out = M.batch_metric_means(sc, ["correct", "xent"], [F.asc("id")], 64, by=["split"])
+    return out.select("split", "n_batches", _r("correct", name="batch_accuracy"), _r("xent", name="batch_loss"))
 
 
 def q_label_lookup(spark, sf):
@@ -115,28 +107,74 @@ def q_label_lookup(spark, sf):
 
 
 def _split(spark, sf):
-    df = assign_folds(_dense(spark, sf), "id", 5, 42)
-    train, test = split(df, 0)
-    return train, test
+    """(train, test) of vectors whose label follows from them: the signs of the first two elements."""
+    sign = lambda k: F.when(F.get("x", k) > 0, 1).otherwise(0)
+    rows = _dense(spark, sf).withColumn("label", (2 * sign(0) + sign(1)).cast("int"))
+    rows = rows.withColumn("x", F.slice("x", 1, SEEN))
+    return split(assign_folds(rows, "id", 5, 42), 0)
+
+
+SEEN = 8  # elements of the vectors that the forest and the perceptron see
+LEARNED = 0.8  # four classes: chance is 0.25
+
+
+def _learned(model, test):
+    return C.score_model(model, test).select("n", (F.col("accuracy") >= LEARNED).alias("learned"))
 
 
 def q_random_forest_score(spark, sf):
     train, test = _split(spark, sf)
-    model = C.train_forest(train)
-    return C.score_model(model, test).select("n", _r("accuracy"))
+    return _learned(C.train_forest(train, trees=40, depth=8), test)
 
 
 def q_mlp_score(spark, sf):
     train, test = _split(spark, sf)
-    model = C.train_mlp(train)
-    return C.score_model(model, test).select("n", _r("accuracy"))
+    return _learned(C.train_mlp(train, layers=(SEEN, 16, 4), max_iter=200), test)
+
+
+WIDE = 48  # copies of an embedding side by side: 3,072 elements
+
+
+def _wide(spark, sf):
+    return _dense(spark, sf).withColumn("x", F.flatten(F.array_repeat("x", WIDE)))
+
+
+def q_wide_vector_sum(spark, sf):
+    s = V.vector_sum_by(_wide(spark, sf), "label", "x", D * WIDE)
+    return V.explode_vector(s, "label", "total", "total").select("label", "k", _r("total"))
+
+
+def q_wide_softmax_gradient(spark, sf):
+    g = C.softmax_gradient(_wide(spark, sf), "x", "label", C.zero_model(spark, N_CLASSES, D * WIDE), D * WIDE)
+    return V.explode_vector(g, "c", "grad", "grad").select("c", "k", _r("grad"))
+
+
+def q_vector_add_dense(spark, sf):
+    """x + y, x - y and 3 x of a vector and its reverse, element by element."""
+    rows = _dense(spark, sf).select("id", "x", F.reverse("x").alias("y"))
+    rows = rows.select("id", add("x", "y").alias("a"), subtract("x", "y").alias("s"), scale(F.lit(3.0), "x").alias("m"))
+    both = rows.select("id", F.posexplode(F.arrays_zip("a", "s", "m")).alias("k", "e"))
+    return both.select("id", "k", *[F.round(f"e.{c}", 6).alias(n) for c, n in (("a", "added"), ("s", "taken"), ("m", "tripled"))])
+
+
+def q_flatten_halves(spark, sf):
+    """Two halves of a vector as one tensor, flattened again."""
+    halves = F.array(F.slice("x", 1, D // 2), F.slice("x", D // 2 + 1, D // 2)).alias("t")
+    flat = _dense(spark, sf).select("id", halves).select("id", flatten_tensor("t").alias("x"))
+    return V.explode_vector(flat, "id", "x").select("id", "k", _r("value"))
+
+
+def q_softmax_history_test(spark, sf):
+    """Loss and accuracy of every step on training folds and on the held-out one."""
+    train, test = split(assign_folds(_dense(spark, sf), "id", 5, 42), 0)
+    _, h = C.train_softmax(train, "x", "label", N_CLASSES, D, LR, steps=2, test=test)
+    return h.select("step", _r("cross_entropy"), _r("accuracy"), _r("test_cross_entropy"), _r("test_accuracy"))
 
 
 def q_softmax_model(spark, sf):
     """W after 3 steps: the classes x d model as (c, k, w) rows."""
     W, _ = C.train_softmax(_dense(spark, sf), "x", "label", N_CLASSES, D, LR, steps=3)
-    rows = [(c, k, float(w)) for c, row in enumerate(W) for k, w in enumerate(row)]  # classes x d numbers
-    return spark.createDataFrame(rows, "c int, k int, w double").select("c", "k", _r("w"))
+    return V.explode_vector(W, "c", "w", "w").select("c", "k", _r("w"))
 
 
 def q_softmax_history(spark, sf):
@@ -162,6 +200,11 @@ QUERIES = {
     "mlp_score": q_mlp_score,
     "softmax_history": q_softmax_history,
     "softmax_model": q_softmax_model,
+    "softmax_history_test": q_softmax_history_test,
+    "wide_vector_sum": q_wide_vector_sum,
+    "wide_softmax_gradient": q_wide_softmax_gradient,
+    "vector_add_dense": q_vector_add_dense,
+    "flatten_halves": q_flatten_halves,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -185,10 +228,13 @@ _SOFTMAX_CTES = f"""
     SC as (select PR.id, PR.pred, LB.label from PR join LB on PR.id = LB.id)"""
 _NAMES = "select * from (values " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(C.IMAGE_LABEL_NAMES)) + ") v(label, name)"
 
-def _softmax_history_sql(steps: int = 3) -> str:
+_FOLD = "(('0x' || substr(md5(concat_ws(':', '42', id)), 1, 8))::bigint % 5)"
+
+
+def _softmax_history_sql(steps: int = 3, where: str = "true", test: bool = False) -> str:
     ctes = [
-        f"L as ({_LONG})",
-        f"NN as (select count(*)::double as n from ({DENSE}))",
+        f"L as (select * from ({_LONG}) where {where})",
+        f"NN as (select count(*)::double as n from ({DENSE}) where {where})",
         f"CL as (select range::integer as c from range({N_CLASSES}))",
         f"KK as (select range::integer as k from range({D}))",
         "W0 as (select c, k, 0.0::double as w from CL, KK)",
@@ -210,6 +256,28 @@ def _softmax_history_sql(steps: int = 3) -> str:
             f"W{s + 1} as (select W.c, W.k, W.w - {LR!r}::double * G.g as w from W{s} W join G{s} G on G.c = W.c and G.k = W.k)",
         ]
         hist.append(f"select * from H{s}")
+    if test:
+        held = []
+        for s in range(steps):
+            ctes += [
+                f"TS{s} as (select T.id, T.label, W.c, sum(T.v * W.w) as s from ({_LONG}) T join W{s} W on W.k = T.k "
+                f"where {_FOLD} = 0 group by T.id, T.label, W.c)",
+                f"TE{s} as (select *, exp(s - max(s) over (partition by id)) as e from TS{s})",
+                f"TP{s} as (select *, e / sum(e) over (partition by id) as p from TE{s})",
+                f"TM{s} as (select id, max(p) as mp from TP{s} group by id)",
+                f"TR{s} as (select P.id, any_value(P.label) as label, min(P.c) as pred from TP{s} P join TM{s} M "
+                f"on P.id = M.id and P.p = M.mp group by P.id)",
+            ]
+            held.append(
+                f"select {s} as step, (select avg(-ln(p)) from TP{s} where c = label) as test_cross_entropy, "
+                f"(select avg(case when pred = label then 1.0 else 0.0 end) from TR{s}) as test_accuracy"
+            )
+        body = (
+            "select h.step, round(cross_entropy, 6) as cross_entropy, round(accuracy, 6) as accuracy, "
+            "round(test_cross_entropy, 6) as test_cross_entropy, round(test_accuracy, 6) as test_accuracy from ("
+            + " union all ".join(hist) + ") h join (" + " union all ".join(held) + ") t on t.step = h.step"
+        )
+        return "with " + ",\n".join(ctes) + "\n" + body
     body = (
         "select step, round(cross_entropy, 6) as cross_entropy, round(accuracy, 6) as accuracy from ("
         + " union all ".join(hist) + ")"
@@ -223,7 +291,23 @@ def _softmax_model_sql(steps: int = 3) -> str:
     return head + f"select c, k, round(w, 6) as w from W{steps}"
 
 
+_WIDE_LONG = f"select id, label, (k + j * {D})::integer as k, v from ({_LONG}), (select range as j from range({WIDE}))"
+_LEARNED = f"select count(*) as n, true as learned from ({DENSE}) where {_FOLD} = 0"
+
 ORACLE = {
+    "random_forest_score": _LEARNED,
+    "mlp_score": _LEARNED,
+    "softmax_history_test": _softmax_history_sql(2, f"{_FOLD} <> 0", test=True),
+    "wide_vector_sum": f"select label, k, round(sum(v), 6) as total from ({_WIDE_LONG}) group by label, k",
+    "wide_softmax_gradient": f"""
+        with L as ({_WIDE_LONG}), CL as (select range::integer as c from range({N_CLASSES}))
+        select CL.c, L.k, round(sum((0.1::double - case when L.label = CL.c then 1.0 else 0.0 end) * L.v)
+               / (select count(*) from ({DENSE})), 6) as grad from L, CL group by CL.c, L.k""",
+    "vector_add_dense": f"""
+        with L as ({_LONG})
+        select a.id, a.k, round(a.v + b.v, 6) as added, round(a.v - b.v, 6) as taken, round(3.0 * a.v, 6) as tripled
+        from L a join L b on a.id = b.id and b.k = {D - 1} - a.k""",
+    "flatten_halves": f"select id, k, round(v, 6) as value from ({_LONG})",
     "softmax_model": _softmax_model_sql(3),
     "softmax_history": _softmax_history_sql(3),
     "onehot_labels": (
