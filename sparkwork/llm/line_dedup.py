@@ -132,7 +132,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = stored(removable_lines(docs, min_words), "removed-lines")
     gone = gone.withColumnsRenamed({"doc_id": "gone_id", "tie": "gone_tie"})
     met = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("tie") == F.col("gone_tie"))
-    out = docs.join(gone, met, "left")
+    out = docs.join(gone.hint("merge"), met, "left")  # one plan whatever the number of removed lines
     lines = text_lines()
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
