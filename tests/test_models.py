@@ -158,3 +158,22 @@ def test_map_to_sparse(spark):
     df = spark.createDataFrame([({"a": 1.0, "b": 2.0}, 1.0), ({}, -1.0)], "x map<string,double>, y double")
     X, E = LN.map_to_sparse(df)
     assert X.count() == 2 and E.count() == 2
+
+
+def test_line_search_goes_on_until_a_step_is_accepted(spark):
+    """The loss is a sum: with large values the accepted size lies far beyond one batch of candidates."""
+    rows = [(i, float(i % 7) * 3e4, float(i % 5) * 3e4) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    X = df.select("id", F.lit("a").alias("feature"), F.col("x").alias("value"))
+    _, hist = LN.train_linear(X, df.select("id", "y"), LN.LinearParams(loss="squared", max_iter=2, candidates=6, eps=1e-3))
+    steps = hist.orderBy("iter").collect()
+    assert steps[0].gamma < 2**-30 and all(r.line_search_ok for r in steps)
+    assert steps[1].loss < steps[0].loss and not steps[0].converged
+
+
+def test_a_fold_without_scored_ratings_has_no_rmse(spark):
+    # no user of fold 1 has ratings elsewhere, and the other way round
+    rows = [(i, j, 1.0, i % 2) for i in range(4) for j in range(2)]
+    R = spark.createDataFrame([(i, j + 10 * f, r, f) for i, j, r, f in rows], "i long, j long, r double, fold int")
+    got = MF.cross_validate_mf(R, 2, MF.MFParams(d=2, maxiter=1), fold_col="fold").collect()
+    assert [r.test_rmse for r in got] == [None, None] and got[0].mean_rmse is None

@@ -39,6 +39,36 @@ def test_read_labelled_and_pairs(spark):
     assert got == [("foo", 3.0), ("bar", 3.5), ("baz", 2.0)]
 
 
+@pytest.mark.parametrize("columns", [None, ["i"], ["j"], ["r"], ["i", "r"]])
+def test_bad_ratings_fail_whatever_is_read(spark, columns):
+    d = tempfile.mkdtemp(prefix="sw-test-")
+    for k, bad in enumerate(["1,x,2", "1,2,abc", "1,2", "1,2,3,4", "x,2,3"]):
+        _write(f"{d}/{k}.csv", f"1,2,3.5\n{bad}\n")
+        with pytest.raises(Exception, match="malformed rating line"):
+            rows = FI.read_ratings(spark, f"{d}/{k}.csv")
+            rows.select(*columns).collect() if columns else rows.count()
+
+
+@pytest.mark.parametrize("columns", [None, ["x"], ["y"]])
+def test_bad_labelled_lines_fail_whatever_is_read(spark, columns):
+    d = tempfile.mkdtemp(prefix="sw-test-")
+    for k, bad in enumerate(["({'a': 1}, z)", "(['a'], 1)", "({'a': }, 1)", "nothing"]):
+        _write(f"{d}/{k}.txt", "({'a': 1}, 1)\n" + bad + "\n")
+        with pytest.raises(Exception):
+            rows = FI.read_labelled(spark, f"{d}/{k}.txt")
+            rows.select(*columns).collect() if columns else rows.count()
+
+
+@pytest.mark.parametrize("columns", [None, ["term"], ["val"]])
+def test_bad_pairs_fail_whatever_is_read(spark, columns):
+    d = tempfile.mkdtemp(prefix="sw-test-")
+    for k, bad in enumerate(["(a, b)", "a, 3", "('a' 3)"]):
+        _write(f"{d}/{k}.txt", f"('a', 1)\n{bad}\n")
+        with pytest.raises(Exception, match="malformed pair line"):
+            rows = FI.read_pairs(spark, f"{d}/{k}.txt")
+            rows.select(*columns).collect() if columns else rows.count()
+
+
 def test_read_docs_and_sink_refuses_overwrite(spark):
     d = tempfile.mkdtemp(prefix="sw-test-")
     _write(f"{d}/a.txt", "x y\nz")
