@@ -69,9 +69,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and return a short-lineage copy.
 
-    Reliable checkpoints survive lost executors (unlike local checkpoints), and the
-    physical partitioning of ``df`` is kept, so a following aggregation on the same
-    key needs no new shuffle.
+    Reliable checkpoints survive lost executors (unlike local checkpoints).  The copy does not
+    tell its partitioning to later plans: an aggregation or join on the same key shuffles it again.
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
