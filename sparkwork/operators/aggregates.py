@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
-from ..session import fits_broadcast
+from ..session import cut_lineage, fits_broadcast
 
 
 def _list(x: str | Sequence[str] | None) -> list[str]:
@@ -106,28 +106,28 @@ def balanced_sample(
 
     # state per class: rows still to take (need) and the hash prefix (_p) resolved so far
     m = counts.select(F.min("n")).scalar()
-    state = counts.select(label, m.alias("need"), F.lit(0).cast("bigint").alias("_p")).cache()
+    state = cut_lineage(counts.select(label, m.alias("need"), F.lit(0).cast("bigint").alias("_p")))
     mask = (1 << level_bits) - 1
+    # label, hash and key are written once; each level reads what shares the prefix resolved before it
+    left = cut_lineage(rows.select(label, F.col(key).alias("_key"), "_h"))
     for lvl in range(total_bits // level_bits):
         shift = total_bits - (lvl + 1) * level_bits
-        cand = rows.join(small(state), label).where(F.shiftright("_h", shift + level_bits) == F.col("_p"))
-        hist = cand.groupBy(label, "need", "_p", F.shiftright("_h", shift).bitwiseAND(F.lit(mask)).alias("_b")).agg(
-            F.count(F.lit(1)).alias("_c")
-        )
-        cum = hist.withColumn("_cum", F.sum("_c").over(Window.partitionBy(label).orderBy("_b")))
+        bucket = F.shiftright("_h", shift).bitwiseAND(F.lit(mask))
+        hist = left.groupBy(label, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
+        cum = hist.withColumn("_cum", F.sum("_c").over(Window.partitionBy(label).orderBy("_b"))).join(small(state), label)
         hit = cum.where((F.col("_cum") >= F.col("need")) & (F.col("_cum") - F.col("_c") < F.col("need")))
-        nxt = hit.select(
-            label,
-            (F.col("need") - (F.col("_cum") - F.col("_c"))).alias("need"),
-            (F.shiftleft("_p", level_bits) + F.col("_b")).alias("_p"),
-        ).cache()
-        nxt.count()
-        state.unpersist()
-        state = nxt
-    marked = rows.join(small(state), label)
-    below = marked.where(F.col("_h") < F.col("_p"))
-    tie_rows = marked.where(F.col("_h") == F.col("_p"))
-    tie_w = Window.partitionBy(label, "_h").orderBy(key)
-    ties = tie_rows.withColumn("_r", F.row_number().over(tie_w)).where(F.col("_r") <= F.col("need")).drop("_r")
+        state = cut_lineage(
+            hit.select(
+                label,
+                (F.col("need") - (F.col("_cum") - F.col("_c"))).alias("need"),
+                (F.shiftleft("_p", level_bits) + F.col("_b")).alias("_p"),
+            )
+        )
+        same = F.shiftright("_h", shift) == F.col("_p")
+        left = cut_lineage(left.join(small(state.select(label, "_p")), label).where(same).drop("_p"))
+    below = rows.join(small(state), label).where(F.col("_h") < F.col("_p"))
+    tie_w = Window.partitionBy(label, "_h").orderBy("_key")  # rows of one 60-bit hash
+    ties = left.withColumn("_r", F.row_number().over(tie_w)).join(small(state), label).where(F.col("_r") <= F.col("need"))
+    ties = rows.join(ties.select(F.col(label).alias("_label"), "_key"), (F.col(label) == F.col("_label")) & (F.col(key) == F.col("_key")), "left_semi")
     cols = df.columns
     return below.select(*cols).unionByName(ties.select(*cols))

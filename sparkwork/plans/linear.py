@@ -195,13 +195,19 @@ def _example_columns(E: DataFrame) -> list[str]:
     return [c for c in ("id", "y", "s", "salts") if c in E.columns]
 
 
-def products(X: DataFrame, w: DataFrame, n_w: int, by_feature: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
+def products(
+    X: DataFrame,
+    w: DataFrame,
+    n_w: int,
+    by_feature: tuple[DataFrame, DataFrame | None] | None = None,
+    row_bytes: int = 64,
+) -> DataFrame:
     """(id, p): p = <w, x> for w(feature, w) of ``n_w`` rows; examples without a known feature are absent.
 
     ``w`` is broadcast if its size allows; else it is shuffled to meet ``by_feature``
     (see ``prepare_by_feature``), if there is one, or meets X by a shuffle join.
     """
-    if fits_broadcast(w.sparkSession, n_w, 64):
+    if fits_broadcast(w.sparkSession, n_w, row_bytes):
         met = X.join(F.broadcast(w), "feature")
     elif by_feature is not None:
         laid, hot = by_feature
@@ -214,9 +220,9 @@ def products(X: DataFrame, w: DataFrame, n_w: int, by_feature: tuple[DataFrame,
 
 
 # ------------------------------------------------------------------ pieces
-def margins(X: DataFrame, E: DataFrame, beta: DataFrame, n_beta: int, by_feature=None) -> DataFrame:
+def margins(X: DataFrame, E: DataFrame, beta: DataFrame, n_beta: int, by_feature=None, row_bytes: int = 64) -> DataFrame:
     """(id, y, s): s = <beta, x>; examples without a known feature get s = 0."""
-    p = products(X, beta.select("feature", F.col("beta").alias("w")), n_beta, by_feature)
+    p = products(X, beta.select("feature", F.col("beta").alias("w")), n_beta, by_feature, row_bytes)
     return E.join(p, "id", "left").select(*_example_columns(E), F.coalesce(F.col("p"), F.lit(0.0)).alias("s"))
 
 
@@ -242,9 +248,11 @@ def gradient(X: DataFrame, EM: DataFrame, beta: DataFrame, loss: str, lam: float
     return data.unionByName(reg).groupBy("feature").agg(F.sum("g").alias("grad"))
 
 
-def direction_margins(X: DataFrame, EM: DataFrame, grad: DataFrame, n_grad: int, by_feature=None) -> DataFrame:
+def direction_margins(
+    X: DataFrame, EM: DataFrame, grad: DataFrame, n_grad: int, by_feature=None, row_bytes: int = 64
+) -> DataFrame:
     """(id, y, s, gs): adds gs = <grad, x> per example."""
-    p = products(X, grad.select("feature", F.col("grad").alias("w")), n_grad, by_feature)
+    p = products(X, grad.select("feature", F.col("grad").alias("w")), n_grad, by_feature, row_bytes)
     return EM.join(p, "id", "left").select(*_example_columns(EM), F.coalesce(F.col("p"), F.lit(0.0)).alias("gs"))
 
 
@@ -344,9 +352,11 @@ def train_linear(
     Xp, Ep = prepare_sparse(X, E, p.partitions, p.max_rows_per_example)
     beta = cut_lineage(beta0.select("feature", "beta")) if beta0 is not None else empty_beta(spark)
     n_beta = beta.count()
-    n_features = Xp.agg(F.count_distinct("feature").alias("n")).first()["n"]
-    by_feature = None if fits_broadcast(spark, max(n_features, n_beta), 64) else prepare_by_feature(Xp, p.partitions)
-    EM = cut_lineage(margins(Xp, Ep, beta, n_beta, by_feature))
+    seen = Xp.agg(F.count_distinct("feature").alias("n"), F.max(F.octet_length("feature")).alias("longest")).first()
+    row_bytes = 64 + (seen["longest"] or 0)  # no name is longer, so the size check holds for any names
+    fits = fits_broadcast(spark, max(seen["n"], n_beta), row_bytes)
+    by_feature = None if fits else prepare_by_feature(Xp, p.partitions)
+    EM = cut_lineage(margins(Xp, Ep, beta, n_beta, by_feature, row_bytes))
     L = total_loss(EM, p.loss, p.lam, beta).first()["loss"]
     history = []
     k, gnorm = 0, 2 * p.eps
@@ -362,7 +372,7 @@ def train_linear(
         ).first()
         n_grad, g2, bg, b2 = g["n"], g["g2"] or 0.0, g["bg"] or 0.0, g["b2"] or 0.0
         gnorm = math.sqrt(g2)
-        EMG = cut_lineage(direction_margins(Xp, EM, grad, n_grad, by_feature))
+        EMG = cut_lineage(direction_margins(Xp, EM, grad, n_grad, by_feature, row_bytes))
         chosen = search_step(EMG, p, L, g2, bg, b2)
         gamma = chosen["gamma"]
         beta = cut_lineage(update_beta(beta, grad, gamma))
