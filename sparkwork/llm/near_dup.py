@@ -9,18 +9,19 @@ similarity.  Only points before a time that depends on the document's weight are
 
 Candidates.  Documents of equal word sequences are one node.  Nodes that share a band of components are in one
 bucket.  First each bucket's nodes are compared with one of them (a star, linear in the bucket); rounds with other
-centres follow while large buckets still hold several groups.  What is left is compared exhaustively between
-the groups of a bucket, in blocks of bounded size, after the signatures' own estimate.  A pair that
-is compared is verified on the shingle multisets of the whole texts.
+centres follow while large buckets still hold many groups.  What is left is compared exhaustively between
+the groups of a bucket: the nodes outside the bucket's largest group are cut into blocks of bounded size that
+every node of the bucket meets.  Signatures tell which nodes of a block have a likely partner there, and those nodes'
+whole texts are compared through an inverted index of the block's shingles.  No pairs are written but links.
 
 Large buckets, centres and groups are split: joins on them are over written tables, which adaptive execution
-can split, comparisons are dealt by centre and salt, and aggregates combine before they are shuffled.
+can split, comparisons are dealt by centre and salt or by block, and aggregates combine before they are shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ COMPONENTS = BANDS * ROWS
 SURE = 0.65  # estimates below it are not verified: four deviations of a pair at 0.8
 STAR_SALT = 256  # comparisons of one centre in one group
 BLOCK = 256  # nodes of one side in an exhaustive comparison
-MAX_STARS = 8  # star rounds before the exhaustive one
-EXCESS = 4  # star rounds go on while the exhaustive one would read more than so many times the buckets' rows
+MAX_STARS = 3  # star rounds before the exhaustive one
+EXCESS = 8  # star rounds go on while the exhaustive one would read more than so many times the buckets' rows
 BATCH = 1 << 22  # bytes of texts whose signatures are made at once
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what stands between words
 WORD_TABLE = np.frombuffer(WORD_BYTES, dtype=np.uint8)
@@ -170,10 +171,6 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, tie long, words binary, bands array<long>, sketch binary")
 
 
-def estimated(a: bytes, b: bytes) -> float:
-    return float((np.frombuffer(a, dtype="<u2") == np.frombuffer(b, dtype="<u2")).mean())
-
-
 def with_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sketches do not rule out the similarity."""
     for side in ("a", "b"):
@@ -225,19 +222,20 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of all nodes with an edge (a, b): comp is the least node of the connected component.
 
     Each round a node takes the least label among its own and its neighbours', then its label's label; labels
-    are written to the shared folder after each round.
+    are written to the shared folder in each round.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "labels")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp"))
+    labels = stored(labels, "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         step = labels.join(near.withColumnRenamed("a", "node"), "node")
         step = stored(step.select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("now")), "labels")
+        if not step.filter("now != was").limit(1).count():
+            return step.select("node", F.col("now").alias("comp"))
         jump = step.select(F.col("node").alias("now"), F.col("now").alias("next"))
-        labels = stored(step.join(jump, "now").select("node", "was", F.col("next").alias("comp")), "labels")
-        if not labels.filter("comp != was").limit(1).count():
-            return labels.select("node", "comp")
+        labels = step.join(jump, "now").select("node", F.col("next").alias("comp"))
 
 
 def labelled(rows: DataFrame, comps: DataFrame | None, node: str, name: str) -> DataFrame:
@@ -270,54 +268,111 @@ def open_buckets(buckets: DataFrame) -> DataFrame:
     return per.filter("total > most").select("band", "common", "total", (F.col("total") - F.col("most")).alias("others"))
 
 
-def block_pairs(buckets: DataFrame, open_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct (a, b) of different groups of a bucket that their sketches do not rule out.
+def in_blocks(buckets: DataFrame, open_: DataFrame) -> DataFrame:
+    """(band, block, node, comp, left): every node of a bucket once per block of the nodes outside its largest group.
 
-    The nodes outside the bucket's most frequent group are cut into blocks; every node of the bucket meets each block.
+    ``left`` marks the block's own nodes.
     """
-    rows = buckets.join(open_, "band").join(nodes.select("node", "sketch"), "node")
+    rows = buckets.join(open_, "band")
     blocks = F.ceil(F.col("others") / BLOCK).cast("int")
     own = F.when(F.col("comp") != F.col("common"), F.pmod(F.hash("node", "band"), blocks)).alias("own")
-    rows = rows.select("band", "node", "comp", "sketch", own, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    rows = rows.withColumn("left", F.coalesce(F.col("own") == F.col("block"), F.lit(False))).drop("own")
-    rows = rows.repartition("band", "block").sortWithinPartitions("band", "block", F.desc("left"))
-
-    def emit(lefts: list, rights: list):
-        """Pairs of a block with itself and with nodes from elsewhere."""
-        ids, comps, sketch = (np.array(x) for x in zip(*lefts, strict=True))
-        sketch = np.stack([np.frombuffer(s, dtype="<u2") for s in (x[2] for x in lefts)])
-        out = set()
-        for node, comp, s in rights:
-            near = (sketch == np.frombuffer(s, dtype="<u2")).mean(axis=1) >= SURE
-            for other in ids[near & (comps != comp)].tolist():
-                out.add((min(node, other), max(node, other)))
-        return out
+    rows = rows.select("band", "node", "comp", own, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    return rows.select("band", "block", "node", "comp", F.coalesce(F.col("own") == F.col("block"), F.lit(False)).alias("left"))
+
+
+def by_block(rows: DataFrame) -> DataFrame:
+    return rows.repartition("band", "block").sortWithinPartitions("band", "block", F.desc("left"))
+
+
+def block_groups(batches, width: int):
+    """((band, block), its own rows, an iterator of its other rows) of batches sorted by ``by_block``."""
+
+    def each():
+        for batch in batches:
+            yield from zip(*(batch.column(i).to_pylist() for i in range(width)), strict=True)
+
+    for key, group in groupby(each(), key=lambda r: (r[0], r[1])):
+        lefts = []
+        rest = iter(())
+        for row in group:
+            if not row[4]:
+                rest = chain([row], group)
+                break
+            lefts.append(row)
+        if lefts:
+            yield key, lefts, rest
+
+
+def root(forest: dict[int, int], x: int) -> int:
+    while x in forest:
+        x = forest[x]
+    return x
+
+
+def likely_members(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``in_blocks`` whose node has a likely partner of another group in the block.
+
+    A pair counts in the first band only that both nodes share.
+    """
+    full = by_block(rows.join(nodes.select("node", "sketch", "bands"), "node").select(*rows.columns, "sketch", "bands"))
 
     def run(batches):
-        def each():
-            for batch in batches:
-                yield from zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True)
-
-        found: set = set()
-        for _, group in groupby(each(), key=lambda r: (r[0], r[4])):
-            lefts: list = []
-            for _, node, comp, sketch, _, left in group:
-                if left:
-                    found |= emit(lefts, [(node, comp, sketch)]) if lefts else set()
-                    lefts.append((node, comp, sketch))
-                elif lefts:
-                    found |= emit(lefts, [(node, comp, sketch)])
-                if len(found) >= 1 << 16:
-                    yield flushed(found)
-                    found = set()
-        yield flushed(found)
-
-    def flushed(found):
-        some = sorted(found)
-        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in some], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-    columns = rows.select("band", "node", "comp", "sketch", "block", "left")
-    return columns.mapInArrow(run, "a long, b long").distinct()
+        for (band, _), lefts, rest in block_groups(batches, 7):
+            comps = np.array([r[3] for r in lefts])
+            sketch = np.stack([np.frombuffer(r[5], dtype="<u2") for r in lefts])
+            bands = np.array([r[6] for r in lefts])
+            wanted, out = np.zeros(len(lefts), dtype=bool), []
+            for row in chain(lefts, rest):
+                near = np.flatnonzero((comps != row[3]) & ((sketch == np.frombuffer(row[5], dtype="<u2")).mean(axis=1) >= SURE))
+                if len(near):
+                    shared = bands[near] == np.array(row[6])
+                    first = bands[near, shared.argmax(axis=1)] == band
+                    wanted[near[first]] = True
+                    if not row[4] and first.any():
+                        out.append(row[:5])
+                if len(out) >= 4096:
+                    yield told(out)
+                    out = []
+            out += [r[:5] for r, w in zip(lefts, wanted, strict=True) if w]
+            if out:
+                yield told(out)
+
+    def told(some):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names)
+
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+    names = ["band", "block", "node", "comp", "left"]
+    return full.mapInArrow(run, "band long, block int, node long, comp long, left boolean")
+
+
+def block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) among the nodes of each block, exact; as many as join all of its groups that are linked."""
+    full = by_block(rows.join(texts, "node").select("band", "block", "node", "comp", "left", "text"))
+
+    def run(batches):
+        for _, lefts, rest in block_groups(batches, 6):
+            ids, comps = np.array([r[2] for r in lefts]), np.array([r[3] for r in lefts])
+            doc, key, count = shingle_counts([r[5].encode() for r in lefts])
+            total = np.bincount(doc, weights=count, minlength=len(lefts))
+            order = np.argsort(key, kind="stable")
+            doc, key, count = doc[order], key[order], count[order]
+            found, met = [], {}  # groups linked so far in this block, as a forest
+            for row in chain(lefts, rest):
+                _, own, times = shingle_counts([row[5].encode()])
+                a, b = np.searchsorted(key, own, side="left"), np.searchsorted(key, own, side="right")
+                n = b - a
+                at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                both = np.bincount(doc[at], weights=np.minimum(count[at], np.repeat(times, n)), minlength=len(lefts))
+                near = np.flatnonzero((comps != row[3]) & (both >= SIMILARITY * (total + times.sum() - both)))
+                for i in near[np.unique(comps[near], return_index=True)[1]].tolist():
+                    x, y = root(met, row[3]), root(met, int(comps[i]))
+                    if x != y:
+                        met[x] = y
+                        found.append((row[2], int(ids[i])))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return full.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -340,38 +395,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stored(buckets.select("node").distinct().join(nodes.select("node", "doc_id", "tie"), "node"), "members")
     members = members.select("node", F.col("doc_id").alias("member_id"), F.col("tie").alias("member_tie"))
     met = F.col("doc_id").eqNullSafe(F.col("member_id")) & (F.col("tie") == F.col("member_tie"))
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).join(members, met).select("node", "text")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).join(members.hint("merge"), met).select("node", "text")
     texts = stored(texts, "member-texts")
 
-    edges, tested, comps = None, None, None
+    edges, comps = None, None
     for turn in range(MAX_STARS + 1):
-        now = stored(labelled(buckets, comps, "node", "comp"), "bucket-groups")
-        open_ = stored(open_buckets(now), "open-buckets")
-        cost = open_.agg(
-            F.sum(F.col("total") * F.ceil(F.col("others") / BLOCK)).alias("rows"), F.sum("total").alias("total")
-        ).first()
-        if not cost["total"]:
-            break
-        last = turn == MAX_STARS or (turn > 0 and cost["rows"] <= EXCESS * cost["total"] and _few(open_, cost["total"]))
-        if last:
-            pairs = block_pairs(now, open_, nodes)
-        else:
-            pairs = labelled(star_pairs(now, turn), comps, "b", "comp_b").filter("comp != comp_b").select("a", "b")
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("b").alias("centre"))
-        if tested is not None:
-            done = tested.select("a", "b")
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        turned = pairs if last else pairs.select(
-            F.when(F.col("centre") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("a"), F.col("centre").alias("b")
-        )
-        likely = turned if last else with_sketches(turned, nodes)
-        links = stored(verified(stored(likely, "likely-pairs"), texts), "links")
+        now = buckets.withColumn("comp", F.col("node"))
+        if turn:
+            now = stored(labelled(buckets, comps, "node", "comp"), "bucket-groups")
+            open_ = stored(open_buckets(now), "open-buckets")
+            blocks = F.col("total") * F.ceil(F.col("others") / BLOCK)
+            cost = open_.agg(F.sum(blocks).alias("rows"), F.sum("total").alias("total")).first()
+            if not cost["total"]:
+                break
+            if turn == MAX_STARS or cost["rows"] <= EXCESS * cost["total"]:
+                likely = stored(likely_members(in_blocks(now, open_), nodes), "likely-members")
+                links = stored(block_links(likely, texts), "links")
+                edges = edges.unionByName(links)
+                comps = components(edges)
+                break
+        pairs = labelled(star_pairs(now, turn), comps, "b", "comp_b").filter("comp != comp_b").select("a", "b")
+        links = stored(verified(stored(with_sketches(pairs, nodes), "likely-pairs"), texts), "links")
         edges = links if edges is None else edges.unionByName(links)
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         comps = components(edges)
-        if last:
-            break
 
     grouped = nodes.select("words", "node", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie").alias("least"))
     grouped = stored(labelled(grouped, comps, "node", "comp").select("words", "least", "comp"), "node-groups")
@@ -402,7 +448,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         name = "_" + name
     rows = docs.withColumn(name, F.xxhash64("text"))
     met = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col(name) == F.col("kept_tie"))
-    out = rows.join(keys.filter("n = 1"), met, "left_semi")
+    out = rows.join(keys.filter("n = 1").hint("merge"), met, "left_semi")
     if keys.filter("n > 1").limit(1).count():  # rows of one id and text
         again = rows.join(keys.filter("n > 1"), met, "left_semi")
         worded = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), NO_WORD, "")) > 0
@@ -410,12 +456,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns)
 
 
-def _few(open_: DataFrame, total: int) -> bool:
-    """Whether the pairs between groups of a bucket are at most a small multiple of the rows."""
-    pairs = open_.agg(F.sum(F.col("total").cast("double") * F.col("others")).alias("n")).first()["n"]
-    return pairs <= 64.0 * total
-
-
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "group_id")
 
