@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..session import sized_broadcast
 from ..sources.tables import read_table
 from .common import WORD_BYTES, doc_bucket
 
@@ -35,17 +36,20 @@ def normal(raw: bytes) -> bytes:
 def train(labelled: DataFrame) -> list[tuple[str, bytes]]:
     """[(language, dictionary)], the most frequent language first (it wins ties).
 
-    Takes rows of text and lang; the sample is bounded by SAMPLE_DOCS and SAMPLE_CHARS a language.
+    Takes rows of text and lang; the sample is bounded by SAMPLE_DOCS and SAMPLE_CHARS a language.  It is drawn from
+    the four times as many rows that the least hashes are expected to be.
     """
     rows = labelled.filter("lang is not null and text is not null").select("lang", "text")
     frequent = rows.groupBy("lang").agg(F.count("*").alias("n"))
     middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     order = Window.partitionBy("lang").orderBy("h")
+    unit = F.col("h") / F.lit(2.0**64) + 0.5  # the hash as a number from 0 to 1: the first rows have the least
     sample = (
         rows.select("lang", F.xxhash64("text").alias("h"), F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part"))
+        .join(sized_broadcast(frequent, row_bytes=128), "lang")  # a row per language
+        .filter(unit <= F.lit(4.0 * SAMPLE_DOCS) / F.col("n"))  # so a language's task sees a bounded number of rows
         .withColumn("k", F.row_number().over(order))
         .filter(F.col("k") <= SAMPLE_DOCS)
-        .join(frequent, "lang")
         .orderBy(F.desc("n"), "lang", "k")
     )
     out: dict[str, list[bytes]] = {}

@@ -12,7 +12,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..sources.tables import read_table
 from .common import doc_bucket
@@ -125,9 +124,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     prior = float(np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)))
     if len(counts) < 2:
         return np.zeros(BUCKETS), prior
-    order = Window.partitionBy("quality").orderBy("h", "doc_id")
-    ids = known.withColumn("h", F.xxhash64("doc_id")).withColumn("k", F.row_number().over(order))
-    ids = ids.filter(F.col("k") <= SAMPLE_DOCS).select("doc_id", "quality")
+    hashed = known.withColumn("h", F.xxhash64("doc_id"))
+    # each task keeps its first rows only, and the first of those are merged: no task sees all labels of a class
+    zero, one = (hashed.filter(F.col("quality") == q).orderBy("h", "doc_id").limit(SAMPLE_DOCS) for q in (0, 1))
+    ids = zero.unionByName(one).select("doc_id", "quality")
     middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     part = F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part")
     sample = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", part)  # 2 * SAMPLE_DOCS ids

@@ -330,3 +330,16 @@ def test_op10(result):
     good = [r["score"] for r in held if quality[r["doc_id"]] == 1]
     bad = [r["score"] for r in held if quality[r["doc_id"]] == 0]
     assert np.mean([g > b for g in good for b in bad]) > 0.95
+
+
+def test_blocks_of_items_find_what_one_block_finds(spark):
+    from sparkwork.llm import decontaminate
+    from sparkwork.sources.tables import read_table
+
+    docs, items = read_table(spark, SF_SMALL, "documents").select("doc_id", "text"), read_table(spark, SF_SMALL, "benchmark")
+    one, many = (
+        {r["doc_id"]: r["hits"].asDict() for r in decontaminate.mark_hits(docs, items, "hits", block_words=n).collect()}
+        for n in (10**6, 400)
+    )
+    assert len(list(decontaminate.item_blocks(items, 400))) > 2
+    assert many == one and any(h["spans"] for h in one.values())
