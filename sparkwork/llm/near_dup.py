@@ -218,24 +218,29 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, comp) of all nodes with an edge (a, b): comp is the least node of the connected component.
 
     Each round a node takes the least label among its own and its neighbours', then its label's label; labels
-    are written to the shared folder in each round.
+    are written to the shared folder in each round.  After a given number of ``rounds`` a label stands for connected
+    nodes still, but perhaps not for all of them.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, "edges")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp"))
     labels = stored(labels, "labels")
+    turn = 0
     while True:
+        turn += 1
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         step = labels.join(near.withColumnRenamed("a", "node"), "node")
         step = stored(step.select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("now")), "labels")
-        if not step.filter("now != was").limit(1).count():
+        if rounds is None and not step.filter("now != was").limit(1).count():
             return step.select("node", F.col("now").alias("comp"))
         jump = step.select(F.col("node").alias("now"), F.col("now").alias("next"))
         labels = step.join(jump, "now").select("node", F.col("next").alias("comp"))
+        if turn == rounds:
+            return stored(labels, "labels")
 
 
 def labelled(rows: DataFrame, comps: DataFrame | None, node: str, name: str) -> DataFrame:
@@ -246,6 +251,16 @@ def labelled(rows: DataFrame, comps: DataFrame | None, node: str, name: str) ->
     return rows.join(named, node, "left").withColumn(name, F.coalesce(name, node))
 
 
+def joined_groups(comps: DataFrame, links: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The labels after groups with links between them have been joined: components of the groups, not of the nodes."""
+    between = labelled(labelled(links, comps, "a", "x"), comps, "b", "y").filter("x != y")
+    between = stored(between.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "group-links")
+    if between.isEmpty():
+        return comps
+    own = labelled(nodes.select("node"), comps, "node", "comp")
+    return stored(labelled(own, components(between), "comp", "joined").select("node", F.col("joined").alias("comp")), "labels")
+
+
 def star_pairs(buckets: DataFrame, turn: int) -> DataFrame:
     """Distinct (a, b): every node of a bucket with the bucket's centre, where they are in different groups.
 
@@ -398,7 +413,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).join(members.hint("merge"), met).select("node", "text")
     texts = stored(texts, "member-texts")
 
-    edges, comps = None, None
+    first, comps = None, None  # comps: labels of connected nodes, fewer after each kind of link
     for turn in range(MAX_STARS + 1):
         now = buckets.withColumn("comp", F.col("node"))
         if turn:
@@ -410,14 +425,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 break
             if turn == MAX_STARS or cost["rows"] <= EXCESS * cost["total"]:
                 likely = stored(likely_members(in_blocks(now, open_), nodes), "likely-members")
-                links = stored(block_links(likely, texts), "links")
-                edges = edges.unionByName(links)
-                comps = components(edges)
+                comps = joined_groups(comps, stored(block_links(likely, texts), "links").unionByName(first), nodes)
+                first = None
                 break
         pairs = labelled(star_pairs(now, turn), comps, "b", "comp_b").filter("comp != comp_b").select("a", "b")
         links = stored(verified(stored(with_sketches(pairs, nodes), "likely-pairs"), texts), "links")
-        edges = links if edges is None else edges.unionByName(links)
-        comps = components(edges)
+        if not turn:  # these labels need not be complete: the links are joined again with the next ones
+            first, comps = links, components(links, 1)
+        else:
+            comps = joined_groups(comps, links.unionByName(first), nodes)
+    if first is not None and comps is not None:
+        comps = joined_groups(comps, first, nodes)
 
     grouped = nodes.select("words", "node", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie").alias("least"))
     grouped = stored(labelled(grouped, comps, "node", "comp").select("words", "least", "comp"), "node-groups")
