@@ -23,6 +23,15 @@ def worker_cache() -> dict:
     return sys.__dict__.setdefault("_sparkwork_llm_cache", {})
 
 
+def worker_cache_of(owner: str) -> dict:
+    """The worker's cache, emptied if another kind of task used it: a reused worker holds one operator's data at a time."""
+    cache = worker_cache()
+    if cache.get("owner") != owner:
+        cache.clear()
+        cache["owner"] = owner
+    return cache
+
+
 def doc_bucket(col, n: int):
     """``crc32(doc_id as text) mod n``; null for a null id."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n

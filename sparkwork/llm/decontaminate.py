@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import read_table
-from .common import WORD_BYTES, words_of, worker_cache
+from .common import WORD_BYTES, words_of, worker_cache_of
 
 WINDOW = 10
 BLOCK_WORDS = 100_000  # item words of one automaton
@@ -212,7 +212,7 @@ def _marked(docs: DataFrame, block: list, name: str, window: int, first: bool) -
     own = uuid.uuid4().hex
 
     def run(batches):
-        cache = worker_cache()
+        cache = worker_cache_of("items")
         if cache.get("items of") != own:
             cache["items of"], cache["items"] = own, SuffixAutomaton(held.value, window)
         found = cache["items"]

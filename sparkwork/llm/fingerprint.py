@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import WORD_BYTES
+from .common import WORD_BYTES, worker_cache_of
 from .tokens import batches_by_size, span_hashes
 
 EXACT, SKETCH = 4, 128
@@ -188,6 +188,7 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def run(batches):
+        worker_cache_of("hashes")
         held, chunk, size, done = [], None, 0, False
         for batch in batches:
             columns = [batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2), batch.column(3)]

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from ..session import sized_broadcast
 from ..sources.tables import read_table
-from .common import WORD_BYTES, doc_bucket
+from .common import WORD_BYTES, doc_bucket, worker_cache_of
 
 SAMPLE_DOCS = 192  # labelled documents per language, those of the smallest text hash
 SAMPLE_CHARS = 1000  # from the middle of each
@@ -93,6 +93,7 @@ def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], name: str =
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     def run(batches):
+        worker_cache_of("languages")  # frees what another operator left
         models = compressors(dictionaries)
         for batch in batches:
             texts = batch.column(at).cast(pa.binary())

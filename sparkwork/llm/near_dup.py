@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import WORD_BYTES, stored, words_of
+from .common import WORD_BYTES, stored, words_of, worker_cache_of
 from .tokens import batches_by_size, span_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -40,7 +40,7 @@ STAR_SALT = 256  # comparisons of one centre in one group
 BLOCK = 256  # nodes of one side in an exhaustive comparison
 MAX_STARS = 3  # star rounds before the exhaustive one
 EXCESS = 8  # star rounds go on while the exhaustive one would read more than so many times the buckets' rows
-BATCH = 1 << 22  # bytes of texts whose signatures are made at once
+BATCH = 1 << 20  # bytes of texts whose signatures are made at once
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what stands between words
 WORD_TABLE = np.frombuffer(WORD_BYTES, dtype=np.uint8)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -144,6 +144,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """
 
     def run(batches):
+        worker_cache_of("shingles")
         for batch in batches:
             texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for a, b in batches_by_size(texts, BATCH):
@@ -200,6 +201,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
 
     def run(batches):
+        worker_cache_of("shingles")
         centre, held = None, None
         for batch in batches:
             found = []
@@ -365,6 +367,7 @@ def block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
     full = by_block(rows.join(texts, "node").select("band", "block", "node", "comp", "left", "text"))
 
     def run(batches):
+        worker_cache_of("shingles")
         for _, lefts, rest in block_groups(batches, 6):
             ids, comps = np.array([r[2] for r in lefts]), np.array([r[3] for r in lefts])
             doc, key, count = shingle_counts([r[5].encode() for r in lefts])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.tables import read_table
-from .common import stored
+from .common import stored, worker_cache_of
 from .token_ids import packed, unpacked
 from .tokens import batches_by_size, encoder
 
@@ -43,6 +43,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, unit: in
     """Tokenise whole texts and cut them; ``nth`` counts the pieces of a class in its input partition ``part``."""
 
     def run(batches):
+        worker_cache_of("tokenizer")
         enc, squeeze, part, nth = encoder(tokenizer), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), {}
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]

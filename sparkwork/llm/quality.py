@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import doc_bucket
+from .common import doc_bucket, worker_cache_of
 from .tokens import batches_by_size, span_hashes
 
 BUCKETS = 1 << 16  # rows of the embedding table; the last is the mark of a repeated word
@@ -140,6 +140,7 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
     def run(batches):
+        worker_cache_of("hashes")
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for a, b in batches_by_size(texts):

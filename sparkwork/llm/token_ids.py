@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from .common import stored, worker_cache
+from .common import stored, worker_cache, worker_cache_of
 from .tokens import batches_by_size, encoder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, n_tokens, ids): ids are ``packed``, ``end_id`` last.  Null text is empty."""
 
     def run(batches):
+        worker_cache_of("tokenizer")
         enc, squeeze = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
@@ -78,6 +79,7 @@ def token_counts(ids: DataFrame) -> dict[int, int]:
     """How often each id occurs in all rows of ``tokenised``; as many entries as ids of the vocabulary occur."""
 
     def run(batches):
+        worker_cache_of("ids")
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             column = batch.column(0).to_pylist()
@@ -179,6 +181,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str = BYTE_BPE, end_id: int
     code_of[0, tokens], code_of[1, tokens] = codes, bits
 
     def run(batches):
+        worker_cache_of("ids")
         shard, block, first, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def closed():
@@ -225,7 +228,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     top = int(bits.max()) if len(bits) else 1
 
     def decoder():
-        cache = worker_cache()
+        cache = worker_cache_of("ids")
         if cache.get("decoder of") != path:
             table = np.zeros(1 << top, dtype=np.uint32)
             for t, b, c in zip(tokens.tolist(), bits.tolist(), codes.tolist(), strict=True):
