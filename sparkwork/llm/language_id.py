@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import sized_broadcast
+from ..session import cut_lineage, sized_broadcast
 from ..sources.tables import read_table
 from .common import WORD_BYTES, doc_bucket, worker_cache_of
 
-SAMPLE_DOCS = 192  # labelled documents per language, those of the smallest text hash
+SAMPLE_DOCS = 192  # distinct labelled texts per language, those of the smallest hash
+DRAWN = 4  # times as many are drawn before they are ranked
 SAMPLE_CHARS = 1000  # from the middle of each
 CHUNK = 1024  # bytes compressed at once: small beside the dictionary, so that it decides
 LEVEL, SHORT_LEVEL = 3, 12
@@ -36,25 +37,34 @@ def normal(raw: bytes) -> bytes:
 def train(labelled: DataFrame) -> list[tuple[str, bytes]]:
     """[(language, dictionary)], the most frequent language first (it wins ties).
 
-    Takes rows of text and lang; the sample is bounded by SAMPLE_DOCS and SAMPLE_CHARS a language.  It is drawn from
-    the four times as many rows that the least hashes are expected to be.
+    Takes rows of text and lang; the sample of a language is SAMPLE_CHARS of each of the SAMPLE_DOCS distinct texts of
+    the least hashes.  It is drawn from the DRAWN times as many texts that the least hashes are expected to be, and
+    drawn again from more if a language falls short.
     """
-    rows = labelled.filter("lang is not null and text is not null").select("lang", "text")
-    frequent = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
+    texts = rows.groupBy("lang", "h").agg(F.count("*").alias("n"))  # the copies of a text share its hash
+    counts = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("n_texts"))
+    counts = sized_broadcast(cut_lineage(counts), row_bytes=128)  # a row per language
     middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     order = Window.partitionBy("lang").orderBy("h")
-    unit = F.col("h") / F.lit(2.0**64) + 0.5  # the hash as a number from 0 to 1: the first rows have the least
-    sample = (
-        rows.select("lang", F.xxhash64("text").alias("h"), F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part"))
-        .join(sized_broadcast(frequent, row_bytes=128), "lang")  # a row per language
-        .filter(unit <= F.lit(4.0 * SAMPLE_DOCS) / F.col("n"))  # so a language's task sees a bounded number of rows
-        .withColumn("k", F.row_number().over(order))
-        .filter(F.col("k") <= SAMPLE_DOCS)
-        .orderBy(F.desc("n"), "lang", "k")
-    )
+    unit = F.col("h") / F.lit(2.0**64) + 0.5  # the hash as a number from 0 to 1: the first texts have the least
+    parts = rows.select("lang", "h", F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part")).join(counts, "lang")
+    n_texts = {r["lang"]: r["n_texts"] for r in counts.collect()}
     out: dict[str, list[bytes]] = {}
-    for r in sample.collect():  # bounded by the sample
-        out.setdefault(r["lang"], []).append(normal(r["part"].encode()))
+    drawn = DRAWN
+    while any(len(out.get(lang, [])) < min(SAMPLE_DOCS, n) for lang, n in n_texts.items()):
+        sample = (
+            parts.filter(unit <= F.lit(float(drawn * SAMPLE_DOCS)) / F.col("n_texts"))  # bounds a language's task
+            .groupBy("lang", "n", "h")
+            .agg(F.min("part").alias("part"))
+            .withColumn("k", F.row_number().over(order))
+            .filter(F.col("k") <= SAMPLE_DOCS)
+            .orderBy(F.desc("n"), "lang", "k")
+        )
+        out = {}
+        for r in sample.collect():  # bounded by the sample
+            out.setdefault(r["lang"], []).append(normal(r["part"].encode()))
+        drawn *= 4
     return [(lang, b" ".join(parts)) for lang, parts in out.items()]
 
 
