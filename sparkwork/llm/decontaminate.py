@@ -53,11 +53,14 @@ class SuffixAutomaton:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         ends: list[tuple[int, int, int]] = []  # (state, item, words up to here)
+        whole: dict[int, tuple[int, set[int]]] = {}  # short items by the state of their last word
         for item, words in items:
             last = 0
             for n, w in enumerate(words, 1):
                 last = self._add(last, self.ids.setdefault(w, len(self.ids) + 1))
                 ends.append((last, item, n))
+            if 0 < len(words) < window:
+                whole.setdefault(last, (len(words), set()))[1].add(item)
         # the state of a window's words: the suffix of that length, up the links
         self.window_of = [-1] * len(self.link)
         for v in sorted(range(1, len(self.link)), key=self.length.__getitem__):
@@ -68,11 +71,6 @@ class SuffixAutomaton:
         for v, item, n in ends:
             if n >= window:
                 self.items_of.setdefault(self.window_of[v], set()).add(item)
-        whole: dict[int, tuple[int, set[int]]] = {}  # short items by the state of their last word
-        at = {item: (v, n) for v, item, n in ends}
-        for item, (v, n) in at.items():
-            if n < window:
-                whole.setdefault(v, (n, set()))[1].add(item)
         self.shortest = min([n for n, _ in whole.values()] + ([window] if self.items_of else []), default=0)
         # the short items that end where a state's words end: its own and those of its suffixes
         self.short_of: dict[int, list[tuple[int, set[int]]]] = {}
