@@ -1,9 +1,9 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs, with lanes that tell likeness.
 
 A paragraph (a line that is not empty) has a wide vector: EXACT lanes of 64 bits from a
-cryptographic hash of its bytes, and SKETCH lanes of 16 bits to which each of its word
+cryptographic hash of its bytes, and SKETCH lanes of 32 bits to which each of its word
 triples adds +1 or -1 at a hashed place.  A document's vector is the sum of its
-paragraphs' vectors, modulo 2^64 and 2^16 a lane.  So it does not depend on
+paragraphs' vectors, modulo 2^64 and 2^32 a lane.  So it does not depend on
 the order of paragraphs, and a paragraph is inserted or deleted by adding or subtracting
 its vector.  Equal texts have equal fingerprints; the sketch lanes' products estimate the
 Jaccard likeness of the two multisets of word triples.
@@ -41,7 +41,7 @@ def _vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff((plain != 32).view(np.int8))
     at, to = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
     if not len(at):
-        return exact, np.zeros((len(raws), SKETCH), dtype=np.int16)
+        return exact, np.zeros((len(raws), SKETCH), dtype=np.int32)
     word = span_hashes(plain, at, to)
     paragraph = np.cumsum(data == 10)[at]
     # the word and the two after it in its paragraph
@@ -58,11 +58,11 @@ def _vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lane = doc * SKETCH + (triple >> np.uint64(1)).astype(np.int64) % SKETCH
     sign = 1.0 - 2.0 * (triple & np.uint64(1)).astype(np.float64)
     total = np.bincount(lane, weights=sign, minlength=len(raws) * SKETCH)
-    return exact, total.astype(np.int64).astype(np.int16).reshape(len(raws), SKETCH)
+    return exact, total.astype(np.int64).astype(np.int32).reshape(len(raws), SKETCH)
 
 
 def vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(EXACT lanes as uint64, SKETCH lanes as int16) of each text in UTF-8; a long text is the sum of its parts."""
+    """(EXACT lanes as uint64, SKETCH lanes as int32) of each text in UTF-8; a long text is the sum of its parts."""
     parts, of = [], []
     for i, raw in enumerate(raws):
         a = 0
@@ -72,7 +72,7 @@ def vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             a = b + 1
         parts.append(raw[a:])
         of.append(i)
-    exact, sketch = np.zeros((len(raws), EXACT), dtype=np.uint64), np.zeros((len(raws), SKETCH), dtype=np.int16)
+    exact, sketch = np.zeros((len(raws), EXACT), dtype=np.uint64), np.zeros((len(raws), SKETCH), dtype=np.int32)
     for a, b in batches_by_size(parts, PART):
         e, s = _vectors(parts[a:b])
         np.add.at(exact, of[a:b], e)
@@ -81,12 +81,12 @@ def vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def as_text(exact: np.ndarray, sketch: np.ndarray) -> str:
-    return exact.astype("<u8").tobytes().hex() + sketch.astype("<i2").tobytes().hex()
+    return exact.astype("<u8").tobytes().hex() + sketch.astype("<i4").tobytes().hex()
 
 
 def from_text(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(fingerprint)
-    return np.frombuffer(raw[: 8 * EXACT], dtype="<u8"), np.frombuffer(raw[8 * EXACT :], dtype="<i2")
+    return np.frombuffer(raw[: 8 * EXACT], dtype="<u8"), np.frombuffer(raw[8 * EXACT :], dtype="<i4")
 
 
 def combined(a: str, b: str, sign: int = 1) -> str:

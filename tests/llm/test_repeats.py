@@ -1,6 +1,9 @@
 """Repeated ids, rows and words: nothing of them is lost."""
 
-from sparkwork.llm import decontaminate
+import numpy as np
+import pytest
+
+from sparkwork.llm import decontaminate, fingerprint
 
 
 def test_short_items_of_one_id_are_all_hit():
@@ -10,3 +13,12 @@ def test_short_items_of_one_id_are_all_hit():
     for _, words in items:
         assert found.find([b"x", *words, b"x"])[0] == [(1, 1 + len(words))]
     assert found.find([b"e", b"f", b"g"])[1] == {7, 8}
+
+
+def test_likeness_of_many_repeats():
+    (_, many), (_, some) = (tuple(v[0] for v in fingerprint.vectors([b"one two three " * n])) for n in (40_000, 20_000))
+    assert np.abs(many.astype(int)).max() >= 39_998
+    different = np.zeros(fingerprint.EXACT), np.ones(fingerprint.EXACT)
+    assert fingerprint.likeness((different[0], many), (different[1], some)) == pytest.approx(2 / 3, abs=0.01)
+    both = fingerprint.from_text(fingerprint.combined(*[fingerprint.as_text(np.zeros(fingerprint.EXACT), s) for s in (many, some)]))
+    assert (both[1] == many.astype(int) + some).all()
