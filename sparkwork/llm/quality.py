@@ -116,10 +116,11 @@ def scores(raws: list[bytes], model: tuple[np.ndarray, float]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """Train on a bounded sample of the labelled rows: SAMPLE_DOCS a class, SAMPLE_CHARS characters from each one's middle.
 
-    ``labels`` has doc_id and quality; rows of a null or another quality than 0 and 1 are not used.  With one class only,
-    or none, the model gives the prior odds of the labels, smoothed by one row a class.
+    ``labels`` has doc_id and quality; rows of a null or another quality than 0 and 1 are not used, repeated rows count
+    once.  Of several documents of a sampled id the one of the least text hash is used.  With one class only, or none,
+    the model gives the prior odds of the labels, smoothed by one row a class.
     """
-    known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
+    known = labels.filter("quality in (0, 1) and doc_id is not null").select("doc_id", "quality").distinct()
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     prior = float(np.log((counts.get(1, 0) + 1) / (counts.get(0, 0) + 1)))
     if len(counts) < 2:
@@ -130,7 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     ids = zero.unionByName(one).select("doc_id", "quality")
     middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     part = F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part")
-    sample = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", part)  # 2 * SAMPLE_DOCS ids
+    found = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", part, F.xxhash64("text").alias("t"))
+    sample = found.groupBy("doc_id", "quality").agg(F.min_by("part", "t").alias("part"))  # 2 * SAMPLE_DOCS rows at most
     rows = sorted((r["doc_id"], r["quality"], r["part"] or "") for r in sample.collect())
     return train([p.encode() for _, _, p in rows], [q for _, q, _ in rows], prior)
 
