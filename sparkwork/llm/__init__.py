@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_OPERATORS = ("token_ids", "license_scan", "language_id", "packing", "decontaminate", "chat_format", "fingerprint", "line_dedup", "near_dup", "quality")
+_OPERATORS = ("token_ids", "license_scan", "language_id", "packing", "decontaminate", "chat_format", "fingerprint", "line_dedup", "near_dup", "quality", "lexical_search", "whitening", "secret_scan")
 
 
 def _modules():
