@@ -34,6 +34,39 @@ def unescaped_role(role: Column) -> Column:
     return unescaped(F.replace(role, F.lit("<\\/"), F.lit("\n")))
 
 
+PREFIX_BLOCK = 256
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often a lambda refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, start: Column) -> Column:
+    """``start`` and the sums after each value."""
+    return F.aggregate(values, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+
+def sums_before(lengths: Column) -> Column:
+    """The sum of the values before each value (longs): block by block, as appending to one long array is quadratic."""
+
+    def in_blocks(values: Column) -> Column:
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / PREFIX_BLOCK).cast("int")),
+            lambda b: F.slice(values, b * PREFIX_BLOCK + 1, PREFIX_BLOCK),
+        )
+        return F.when(F.size(values) > 0, let(blocks, within)).otherwise(F.lit([]).cast("array<long>"))
+
+    def within(cut: Column) -> Column:
+        totals = F.transform(cut, lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda n, x: n + x))
+        return let(
+            running(totals, F.lit(0).cast("long")),
+            lambda starts: F.flatten(F.transform(cut, lambda v, i: F.slice(running(v, F.get(starts, i)), F.lit(1), F.size(v)))),
+        )
+
+    return let(lengths, in_blocks)
+
+
 def format_chats(conversations: DataFrame) -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_spans (array of start and length in code points).
 
@@ -60,36 +93,68 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         return F.struct(head.alias("head"), t.text.alias("text"), (t.role == LOSS_ROLE).alias("loss"))
 
     cut = sorted_turns.select("conv_id", F.transform("s", segments).alias("parts"))
-    none = F.lit([]).cast("array<struct<start:int,length:int>>")
 
-    def advance(acc: Column, p: Column) -> Column:
-        start = acc.at + F.length(p["head"])
-        span = F.struct(start.alias("start"), F.length(p["text"]).alias("length"))
-        spans = F.when(p["loss"], F.concat(acc.spans, F.array(span))).otherwise(acc.spans)
-        return F.struct((start + F.length(p["text"])).alias("at"), spans.alias("spans"))
+    def length(c: Column) -> Column:
+        return F.length(c).cast("long")
+
+    def spans(parts: Column) -> Column:
+        def one(starts: Column) -> Column:
+            each = F.zip_with(
+                parts, starts,
+                lambda p, at: F.struct((at + F.length(p["head"])).cast("int").alias("start"), F.length(p["text"]).alias("length"), p["loss"].alias("loss")),
+            )
+            kept = F.filter(each, lambda e: e["loss"])
+            return F.transform(kept, lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length")))
+
+        return let(sums_before(F.transform(parts, lambda p: length(p["head"]) + length(p["text"]))), one)
 
     return cut.select(
         "conv_id",
         F.concat(F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["text"])), ""), F.lit(END)).alias("formatted"),
-        F.aggregate("parts", F.struct(F.lit(0).alias("at"), none.alias("spans")), advance, lambda a: a.spans).alias("loss_spans"),
+        let(F.col("parts"), spans).alias("loss_spans"),
     )
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
-    """Read formatted conversations back: conv_id, turns (array of role and text), loss_text, formatted_chars."""
+    """Read formatted conversations back: conv_id, turns (array of role and text), loss_text, formatted_chars.
+
+    ``loss_text`` is what stands under ``loss_spans``.  Where these are the texts of the assistant's turns, as
+    ``format_chats`` makes them, it is joined from the parts; any other spans are cut from the whole string.
+    """
     messages = F.filter(F.split("formatted", "<[|]im_start[|]>"), lambda m: m != "")  # the first is what stands before all
 
-    def turns(m: Column) -> Column:
+    def parts(m: Column) -> Column:
         role = F.substring_index(m, "\n", 1)
         body = F.substr(m, F.length(role) + 2, F.length(m) - F.length(role) - F.lit(1 + len(END)))
         texts = F.split(body, "<[|]im_sep[|]>")
-        return F.transform(texts, lambda t: F.struct(unescaped_role(role).alias("role"), unescaped(t).alias("text")))
+        head = F.length(role) + (len(START) + 1)
+        return F.transform(
+            texts,
+            lambda t, i: F.struct(
+                role.alias("role"),
+                t.alias("text"),
+                F.when(i == 0, head).otherwise(F.lit(len(SEPARATOR))).cast("long").alias("before"),
+                F.when(i == F.size(texts) - 1, F.lit(len(END))).otherwise(F.lit(0)).cast("long").alias("after"),
+            ),
+        )
+
+    cut = formatted.withColumn("_parts", F.flatten(F.transform(messages, parts)))
+
+    def loss(p: Column) -> Column:
+        def joined(starts: Column) -> Column:
+            each = F.zip_with(p, starts, lambda x, at: F.struct((at + x["before"]).cast("int").alias("start"), F.length(x["text"]).alias("length"), x["role"].alias("role")))
+            own = F.transform(F.filter(each, lambda e: e["role"] == LOSS_ROLE), lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length")))
+            told = F.transform("loss_spans", lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length")))
+            texts = F.transform(F.filter(p, lambda x: x["role"] == LOSS_ROLE), lambda x: unescaped(x["text"]))
+            masked = F.transform("loss_spans", lambda e: unescaped(F.substr("formatted", e["start"] + 1, e["length"])))
+            return F.when(own == told, F.array_join(texts, "")).otherwise(F.array_join(masked, ""))
 
-    masked = F.transform("loss_spans", lambda s: F.substr("formatted", s["start"] + 1, s["length"]))
-    return formatted.select(
+        return let(sums_before(F.transform(p, lambda x: x["before"] + F.length(x["text"]) + x["after"])), joined)
+
+    return cut.select(
         "conv_id",
-        F.flatten(F.transform(messages, turns)).alias("turns"),
-        F.array_join(F.transform(masked, unescaped), "").alias("loss_text"),
+        F.transform("_parts", lambda p: F.struct(unescaped_role(p["role"]).alias("role"), unescaped(p["text"]).alias("text"))).alias("turns"),
+        let(F.col("_parts"), loss).alias("loss_text"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,14 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, with underscores before it while a column of the tables has that name in some case."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker, for models and vocabularies that several tasks use."""
     return sys.__dict__.setdefault("_sparkwork_llm_cache", {})
@@ -47,3 +57,49 @@ WORD_BYTES = bytes(
 def words_of(raw: bytes) -> list[bytes]:
     """The words of a UTF-8 text, in order."""
     return raw.translate(WORD_BYTES).split()
+
+
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(8)], dtype=np.uint64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words whose output bits all depend on all input bits (splitmix64's finaliser)."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def span_words(data: np.ndarray, at: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three 64-bit words of each span of bytes that tell it from every other: first, last, length.
+
+    Of a span of 16 bytes at most they hold all bytes; of a longer one the first two are a 128-bit BLAKE2 digest.
+    """
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded.data, strides=(1,))  # from every byte on
+    n = to - at
+    first = eights[at]
+    short = np.flatnonzero(n < 8)
+    first[short] &= MASKS[n[short]]
+    last = np.where(n > 8, eights[np.maximum(to - 8, 0)], np.uint64(0))
+    long = np.flatnonzero(n > 16)
+    if len(long):
+        raw = data.tobytes()
+        digests = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(at[long].tolist(), to[long].tolist(), strict=True)]
+        first[long], last[long] = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2).T
+    return first, last, n.astype(np.uint64)
+
+
+def hashed_words(words: tuple[np.ndarray, np.ndarray, np.ndarray], salt: int = 0) -> np.ndarray:
+    """A 64-bit name of what ``span_words`` gives; names of another ``salt`` are independent of these."""
+    first, last, n = words
+    out = mixed(first + np.uint64((2 * salt + 1) * int(GOLDEN) & (1 << 64) - 1))
+    return mixed(mixed(out * GOLDEN + last) * GOLDEN + n)
+
+
+def span_hashes(data: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each span of bytes; equal spans have equal names wherever they stand."""
+    return hashed_words(span_words(data, at, to))

@@ -1,7 +1,8 @@
 """Benchmark decontamination: a generalised suffix automaton of the test items, streamed over the documents.
 
-The items' words are inserted into one automaton per block of items (a block is bounded in
-words; further blocks are further passes in the same stage).  A document's words walk the
+The items' words are inserted into one automaton per block of items, bounded in words and chosen by hash; long items
+are cut into parts that overlap by a window less a word, so no window is lost.  With several blocks each is a pass of its
+own over the distinct texts, which writes the hits only.  A document's words walk the
 automaton, which tells the longest suffix that occurs in an item.  Where it is at least
 ``window`` words long, the last ``window`` words are hit, and the state tells the items.
 An item shorter than the window counts as one window.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import read_table
-from .common import WORD_BYTES, words_of, worker_cache_of
+from .common import WORD_BYTES, free_name, stored, words_of, worker_cache_of
 
 WINDOW = 10
 BLOCK_WORDS = 100_000  # item words of one automaton
@@ -174,55 +175,109 @@ def without(raw: bytes, spans: list) -> str:
     return b"\n".join([*parts, raw[at:]]).decode()
 
 
-def item_blocks(items: DataFrame, block_words: int):
-    """The items in blocks of about ``block_words`` words, as lists of (item_id, words); one block at a time."""
-    block, size = [], 0
-    for r in items.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        words = words_of((r["text"] or "").encode())
-        if words:
-            block.append((r["item_id"], words))
-            size += len(words)
-        if size >= block_words:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def item_blocks(items: DataFrame, block_words: int, window: int) -> tuple[DataFrame, int]:
+    """((block, item_id, words) of the different items, number of blocks): about ``block_words`` words in each block.
+
+    A longer item is cut into parts that overlap by ``window`` - 1 words; ``words`` are joined by single spaces.
+    """
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                words = words_of(text or b"")
+                step = max(block_words, window)
+                for a in range(0, max(len(words) - window + 1, 1), step) if words else ():
+                    part = words[a : a + step + window - 1]
+                    rows.append((item, b" ".join(part), len(part)))
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            kinds = (pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "words", "n"])
+
+    parts = items.select(F.col("item_id").cast("long"), "text").distinct().mapInArrow(run, "item_id long, words binary, n long")
+    parts = stored(parts, "items")
+    blocks = -(-(parts.agg(F.sum("n").alias("n")).first()["n"] or 0) // block_words)
+    block = F.pmod(F.xxhash64("item_id", "words"), F.lit(max(blocks, 1))).cast("int")
+    return parts.select(block.alias("block"), "item_id", "words"), blocks
+
+
+def read_block(parts: DataFrame, block: int) -> list[tuple[int, list[bytes]]]:
+    rows = parts.filter(F.col("block") == block).select("item_id", "words").collect()  # bounded by the block's words
+    return sorted(((r["item_id"], bytes(r["words"]).split(b" ")) for r in rows), key=lambda r: (r[0] is not None, r))
 
 
 def mark_hits(docs: DataFrame, items: DataFrame, name: str, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with a struct column ``name`` (see HITS); every row and column is kept, nothing is shuffled.
+    """``docs`` with a struct column ``name`` (see HITS); every row and column is kept.
 
     A null or empty text has no words; items without words have no windows; items of a null id hit
-    words but are not listed; repeated rows are marked each.  Without items nothing is hit.
+    words but are not listed; repeated rows are marked each.  Without items nothing is hit.  Items of one block
+    take one pass and no shuffle; with more, the hits of each distinct text are joined to the rows.
     """
-    out, first = docs, True
-    for block in [*item_blocks(items, block_words), None]:
-        if block is None and not first:
-            break
-        out, first = _marked(out, block or [], name, window, first), False
-    return out
+    parts, blocks = item_blocks(items, block_words, window)
+    if blocks <= 1:
+        return _marked(docs, name, searcher(docs, read_block(parts, 0), window))
+    key = free_name("text_key", docs)
+    keyed = docs.withColumn(key, F.sha2("text", 256))
+    texts = stored(keyed.filter("text is not null").groupBy(key).agg(F.first("text").alias("text")), "texts")
+    hits = None
+    for block in range(blocks):  # one block on the driver, and one automaton in a worker, at a time
+        found = stored(block_hits(texts, key, searcher(docs, read_block(parts, block), window)), "block-hits")
+        hits = found if hits is None else hits.unionByName(found)
+    spans, ids, known = free_name("spans", keyed), free_name("items", keyed), free_name("known_key", keyed)
+    hits = hits.groupBy(F.col(key).alias(known)).agg(
+        F.flatten(F.collect_list("spans")).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(ids)
+    )
+    rows = keyed.join(hits, F.col(key) == F.col(known), "left").drop(key, known)
+    return _marked(rows, name, None, spans, ids).drop(spans, ids)
 
 
-def _marked(docs: DataFrame, block: list, name: str, window: int, first: bool) -> DataFrame:
-    text = docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, HITS)]) if first else docs.schema
-    held = docs.sparkSession.sparkContext.broadcast(block)  # bounded by block_words
-    own = uuid.uuid4().hex
+def searcher(docs: DataFrame, block: list, window: int):
+    """A function that gives a worker's automaton of a block."""
+    held, own = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex  # bounded by block_words
 
-    def run(batches):
+    def get() -> SuffixAutomaton:
         cache = worker_cache_of("items")
         if cache.get("items of") != own:
+            cache.pop("items", None)
             cache["items of"], cache["items"] = own, SuffixAutomaton(held.value, window)
-        found = cache["items"]
+        return cache["items"]
+
+    return get
+
+
+def block_hits(texts: DataFrame, key: str, automaton) -> DataFrame:
+    """(key, spans, items) of the texts that a block's items hit."""
+
+    def run(batches):
+        found = automaton()
+        for batch in batches:
+            rows = []
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                spans, ids = found.find(words_of(t.as_py() or b""))
+                if spans:
+                    rows.append((k, [list(s) for s in spans], sorted(i for i in ids if i is not None)))
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            kinds = (pa.string(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, "spans", "items"])
+
+    return texts.select(key, "text").mapInArrow(run, f"`{key}` string, spans array<array<bigint>>, items array<bigint>")
+
+
+def _marked(docs: DataFrame, name: str, automaton=None, spans_of: str | None = None, items_of: str | None = None) -> DataFrame:
+    """The column ``name`` from an automaton, or from columns of spans, in any order, and items."""
+    text = docs.columns.index("text")
+    known = None if automaton else (docs.columns.index(spans_of), docs.columns.index(items_of))
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, HITS)])
+
+    def run(batches):
+        found = automaton() if automaton else None
         for batch in batches:
-            earlier = repeat(None) if first else batch.column(batch.num_columns - 1)
+            earlier = zip(batch.column(known[0]), batch.column(known[1]), strict=True) if known else repeat(None)
             rows = []
             for t, e in zip(batch.column(text).cast(pa.binary()), earlier, strict=False):
                 raw = t.as_py() or b""
                 words = words_of(raw)
-                spans, ids = found.find(words)
-                if e is not None and e.as_py():
-                    spans, ids = merged(spans + e.as_py()["spans"]), ids | set(e.as_py()["items"])
+                spans, ids = found.find(words) if found else (merged(e[0].as_py() or []), e[1].as_py() or [])
                 rows.append(
                     {
                         "n_words": len(words),
@@ -231,8 +286,7 @@ def _marked(docs: DataFrame, block: list, name: str, window: int, first: bool) -
                         "cleaned": without(raw, spans) if spans else None,
                     }
                 )
-            kept = batch.columns if first else batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, HITS_ARROW)], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, HITS_ARROW)], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -243,10 +297,12 @@ def covered(spans):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
-    """``docs`` with hit spans cut out of the texts; documents with more than ``max_coverage`` of words hit are dropped."""
-    name = "hits"
-    while name in docs.columns:
-        name = "_" + name
+    """``docs`` with hit spans cut out of the texts; documents with more than ``max_coverage`` of words hit are dropped.
+
+    Columns stay as they are, whatever their names, but text and n_chars, its length, of cut texts.  Null and empty texts
+    are kept; without items all rows are.
+    """
+    name = free_name("hits", docs)
     out = mark_hits(docs, items, name, window)
     share = covered(F.col(f"{name}.spans")) / F.greatest(F.col(f"{name}.n_words"), F.lit(1))
     out = out.filter(share <= max_coverage).withColumn("text", F.coalesce(F.col(f"{name}.cleaned"), F.col("text")))

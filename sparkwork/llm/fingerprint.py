@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import WORD_BYTES, worker_cache_of
-from .tokens import batches_by_size, span_hashes
+from .common import WORD_BYTES, span_hashes, worker_cache_of
+from .tokens import batches_by_size
 
 EXACT, SKETCH = 4, 128
 PART = 1 << 20  # bytes hashed at once

@@ -21,10 +21,8 @@ from .common import WORD_BYTES, doc_bucket, worker_cache_of
 
 SAMPLE_DOCS = 192  # distinct labelled texts per language, those of the smallest hash
 DRAWN = 4  # times as many are drawn before they are ranked
-SAMPLE_CHARS = 1000  # from the middle of each
 CHUNK = 1024  # bytes compressed at once: small beside the dictionary, so that it decides
-LEVEL, SHORT_LEVEL = 3, 12
-SHORT = 512  # bytes of words up to which the slower level, which finds more, is used
+LEVEL = 12  # of compression, for texts of every size
 MIN_MARGIN = 0.002  # a smaller share of bytes between the first and the second language is no decision
 UNKNOWN = "und"
 SCHEMA = "lang_pred string, score double, rejected boolean"
@@ -37,59 +35,57 @@ def normal(raw: bytes) -> bytes:
 def train(labelled: DataFrame) -> list[tuple[str, bytes]]:
     """[(language, dictionary)], the most frequent language first (it wins ties).
 
-    Takes rows of text and lang; the sample of a language is SAMPLE_CHARS of each of the SAMPLE_DOCS distinct texts of
-    the least hashes.  It is drawn from the DRAWN times as many texts that the least hashes are expected to be, and
-    drawn again from more if a language falls short.
+    Takes rows of text and lang; the sample of a language are the SAMPLE_DOCS distinct texts of the least hashes, whole.
+    It is drawn from the DRAWN times as many texts that the least hashes are expected to be, and drawn again from
+    more if a language falls short.
     """
     rows = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
     texts = rows.groupBy("lang", "h").agg(F.count("*").alias("n"))  # the copies of a text share its hash
     counts = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("n_texts"))
     counts = sized_broadcast(cut_lineage(counts), row_bytes=128)  # a row per language
-    middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     order = Window.partitionBy("lang").orderBy("h")
     unit = F.col("h") / F.lit(2.0**64) + 0.5  # the hash as a number from 0 to 1: the first texts have the least
-    parts = rows.select("lang", "h", F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part")).join(counts, "lang")
+    texts = rows.select("lang", "h", "text").join(counts, "lang")
     n_texts = {r["lang"]: r["n_texts"] for r in counts.collect()}
     out: dict[str, list[bytes]] = {}
     drawn = DRAWN
     while any(len(out.get(lang, [])) < min(SAMPLE_DOCS, n) for lang, n in n_texts.items()):
         sample = (
-            parts.filter(unit <= F.lit(float(drawn * SAMPLE_DOCS)) / F.col("n_texts"))  # bounds a language's task
+            texts.filter(unit <= F.lit(float(drawn * SAMPLE_DOCS)) / F.col("n_texts"))  # bounds a language's task
             .groupBy("lang", "n", "h")
-            .agg(F.min("part").alias("part"))
+            .agg(F.min("text").alias("text"))
             .withColumn("k", F.row_number().over(order))
             .filter(F.col("k") <= SAMPLE_DOCS)
             .orderBy(F.desc("n"), "lang", "k")
         )
         out = {}
         for r in sample.collect():  # bounded by the sample
-            out.setdefault(r["lang"], []).append(normal(r["part"].encode()))
+            out.setdefault(r["lang"], []).append(normal(r["text"].encode()))
         drawn *= 4
     return [(lang, b" ".join(parts)) for lang, parts in out.items()]
 
 
-def classify(raw: bytes, models: list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
+def classify(raw: bytes, models: list[tuple[str, zstandard.ZstdCompressor]]) -> tuple[str, float, bool]:
     """(language, score, rejected) of a text in UTF-8."""
     if not models or not any(map(str.isalpha, raw.decode("utf-8", "replace"))):
         return UNKNOWN, 0.0, True
     words = normal(raw)
     chunks = [words[a : a + CHUNK] for a in range(0, len(words), CHUNK)] or [raw]
-    level = 2 if len(words) <= SHORT else 1
-    sizes = [(sum(len(m[level].compress(c)) for c in chunks), i) for i, m in enumerate(models)]
+    sizes = [(sum(len(m[1].compress(c)) for c in chunks), i) for i, m in enumerate(models)]
     best, second = sorted(sizes)[:2] if len(sizes) > 1 else (sizes[0], (2 * sizes[0][0], 0))
     score = 1 - best[0] / second[0]
     return models[best[1]][0], score, score < MIN_MARGIN
 
 
-def compressors(dictionaries: list[tuple[str, bytes]]) -> list[tuple[str, zstandard.ZstdCompressor, zstandard.ZstdCompressor]]:
-    """(language, compressor, compressor for short texts) of each dictionary."""
+def compressors(dictionaries: list[tuple[str, bytes]]) -> list[tuple[str, zstandard.ZstdCompressor]]:
+    """(language, compressor) of each dictionary."""
 
-    def made(data: bytes, level: int) -> zstandard.ZstdCompressor:
+    def made(data: bytes) -> zstandard.ZstdCompressor:
         held = zstandard.ZstdCompressionDict(data or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        held.precompute_compress(level=level)
+        held.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(dict_data=held, write_checksum=False, write_content_size=False)
 
-    return [(lang, made(data, LEVEL), made(data, SHORT_LEVEL)) for lang, data in dictionaries]
+    return [(lang, made(data)) for lang, data in dictionaries]
 
 
 def identify(docs: DataFrame, dictionaries: list[tuple[str, bytes]], name: str = "lid") -> DataFrame:

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import WORD_BYTES, stored, words_of, worker_cache_of
-from .tokens import batches_by_size, span_hashes
+from .common import GOLDEN, WORD_BYTES, free_name, hashed_words, mixed, span_words, stored, words_of, worker_cache_of
+from .tokens import batches_by_size
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5  # a pair at 0.8 shares no band with probability (1 - 0.8^5)^24 = 7e-5
@@ -43,45 +43,42 @@ EXCESS = 8  # star rounds go on while the exhaustive one would read more than so
 BATCH = 1 << 20  # bytes of texts whose signatures are made at once
 NO_WORD = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what stands between words
 WORD_TABLE = np.frombuffer(WORD_BYTES, dtype=np.uint8)
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit words whose output bits all depend on all input bits (splitmix64's finaliser)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingle_counts(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingle_counts(raws: list[bytes], checked: bool = False) -> tuple[np.ndarray, ...]:
     """(text, shingle hash, count) of the distinct shingles of texts in UTF-8, ordered by text.
 
-    A text of fewer words than a shingle has one shingle of all its words; one without words has none.
+    A text of fewer words than a shingle has one shingle of all its words; one without words has none.  ``checked``
+    adds a second, independent hash of each shingle: comparisons of both are of 128 bits.
     """
     data = WORD_TABLE[np.frombuffer(b"\n" + b"\n".join(raws) + b"\n", dtype=np.uint8)]
     edge = np.diff((data != 32).view(np.int8))
     at, to = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
-    word = mixed(span_hashes(data, at, to))
+    words = span_words(data, at, to)
     owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), at - 1, side="right")
     n = np.bincount(owner, minlength=len(raws))
-    full = len(word) - SHINGLE + 1
-    key = np.zeros(max(full, 0), dtype=np.uint64)
-    for k in range(SHINGLE if full > 0 else 0):
-        key = key * GOLDEN + word[k : k + full]
-    inside = owner[: len(key)] == owner[SHINGLE - 1 :][: len(key)]
-    doc, key = owner[: len(key)][inside], key[inside]
     short = np.flatnonzero((n > 0) & (n < SHINGLE))
-    if len(short):
-        first = np.cumsum(n) - n
-        whole = [int(hashlib.blake2b(word[first[i] : first[i] + n[i]].tobytes(), digest_size=8).hexdigest(), 16) for i in short]
-        doc, key = np.concatenate([doc, short]), np.concatenate([key, np.array(whole, dtype=np.uint64)])
-    key = mixed(key)
+    inside = owner[: max(len(at) - SHINGLE + 1, 0)] == owner[SHINGLE - 1 :]
+    keys = [_shingle_keys(hashed_words(words, salt), n, inside, short) for salt in range(1 + checked)]
+    doc, key = np.concatenate([owner[: len(inside)][inside], short]), keys[0]
     order = np.argsort((doc.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20)), kind="stable")
-    doc, key = doc[order], key[order]
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(key) else order
-    return doc[new], key[new], np.diff(np.append(new, len(key)))
+    same = (doc[order][1:] == doc[order][:-1]) & (key[order][1:] >> np.uint64(20) == key[order][:-1] >> np.uint64(20))
+    if any((k[order][1:] != k[order][:-1])[same].any() for k in keys):  # different keys, equal in their upper bits
+        order = np.lexsort((*keys[::-1], doc))
+    doc, keys = doc[order], [k[order] for k in keys]
+    changes = [np.concatenate([[True], x[1:] != x[:-1]]) for x in (doc, *keys)] if len(doc) else [np.zeros(0, dtype=bool)]
+    new = np.flatnonzero(np.logical_or.reduce(changes))
+    return doc[new], keys[0][new], np.diff(np.append(new, len(doc))), *(k[new] for k in keys[1:])
+
+
+def _shingle_keys(word: np.ndarray, n: np.ndarray, inside: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """A hash of each full shingle, then of all words of each short text."""
+    key = np.zeros(len(inside), dtype=np.uint64)
+    for k in range(SHINGLE if len(inside) else 0):
+        key = mixed(key * GOLDEN + word[k : k + len(inside)]) if k else word[: len(inside)].copy()
+    first = np.cumsum(n) - n
+    whole = [hashlib.blake2b(word[first[i] : first[i] + n[i]].tobytes(), digest_size=8).digest() for i in short]
+    return mixed(np.concatenate([key[inside], np.frombuffer(b"".join(whole), dtype="<u8")]))
 
 
 def signatures(raws: list[bytes]) -> np.ndarray:
@@ -130,9 +127,11 @@ def _earliest(doc, key, count, until, todo) -> tuple[np.ndarray, np.ndarray]:
     return names.reshape(-1, COMPONENTS), np.isfinite(best.reshape(-1, COMPONENTS)).all(axis=1)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two (distinct shingles, counts)."""
+def similarity(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> float:
+    """Weighted Jaccard similarity of two (distinct shingles, counts, second hashes)."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    equal = a[2][i] == b[2][j]
+    i, j = i[equal], j[equal]
     both = int(np.minimum(a[1][i], b[1][j]).sum())
     return both / max(int(a[1].sum()) + int(b[1].sum()) - both, 1)
 
@@ -206,9 +205,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             found = []
             for b, salt, a, text in zip(*(batch.column(i) for i in range(3)), batch.column(3).cast(pa.binary()), strict=True):
-                _, key, count = shingle_counts([text.as_py()])
+                _, key, count, check = shingle_counts([text.as_py()], checked=True)
                 order = np.argsort(key)
-                own = key[order], count[order]
+                own = key[order], count[order], check[order]
                 if a.as_py() is None:
                     centre, held = (b.as_py(), salt.as_py()), own
                 elif centre == (b.as_py(), salt.as_py()) and similarity(own, held) >= SIMILARITY:
@@ -370,17 +369,18 @@ def block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
         worker_cache_of("shingles")
         for _, lefts, rest in block_groups(batches, 6):
             ids, comps = np.array([r[2] for r in lefts]), np.array([r[3] for r in lefts])
-            doc, key, count = shingle_counts([r[5].encode() for r in lefts])
+            doc, key, count, check = shingle_counts([r[5].encode() for r in lefts], checked=True)
             total = np.bincount(doc, weights=count, minlength=len(lefts))
             order = np.argsort(key, kind="stable")
-            doc, key, count = doc[order], key[order], count[order]
+            doc, key, count, check = doc[order], key[order], count[order], check[order]
             found, met = [], {}  # groups linked so far in this block, as a forest
             for row in chain(lefts, rest):
-                _, own, times = shingle_counts([row[5].encode()])
+                _, own, times, second = shingle_counts([row[5].encode()], checked=True)
                 a, b = np.searchsorted(key, own, side="left"), np.searchsorted(key, own, side="right")
                 n = b - a
                 at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                both = np.bincount(doc[at], weights=np.minimum(count[at], np.repeat(times, n)), minlength=len(lefts))
+                equal = check[at] == np.repeat(second, n)
+                both = np.bincount(doc[at], weights=np.minimum(count[at], np.repeat(times, n)) * equal, minlength=len(lefts))
                 near = np.flatnonzero((comps != row[3]) & (both >= SIMILARITY * (total + times.sum() - both)))
                 for i in near[np.unique(comps[near], return_index=True)[1]].tolist():
                     x, y = root(met, row[3]), root(met, int(comps[i]))
@@ -459,19 +459,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps: the least document of each group, once if rows repeat.
 
-    Documents without words are all kept.  All columns stay; one named tie is read anew from the text.
+    Documents without words are all kept.  All columns stay, whatever their names.
     """
     found = stored(near_duplicates(docs), "near-duplicates")
     keys = found.filter("kept").groupBy("doc_id", "tie").agg(F.count("*").alias("n"))
-    keys = stored(keys.select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie"), "n"), "kept")
-    name = "_text_hash"
-    while name in docs.columns:
-        name = "_" + name
+    name, kept_id, kept_tie, n = (free_name(c, docs) for c in ("text_hash", "kept_id", "kept_tie", "kept_rows"))
+    keys = stored(keys.select(F.col("doc_id").alias(kept_id), F.col("tie").alias(kept_tie), F.col("n").alias(n)), "kept")
     rows = docs.withColumn(name, F.xxhash64("text"))
-    met = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col(name) == F.col("kept_tie"))
-    out = rows.join(keys.filter("n = 1").hint("merge"), met, "left_semi")
-    if keys.filter("n > 1").limit(1).count():  # rows of one id and text
-        again = rows.join(keys.filter("n > 1"), met, "left_semi")
+    met = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(name) == F.col(kept_tie))
+    out = rows.join(keys.filter(F.col(n) == 1).hint("merge"), met, "left_semi")
+    if keys.filter(F.col(n) > 1).limit(1).count():  # rows of one id and text
+        again = rows.join(keys.filter(F.col(n) > 1), met, "left_semi")
         worded = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), NO_WORD, "")) > 0
         out = out.unionByName(again.filter(worded).dropDuplicates(["doc_id", name])).unionByName(again.filter(~worded))
     return out.select(*docs.columns)

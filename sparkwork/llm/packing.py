@@ -32,7 +32,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 SEQUENCE = 2048
 UNIT = 8  # ids by which length classes differ; a piece wastes less than this in its place
 TOLERANCE = 0.002  # the program is solved to this share of the least number of sequences
-MAX_PRICED = 20_000  # patterns priced at most; the rounding takes whatever is reached by then
+REFACTOR = 64  # pivots after which the basis is inverted anew
 PIECES_SCHEMA = (
     "doc_id long, doc_tokens long, start long, length long, ids_crc32 long, units int, part int, nth long, ids binary"
 )
@@ -86,29 +86,53 @@ def best_pattern(price: np.ndarray, units: np.ndarray, capacity: int) -> tuple[f
     return float(value[capacity]), pattern
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss-Jordan elimination with row pivots, in one thread."""
+    n = len(a)
+    both = np.concatenate([a, np.eye(n)], axis=1)
+    for c in range(n):
+        r = c + int(np.abs(both[c:, c]).argmax())
+        both[[c, r]] = both[[r, c]]
+        both[c] /= both[c, c]
+        factor = both[:, c].copy()
+        factor[c] = 0
+        both -= factor[:, None] * both[c]
+    return both[:, n:]
+
+
 def solve_patterns(demand: dict[int, int], capacity: int, tolerance: float = TOLERANCE) -> list[tuple[dict[int, int], int]]:
     """[(pattern: class -> pieces, times)], rounded down, never using more pieces of a class than there are.
 
-    A revised simplex over the classes that occur (at most ``capacity`` rows); it stops when the
-    number of sequences is within ``tolerance`` of a lower bound.
+    A revised simplex over the classes that occur (at most ``capacity`` rows); it stops when the number of sequences
+    is within ``tolerance`` of a lower bound, or no pattern improves it.  What is left of the demand then
+    takes fewer units than a sequence per class and one more: larger leftovers get patterns of the largest pieces first.
     """
     if not demand:
         return []
     units = np.array(sorted(demand))
     need = np.array([demand[int(u)] for u in units], dtype=np.float64)
+    # demands moved a little: ties between bases, which could lead in circles, are broken
+    moved = need + 1e-4 * np.random.default_rng(0).random(len(need))
     columns = np.diag(capacity // units).astype(np.float64)
-    inverse = np.diag(1.0 / (capacity // units))
-    times = inverse @ need
     least = need @ units / capacity
-    for _ in range(MAX_PRICED):
+    pivots = gained = 0
+    gap = np.inf
+    while pivots - gained <= 20 * len(units):  # rounding errors alone move nothing any more
+        if pivots % REFACTOR == 0:
+            inverse = inverted(columns)
+            times = np.maximum(inverse @ moved, 0)
         value, column = best_pattern(inverse.sum(axis=0), units, capacity)
         total = times.sum()
         least = max(least, total / max(value, 1.0))
         if value <= 1 + 1e-9 or total - least <= tolerance * total:
             break
+        if total - least < gap * (1 - 1e-6):
+            gap, gained = total - least, pivots
         step = inverse @ column
         ratio = np.where(step > 1e-9, times / np.where(step > 1e-9, step, 1), np.inf)
         r = int(ratio.argmin())
+        if not np.isfinite(ratio[r]):
+            break  # rounding: no basis change is left
         inverse[r] /= step[r]
         times[r] = ratio[r]
         rest = step.copy()
@@ -116,6 +140,7 @@ def solve_patterns(demand: dict[int, int], capacity: int, tolerance: float = TOL
         inverse -= np.outer(rest, inverse[r])
         times = np.maximum(times - rest * times[r], 0)
         columns[:, r] = column
+        pivots += 1
     left, out = need.copy(), []
     for r in np.argsort(-times, kind="stable"):
         column = columns[:, r]
@@ -124,6 +149,16 @@ def solve_patterns(demand: dict[int, int], capacity: int, tolerance: float = TOL
         if k > 0:
             left -= k * column
             out.append(({int(u): int(a) for u, a in zip(units[used], column[used], strict=True)}, k))
+    while left @ units > (len(units) + 1) * capacity:
+        pattern, room = {}, capacity
+        for j in range(len(units) - 1, -1, -1):
+            if a := int(min(room // units[j], left[j])):
+                pattern[int(units[j])] = a
+                room -= a * int(units[j])
+        of = {int(u): n for u, n in zip(units, left, strict=True)}
+        k = int(min(of[u] // a for u, a in pattern.items()))
+        left -= k * np.array([pattern.get(int(u), 0) for u in units])
+        out.append((pattern, k))
     return out
 
 
@@ -193,19 +228,20 @@ def pack(
     earlier = Window.partitionBy("sequence_id").orderBy(F.desc("units"), "rank").rowsBetween(Window.unboundedPreceding, -1)
     main = placed.filter("sequence_id >= 0").withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
 
-    def cut_rest(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "part", "nth"], ascending=[False, True, True], ignore_index=True)
-        flat, rows, squeeze = [unpacked(z) for z in pdf["ids"]], [], zstandard.ZstdCompressor(level=1)
-        for i, at, n, sequence, offset in lay_out(pdf["length"].tolist(), size):
+    def cut_rest(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("length", "descending"), ("part", "ascending"), ("nth", "ascending"), ("units", "ascending")])
+        columns = {c: table[c].to_pylist() for c in ("doc_id", "start", "length", "doc_tokens", "ids")}
+        flat, rows, squeeze = [unpacked(z) for z in columns["ids"]], [], zstandard.ZstdCompressor(level=1)
+        for i, at, n, sequence, offset in lay_out(columns["length"], size):
             part = flat[i][at : at + n].astype("<u4")
-            d, crc = pdf.iloc[i], zlib.crc32(part.tobytes())
-            row = (d.doc_id, d.start + at, n, crc, d.doc_tokens, whole + sequence, offset)
+            row = (columns["doc_id"][i], columns["start"][i] + at, n, zlib.crc32(part.tobytes()), columns["doc_tokens"][i], whole + sequence, offset)
             rows.append((*row, packed(part, squeeze))[: 7 + with_ids])
-        return pd.DataFrame(rows, columns=[*PLACED, *ids]).astype({c: "Int64" for c in PLACED})
+        kinds = [pa.int64()] * 7 + [pa.binary()] * with_ids
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], [*PLACED, *ids])
 
-    # at most one sequence of ids per pattern: a bound that the length classes set, not the input
+    # at most a sequence of ids per class and one more (see solve_patterns): a bound that the classes set, not the input
     rest = F.broadcast(placed.filter("sequence_id < 0").select("units", "part", "nth"))
-    rest = pieces.join(rest, ["units", "part", "nth"]).groupBy(F.lit("rest").alias("all")).applyInPandas(
+    rest = pieces.join(rest, ["units", "part", "nth"]).groupBy(F.lit("rest").alias("all")).applyInArrow(
         cut_rest, ", ".join([f"{c} long" for c in PLACED] + [f"{c} binary" for c in ids])
     )
     return main.select(*PLACED, *ids).unionByName(rest)

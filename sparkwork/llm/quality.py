@@ -14,14 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import doc_bucket, worker_cache_of
-from .tokens import batches_by_size, span_hashes
+from .common import doc_bucket, span_hashes, worker_cache_of
+from .tokens import batches_by_size
 
 BUCKETS = 1 << 16  # rows of the embedding table; the last is the mark of a repeated word
 DIMENSIONS = 8
 GRAMS = (3, 5)  # bytes
 SAMPLE_DOCS = 2500  # labelled documents per class, those of the smallest id hash
-SAMPLE_CHARS = 8000  # characters of each that training looks at
 PART = 1 << 20  # bytes hashed at once; a longer text is the sum of its parts
 EPOCHS, RATE, BATCH = 12, 4.0, 16
 MIXER = np.uint64(0x9E3779B97F4A7C15)
@@ -66,9 +65,9 @@ def train(texts: list[bytes], labels: list[int], prior: float, seed: int = 7) ->
     rng = np.random.default_rng(seed)
     rows = []
     for raw in texts:
-        _, b = features([raw])
-        at, n = np.unique(b, return_counts=True)
-        rows.append((at, (n / max(len(b), 1)).astype(np.float32)))
+        n = sum(np.bincount(features([raw[a : a + PART]])[1], minlength=BUCKETS) for a in range(0, max(len(raw), 1), PART))
+        at = np.flatnonzero(n)
+        rows.append((at, (n[at] / max(n.sum(), 1)).astype(np.float32)))
     y = np.array(labels, dtype=np.int64)
     table = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weights, bias = np.zeros((DIMENSIONS, 2), dtype=np.float32), np.zeros(2, dtype=np.float32)
@@ -114,7 +113,7 @@ def scores(raws: list[bytes], model: tuple[np.ndarray, float]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """Train on a bounded sample of the labelled rows: SAMPLE_DOCS a class, SAMPLE_CHARS characters from each one's middle.
+    """Train on the whole texts of a bounded sample of the labelled rows, SAMPLE_DOCS a class.
 
     ``labels`` has doc_id and quality; rows of a null or another quality than 0 and 1 are not used, repeated rows count
     once.  Of several documents of a sampled id the one of the least text hash is used.  With one class only, or none,
@@ -129,16 +128,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     # each task keeps its first rows only, and the first of those are merged: no task sees all labels of a class
     zero, one = (hashed.filter(F.col("quality") == q).orderBy("h", "doc_id").limit(SAMPLE_DOCS) for q in (0, 1))
     ids = zero.unionByName(one).select("doc_id", "quality")
-    middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
-    part = F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("part")
-    found = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", part, F.xxhash64("text").alias("t"))
-    sample = found.groupBy("doc_id", "quality").agg(F.min_by("part", "t").alias("part"))  # 2 * SAMPLE_DOCS rows at most
-    rows = sorted((r["doc_id"], r["quality"], r["part"] or "") for r in sample.collect())
+    found = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", "text", F.xxhash64("text").alias("t"))
+    sample = found.groupBy("doc_id", "quality").agg(F.min_by("text", "t").alias("text"))  # 2 * SAMPLE_DOCS rows at most
+    rows = sorted((r["doc_id"], r["quality"], r["text"] or "") for r in sample.collect())
     return train([p.encode() for _, _, p in rows], [q for _, q, _ in rows], prior)
 
 
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """(doc_id, score) of every whole text; a null or empty text has no feature and gets the prior's score."""
+    """(doc_id, score) of every whole text; a null or empty text has no feature and gets the prior's score.
+
+    Repeated rows are scored each, a null doc_id stays null, an empty table gives no rows; other columns are not read.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
     def run(batches):

@@ -2,10 +2,10 @@
 
 The library's encoding of a text is the concatenation of the encodings of its
 pre-tokens.  Texts repeat their words, so they are cut at places where the
-tokenizer certainly cuts too; the pieces are named by 64-bit hashes, all at once in
-numpy; each distinct piece is encoded once per Python worker, and a text's ids are
-gathered from the cached pieces.  Texts with unusual white space, and tokenizers of
-an unknown kind, are encoded whole.
+tokenizer certainly cuts too; the pieces are found again by 64-bit names, all at once in
+numpy, and compared in full (see ``span_words``) wherever names agree; each distinct piece is
+encoded once per Python worker, and a text's ids are gathered from the cached pieces.
+Texts with unusual white space, and tokenizers of an unknown kind, are encoded whole.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import re
 
 import numpy as np
 
-from .common import worker_cache
+from .common import hashed_words, span_words, worker_cache
 
 #: code points of white space, and near it, that the tokenizers' patterns may judge differently than this module;
 #: 0 stands between texts
@@ -36,30 +36,6 @@ CLASS = np.array(
     dtype=np.uint8,
 )
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
-STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
-BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of STEP and of its inverse modulo 2^64, ``n`` at least."""
-    cache = worker_cache()
-    if len(cache.get("powers", ((), ()))[0]) < n:
-        both = []
-        for x in (STEP, pow(STEP, -1, 1 << 64)):
-            p = np.full(n, x, dtype=np.uint64)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        cache["powers"] = tuple(both)
-    return cache["powers"]
-
-
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each span of bytes; equal spans have equal hashes wherever they stand."""
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=total[1:])
-    return (total[end] - total[start]) * down[start]
-
 
 def _kind(path: str) -> str:
     with open(path, encoding="utf-8") as f:
@@ -107,6 +83,7 @@ class PieceEncoder:
         self.width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)  # bytes that a token stands for
         for token, i in vocabulary.items():
             self.width[i] = len(token.removesuffix("</w>") if self.kind == "word" else token)
+        self.salt = 0
         self._reset()
 
     def _reset(self) -> None:
@@ -116,6 +93,7 @@ class PieceEncoder:
         self.used = self.pieces = 0
         self.start = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int32)
+        self.words = np.zeros((3, 1 << 14), dtype=np.uint64)  # of the pieces, to compare them
 
     def _find(self, names: np.ndarray) -> np.ndarray:
         """The places of ascending names; -1 for unknown ones."""
@@ -153,7 +131,7 @@ class PieceEncoder:
                 out.append((ids, np.diff(at, prepend=-1)))
         return out
 
-    def _learn(self, pieces: list[str]) -> np.ndarray:
+    def _learn(self, pieces: list[str], words: np.ndarray) -> np.ndarray:
         """Encode new pieces; their places."""
         if self.kind == "byte":
             spaced = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:2] not in ("", " ", "\n")]
@@ -173,11 +151,13 @@ class PieceEncoder:
         flat, n, k = np.concatenate(ids), np.concatenate(counts), self.pieces
         while k + len(n) > len(self.start):
             self.start, self.count = np.resize(self.start, 2 * len(self.start)), np.resize(self.count, 2 * len(self.count))
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, len(self.flat) * 3 // 2)
         self.flat[self.used : self.used + len(flat)] = flat
         self.start[k : k + len(n)] = self.used + np.cumsum(n) - n
         self.count[k : k + len(n)] = n
+        self.words[:, k : k + len(n)] = words[:, order]
         self.used += len(flat)
         self.pieces += len(n)
         places = np.empty(len(n), dtype=np.int64)
@@ -218,13 +198,20 @@ class PieceEncoder:
         if self.kind == "word":
             data = LOWER[data]
         at, to = self._segments(data)
-        names, first, place = np.unique(span_hashes(data, at, to), return_index=True, return_inverse=True)
-        k = self._find(names)
+        words = np.stack(span_words(data, at, to))
+        while True:
+            names, first, place = np.unique(hashed_words(words, self.salt), return_index=True, return_inverse=True)
+            k = self._find(names)
+            some = words[:, first]
+            if not ((words != some[:, place]).any() or (self.words[:, k] != some)[:, k >= 0].any()):
+                break
+            self.salt += 1  # two pieces of one name: all get others
+            self._reset()
         fresh, full, used, pieces = np.flatnonzero(k < 0), self.pieces >= MAX_PIECES, self.used, self.pieces
         if len(fresh):
             raw = data.tobytes()
             spans = zip(at[first[fresh]].tolist(), to[first[fresh]].tolist(), strict=True)
-            k[fresh] = self._learn([raw[a:b].decode() for a, b in spans])
+            k[fresh] = self._learn([raw[a:b].decode() for a, b in spans], some[:, fresh])
             if not full:
                 self._remember(names[fresh], k[fresh])
         k = k[place]
