@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwork.llm import decontaminate, language_id, line_dedup, near_dup, packing
-from sparkwork.llm.common import stored
+from sparkwork.llm.common import free_name, stored
 from sparkwork.sources.tables import read_table
 
 #: SQL has no tokenizer and no compressor; the stages are tested against brute force
@@ -19,20 +19,27 @@ ORACLE_SQL = None
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter, and those whose language the margin does not settle."""
     dictionaries = language_id.train(docs.filter(~language_id.held_out()))
-    name = "lid"
-    while name in docs.columns:
-        name = "_" + name
+    name = free_name("lid", docs)
     return language_id.identify(docs, dictionaries, name).filter(~F.col(f"{name}.rejected")).select(*docs.columns)
 
 
+#: of a document's characters, as many may go as later copies; one that loses more is a copy itself, not a text with some
+MAX_COPIED = 0.5
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut later copies of repeated line runs; a document of which nothing but white space is left goes."""
-    out = line_dedup.dedup_lines(docs)
-    left = (F.col("n_removed") == 0) | (F.trim(F.replace("text", F.lit("\n"), F.lit(""))) != "")
-    out = out.filter(left).withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    )
-    return out.select(*docs.columns)
+    """Cut later copies of repeated line runs; a document of which more than half is copies goes whole.
+
+    What is left of a copy, the lines in which it differs, would be no text; a null or empty text has no copies and stays.
+    """
+    n_lines, n_removed, before = (free_name(c, docs) for c in ("n_lines", "n_removed", "n_before"))
+    out = line_dedup.dedup_lines(docs.withColumn(before, F.length("text")))
+    cut = F.col(n_removed) > 0
+    left = ~cut | ((F.trim(F.replace("text", F.lit("\n"), F.lit(""))) != "") & (F.length("text") >= (1 - MAX_COPIED) * F.col(before)))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.filter(left).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
