@@ -5,11 +5,10 @@ Data layout: ratings ``(i, j, r)``; profiles ``(id, p: array<double>)`` for user
 
 Per iteration the plan is:
 
-1. one pass over the ratings: join both profile tables (broadcast when their counted
-   size is under the threshold, otherwise shuffle joins whose hot keys AQE splits;
-   then, if no user is hot, the ratings are hash-partitioned by user and persisted
-   once so only the profiles move), compute the residual, and emit each rating
-   twice, once keyed by its user and once by its item;
+1. one pass over the ratings: profile tables whose counted size is under the broadcast
+   threshold are joined with them, the residual is computed, and each rating is emitted
+   twice, once keyed by its user and once by its item; larger profile tables are shipped
+   block-wise instead (``blocks``), each profile once per block of ratings;
 2. one hash aggregate by (side, key) with partial aggregation before the shuffle,
    giving the new user and item profiles (the simultaneous update of both) plus each
    key's squared error and old norm, from which the objective follows;
@@ -27,14 +26,14 @@ import math
 import time
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions.vectors import dot, norm_sq
 from ..operators.folds import split
-from ..session import advisory_partition_bytes, cut_lineage, fits_broadcast
+from ..session import cut_lineage, fits_broadcast
+from . import blocks
 
 
 @dataclass(frozen=True)
@@ -198,30 +197,6 @@ def rmse(R_test: DataFrame, U: DataFrame, V: DataFrame, n_users=None, n_items=No
     )
 
 
-RATING_BYTES = 32  # an (i, j, r) row, roughly
-
-
-def _layout_for_shuffle_joins(R: DataFrame, n_users: int, p: MFParams) -> DataFrame:
-    """Hash-partition the ratings by user and persist them when the user profiles must be shuffle-joined.
-
-    Then each iteration shuffles only the (small) profile table to meet the ratings,
-    not the ratings.  Skipped when the profiles are broadcast (no shuffle to save) or
-    when one user's ratings alone exceed a target partition
-    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): a persisted partition
-    cannot be split, while AQE splits a hot partition of a shuffle join.
-    """
-    spark = R.sparkSession
-    if fits_broadcast(spark, n_users, _profile_row_bytes(p.d)):
-        return R
-    top = R.groupBy("i").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
-    if top * RATING_BYTES > advisory_partition_bytes(spark):
-        return R
-    n = p.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = R.repartition(n, "i").persist(StorageLevel.MEMORY_AND_DISK)
-    laid.count()  # a cached plan reports its hash partitioning to later plans only once materialised
-    return laid
-
-
 def train_mf(
     R: DataFrame,
     R_test: DataFrame | None = None,
@@ -251,15 +226,21 @@ def train_mf(
     U = cut_lineage(init_profiles(R, "i", p.d, p.seed, "u"))
     V = cut_lineage(init_profiles(R, "j", p.d, p.seed, "v"))
     n_users, n_items = U.count(), V.count()
-    laid_out = _layout_for_shuffle_joins(R, n_users, p)
-    persisted, R = laid_out is not R, laid_out
+    # block-wise where the profile tables are too large to broadcast
+    small = all(fits_broadcast(spark, n, _profile_row_bytes(p.d)) for n in (n_users, n_items))
+    laid = None if small else blocks.lay_out(R, p.d, p.partitions)
+    laid_test = None if small or self_test else blocks.lay_out(R_test, p.d, p.partitions)
+    n_test = None if laid_test is None else R_test.count()
     history = []
     obj, change, it = float("inf"), float("inf"), 0
     while it < p.maxiter and change > p.eps:
         it += 1
         t_start = time.perf_counter()
         gamma = p.gain / it**p.power
-        both = cut_lineage(joint_step(R, U, V, p, gamma, n_users, n_items))
+        if laid is None:
+            both = cut_lineage(joint_step(R, U, V, p, gamma, n_users, n_items))
+        else:
+            both = cut_lineage(blocks.block_step(laid, U, V, p.d, gamma, p.lam, p.mu, p.weighted))
         stats = both.groupBy().agg(
             F.sum(F.when(F.col("side") == "u", F.col("sse"))).alias("sse"),
             F.sum(F.when(F.col("side") == "u", F.col("n_ratings"))).alias("n_scored"),
@@ -269,11 +250,9 @@ def train_mf(
         srow = stats.first()  # one row to the driver
         if self_test:
             # testing on the training ratings: the step's own squared error gives the RMSE
-            sse_t, n_sc = srow["sse"] or 0.0, srow["n_scored"] or 0
-            trow = {
-                "rmse": math.sqrt(sse_t / n_sc) if n_sc else None,
-                "rmse_all_rows": math.sqrt(sse_t / n_total) if n_total else None,
-            }
+            trow = _rmse_row(srow["sse"], srow["n_scored"], n_total)
+        elif laid_test is not None:
+            trow = _rmse_row(*blocks.block_errors(laid_test, U, V, p.d).first(), n_test)
         else:
             trow = rmse(R_test, U, V, n_users, n_items, p.d).first()
         s = srow["sse"] or 0.0
@@ -291,11 +270,19 @@ def train_mf(
         "iter int, gamma double, objective double, sse double, change double, test_rmse double, "
         "test_rmse_all_rows double, seconds double",
     )
-    if persisted:
-        R.unpersist()
+    for held in (laid, laid_test):
+        if held is not None:
+            held.unpersist()
     return U, V, hist
 
 
+def _rmse_row(sse: float | None, n_scored: int | None, n_all: int) -> dict:
+    return {
+        "rmse": math.sqrt((sse or 0.0) / n_scored) if n_scored else None,
+        "rmse_all_rows": math.sqrt((sse or 0.0) / n_all) if n_all else None,
+    }
+
+
 def cross_validate_mf(
     R: DataFrame,
     k: int,

@@ -108,10 +108,10 @@ def _repeated(side: DataFrame, key: str, X: DataFrame) -> tuple[DataFrame, list[
     return side.select("*", salts).drop("salts"), [key, "salt"]
 
 
-def _clean(X: DataFrame, E: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _clean(X: DataFrame, E: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     xs = X.select("id", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
-    es = E.select("id", F.col("y").cast("double").alias("y"))
-    return xs.dropna(), es.dropna()  # a NULL id, feature, value or label carries no example
+    es = E.select("id", F.col("y").cast("double").alias("y"), *keep)
+    return xs.dropna(), es.dropna(subset=["id", "y"])  # a NULL id, feature, value or label carries no example
 
 
 def prepare_sparse(
@@ -434,44 +434,24 @@ def cross_validate_models(
     ``summary`` has one row per held-out fold plus the mean metric: logistic loss reports
     (acc, pre, rec) of sign(<beta, x>) on the held-out examples, squared loss the held-out
     RMSE (NULL if nothing is held out).  ``models`` is (fold, feature, beta), ``histories``
-    the training histories with their fold.  Folds come from column ``fold_col`` of X and E
-    (e.g. read from fold files), else from md5 buckets of the example id; they are a
-    column of the rows, written once to the checkpoint folder, and each fold filters.
+    the training histories with their fold.  Folds come from column ``fold_col`` of E
+    (e.g. read from fold files), else from md5 buckets of the example id.  All folds are
+    trained side by side (``multi``): the data is laid out once and read once per pass.
     """
     from ..operators.folds import assign_folds
+    from .multi import cross_validate_many
 
     p = params or LinearParams()
-    spark = X.sparkSession
-
-    def folded(df: DataFrame, columns: list[str]) -> DataFrame:
-        if fold_col:
-            return cut_lineage(df.select(*columns, F.col(fold_col).alias("fold")))
-        return cut_lineage(assign_folds(df.select(*columns), "id", k, seed))
-
-    Ef, Xf = folded(E, ["id", "y"]), folded(X, ["id", "feature", "value"])
-    rows, models, histories = [], None, None
-    for f in range(k):
-        Etr, Ete = Ef.where(F.col("fold") != f), Ef.where(F.col("fold") == f)
-        Xtr, Xte = Xf.where(F.col("fold") != f), Xf.where(F.col("fold") == f)
-        beta, hist = train_linear(Xtr.drop("fold"), Etr.drop("fold"), p)
-        scored = score(Xte.drop("fold"), Ete.drop("fold"), beta)
-        n_train, n_test = Etr.count(), Ete.count()
-        if p.loss == "logistic":
-            m = binary_metrics(scored, "score", "y").first()
-            rows.append((f, n_train, n_test, m["acc"], m["pre"], m["rec"], None))
-        else:
-            m = scored.agg(F.sqrt(F.avg((F.col("score") - F.col("y")) ** 2)).alias("rmse")).first()
-            rows.append((f, n_train, n_test, None, None, None, m["rmse"]))
-        beta, hist = (df.select(F.lit(f).alias("fold"), "*") for df in (beta, hist))
-        models = beta if models is None else models.unionByName(beta)
-        histories = hist if histories is None else histories.unionByName(hist)
-    out = spark.createDataFrame(
-        rows, "fold int, n_train bigint, n_test bigint, acc double, pre double, rec double, rmse double"
-    )
-    metric, at = ("acc", 3) if p.loss == "logistic" else ("rmse", 6)
-    vals = [r[at] for r in rows if r[at] is not None]
-    mean = F.lit(sum(vals) / len(vals) if vals else None).cast("double")
-    return out.withColumn(f"mean_{metric}", mean), models, histories
+    if fold_col:
+        Ef = E.select("id", "y", F.col(fold_col).alias("fold"))
+    else:
+        Ef = assign_folds(E.select("id", "y"), "id", k, seed)
+    out, models, histories = cross_validate_many(X.select("id", "feature", "value"), Ef, k, [p.lam], p)
+    metric = "acc" if p.loss == "logistic" else "rmse"
+    mean = out.select(F.avg(metric)).scalar()  # a row per fold
+    out = out.drop("lam").withColumn(f"mean_{metric}", mean)
+    columns = ["fold", "iter", "loss", "grad_norm", "gamma", "line_search_ok", "seconds", "acc", "pre", "rec", "converged"]
+    return out, models.drop("lam"), histories.select(*columns)
 
 
 def cross_validate_linear(

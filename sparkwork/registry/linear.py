@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import linear as LN
-from ..plans.validate import sweep
+from ..plans.multi import sweep_lambdas
 from ..sources import fixtures as X
 from .aggregates import features_sparse_sql
 
@@ -119,7 +119,7 @@ def q_linear_history_scaled(spark, sf):
 
 def q_lambda_sweep(spark, sf):
     Xd, Ed = _sparse(spark, sf)
-    out = sweep([0.0, 0.1, 1.0], lambda lam: LN.train_linear(Xd, Ed, _params(lam=lam, iters=1))[1])
+    _, out = sweep_lambdas(Xd, Ed, [0.0, 0.1, 1.0], _params(iters=1))
     return out.select("lam", "iter", _r("loss"), _r("grad_norm"), _r("gamma"), "line_search_ok")
 
 
