@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions.vectors import add, flatten_tensor, one_hot, scale, subtract
@@ -9,6 +12,8 @@ from ..operators import metrics as M
 from ..operators import vectors as V
 from ..operators.folds import assign_folds, split
 from ..plans import classify as C
+from ..plans import network as NN
+from ..plans import trees as TR
 from ..sources import fixtures as X
 from .aggregates import DENSE
 from .text import _TFIDF, two_documents
@@ -113,21 +118,52 @@ def _split(spark, sf):
     return split(assign_folds(rows, "id", 5, 42), 0)
 
 
-LEARNED = 0.8  # four classes: chance is 0.25
+FOREST = TR.ForestParams(trees=3, depth=2, bins=16, share=0.25, seed=7)
+NETWORK = NN.NetworkParams(hidden=16, classes=4, lr=0.5, epochs=2, seed=7)
+BATCHES = 3
 
 
-def _learned(model, test):
-    return C.score_model(model, test).select("n", (F.col("accuracy") >= LEARNED).alias("learned"))
+def _forest(spark, sf):
+    train, test = _split(spark, sf)
+    return TR.train_forest(train, "id", params=FOREST), test
 
 
 def q_random_forest_score(spark, sf):
-    train, test = _split(spark, sf)
-    return _learned(C.train_forest(train, trees=40, depth=8), test)
+    """Accuracy of a forest of the given depth on the held-out fold."""
+    forest, test = _forest(spark, sf)
+    return forest.predict(test).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("pred") == F.col("label")).cast("double")), 6).alias("accuracy")
+    )
+
+
+def q_forest_splits(spark, sf):
+    return _forest(spark, sf)[0].splits.select("tree", "node", "feature", "bin", _r("score"))
+
+
+def q_forest_predictions(spark, sf):
+    forest, test = _forest(spark, sf)
+    return forest.predict(test).select("id", F.posexplode("votes").alias("tree", "vote"), "pred")
 
 
 def q_mlp_score(spark, sf):
+    """Loss and accuracy on the held-out fold after two steps of back-propagation on all training rows."""
+    train, test = _split(spark, sf)
+    model, _ = NN.train_network(train, ["id"], params=NETWORK)
+    return NN.evaluate(test, "x", "label", model).select("n", _r("loss"), _r("accuracy"))
+
+
+def q_mlp_model(spark, sf):
+    train, _ = _split(spark, sf)
+    model, _ = NN.train_network(train, ["id"], params=NETWORK)
+    return NN.model_rows(model).select("layer", "unit", "k", _r("w"))
+
+
+def q_mlp_epochs(spark, sf):
+    """Two epochs over three mini-batches in the order of ids, with the means of full batches after each."""
     train, test = _split(spark, sf)
-    return _learned(C.train_mlp(train, layers=(D, 16, 4), max_iter=200), test)
+    params = dataclasses.replace(NETWORK, batch=max(train.count() // BATCHES, 1))
+    _, history = NN.train_network(train, ["id"], params=params, test=test)
+    return history.select("epoch", *[_r(c) for c in ("loss", "accuracy", "test_loss", "test_accuracy")])
 
 
 WIDE = 48  # copies of an embedding side by side: 3,072 elements
@@ -195,7 +231,11 @@ QUERIES = {
     "batch_means_by_split": q_batch_means_by_split,
     "label_lookup": q_label_lookup,
     "random_forest_score": q_random_forest_score,
+    "forest_splits": q_forest_splits,
+    "forest_predictions": q_forest_predictions,
     "mlp_score": q_mlp_score,
+    "mlp_model": q_mlp_model,
+    "mlp_epochs": q_mlp_epochs,
     "softmax_history": q_softmax_history,
     "softmax_model": q_softmax_model,
     "softmax_history_test": q_softmax_history_test,
@@ -290,11 +330,156 @@ def _softmax_model_sql(steps: int = 3) -> str:
 
 
 _WIDE_LONG = f"select id, label, (k + j * {D})::integer as k, v from ({_LONG}), (select range as j from range({WIDE}))"
-_LEARNED = f"select count(*) as n, true as learned from ({DENSE}) where {_FOLD} = 0"
+_SIGNED = (
+    f"select id, (2 * (x[1] > 0)::integer + (x[2] > 0)::integer)::integer as label, x, {_FOLD} as fold from ({DENSE})"
+)
+
+
+def _hash_unit(seed: int, *parts: str) -> str:
+    return f"(('0x' || substr(md5(concat_ws(':', '{seed}', {', '.join(parts)})), 1, 8))::bigint / 4294967296.0::double)"
+
+
+def _lit(x: float) -> str:
+    return f"({float(x)!r})::double"
+
+
+def _forest_sql(body: str, p: TR.ForestParams = FOREST) -> str:
+    """The forest level by level: histograms, cumulative sums and the best split of each node."""
+    u = _hash_unit(p.seed, "'row'", "t", "id")
+    weight = "case " + " ".join(f"when {u} < {_lit(c)} then {k}" for k, c in enumerate(TR.POISSON)) + f" else {len(TR.POISSON)} end"
+    ctes = [
+        f"A as (select * from ({_SIGNED}))",
+        "AL as (select id, label, fold, (pos - 1)::integer as k, x[pos] as v from (select *, unnest(range(1, len(x) + 1)) as pos from A))",
+        "ED as (select k, min(v) as low, max(v) as high from AL where fold <> 0 group by k)",
+        "BN as (select id, label, fold, k, coalesce(greatest(0, least(cast(floor((v - low) / nullif(high - low, 0.0::double) "
+        f"* {_lit(p.bins)}) as bigint), {p.bins - 1})), 0)::integer as bin from AL join ED using (k))",
+        f"TT as (select range::integer as t from range({p.trees}))",
+        f"N0 as (select id, label, fold, t, 1::integer as node, {weight} as w from A, TT)",
+    ]
+    splits = []
+    for lv in range(p.depth):
+        lo, hi = 1 << lv, 2 << lv
+        drawn = _hash_unit(p.seed, "'feature'", "t", "node", "k") + f" < {_lit(p.share)}"
+        ctes += [
+            f"D{lv} as (select t, node, k from (select distinct t, node from N{lv} where node >= {lo} and node < {hi}) q, "
+            f"(select range::integer as k from range({D})) r where {drawn})",
+            f"H{lv} as (select N.t, N.node, B.k, B.bin, N.label, sum(N.w)::bigint as n from N{lv} N join D{lv} Q on Q.t = N.t and "
+            f"Q.node = N.node join BN B on B.id = N.id and B.k = Q.k where N.fold <> 0 and N.w > 0 group by all)",
+            f"C{lv} as (select b.t, b.node, b.k, b.bin, l.label, (select coalesce(sum(h.n), 0) from H{lv} h where h.t = b.t and h.node = b.node "
+            f"and h.k = b.k and h.label = l.label and h.bin <= b.bin)::bigint as nl, l.n as na from (select distinct t, node, k, bin from H{lv}) b "
+            f"join (select t, node, k, label, sum(n)::bigint as n from H{lv} group by all) l using (t, node, k))",
+            f"S{lv} as (select t, node, k, bin, sum(nl) as nl, sum(na) as na, sum(nl * nl) as sl, sum((na - nl) * (na - nl)) as sr, "
+            f"sum(na * na) as sa from C{lv} group by all)",
+            f"X{lv} as (select *, sl::double / nl::double + sr::double / (na - nl)::double as score from S{lv} where nl > 0 and nl < na)",
+            f"B{lv} as (select * from (select *, row_number() over (partition by t, node order by score desc, k, bin) as r from X{lv} "
+            f"where score > sa::double / na::double + 1e-9) where r = 1)",
+            f"N{lv + 1} as (select N.id, N.label, N.fold, N.t, (case when S.k is null then N.node when B.bin <= S.bin then 2 * N.node "
+            f"else 2 * N.node + 1 end)::integer as node, N.w from N{lv} N left join B{lv} S on S.t = N.t and S.node = N.node "
+            f"left join BN B on B.id = N.id and B.k = S.k)",
+        ]
+        splits.append(f"select t, node, k, bin, score from B{lv}")
+    ctes += [
+        "SP as (" + " union all ".join(splits) + ")",
+        f"LC as (select t, node, label, sum(w) as n from N{p.depth} where fold <> 0 and w > 0 group by all)",
+        "LF as (select t, node, label from (select *, row_number() over (partition by t, node order by n desc, label) as r from LC) where r = 1)",
+        f"VT as (select N.id, N.label, N.t, LF.label as vote from N{p.depth} N left join LF on LF.t = N.t and LF.node = N.node where N.fold = 0)",
+        "PD as (select id, label, vote as pred from (select id, label, vote, row_number() over (partition by id order by count(*) desc, vote) as r "
+        "from VT group by id, label, vote) where r = 1)",
+    ]
+    return "with " + ",\n".join(c.replace(" as (", " as materialized (", 1) for c in ctes) + "\n" + body
+
+
+def _network_sql(steps: list[str], body: str, p: NN.NetworkParams = NETWORK) -> str:
+    """Back-propagation unrolled: ``steps`` are conditions on rn, one per step; W1_s, W2_s are the weights after s steps."""
+    h = lambda layer: f"md5(concat_ws(':', '{p.seed}', '{layer}', i, k))"
+
+    def normal(layer: str, n_in: int) -> str:
+        u1 = f"((('0x' || substr({h(layer)}, 1, 8))::bigint + 1) / 4294967297.0::double)"
+        u2 = f"(('0x' || substr({h(layer)}, 9, 8))::bigint / 4294967296.0::double)"
+        return f"sqrt(-2.0::double * ln({u1})) * cos(2 * pi() * {u2}) * {_lit(1 / math.sqrt(n_in))}"
+
+    def initial(layer: str, n_out: int, n_in: int) -> str:
+        return (
+            f"select i, k, case when k < {n_in} then {normal(layer, n_in)} else 0.0::double end as w from "
+            f"(select range::integer as i from range({n_out})), (select range::integer as k from range({n_in + 1}))"
+        )
+
+    def forward(name: str, s: int, where: str, rows: str = "R") -> list[str]:
+        return [
+            f"{name}H as (select L.id, W.i, tanh(sum(L.v * W.w)) as h from (select * from L join {rows} using (id) where {where}) L join W1_{s} W using (k) group by L.id, W.i)",
+            f"{name}Y as (select id, i as k, h from {name}H union all select distinct id, {p.hidden}, 1.0::double from {name}H)",
+            f"{name}Z as (select Y.id, W.i as c, sum(Y.h * W.w) as z from {name}Y Y join W2_{s} W using (k) group by Y.id, W.i)",
+            f"{name}E as (select id, c, exp(z - max(z) over (partition by id)) as e from {name}Z)",
+            f"{name}P as (select id, c, e / sum(e) over (partition by id) as p from {name}E)",
+        ]
+
+    ctes = [
+        f"A as (select * from ({_SIGNED}))",
+        "L as (select id, (pos - 1)::integer as k, x[pos] as v from (select *, unnest(range(1, len(x) + 1)) as pos from A) "
+        f"union all select id, {D}, 1.0::double from A)",
+        "R as (select id, label, row_number() over (order by id) - 1 as rn, count(*) over () as n from A where fold <> 0)",
+        "T as (select id, label, row_number() over (order by id) - 1 as rn, count(*) over () as n from A where fold = 0)",
+        f"W1_0 as ({initial('w1', p.hidden, D)})",
+        f"W2_0 as ({initial('w2', p.classes, p.hidden)})",
+    ]
+    for s, where in enumerate(steps):
+        ctes += forward(f"F{s}", s, where)
+        ctes += [
+            f"Q{s} as (select P.id, P.c, P.p - case when R.label = P.c then 1.0 else 0.0 end as e from F{s}P P join R using (id))",
+            f"G{s} as (select Q.id, W.k as i, sum(Q.e * W.w) as e from Q{s} Q join W2_{s} W on W.i = Q.c where W.k < {p.hidden} group by Q.id, W.k)",
+            f"M{s} as (select count(distinct id) as n from Q{s})",
+            f"W1_{s + 1} as (select W.i, W.k, W.w - {_lit(p.lr)} / (select n from M{s}) * g.g as w from W1_{s} W join "
+            f"(select G.i, L.k, sum(G.e * (1.0 - H.h * H.h) * L.v) as g from G{s} G join F{s}H H using (id, i) join L using (id) group by G.i, L.k) g using (i, k))",
+            f"W2_{s + 1} as (select W.i, W.k, W.w - {_lit(p.lr)} / (select n from M{s}) * g.g as w from W2_{s} W join "
+            f"(select Q.c as i, Y.k, sum(Q.e * Y.h) as g from Q{s} Q join F{s}Y Y using (id) group by Q.c, Y.k) g using (i, k))",
+        ]
+    more, body = body(forward) if callable(body) else ([], body)
+    return "with " + ",\n".join(c.replace(" as (", " as materialized (", 1) for c in ctes + more) + "\n" + body
+
+
+def _told(name: str, rows: str) -> str:
+    """(id, loss, hit) of scored rows."""
+    return (
+        f"select q.id, rn, n, -ln(max(case when c = label then p end)) as loss, (arg_min(c, (-p, c)) = any_value(label))::integer as hit "
+        f"from {name}P q join {rows} using (id) group by q.id, rn, n"
+    )
+
+
+def _mlp_score(forward):
+    return forward("Z", 2, "true", "T"), f"select count(*) as n, round(avg(loss), 6) as loss, round(avg(hit), 6) as accuracy from ({_told('Z', 'T')})"
+
+
+def _mlp_epochs(forward):
+    more, rows = [], []
+    size = f"greatest((select any_value(n) from R) // {BATCHES}, 1)"
+    for e in range(NETWORK.epochs):
+        parts = []
+        for name, of in ((f"EV{e}", "R"), (f"ET{e}", "T")):
+            more += forward(name, BATCHES * (e + 1), "true", of)
+            batch = size if of == "R" else f"least({size}, (select any_value(n) from T))"
+            parts.append(
+                f"(select avg(loss) as loss, avg(hit) as hit from (select avg(loss) as loss, avg(hit) as hit from ({_told(name, of)}) "
+                f"where rn < n // {batch} * {batch} group by rn // {batch}))"
+            )
+        rows.append(
+            f"select {e} as epoch, round(a.loss, 6) as loss, round(a.hit, 6) as accuracy, round(b.loss, 6) as test_loss, "
+            f"round(b.hit, 6) as test_accuracy from {parts[0]} a, {parts[1]} b"
+        )
+    return more, " union all ".join(rows)
+
+
+_MLP_MODEL = (
+    "select 'hidden' as layer, i as unit, k, round(w, 6) as w from W1_2 union all select 'output', i, k, round(w, 6) from W2_2"
+)
+_MLP_BATCHES = [f"rn >= {b} * greatest(n // {BATCHES}, 1) and rn < {b + 1} * greatest(n // {BATCHES}, 1)" for b in range(BATCHES)]
 
 ORACLE = {
-    "random_forest_score": _LEARNED,
-    "mlp_score": _LEARNED,
+    "random_forest_score": _forest_sql("select count(*) as n, round(avg((pred = label)::integer), 6) as accuracy from PD"),
+    "forest_splits": _forest_sql("select t as tree, node, k as feature, bin, round(score, 6) as score from SP"),
+    "forest_predictions": _forest_sql("select VT.id, VT.t as tree, VT.vote, PD.pred from VT join PD using (id)"),
+    "mlp_score": _network_sql(["true", "true"], _mlp_score),
+    "mlp_model": _network_sql(["true", "true"], _MLP_MODEL),
+    "mlp_epochs": _network_sql(_MLP_BATCHES * NETWORK.epochs, _mlp_epochs),
     "softmax_history_test": _softmax_history_sql(2, f"{_FOLD} <> 0", test=True),
     "wide_vector_sum": f"select label, k, round(sum(v), 6) as total from ({_WIDE_LONG}) group by label, k",
     "wide_softmax_gradient": f"""
