@@ -6,10 +6,14 @@ gathers a group into one row or one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import pickle
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions import hashing as H
 from ..session import cut_lineage, fits_broadcast
@@ -131,3 +135,45 @@ def balanced_sample(
     ties = rows.join(ties.select(F.col(label).alias("_label"), "_key"), (F.col(label) == F.col("_label")) & (F.col(key) == F.col("_key")), "left_semi")
     cols = df.columns
     return below.select(*cols).unionByName(ties.select(*cols))
+
+
+def two_phase_aggregate(df: DataFrame, zero, seq: Callable, comb: Callable, finish: Callable, schema: str, fan: int = 8) -> DataFrame:
+    """An aggregate of the caller's own: ``seq`` folds rows into a state per partition, ``comb`` merges two states.
+
+    ``zero()`` makes an empty state, ``seq(state, batch)`` takes an Arrow record batch of rows and returns a state, and
+    ``finish(state)`` gives the result's rows, as tuples of ``schema``.  The states of the partitions are merged ``fan``
+    at a time, level by level, so no task merges more than ``fan`` states and the depth grows with the logarithm of the
+    number of partitions.  States are pickled; their size must be bounded by the caller, not by the rows.  Native
+    aggregates are faster wherever one fits.  An empty table gives ``finish(zero())``.
+    """
+
+    def fold(batches):
+        state = zero()
+        for batch in batches:
+            state = seq(state, batch)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], ["state"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        states = [pickle.loads(s) for s in table["state"].to_pylist()]
+        state = states[0]
+        for other in states[1:]:
+            state = comb(state, other)
+        return pa.table([table["at"][:1].cast(pa.int64()), pa.array([pickle.dumps(state)], pa.binary())], ["at", "state"])
+
+    def finished(batches):
+        rows = [r for batch in batches for s in batch.column(0).to_pylist() for r in finish(pickle.loads(s))]
+        yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kinds)
+
+    spark = df.sparkSession
+    states = df.mapInArrow(fold, "state binary").withColumn("at", F.spark_partition_id().cast("long"))
+    states = cut_lineage(states.select("at", "state"))
+    left = states.agg(F.max("at").alias("n")).first()["n"]
+    if left is None:  # not even a partition
+        states = spark.createDataFrame([(0, pickle.dumps(zero()))], "at long, state binary")
+    while left:
+        left //= fan
+        groups = states.select(F.floor(F.col("at") / fan).alias("at"), "state").groupBy("at")
+        states = cut_lineage(groups.applyInArrow(merge, "at long, state binary"))
+    out = StructType.fromDDL(schema)
+    names, kinds = out.names, to_arrow_schema(out)
+    return states.select("state").mapInArrow(finished, out)

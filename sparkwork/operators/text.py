@@ -75,6 +75,14 @@ def idf(
     return idf_from_tf(tf(terms(docs, text, keys=doc), keys=doc), docs, doc, smooth)
 
 
+def idf_of_lines(lines: DataFrame, files: DataFrame, text: str = "text", doc: str = "doc", smooth: bool = False) -> DataFrame:
+    """``idf`` where a document's text is many rows (its lines) of ``lines``; ``files`` has a row per document.
+
+    A document is never put together: its terms are counted across its rows by one (document, term) aggregate.
+    """
+    return idf_from_tf(tf(terms(lines, text, keys=doc), keys=doc), files, doc, smooth)
+
+
 def idf_from_tf(
     tf_rows: DataFrame,
     docs: DataFrame,

@@ -30,6 +30,23 @@ def element_mean(df: DataFrame, vec: str, scale: float = 1.0):
     return df.select(F.sum(row_sum) / F.nullif(F.sum(F.size(vec)), F.lit(0))).scalar()
 
 
+def center_by(df: DataFrame, vec: str, by: str | Sequence[str], scale: float = 255.0, out: str | None = None) -> DataFrame:
+    """``center`` with a mean of its own for each group of ``by`` (a split: training rows, test rows).
+
+    The means, a row per group, meet the rows in a join that is a broadcast if their counted size allows it.
+    """
+    s, keys = F.lit(float(scale)), _list(by)
+    row_sum = F.aggregate(F.col(vec), F.lit(0.0), lambda acc, x: acc + x / s)
+    means = df.groupBy(*keys).agg((F.sum(row_sum) / F.nullif(F.sum(F.size(vec)), F.lit(0))).alias("_mean"))
+    means = means.select(*[F.col(k).alias(f"_by_{k}") for k in keys], "_mean")
+    met = F.lit(True)
+    for k in keys:
+        met = met & F.col(k).eqNullSafe(F.col(f"_by_{k}"))
+    joined = df.join(sized_broadcast(means, row_bytes=64), met)
+    centred = joined.withColumn(out or vec, F.transform(F.col(vec), lambda x: x / s - F.col("_mean")))
+    return centred.drop("_mean", *[f"_by_{k}" for k in keys])
+
+
 def center(df: DataFrame, vec: str, scale: float = 255.0, out: str | None = None) -> DataFrame:
     """Divide every element by ``scale``, then subtract the global scalar mean of the scaled elements."""
     s = F.lit(float(scale))

@@ -54,6 +54,22 @@ def q_topk_values(spark, sf):
     return A.top_k(X.numbers(spark, sf), "value", 13, ties=["event_id"])
 
 
+def q_topk_two_phase(spark, sf):
+    """The same by a caller's own aggregate: bounded lists of the 13 largest, folded per partition and merged in a tree."""
+
+    def largest(rows):
+        return sorted(rows, key=lambda r: (-r[1], r[0]))[:13]
+
+    def fold(state, batch):
+        rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+        return largest([*state, *((i, v) for i, v in rows if v is not None)])
+
+    return A.two_phase_aggregate(
+        X.numbers(spark, sf).select("event_id", "value"), list, fold, lambda a, b: largest(a + b), lambda state: state,
+        "event_id long, value double",
+    )
+
+
 def q_topk_per_type(spark, sf):
     ev = read_table(spark, sf, "events").select("event_id", "event_type", "value")
     return A.top_k(ev, "value", 3, by="event_type", ties=["event_id"])
@@ -98,6 +114,7 @@ QUERIES = {
     "rating_stats": q_rating_stats,
     "feature_vocab": q_feature_vocab,
     "topk_values": q_topk_values,
+    "topk_two_phase": q_topk_two_phase,
     "topk_per_type": q_topk_per_type,
     "hash_sample": q_hash_sample,
     "balanced_sample": q_balanced_sample,
@@ -160,6 +177,7 @@ ORACLE = {
     "rating_stats": f"select count(*) as n, count(distinct i) as n_i, count(distinct j) as n_j from ({RATINGS})",
     "feature_vocab": f"select distinct feature from ({features_sparse_sql()})",
     "topk_values": "select event_id, value from events order by value desc, event_id limit 13",
+    "topk_two_phase": "select event_id, value from events order by value desc, event_id limit 13",
     "topk_per_type": (
         "select * from (select event_id, event_type, value, cast(row_number() over "
         "(partition by event_type order by value desc, event_id) as integer) as rank from events) where rank <= 3"

@@ -14,7 +14,7 @@ from ..session import cut_lineage, scratch_path
 from ..sources import files as FI
 from ..sources import fixtures as X
 from ..sources.tables import read_table
-from ..streaming.wordcount import word_count_stream
+from ..streaming.wordcount import latest_counts, word_count_stream
 from .aggregates import FOLDS, RATINGS, features_sparse_sql
 from .text import _IDF, _TERMS
 from .text import ORACLE as TEXT_ORACLE
@@ -27,14 +27,28 @@ def q_ratings_scan(spark, sf):
 
 
 def _fold_files(spark, sf, name):
-    """fold0 .. fold4 of the ratings as text folders, from one derivation."""
+    """The ratings as text, a folder per fold, written in one pass."""
     base = scratch_path(spark, name)
-    rows = cut_lineage(X.ratings_folds(spark, sf).select(F.concat_ws(",", "i", "j", "r").alias("value"), "fold"))
-    for f in range(5):
-        FI.write_table(rows.where(F.col("fold") == f).select("value"), f"{base}/fold{f}", "text")
+    FI.write_folds(X.ratings_folds(spark, sf).select(F.concat_ws(",", "i", "j", "r").alias("value"), "fold"), base)
     return base
 
 
+def q_make_folds(spark, sf):
+    """Lines of a ratings file split into five fold files; how many lines each fold got."""
+    path, base = scratch_path(spark, "rating-lines"), scratch_path(spark, "made-folds")
+    ratings = X.ratings(spark, sf).select(F.concat_ws(",", "i", "j").alias("value"))
+    FI.write_table(ratings.select(F.concat("value", F.lit(",1.5")).alias("value")), path, "text")
+    FI.make_folds(spark, path, base, 5)
+    return FI.read_folds(spark, base, 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("j").alias("sum_j"))
+
+
+def q_pairs_raw(spark, sf):
+    """Raw word counts, whatever characters the words hold, written as pairs and read back."""
+    path = scratch_path(spark, "raw-pairs")
+    FI.write_table(FI.pair_lines(T.word_count(X.documents(spark, sf)), "word", "n"), path, "text")
+    return FI.read_pairs(spark, path).select(F.col("term").alias("word"), F.col("val").cast("bigint").alias("n"))
+
+
 def q_folds_scan(spark, sf):
     base = _fold_files(spark, sf, "folds")
     return FI.read_folds(spark, base, 5).select("i", "j", F.round("r", 6).alias("r"), "fold")
@@ -68,7 +82,7 @@ def q_word_count_stream(spark, sf):
     out = scratch_path(spark, "stream-out")
     q = word_count_stream(spark, src, out, max_files_per_trigger=1)
     q.awaitTermination()
-    return spark.read.parquet(out).select("word", "n")
+    return latest_counts(spark, out).select("word", "n")
 
 
 def q_model_roundtrip(spark, sf):
@@ -86,11 +100,12 @@ def q_tf_file(spark, sf):
 
 
 def q_idf_files(spark, sf):
-    """IDF over a list of files, one document per file (the file path is the document key)."""
+    """IDF over a list of files, one document per file, read line by line (the file path is the document key)."""
     base = scratch_path(spark, "idf-files")
     docs = read_table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value"))
     FI.write_table(docs, base, "text", partition_by=["doc_id"])  # one folder, one file per document
-    return T.idf(FI.read_docs(spark, base), "text", "doc").select("term", "df", F.round("idf", 6).alias("idf"))
+    out = T.idf_of_lines(FI.read_doc_lines(spark, base), FI.list_docs(spark, base))
+    return out.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def _pair_file(spark, df, key, value, name):
@@ -138,6 +153,8 @@ QUERIES = {
     "idf_files": q_idf_files,
     "ratings_scan": q_ratings_scan,
     "folds_scan": q_folds_scan,
+    "make_folds": q_make_folds,
+    "pairs_raw": q_pairs_raw,
     "labelled_scan": q_labelled_scan,
     "pairs_scan": q_pairs_scan,
     "word_count_lines": q_word_count_lines,
@@ -175,6 +192,11 @@ ORACLE = {
     "idf_files": TEXT_ORACLE["idf"],
     "ratings_scan": f"select i, j, round(r, 6) as r from ({RATINGS})",
     "folds_scan": f"select i, j, round(r, 6) as r, fold from ({FOLDS})",
+    "make_folds": (
+        "select fold::integer as fold, count(*) as n, sum(j)::bigint as sum_j from (select j, ('0x' || substr(md5(concat_ws(':', '42', "
+        f"concat_ws(',', i, j, '1.5'))), 1, 8))::bigint % 5 as fold from ({RATINGS})) group by fold"
+    ),
+    "pairs_raw": TEXT_ORACLE["word_count"],
     "labelled_scan": f"select feature, round(value, 6) as value, y from ({features_sparse_sql()})",
     "pairs_scan": TEXT_ORACLE["top_terms"],
     "word_count_lines": TEXT_ORACLE["word_count"],

@@ -52,6 +52,14 @@ def q_vector_center(spark, sf):
     return V.explode_vector(df, "id", "x").select("id", "k", _r("value"))
 
 
+def q_vector_center_split(spark, sf):
+    """Training and test rows, each centred by the mean of its own split."""
+    rows = assign_folds(_dense(spark, sf), "id", 5, 42)
+    rows = rows.withColumn("split", F.when(F.col("fold") == 0, F.lit("test")).otherwise(F.lit("train")))
+    centred = V.center_by(rows, "x", "split")
+    return V.explode_vector(centred, ["id", "split"], "x").select("id", "split", "k", _r("value"))
+
+
 def q_vector_minmax(spark, sf):
     return V.vector_minmax(_dense(spark, sf), "x").select(_r("min_value"), _r("max_value"))
 
@@ -220,6 +228,7 @@ QUERIES = {
     "onehot_labels": q_onehot_labels,
     "vector_center": q_vector_center,
     "vector_minmax": q_vector_minmax,
+    "vector_center_split": q_vector_center_split,
     "vector_sum_by_key": q_vector_sum_by_key,
     "vector_axpy": q_vector_axpy,
     "softmax_gradient": q_softmax_gradient,
@@ -500,6 +509,10 @@ ORACLE = {
     "vector_center": f"""
         with L as ({_LONG}), M as (select avg(v / 255.0::double) as m from L)
         select id, k, round(v / 255.0::double - (select m from M), 6) as value from L""",
+    "vector_center_split": f"""
+        with L as (select *, case when {_FOLD} = 0 then 'test' else 'train' end as split from ({_LONG})),
+        M as (select split, avg(v / 255.0::double) as m from L group by split)
+        select id, split, k, round(v / 255.0::double - m, 6) as value from L join M using (split)""",
     "vector_minmax": f"select round(min(v), 6) as min_value, round(max(v), 6) as max_value from ({_LONG})",
     "vector_sum_by_key": f"select label, k, round(sum(v), 6) as total from ({_LONG}) group by label, k",
     "vector_axpy": f"""

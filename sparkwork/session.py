@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,11 +60,59 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+class ScratchScope:
+    """Owns the scratch tables and checkpoints made while it is open, and deletes them when it is closed.
+
+    ``with scratch_scope(spark): ...`` around a job and whatever reads its result (scopes nest; a table belongs to the
+    innermost one).  A DataFrame that outlives the scope must not read what was deleted: write it elsewhere, collect it, or
+    hand its tables on with ``keep``.  Without a scope tables stay until the folder's owner removes them.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> ScratchScope:
+        _SCOPES.append(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df``, whose files now belong to the scope around this one (or to none)."""
+        files = {unquote(f) for f in df.inputFiles()}
+        # without the scheme, which one may write with one slash and the other with three
+        mine = [p for p in self.paths if any(p.split(":", 1)[-1].lstrip("/") in f for f in files)]
+        self.paths = [p for p in self.paths if p not in mine]
+        at = _SCOPES.index(self)
+        if at:
+            _SCOPES[at - 1].paths += mine
+        return df
+
+    def __exit__(self, *failed) -> None:
+        _SCOPES.remove(self)
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
+_SCOPES: list[ScratchScope] = []
+
+
+def scratch_scope(spark: SparkSession) -> ScratchScope:
+    return ScratchScope(spark)
+
+
+def _owned(path: str) -> None:
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for intermediate tables."""
+    """A fresh path under the shared checkpoint folder for intermediate tables; it belongs to the open scope."""
     base = checkpoint_dir(spark)
     token = os.urandom(6).hex()
-    return f"{base.rstrip('/')}/sparkwork-{name}-{token}"
+    path = f"{base.rstrip('/')}/sparkwork-{name}-{token}"
+    _owned(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -73,7 +122,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     tell its partitioning to later plans: an aggregation or join on the same key shuffles it again.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _SCOPES:
+        file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            _owned(file.get())
+    return out
 
 
 def _bytes(raw: str) -> int:

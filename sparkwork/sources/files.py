@@ -7,15 +7,17 @@ reference's parsers raise on the first bad line.  Writers refuse to overwrite.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed pattern: a Python-literal pair "(TERM, VAL)", with optional u'' / '' / "" quotes.
-PAIR_PATTERN = r"""^\(u?['"]?([^'",]*)['"]?\s*,\s*(.*)\)$"""
-# Fixed pattern: a labelled example "({feature: value, ...}, y)".
-LABELLED_PATTERN = r"^\s*\(\s*(\{.*\})\s*,\s*([^,()]+?)\s*\)\s*$"
+from ..functions import hashing as H
+from ..functions import literals as L
+
+# Fixed pattern: a pair "(TERM, VAL)"; the term is a Python string literal or bare characters.
+PAIR_PATTERN = rf"^\s*\(\s*(?:({L.STRING})|([^'\",]*?))\s*,\s*([^,()]*?)\s*,?\s*\)\s*$"
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -28,11 +30,26 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_docs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(doc, text): one row per file, the file path as the document key."""
+    """(doc, text): one row per file, the file path as the document key.  For files that fit a row."""
     df = spark.read.text(_paths(paths), wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("text"))
 
 
+def read_doc_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(doc, text): one row per line, the file path as the document key; a large file is read by several tasks.
+
+    Files without a line have no row: ``list_docs`` has all.
+    """
+    df = spark.read.text(_paths(paths))
+    return df.select(F.col("_metadata.file_path").alias("doc"), F.col("value").alias("text"))
+
+
+def list_docs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(doc): the path of every file, empty ones too, from the listing that a scan makes on the driver anyway."""
+    files = spark.read.option("recursiveFileLookup", "true").text(_paths(paths)).inputFiles()
+    return spark.createDataFrame([(f,) for f in files], "doc string")
+
+
 def _checked(rows: DataFrame, parsed, ok, what: str) -> DataFrame:
     """The fields of the struct ``parsed`` of rows that are ``ok``; any other row fails the job.
 
@@ -64,10 +81,32 @@ def read_ratings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def _fold_lines(spark: SparkSession, folder: str, k: int) -> DataFrame:
-    """(value, fold) of ``folder/fold0`` ... ``folder/fold{k-1}``; fold from the file path."""
-    paths = [f"{folder.rstrip('/')}/fold{f}" for f in range(k)]
-    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(\d+)(/|$)", 1).cast("int")
-    return spark.read.text(paths).select("value", fold.alias("fold"))
+    """(value, fold) of the folds 0 ... k-1 below ``folder``; fold from the file path.
+
+    Folds are files or folders ``fold0``, ``fold1``, ..., all of which must be there, or folders ``fold=0``, ``fold=1``, ...
+    as ``write_folds`` makes them, where an empty fold has none.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").text(f"{folder.rstrip('/')}/fold*")
+    found = [m for f in rows.inputFiles() if (m := re.search(r"/fold(=|%3D)?(\d+)(/[^/]*)?$", f))]
+    named = {int(m[2]) for m in found if not m[1]}
+    if named and (missing := set(range(k)) - named):
+        raise FileNotFoundError(f"folds {sorted(missing)} are missing in {folder}")
+    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(?:=|%3D)?(\d+)(/[^/]*)?$", 1).cast("int")
+    return rows.select("value", fold.alias("fold")).where(F.col("fold") < k)
+
+
+def write_folds(df: DataFrame, folder: str, value: str = "value", fold: str = "fold") -> None:
+    """Write lines with their fold as text, one folder ``fold=<n>`` per fold, in one pass over ``df``."""
+    write_table(df.select(F.col(value).alias("value"), F.col(fold).alias("fold")), folder, "text", partition_by=["fold"])
+
+
+def make_folds(spark: SparkSession, path: str | Sequence[str], folder: str, k: int = 5, seed: int | str = 42) -> None:
+    """Split the lines of text files into ``k`` folds by their hash and write them below ``folder``, in one job.
+
+    Equal lines go to one fold.  Empty lines are dropped.
+    """
+    lines = read_lines(spark, path).where(F.col("value") != "")
+    write_folds(lines.select("value", H.bucket(k, F.lit(str(seed)), F.col("value")).cast("int").alias("fold")), folder)
 
 
 def read_folds(spark: SparkSession, folder: str, k: int) -> DataFrame:
@@ -76,19 +115,16 @@ def read_folds(spark: SparkSession, folder: str, k: int) -> DataFrame:
 
 
 def _labelled_rows(raw: DataFrame) -> DataFrame:
-    body = F.regexp_extract("value", LABELLED_PATTERN, 1)
-    label = F.regexp_extract("value", LABELLED_PATTERN, 2)
-    x = F.from_json(body, "map<string,double>", {"allowSingleQuotes": "true", "mode": "FAILFAST"})
-    row = F.struct(x.alias("x"), label.try_cast("double").alias("y"))
-    ok = F.col("_row.x").isNotNull() & F.col("_row.y").isNotNull()
+    row = L.labelled(F.col("value"))
+    ok = F.col("_row").isNotNull() & F.col("_row.x").isNotNull() & F.col("_row.y").isNotNull()
     return _checked(raw.where(F.trim("value") != ""), row, ok, "labelled")
 
 
 def read_labelled(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(x: map<string,double>, y: double) from ``({feature: value, ...}, y)`` lines.
 
-    Parsed as JSON with single quotes allowed (never evaluated as code); a line that
-    does not parse fails the job.
+    Read as Python literals (never evaluated as code): string keys with prefixes and escapes, number keys, trailing
+    commas.  A line that does not parse fails the job.
     """
     return _labelled_rows(read_lines(spark, path)).select("_row.*")
 
@@ -101,9 +137,9 @@ def read_labelled_folds(spark: SparkSession, folder: str, k: int) -> DataFrame:
 def read_pairs(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(term, val) from ``(TERM, VAL)`` lines."""
     raw = read_lines(spark, path).where(F.trim("value") != "")
-    term = F.regexp_extract("value", PAIR_PATTERN, 1)
-    val = F.trim(F.regexp_extract("value", PAIR_PATTERN, 2)).try_cast("double")
-    row = F.struct(term.alias("term"), val.alias("val"))
+    literal, bare, val = (F.regexp_extract("value", PAIR_PATTERN, k) for k in (1, 2, 3))
+    term = F.when(literal != "", L.string(literal)).otherwise(bare)
+    row = F.struct(term.alias("term"), F.trim(val).try_cast("double").alias("val"))
     return _checked(raw, row, F.col("_row.val").isNotNull(), "pair").select("_row.*")
 
 
@@ -136,8 +172,8 @@ def write_model(beta: DataFrame, path: str) -> None:
 
 
 def pair_lines(df: DataFrame, key: str, value: str) -> DataFrame:
-    """(value: string) lines ``('key', value)`` for the text sink."""
-    return df.select(F.format_string("('%s', %s)", F.col(key), F.col(value).cast("string")).alias("value"))
+    """(value: string) lines ``('key', value)`` for the text sink; whatever the key holds, ``read_pairs`` restores it."""
+    return df.select(F.concat(F.lit("("), L.quoted(F.col(key)), F.lit(", "), F.col(value).cast("string"), F.lit(")")).alias("value"))
 
 
 def labelled_lines(X: DataFrame, E: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
