@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions.vectors import dot, norm_sq
-from ..operators.folds import split
 from ..session import cut_lineage, fits_broadcast
 from . import blocks
 
@@ -283,6 +282,49 @@ def _rmse_row(sse: float | None, n_scored: int | None, n_all: int) -> dict:
     }
 
 
+def _fold_profiles(folded: DataFrame, key: str, k: int, p: MFParams, salt: str) -> DataFrame:
+    """(key, p, alive): the first vector of a key, once per model, and the models in which it has a training rating."""
+    vec = F.array(*[H.normal(F.lit(str(p.seed)), F.lit(salt), F.col(key), F.lit(c)) for c in range(p.d)])
+    folds = folded.groupBy(key).agg(F.collect_set("fold").alias("_folds"))  # k at most
+    alive = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: F.exists("_folds", lambda g: g != f))
+    return cut_lineage(folds.select(key, F.flatten(F.array_repeat(vec, k)).alias("p"), alive.alias("alive")))
+
+
+def _train_folds(folded: DataFrame, k: int, p: MFParams) -> list[tuple]:
+    """(fold, n_train, n_test, test_rmse, test_rmse_all_rows) of k models, each trained on all folds but its own."""
+    folded = folded.dropna(subset=["i", "j", "r"])
+    sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    U, V = _fold_profiles(folded, "i", k, p, "u"), _fold_profiles(folded, "j", k, p, "v")
+    alive = {"i": U.select("i", "alive"), "j": V.select("j", "alive")}
+    laid = blocks.lay_out(folded, p.d * k, p.partitions, ("fold",))
+    last, obj, running, it = {}, [float("inf")] * k, set(range(k)), 0
+
+    def total_of(side: str, column: str, f: int) -> Column:
+        # a key without a rating in the model has no profile there
+        counts = (F.col("side") == side) & ((F.lit(side) == "t") | (F.get("n", F.lit(f)) > 0))
+        return F.coalesce(F.sum(F.when(counts, F.get(column, F.lit(f)))), F.lit(0.0))
+
+    while running and it < p.maxiter:
+        it += 1
+        gammas = [p.gain / it**p.power if f in running else 0.0 for f in range(k)]
+        both = cut_lineage(blocks.fold_step(blocks.fold_sums(laid, U, V, p.d, k), p.d, k, gammas, p.lam, p.mu, p.weighted))
+        wanted = {"sse": ("u", "sse"), "nu": ("u", "norms"), "nv": ("v", "norms"), "se": ("t", "sse"), "n": ("t", "n")}
+        s = both.agg(*[total_of(*w, f).alias(f"{name}{f}") for f in range(k) for name, w in wanted.items()]).first()
+        for f in sorted(running):
+            new = s[f"sse{f}"] + p.lam * s[f"nu{f}"] + p.mu * s[f"nv{f}"]
+            last[f] = _rmse_row(s[f"se{f}"], int(s[f"n{f}"]), sizes.get(f, 0))
+            if abs(new - obj[f]) <= p.eps:
+                running.discard(f)
+            obj[f] = new
+        U = both.where(F.col("side") == "u").select(F.col("key").alias("i"), "p").join(alive["i"], "i")
+        V = both.where(F.col("side") == "v").select(F.col("key").alias("j"), "p").join(alive["j"], "j")
+    laid.unpersist()
+    none = {"rmse": None, "rmse_all_rows": None}
+    rows = [(f, total - sizes.get(f, 0), sizes.get(f, 0), last.get(f, none)) for f in range(k)]
+    return [(f, a, b, r["rmse"], r["rmse_all_rows"]) for f, a, b, r in rows]
+
+
 def cross_validate_mf(
     R: DataFrame,
     k: int,
@@ -294,7 +336,8 @@ def cross_validate_mf(
 
     Folds come from ``fold_col`` when given (e.g. read from fold files), else from the
     md5 of (seed, i, j); fold f trains on the others and reports the last
-    iteration's test RMSE.  k = 1 trains and tests on all ratings.
+    iteration's test RMSE.  The models of all folds are trained side by side: an iteration reads
+    the ratings once, block-wise (``blocks``).  k = 1 trains and tests on all ratings.
     """
     from ..operators.folds import assign_folds
 
@@ -311,11 +354,7 @@ def cross_validate_mf(
             folded = cut_lineage(R.select("i", "j", "r", F.col(fold_col).alias("fold")))
         else:
             folded = cut_lineage(assign_folds(R.select("i", "j", "r"), ["i", "j"], k, seed))
-        for f in range(k):
-            train, test = split(folded, f)
-            _, _, h = train_mf(train.drop("fold"), test.drop("fold"), p, materialize=False)  # filters of a checkpoint
-            last = h.orderBy(F.desc("iter")).first()
-            rows.append((f, train.count(), test.count(), last["test_rmse"], last["test_rmse_all_rows"]))
+        rows = _train_folds(folded, k, p)
     out = spark.createDataFrame(rows, "fold int, n_train bigint, n_test bigint, test_rmse double, test_rmse_all_rows double")
     scored = [r[3] for r in rows if r[3] is not None]  # a fold none of whose ratings can be scored has no RMSE
     return out.withColumn("mean_rmse", F.lit(sum(scored) / len(scored) if scored else None).cast("double"))
