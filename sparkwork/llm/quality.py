@@ -39,10 +39,10 @@ def features(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     buckets = [bucket(word, 0), np.full(int(again.sum()), BUCKETS - 1)]
     wide = data.astype(np.uint64)
     for n in GRAMS:
-        if len(data) > n + 1:
-            gram = wide[1 : len(data) - n].copy()
+        if len(data) > n:
+            gram = wide[1 : len(data) - n + 1].copy()
             for k in range(1, n):
-                gram |= wide[1 + k : len(data) - n + k] << np.uint64(8 * k)
+                gram |= wide[1 + k : len(data) - n + 1 + k] << np.uint64(8 * k)
             first = owner[: len(gram)]
             whole = owner[n - 1 : n - 1 + len(gram)] == first  # of one text, its closing line feed perhaps included
             texts.append(first[whole])

@@ -127,21 +127,46 @@ def test_op2(result, texts):
         ("(MIT OR GPL-3.0-only) AND Apache-2.0", {"mit", "gpl", "apache"}, 0.9),
         ("MIT OR GPL-3.0-only AND Apache-2.0", {"mit", "gpl", "apache"}, 0.95),
         ("GPL-2.0-or-later WITH Classpath-exception-2.0", {"gpl"}, 0.5),
+        ("GPL-2.0+ and more words", {"gpl"}, None),
+        ("MIT */ int main", {"mit"}, 0.95),
+        ("CC-BY-NC-ND-4.0", {"cc-by", "cc-by-nc-nd"}, 0.1),  # the words "cc by" are a base phrase
+        ("LicenseRef-mine OR MIT", {"licenseref", "mit"}, 0.95),
         ("mit and", None, None),
         ("(mit or", None, None),
         (") mit", None, None),
+        ("mit-like", None, None),
+        ("something", None, None),
+        ("MIT WITH Apache-2.0", None, None),
+        ("MIT AND Classpath-exception-2.0", None, None),
         ("", None, None),
     ],
 )
 def test_license_expressions(text, labels, score):
-    rpn = license_scan.postfix(text)
-    if labels is None:
-        assert rpn is None
+    out = license_scan.scan(f"// SPDX-License-Identifier: {text}\n".encode(), license_scan.automata())
+    if labels is None or score is None:  # no whole expression
+        assert out[5:] == ("", 0.0)
     else:
-        found, freedom = license_scan.evaluate(rpn)
-        assert found == labels and freedom == pytest.approx(score)
-        out = license_scan.scan(f"// SPDX-License-Identifier: {text}\n".encode(), license_scan.automaton())
-        assert set(out[5].split(",")) == labels
+        assert set(out[5].split(",")) == labels and out[6] == pytest.approx(score)
+
+
+def test_license_notices():
+    scan = lambda t: license_scan.scan(t.encode(), license_scan.automata())[4:]
+    assert scan("Dedicated to the public domain.") == ("", "public-domain", 1.0)
+    assert scan("this is not public domain") == ("", "", 0.0)
+    assert scan("not under the MIT License") == ("mit", "mit", 0.0) or scan("not an MIT License") == ("mit", "mit", 0.0)
+    assert scan("MIT License. Redistribution and use in source and binary forms") == ("mit", "bsd,mit", 0.95)
+    many = "SPDX-License-Identifier: MIT\r\nx SPDX-License-Identifier:GPL-3.0\nSPDX License Identifier: ISC"
+    assert scan(many) == ("", "gpl,mit", 0.3)
+
+
+def test_license_labels_of_whole_texts(result, texts):
+    """Labels and score by plain search in the normalised words."""
+    for r in result("op2_license_scan"):
+        line = " " + " ".join(words(dict(texts)[r["doc_id"]])) + " "
+        labels = {label for phrase, label in (license_scan.NOTICES | license_scan.BASE).items() if f" {phrase} " in line}
+        if not any(f" {w} " in line for w in license_scan.NEGATIONS | {"spdx"}):
+            assert r["labels"] == ",".join(sorted(labels))
+            assert r["score"] == min((license_scan.FREEDOM[x] for x in labels), default=0.0)
 
 
 def test_op3(result):
@@ -210,6 +235,37 @@ def test_op5(result, texts):
     assert {r["doc_id"]: r["group_id"] for r in result("op5_near_dup")} == {d: root(d) for d in docs}
 
 
+def test_links_by_band_of_similarity(spark):
+    """sf0.01: every pair at 0.8 or more is in one group; groups join nothing else than such pairs do."""
+    rows = duckdb.connect().execute("select doc_id, text from '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    shingles, holders = {}, defaultdict(list)
+    for d, t in rows:
+        w = words(t)
+        shingles[d] = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else Counter([tuple(w)] if w else [])
+        for s in shingles[d]:
+            holders[s].append(d)
+    pairs = {(a, b) for held in holders.values() for i, a in enumerate(held) for b in held[i + 1 :]}
+    parent = {d: d for d in shingles}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    bands = Counter()
+    for a, b in pairs:
+        both = (shingles[a] & shingles[b]).total()
+        value = both / (shingles[a].total() + shingles[b].total() - both)
+        bands[min(int(value * 10), 9)] += 1
+        if value >= 0.8:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: r["group_id"] for r in near_dup.near_duplicates(docs).collect()}
+    assert got == {d: root(d) for d in got}
+    assert bands[8] + bands[9] > 50
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(4)
     a, b, truth = [], [], []
@@ -333,6 +389,72 @@ def test_op10(result):
     assert np.mean([g > b for g in good for b in bad]) > 0.95
 
 
+def test_language_scores_by_compression_anew(result, texts):
+    """Each text compressed again, chunk by chunk, with the dictionaries of the learned texts."""
+    import zstandard
+
+    from sparkwork.llm import language_id
+
+    rows = {r["doc_id"]: r for r in result("op3_language_id")}
+    learned = defaultdict(dict)
+    for d, t, lang in table("documents", "doc_id, text, lang"):
+        if t is not None and lang is not None and zlib.crc32(str(d).encode()) % 4 != 2:
+            learned[lang][t] = learned[lang].get(t, 0) + 1
+    assert all(len(v) <= language_id.SAMPLE_DOCS for v in learned.values())  # so every text is in its dictionary
+
+    def size(chunk, held):
+        made = zstandard.ZstdCompressor(dict_data=held, write_checksum=False, write_content_size=False)
+        return len(made.compress(chunk))
+
+    agree = 0
+    for d, t in texts:
+        r = rows[d]
+        if not t or not any(map(str.isalpha, t)):
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        w = language_id.normal(t.encode())
+        sizes = {}
+        for lang, some in learned.items():
+            data = b" ".join(language_id.normal(x.encode()) for x in sorted(some))
+            held = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held.precompute_compress(level=language_id.LEVEL)
+            sizes[lang] = sum(size(w[a : a + language_id.CHUNK], held) for a in range(0, len(w), language_id.CHUNK)) if len(w) < 4000 else 0
+        if len(w) < 4000:
+            agree += min(sizes, key=sizes.get) == r["lang_pred"]
+            best, second = sorted(sizes.values())[:2]
+            assert abs((1 - best / second) - r["score"]) < 0.1  # the texts stand in another order in the dictionary
+        else:
+            agree += 1
+    assert agree >= 0.97 * sum(1 for _, t in texts if t and any(map(str.isalpha, t)))
+
+
+def test_quality_scores_by_features_one_by_one(spark, texts):
+    """The score of a text is the logistic function of the mean of its features' numbers plus the bias."""
+    from sparkwork.llm import quality
+    from sparkwork.llm.common import hashed_words, span_words
+
+    rng = np.random.default_rng(1)
+    model = rng.normal(size=quality.BUCKETS), 0.3
+
+    def one(raw):
+        spans = [(m.start(), m.end()) for m in re.finditer(rb"[^\x00-\x20]+", raw)]
+        found, last = [], None
+        for a, b in spans:
+            w = hashed_words(span_words(np.frombuffer(raw, dtype=np.uint8), np.array([a]), np.array([b])))
+            found.append(int(quality.bucket(w, 0)[0]))
+            if last == raw[a:b]:
+                found.append(quality.BUCKETS - 1)
+            last = raw[a:b]
+        line = raw + b"\n"
+        for n in quality.GRAMS:
+            found += [int(quality.bucket(np.array([int.from_bytes(line[i : i + n], "little")], dtype=np.uint64), n)[0]) for i in range(len(line) - n + 1)]
+        return 1 / (1 + np.exp(-(np.mean([model[0][f] for f in found] or [0.0]) + model[1])))
+
+    some = [t for _, t in texts if t and len(t) < 600][:40] + ["", "a", "the the the", "x\ny"]
+    got = quality.scores([t.encode() for t in some], model)
+    assert np.allclose(got, [one(t.encode()) for t in some])
+
+
 def test_blocks_of_items_find_what_one_block_finds(spark):
     from sparkwork.llm import decontaminate
     from sparkwork.sources.tables import read_table
