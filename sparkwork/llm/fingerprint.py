@@ -26,7 +26,8 @@ from .tokens import batches_by_size
 
 EXACT, SKETCH = 4, 128
 PART = 1 << 20  # bytes hashed at once
-CHUNKS_PER_PARTITION = 2  # chunks of the global order for each shuffle partition
+CHUNKS_PER_PARTITION = 2  # chunks of the global order for each shuffle partition at least ...
+CHUNK_BYTES = 64 << 20  # ... and as many as have about so many bytes of text each
 WORD_TABLE = np.frombuffer(WORD_BYTES, dtype=np.uint8)
 ODD_1, ODD_2, ODD_3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -107,7 +108,10 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint) of each row; a null or empty text has the fingerprint of no paragraph."""
+    """(doc_id, fingerprint) of each row; a null or empty text has the fingerprint of no paragraph.
+
+    Repeated rows have one each, equal ones; null ids stay null; an empty table gives no rows; other columns are not read.
+    """
 
     def run(batches):
         for batch in batches:
@@ -145,10 +149,13 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     """Each document beside its edited text (see ``op8_fingerprint``), with the fingerprints of both.
 
     The order is cut into chunks; a chunk also gets the first document of the next one, so every
-    document meets its successor in one shuffle of the texts, whatever the chunks' sizes.
+    document meets its successor in one shuffle of the texts, whatever the chunks' sizes.  Rows equal in doc_id stand in the
+    order of their text's hash, null ids after all others; repeated rows follow each other, in one chunk; a null or empty
+    text is an empty document; a single row is its own successor; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    chunks = CHUNKS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    chunks = max(CHUNKS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // CHUNK_BYTES))
     starts = chunk_starts(docs, chunks)
 
     @F.pandas_udf("array<struct<chunk:int,sentinel:boolean>>")
