@@ -17,7 +17,10 @@ ORACLE_SQL = None
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, and those whose language the margin does not settle."""
+    """Drop documents without a letter, and those whose language the margin does not settle.
+
+    Null and empty texts have no letter; repeated rows are judged each; an empty table gives none; columns stay.
+    """
     dictionaries = language_id.train(docs.filter(~language_id.held_out()))
     name = free_name("lid", docs)
     return language_id.identify(docs, dictionaries, name).filter(~F.col(f"{name}.rejected")).select(*docs.columns)
@@ -43,17 +46,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates."""
+    """Keep one document of each group of near-duplicates; of repeated rows one; every document without words."""
     return near_dup.keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut passages of test items; a document that is mostly such passages goes."""
+    """Cut passages of test items; a document that is mostly such passages goes.
+
+    Null and empty texts and repeated rows stay as they are; without items nothing changes; columns stay.
+    """
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenise what is left and pack it into sequences."""
+    """Tokenise what is left and pack it into sequences: every id of every row, a null or empty text's end id too."""
     return packing.pack(docs)
 
 
