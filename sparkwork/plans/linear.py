@@ -134,6 +134,7 @@ def prepare_sparse(
     xs, es = _clean(X, E)
     hot = _hot_keys(xs, "id", max_rows_per_example)
     Xp = _laid_out(xs, "id", "feature", n, hot)
+    check_rows_per_example(Xp, max_rows_per_example)
     if hot is not None:
         es = es.join(hot, "id", "left")
     Ep = es.repartition(n, "id").persist(StorageLevel.MEMORY_AND_DISK)
@@ -141,6 +142,15 @@ def prepare_sparse(
     return Xp, Ep
 
 
+def check_rows_per_example(Xp: DataFrame, known_top: int | None) -> None:
+    """Raise if an example has more rows than the caller vouched for; the layout by id makes this a pass without a shuffle."""
+    if known_top is None:
+        return
+    top = Xp.groupBy("id").agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k").alias("top")).first()["top"] or 0
+    if top > known_top:
+        raise ValueError(f"an example has {top} rows, more than max_rows_per_example = {known_top}")
+
+
 def prepare_by_feature(X: DataFrame, partitions: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(X laid out by feature and persisted, its hot features): meets a model too large to broadcast."""
     n = partitions or int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))

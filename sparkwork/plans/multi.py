@@ -25,6 +25,7 @@ from .linear import (
     _hot_keys,
     _laid_out,
     _repeated,
+    check_rows_per_example,
     dloss_expr,
     loss_expr,
     prepare_by_feature,
@@ -126,6 +127,7 @@ def train_many(X: DataFrame, E: DataFrame, slots: Sequence[Slot], params: Linear
     xs, es = _clean(X, E, keep)
     hot = _hot_keys(xs, "id", p.max_rows_per_example)
     Xp = _laid_out(xs, "id", "feature", n, hot)
+    check_rows_per_example(Xp, p.max_rows_per_example)
     if hot is not None:
         es = es.join(hot, "id", "left")
     EM = cut_lineage(es.withColumn("s", F.array_repeat(F.lit(0.0), K)))

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkwork.functions import vectors as VF
@@ -177,3 +178,10 @@ def test_a_fold_without_scored_ratings_has_no_rmse(spark):
     R = spark.createDataFrame([(i, j + 10 * f, r, f) for i, j, r, f in rows], "i long, j long, r double, fold int")
     got = MF.cross_validate_mf(R, 2, MF.MFParams(d=2, maxiter=1), fold_col="fold").collect()
     assert [r.test_rmse for r in got] == [None, None] and got[0].mean_rmse is None
+
+
+def test_a_wrong_bound_on_an_examples_rows_is_an_error(spark):
+    X = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (2, "a", 1.0)], "id long, feature string, value double")
+    E = spark.createDataFrame([(1, 1.0), (2, -1.0)], "id long, y double")
+    with pytest.raises(ValueError, match="2 rows"):
+        LN.train_linear(X, E, LN.LinearParams(max_iter=1, max_rows_per_example=1))
