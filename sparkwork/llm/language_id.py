@@ -22,7 +22,7 @@ from .common import WORD_BYTES, doc_bucket, worker_cache_of
 SAMPLE_DOCS = 192  # distinct labelled texts per language, those of the smallest hash
 DRAWN = 4  # times as many are drawn before they are ranked
 CHUNK = 1024  # bytes compressed at once: small beside the dictionary, so that it decides
-LEVEL = 12  # of compression, for texts of every size
+LEVEL = 6  # of compression, for texts of every size
 MIN_MARGIN = 0.002  # a smaller share of bytes between the first and the second language is no decision
 UNKNOWN = "und"
 SCHEMA = "lang_pred string, score double, rejected boolean"
