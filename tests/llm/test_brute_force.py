@@ -389,8 +389,8 @@ def test_op10(result):
     assert np.mean([g > b for g in good for b in bad]) > 0.95
 
 
-def test_language_scores_by_compression_anew(result, texts):
-    """Each text compressed again, chunk by chunk, with the dictionaries of the learned texts."""
+def test_language_scores_by_compression_anew(spark, result, texts):
+    """Each text compressed again, chunk by chunk, with dictionaries made of all learned texts in the order of their hashes."""
     import zstandard
 
     from sparkwork.llm import language_id
@@ -401,31 +401,25 @@ def test_language_scores_by_compression_anew(result, texts):
         if t is not None and lang is not None and zlib.crc32(str(d).encode()) % 4 != 2:
             learned[lang][t] = learned[lang].get(t, 0) + 1
     assert all(len(v) <= language_id.SAMPLE_DOCS for v in learned.values())  # so every text is in its dictionary
+    hashes = {r[0]: r[1] for r in spark.createDataFrame([(t,) for t in {t for v in learned.values() for t in v}], "t string").select("t", F.xxhash64("t")).collect()}
+    held = {}
+    for lang, some in learned.items():
+        data = b" ".join(language_id.normal(x.encode()) for x in sorted(some, key=hashes.get))
+        held[lang] = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held[lang].precompute_compress(level=language_id.LEVEL)
 
-    def size(chunk, held):
-        made = zstandard.ZstdCompressor(dict_data=held, write_checksum=False, write_content_size=False)
-        return len(made.compress(chunk))
+    def size(words, lang):
+        made = zstandard.ZstdCompressor(dict_data=held[lang], write_checksum=False, write_content_size=False)
+        return sum(len(made.compress(words[a : a + language_id.CHUNK])) for a in range(0, len(words), language_id.CHUNK))
 
-    agree = 0
     for d, t in texts:
         r = rows[d]
         if not t or not any(map(str.isalpha, t)):
             assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
             continue
-        w = language_id.normal(t.encode())
-        sizes = {}
-        for lang, some in learned.items():
-            data = b" ".join(language_id.normal(x.encode()) for x in sorted(some))
-            held = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(level=language_id.LEVEL)
-            sizes[lang] = sum(size(w[a : a + language_id.CHUNK], held) for a in range(0, len(w), language_id.CHUNK)) if len(w) < 4000 else 0
-        if len(w) < 4000:
-            agree += min(sizes, key=sizes.get) == r["lang_pred"]
-            best, second = sorted(sizes.values())[:2]
-            assert abs((1 - best / second) - r["score"]) < 0.1  # the texts stand in another order in the dictionary
-        else:
-            agree += 1
-    assert agree >= 0.97 * sum(1 for _, t in texts if t and any(map(str.isalpha, t)))
+        sizes = sorted((size(language_id.normal(t.encode()), lang), -sum(some.values()), lang) for lang, some in learned.items())
+        assert r["lang_pred"] == sizes[0][2] and r["score"] == pytest.approx(1 - sizes[0][0] / sizes[1][0])
+        assert r["rejected"] == (r["score"] < language_id.MIN_MARGIN)
 
 
 def test_quality_scores_by_features_one_by_one(spark, texts):
