@@ -104,3 +104,15 @@ def test_folds_trained_side_by_side_equal_single_trainings(spark, monkeypatch):
         last = h.orderBy("iter").collect()[-1]
         assert (cv[f]["n_train"], cv[f]["n_test"]) == (train.count(), test.count())
         assert abs(cv[f]["test_rmse"] - last["test_rmse"]) < 1e-9 and abs(cv[f]["test_rmse_all_rows"] - last["test_rmse_all_rows"]) < 1e-9
+
+
+def test_executors_need_no_copy_of_the_package(spark):
+    """The functions that run inside tasks unpickle where the package cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    code = "import sys, pickle; f = pickle.loads(sys.stdin.buffer.read()); assert 'sparkwork' not in sys.modules; print(f.__name__)"
+    out = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(blocks._scored), capture_output=True, cwd="/", timeout=60)
+    assert out.stdout.decode().strip() == "_scored", out.stderr
