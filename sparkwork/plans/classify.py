@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, softmax
 from ..operators.vectors import vector_sum_by
-from ..session import cut_lineage
+from ..session import check_model_size, cut_lineage
 
 # The class names of the ten-class image set the reference classifies.
 IMAGE_LABEL_NAMES = ["airplane", "automobile", "bird", "cat", "deer", "dog", "frog", "horse", "ship", "truck"]
@@ -75,6 +75,7 @@ def train_softmax(
     held = None if test is None else test.select(x, label).persist(StorageLevel.MEMORY_AND_DISK)
     if d is None:
         d = rows.select(F.max(F.size(x))).first()[0]
+    check_model_size(n_classes * (d or 0), "the softmax model")
     W = zero_model(spark, n_classes, d)
     hist = []
     for s in range(steps):

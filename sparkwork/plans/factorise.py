@@ -47,6 +47,7 @@ class MFParams:
     seed: int = 1234567
     weighted: bool = True  # regulariser added per rating row, as in the reference's step
     partitions: int | None = None  # spread the ratings over this many partitions (else as they come)
+    blockwise: bool = False  # ship the profiles block-wise even where they could be broadcast
 
 
 def init_profiles(R: DataFrame, key: str, d: int, seed: int, salt: str) -> DataFrame:
@@ -226,7 +227,7 @@ def train_mf(
     V = cut_lineage(init_profiles(R, "j", p.d, p.seed, "v"))
     n_users, n_items = U.count(), V.count()
     # block-wise where the profile tables are too large to broadcast
-    small = all(fits_broadcast(spark, n, _profile_row_bytes(p.d)) for n in (n_users, n_items))
+    small = not p.blockwise and all(fits_broadcast(spark, n, _profile_row_bytes(p.d)) for n in (n_users, n_items))
     laid = None if small else blocks.lay_out(R, p.d, p.partitions)
     laid_test = None if small or self_test else blocks.lay_out(R_test, p.d, p.partitions)
     n_test = None if laid_test is None else R_test.count()

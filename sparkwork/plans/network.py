@@ -23,7 +23,7 @@ from ..functions import hashing as H
 from ..functions.vectors import dot, softmax
 from ..operators.metrics import row_index
 from ..operators.vectors import vector_sum_by
-from ..session import cut_lineage
+from ..session import check_model_size, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -154,6 +154,7 @@ def train_network(
         raise ValueError("no rows to train on")
     held, n_held = numbered(test) if test is not None else (None, 0)
     d = rows.agg(F.max(F.size(x))).first()[0]
+    check_model_size(p.hidden * (d + 1) + p.classes * (p.hidden + 1), "the network")
     batch = min(p.batch or n, n)
     model, history = initial_model(spark, d, p), []
     for epoch in range(p.epochs):

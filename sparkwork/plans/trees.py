@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..operators.vectors import _list
-from ..session import cut_lineage
+from ..session import check_model_size, cut_lineage
 
 #: cumulative probabilities of the Poisson distribution of mean 1
 POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) for k in range(6)]
@@ -181,6 +181,7 @@ def train_forest(df: DataFrame, key: str | list[str], x: str = "x", label: str =
     rows = df.select(*_list(key), F.col(x).alias("x"), F.col(label).cast("int").alias("label")).dropna(subset=["x", "label"])
     edges = cut_lineage(bin_edges(rows, "x"))
     d = edges.count()
+    check_model_size((p.trees << p.depth) * max(2, math.ceil(d * (p.share or 1 / math.sqrt(max(d, 1))))), "a level of the forest")
     weights = F.transform(
         F.sequence(F.lit(0), F.lit(p.trees - 1)), lambda t: bootstrap_weight(p.seed, t, F.concat_ws(":", *[F.col(k).cast("string") for k in _list(key)]))
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.folds import assign_folds
 from ..plans import linear as LN
-from ..plans.multi import sweep_lambdas
+from ..plans.multi import cross_validate_many, sweep_lambdas
 from ..sources import fixtures as X
 from .aggregates import features_sparse_sql
 
@@ -171,6 +172,16 @@ def q_labelled_summary(spark, sf):
     return LN.data_summary(*_sparse(spark, sf))
 
 
+GRID = (0.0, 0.5, 2.0)
+
+
+def q_lambda_cv(spark, sf):
+    """Held-out RMSE of every fold and regularisation weight, all trained in one job."""
+    Xd, Ed = _regression(spark, sf, ranked=True)
+    summary, _, _ = cross_validate_many(Xd, assign_folds(Ed, "id", 3, 42), 3, GRID, _params("squared", bound=3))
+    return summary.select("lam", "fold", "n_train", "n_test", _r("rmse"))
+
+
 def q_logistic_cv(spark, sf):
     cv = LN.cross_validate_linear(*_sparse(spark, sf), 2, _params(), seed=42)
     return cv.select("fold", "n_train", "n_test", _r("acc"), _r("pre"), _r("rec"), "rmse", _r("mean_acc"))
@@ -259,6 +270,7 @@ QUERIES = {
     "linear_gradient": q_linear_gradient,
     "linear_history": q_linear_history,
     "lambda_sweep": q_lambda_sweep,
+    "lambda_cv": q_lambda_cv,
     "line_search_deep": q_line_search_deep,
     "linear_history_scaled": q_linear_history_scaled,
     "linear_cv_from_folds": q_linear_cv_from_folds,
@@ -453,7 +465,7 @@ def _history_test_sql() -> str:
     return _with(ctes, body)
 
 
-def _linear_cv_sql(k: int = 3, part: str = "summary") -> str:
+def _linear_cv_sql(k: int = 3, part: str = "summary", lam: float = LAM) -> str:
     reg = (
         "select row_number() over (order by y, x1, x2, x3) - 1 as id, y, x1, x2, x3 from "
         "(select l_extendedprice / 10000 as y, l_quantity / 50 as x1, l_discount as x2, l_tax as x3 from lineitem)"
@@ -463,7 +475,7 @@ def _linear_cv_sql(k: int = 3, part: str = "summary") -> str:
         "{'feature': 'x3', 'value': x3}], recursive := true) from RG)"
     )
     fe = f"select id, y, (('0x' || substr(md5(concat_ws(':', '42', id)), 1, 8))::bigint % {k}) as fold from RG"
-    p = LN.LinearParams(loss="squared", lam=LAM, max_iter=ITERS)
+    p = LN.LinearParams(loss="squared", lam=lam, max_iter=ITERS)
     ctes, parts = [f"RG as ({reg})", f"XS as ({xs})", f"FE as ({fe})"], []
     for f in range(k):
         pre = f"f{f}_"
@@ -542,6 +554,9 @@ ORACLE = {
     "linear_gradient": _with(_reg_ctes(LN.LinearParams(loss="squared", lam=LAM, max_iter=1)), "select feature, round(grad, 6) as grad from G0"),
     "linear_history": _with(_reg_ctes(_PS), _HIST_BODY.format(_hist_union(ITERS))),
     "lambda_sweep": _sweep_sql(),
+    "lambda_cv": " union all ".join(
+        f"select {_lit(lam)} as lam, fold, n_train, n_test, rmse from ({_linear_cv_sql(3, lam=lam)})" for lam in GRID
+    ),
     "line_search_deep": _with(
         _reg_ctes(LN.LinearParams(loss="squared", lam=LAM, max_iter=1), SCALE),
         "select t, round(gamma * 1e9, 6) as gamma_e9, round(loss, 3) as loss, ok from C0 where t between 20 and 39",

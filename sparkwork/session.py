@@ -182,3 +182,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+MODEL_NUMBERS = 1 << 25  # 256 MB of doubles
+
+
+def check_model_size(numbers: int, what: str) -> None:
+    """Raise if a model that plans read as one scalar row has more numbers than a task should hold."""
+    if numbers > MODEL_NUMBERS:
+        raise ValueError(f"{what} has {numbers} numbers, more than the {MODEL_NUMBERS} that are read as one row")
