@@ -82,12 +82,8 @@ def _by_node(table: DataFrame, value: Column, level: int, p: ForestParams) -> Co
     return whole.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "value"))), lambda e: e["value"])).scalar()
 
 
-def level_splits(rows: DataFrame, level: int, d: int, p: ForestParams) -> DataFrame:
-    """(tree, node, feature, bin, score): the best split of each node; nodes that no split improves are absent.
-
-    Rows with a bin of the split or below go left.  The score is the sum over both sides of sum(count^2)/sum(count) over
-    the labels, which is largest where the Gini impurity is least; ties go to the first feature and bin.
-    """
+def level_counts(rows: DataFrame, level: int, d: int, p: ForestParams) -> DataFrame:
+    """(tree, node, feature, bin, label, n): the weights of a level's nodes, from one aggregate over the rows."""
     start = 1 << level
     features = _by_node(drawn_features(rows.sparkSession, level, d, p), F.col("features"), level, p)
     at = rows.withColumn("_features", features).select(
@@ -99,7 +95,17 @@ def level_splits(rows: DataFrame, level: int, d: int, p: ForestParams) -> DataFr
         "label", "tree", F.col("e.nodes").alias("node"), F.col("e.weights").alias("w"),
         F.inline(F.transform(mine, lambda k: F.struct(k.alias("feature"), F.get("bins", k).alias("bin")))),
     )
-    counts = cells.groupBy("tree", "node", "feature", "bin", "label").agg(F.sum("w").alias("n"))
+    return cells.groupBy("tree", "node", "feature", "bin", "label").agg(F.sum("w").alias("n"))
+
+
+def level_splits(rows: DataFrame, level: int, d: int, p: ForestParams) -> DataFrame:
+    """(tree, node, feature, bin, score): the best split of each node; nodes that no split improves are absent.
+
+    Rows with a bin of the split or below go left.  The score is the sum over both sides of sum(count^2)/sum(count) over
+    the labels, which is largest where the Gini impurity is least; ties go to the first feature and bin.
+    """
+    # written: what follows reads this table of bounded size three times, and the rows once
+    counts = cut_lineage(level_counts(rows, level, d, p))
     # over at most bins x labels rows of a node's feature
     feature = Window.partitionBy("tree", "node", "feature", "label")
     every = _grid(counts)

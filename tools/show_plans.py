@@ -65,12 +65,12 @@ def many_gradients(spark, sf):
 
 
 def forest_level(spark, sf):
-    """The splits of the second level of a forest."""
+    """The counts of the second level of a forest."""
     rows = X.features_dense(spark, sf).select("id", "x", "label")
     p = trees.ForestParams()
     binned = trees.binned(rows, "x", trees.bin_edges(rows, "x"), p.bins)
     standing = binned.select("label", "bins", F.array_repeat(F.lit(1), p.trees).alias("weights"), F.array_repeat(F.lit(2), p.trees).alias("nodes"))
-    return trees.level_splits(cut_lineage(standing), 1, 64, p)
+    return trees.level_counts(cut_lineage(standing), 1, 64, p)
 
 
 def logistic_gradient(spark, sf):
