@@ -49,10 +49,15 @@ def worker_cache_of(owner: str) -> dict:
 def give_back() -> None:
     """Return freed memory of the worker to the system: what an operator held would else count beside the next one's."""
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Return the allocators' free pages; many small objects of a batch leave some between those that stay."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-    if trim:
-        trim(0)
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if release:
+        release(0)
 
 
 def doc_bucket(col, n: int):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..sources.tables import read_table
-from .common import stored, worker_cache_of
+from .common import stored, trim, worker_cache_of
 from .token_ids import packed, unpacked
 from .tokens import batches_by_size, encoder
 
@@ -46,6 +46,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, unit: in
         worker_cache_of("tokenizer")
         enc, squeeze, part, nth = encoder(tokenizer), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), {}
         for batch in batches:
+            trim()
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in batches_by_size(texts):
                 rows = []
@@ -59,6 +60,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, unit: in
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names
                 )
+        keys = texts = rows = None
+        trim()
 
     names = [c.split()[0] for c in PIECES_SCHEMA.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64(), pa.binary()]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from .common import stored, worker_cache, worker_cache_of
+from .common import stored, trim, worker_cache, worker_cache_of
 from .tokens import batches_by_size, encoder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +63,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         worker_cache_of("tokenizer")
         enc, squeeze = encoder(tokenizer), zstandard.ZstdCompressor(level=1)
         for batch in batches:
+            trim()
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for a, b in batches_by_size(texts):
                 ids = [np.append(x, np.uint32(end_id)) for x in enc.encode(texts[a:b])]
