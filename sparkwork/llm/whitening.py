@@ -25,7 +25,7 @@ from ..sources.tables import read_table
 from .common import stored
 
 COMPONENTS = 32
-GUARD = 8  # vectors beyond the wanted ones; the filter's interval ends at the least of them
+GUARD = 16  # vectors beyond the wanted ones; the filter's interval ends at the least of them
 SCALE, SHIFT = 64, 1_000_000  # an entry c becomes floor(SCALE * c) + SHIFT
 LARGEST = 2.0**53 / SCALE  # entries beyond are no measurements: such a vector is dropped like one with an infinite entry
 DEGREE = 12  # passes of one filter at most
