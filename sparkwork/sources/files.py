@@ -91,7 +91,7 @@ def _fold_lines(spark: SparkSession, folder: str, k: int) -> DataFrame:
     named = {int(m[2]) for m in found if not m[1]}
     if named and (missing := set(range(k)) - named):
         raise FileNotFoundError(f"folds {sorted(missing)} are missing in {folder}")
-    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(?:=|%3D)?(\d+)(/[^/]*)?$", 1).cast("int")
+    fold = F.regexp_extract(F.col("_metadata.file_path"), r"/fold(?:=|%3D)?(\d+)(/[^/]*)?$", 1).try_cast("int")
     return rows.select("value", fold.alias("fold")).where(F.col("fold") < k)
 
 

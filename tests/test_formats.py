@@ -71,17 +71,25 @@ def test_pairs_round_trip(spark, words):
 
 def test_make_folds_is_one_pass(spark):
     path, out = _write("\n".join([f"{i},{i % 7},1.5" for i in range(300)] + ["1,1,1.5"] * 3 + [""])), tempfile.mkdtemp(prefix="folds-") + "/out"
-    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
-    FI.make_folds(spark, path, out, 5)
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before + 1
+    sc = spark.sparkContext
+    sc.setJobGroup("make-folds", "one job")
+    try:
+        FI.make_folds(spark, path, out, 5)
+        assert len(sc.statusTracker().getJobIdsForGroup("make-folds")) == 1
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
     rows = FI.read_folds(spark, out, 5).collect()
     assert len(rows) == 303 and {r["fold"] for r in rows} == set(range(5))
     assert len({r["fold"] for r in rows if (r["i"], r["j"]) == (1, 1)}) == 1
+    os.makedirs(out + "-named/fold_old")
+    with open(out + "-named/fold_old/part", "w") as f:
+        f.write("9,9,9\n")
     os.makedirs(out + "-named/fold0")
     with open(out + "-named/fold0/part", "w") as f:
         f.write("1,2,3\n")
     with pytest.raises(FileNotFoundError, match="1"):
         FI.read_folds(spark, out + "-named", 2)
+    assert [tuple(r) for r in FI.read_folds(spark, out + "-named", 1).collect()] == [(1, 2, 3.0, 0)]
 
 
 def test_idf_of_many_documents_in_a_folder(spark):
