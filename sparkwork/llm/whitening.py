@@ -257,7 +257,7 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id",
         (F.col("at") + 1).cast("int").alias("component"),
         "n",
-        F.col("deviation").cast("long").alias("deviation"),
+        F.col("deviation").try_cast("long").alias("deviation"),  # beyond 2^63, from some million rows on, null: no long holds it
         F.col("value").alias("whitened"),
         F.get("explained", F.col("at")).alias("explained"),
         "identity_error",
