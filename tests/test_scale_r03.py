@@ -27,3 +27,42 @@ def test_documents_are_files_of_one_folder(spark):
     assert files.count() == files.distinct().count() == 4
     lines = FI.read_doc_lines(spark, folder)
     assert {r["term"]: r["df"] for r in T.idf_of_lines(lines, files).collect()} == {"a": 2, "b": 1, "c": 1}
+
+
+LINES = [
+    '({"a": 1.5, "b":2}, -1)',
+    "({'a': 1e-3, 'it': -2.}, 1.0)",
+    "( { } , 3 )",
+    '({"a": 1, "a": 2}, 1)',
+    "({u'a': 1l, 2: .5,}, 1,)",
+    '({"x\\ty": 1, "#": 2, "a,b:c": 3}, 1)',
+    '({"it\'s": 1}, 0)',
+]
+
+
+def test_labelled_lines_of_the_plain_form_read_as_the_others(spark):
+    folder = tempfile.mkdtemp(prefix="labelled-") + "/lines"
+    spark.createDataFrame([(x,) for x in LINES], "value string").write.text(folder)
+    got = sorted((sorted(r["x"].items()), r["y"]) for r in FI.read_labelled(spark, folder).collect())
+    general = spark.createDataFrame([(x,) for x in LINES], "value string").select(L.labelled(F.col("value")).alias("r"))
+    assert got == sorted((sorted(r["r"]["x"].items()), r["r"]["y"]) for r in general.collect())
+
+
+def test_malformed_labelled_lines_still_fail(spark):
+    for line in ('({"a": 1 2}, 1)', '({,}, 1)', '({"a": 1,, "b": 2}, 1)', '({#}, 1)', '({"a": #}, 1)', '({"a": 1} 1)', '({"a" "b": 1}, 1)'):
+        folder = tempfile.mkdtemp(prefix="labelled-") + "/lines"
+        spark.createDataFrame([(line,)], "value string").write.text(folder)
+        try:
+            FI.read_labelled(spark, folder).count()
+        except Exception as e:
+            assert "malformed labelled line" in str(e)
+        else:
+            raise AssertionError(line)
+
+
+def test_a_line_is_parsed_once(spark):
+    folder = tempfile.mkdtemp(prefix="labelled-") + "/lines"
+    spark.createDataFrame([(LINES[0],)], "value string").write.text(folder)
+    rows = FI.read_labelled(spark, folder).select(F.explode("x").alias("feature", "value"), "y")
+    optimized = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("map_from_arrays") == 1
