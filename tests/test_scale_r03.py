@@ -66,3 +66,18 @@ def test_a_line_is_parsed_once(spark):
     rows = FI.read_labelled(spark, folder).select(F.explode("x").alias("feature", "value"), "y")
     optimized = rows._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("map_from_arrays") == 1
+
+
+def test_blocks_are_a_grid(spark):
+    """100 ratings a user and item: a profile goes to one row or column of the blocks, not to as many as it has ratings."""
+    R = spark.createDataFrame([(i, (i * 37 + t * 11) % 500, 1.0) for i in range(500) for t in range(100)], "i long, j long, r double")
+    laid = blocks.lay_out(R, 10)
+    n = laid.ratings.select("blk").distinct().count()
+    side = round(n**0.5)
+    assert n >= 4
+    for routes, key in ((laid.users, "i"), (laid.items, "j")):
+        most = max(r["count"] for r in routes.groupBy(key).count().collect())
+        assert most <= side + 1
+    U, V = MF.init_profiles(R, "i", 10, 1, "u"), MF.init_profiles(R, "j", 10, 1, "v")
+    assert "own" not in blocks.block_sums(laid, U, V, 10).columns  # a profile does not come back from every block
+    laid.unpersist()
