@@ -81,3 +81,21 @@ def test_blocks_are_a_grid(spark):
     U, V = MF.init_profiles(R, "i", 10, 1, "u"), MF.init_profiles(R, "j", 10, 1, "v")
     assert "own" not in blocks.block_sums(laid, U, V, 10).columns  # a profile does not come back from every block
     laid.unpersist()
+
+
+def test_user_step_sums_before_its_shuffle(spark):
+    R = spark.createDataFrame([(i % 7, i % 11, 1.0) for i in range(77)], "i long, j long, r double")
+    U, V = MF.init_profiles(R, "i", 2, 1, "u"), MF.init_profiles(R, "j", 2, 1, "v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = {}
+        for last in ("i", "j"):
+            J = MF.predict(R, U, V, last=last)
+            joins = re.findall(r"SortMergeJoin \[(\w+)#", _plan(J))
+            assert joins[0] == last
+            S = MF.step(J, "i", "u", "v", 0.1, 1.0, 2)
+            rows[last] = sorted((r["i"], [round(x, 9) for x in r["p"]]) for r in S.collect())
+        assert rows["i"] == rows["j"] and len(rows["i"]) == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
