@@ -99,3 +99,12 @@ def test_user_step_sums_before_its_shuffle(spark):
         assert rows["i"] == rows["j"] and len(rows["i"]) == 7
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_training_union_joins_the_tables_once(spark, monkeypatch):
+    from sparkwork.registry import aggregates as A
+
+    made = []
+    monkeypatch.setattr(FO, "train_union", lambda parts: made.extend(parts) or parts[0])
+    A.q_train_union(spark, "/root/testdata/sf0.001")
+    assert len(made) == 4 and not any("Join" in _plan(p) for p in made)
