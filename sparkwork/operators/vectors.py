@@ -71,9 +71,14 @@ def vector_sum_by(df: DataFrame, key: str | Sequence[str], vec: str, d: int, out
 
 
 def explode_vector(df: DataFrame, keys: str | Sequence[str], vec: str, value: str = "value") -> DataFrame:
-    """(keys..., k, value): one row per element (for comparisons and long-form joins)."""
+    """(keys..., k, value): one row per element (for comparisons and long-form joins).
+
+    The generator's input is an expression (all elements from the first on), not the bare column: from a bare column
+    the optimizer infers a filter on its size, pushes it below joins and aggregates to the scan, and so computes a
+    derived vector once per input row there.
+    """
     ks = _list(keys)
-    return df.select(*ks, F.posexplode(vec).alias("k", value))
+    return df.select(*ks, F.posexplode(F.slice(vec, 1, F.size(vec))).alias("k", value))
 
 
 def label_lookup(df: DataFrame, names: DataFrame, label: str = "label") -> DataFrame:

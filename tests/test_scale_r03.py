@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkwork.functions import literals as L
 from sparkwork.operators import folds as FO
 from sparkwork.operators import text as T
+from sparkwork.operators.vectors import explode_vector
 from sparkwork.plans import blocks
 from sparkwork.plans import factorise as MF
 from sparkwork.sources import files as FI
@@ -108,3 +109,19 @@ def test_training_union_joins_the_tables_once(spark, monkeypatch):
     monkeypatch.setattr(FO, "train_union", lambda parts: made.extend(parts) or parts[0])
     A.q_train_union(spark, "/root/testdata/sf0.001")
     assert len(made) == 4 and not any("Join" in _plan(p) for p in made)
+
+
+def test_initial_profiles_are_made_after_the_ratings_are_grouped(spark):
+    """A filter inferred from the exploded array would be pushed to the scan, with a digest per rating in it."""
+    R = spark.createDataFrame([(1, 2, 3.0), (1, 3, 1.0), (4, 2, None)], "i long, j long, r double").dropna()
+    V = explode_vector(MF.init_profiles(R, "j", 3, 7, "v"), "j", "p")
+    optimized = V._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in optimized.splitlines() if "Filter" in x and "md5" in x]
+    assert sorted((r["j"], r["k"]) for r in V.collect()) == [(j, k) for j in (2, 3) for k in range(3)]
+
+
+def test_explode_vector_of_null_and_empty_arrays(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, []), (3, None), (4, [None, 5.0])], "id long, v array<double>")
+    got = sorted((r["id"], r["k"], r["value"]) for r in explode_vector(df, "id", "v").collect() if r["value"] is not None)
+    assert got == [(1, 0, 1.0), (1, 1, 2.0), (4, 1, 5.0)]
+    assert explode_vector(df, "id", "v").count() == 4
