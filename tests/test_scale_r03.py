@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from sparkwork.functions import literals as L
+from sparkwork.functions.text import normalise
 from sparkwork.operators import folds as FO
 from sparkwork.operators import text as T
 from sparkwork.operators.vectors import explode_vector
@@ -125,3 +126,35 @@ def test_explode_vector_of_null_and_empty_arrays(spark):
     got = sorted((r["id"], r["k"], r["value"]) for r in explode_vector(df, "id", "v").collect() if r["value"] is not None)
     assert got == [(1, 0, 1.0), (1, 1, 2.0), (4, 1, 5.0)]
     assert explode_vector(df, "id", "v").count() == 4
+
+
+def _all_characters():
+    """A text per 4096 code points, each one between letters and as a word of its own."""
+    for a in range(0, 0x110000, 4096):
+        yield "".join(f"x{chr(c)}y {chr(c)} " for c in range(a, a + 4096) if not 0xD800 <= c < 0xE000)
+
+
+def test_terms_of_every_character(spark):
+    """Splitting a whole text equals splitting first and normalising each token."""
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*_all_characters(), "", None, " ", "1 ", "a\u00851b"])], "doc_id long, text string")
+    words = T.tokens(docs).select("doc_id", normalise("word").alias("term")).where("term <> ''")
+    got, want = T.terms(docs), words
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_tfidf_tokenises_the_texts_once(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b 1 c"), (None, "a"), (3, None)], "doc_id long, text string")
+    tf = T.tf(T.terms(docs))
+    plan = T.tfidf(tf, T.idf_from_tf(tf, docs))
+    rows = sorted((r["doc_id"] or 0, r["term"], round(r["val"], 6)) for r in plan.collect())
+    assert [r[:2] for r in rows] == [(0, "a"), (1, "a"), (1, "b"), (2, "b"), (2, "c")]
+    found = [n for n in re.findall(r"Filter.*concat\(term", plan._jdf.queryExecution().optimizedPlan().toString())]
+    assert not found
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = T.tfidf(tf, T.idf_from_tf(tf, docs))
+        assert _plan(again).count("ReusedExchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
