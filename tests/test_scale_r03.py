@@ -13,6 +13,8 @@ from sparkwork.operators import text as T
 from sparkwork.operators.vectors import explode_vector
 from sparkwork.plans import blocks
 from sparkwork.plans import factorise as MF
+from sparkwork.plans import multi
+from sparkwork.registry import linear as linear_queries
 from sparkwork.sources import files as FI
 
 
@@ -158,3 +160,18 @@ def test_tfidf_tokenises_the_texts_once(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_training_features_are_read_not_joined_again(spark):
+    X, _ = linear_queries._sparse(spark, "/root/testdata/sf0.001")
+    assert "Exchange" not in _plan(X)
+    assert X.columns == ["id", "feature", "value"]
+
+
+def test_slot_products_make_no_array_per_row(spark):
+    X = spark.createDataFrame([(1, "a", 2.0), (1, "b", 1.0), (2, "a", 3.0)], "id long, feature string, value double")
+    EM = spark.createDataFrame([(1, 1.0, [0.0, 0.0]), (2, -1.0, [0.0, 0.0])], "id long, y double, s array<double>")
+    grad = spark.createDataFrame([("a", [1.0, 10.0]), ("b", [5.0, None])], "feature string, grad array<double>")
+    out = multi.with_products(X, EM, grad, 2, 2, None, 64)
+    assert "transform(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["id"]: r["gs"] for r in out.collect()} == {1: [7.0, 20.0], 2: [3.0, 30.0]}
