@@ -57,7 +57,7 @@ def test_queries_train_to_the_end(spark, monkeypatch):
         raise Seen(next(x for x in rest if isinstance(x, LN.LinearParams)))
 
     whole = LN.LinearParams()
-    for query, name in ((linear_queries.q_linear_cv, "cross_validate_linear"),):
+    for query, name in ((linear_queries.q_linear_cv, "cross_validate_linear"), (linear_queries.q_logistic_history_test, "train_linear")):
         with monkeypatch.context() as m:
             m.setattr(LN, name, seen)
             with pytest.raises(Seen) as got:
