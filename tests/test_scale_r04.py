@@ -1,14 +1,18 @@
 """Whole trainings, and steps whose cost grew faster than their input."""
 
+import os
+import tempfile
 from dataclasses import replace
 
 import numpy as np
 import pytest
 
+from sparkwork.operators import text as T
 from sparkwork.operators.folds import assign_folds
 from sparkwork.plans import linear as LN
 from sparkwork.plans import multi
 from sparkwork.registry import linear as linear_queries
+from sparkwork.sources import files as FI
 
 
 def _regression(spark):
@@ -64,3 +68,27 @@ def test_queries_train_to_the_end(spark, monkeypatch):
                 query(spark, "/root/testdata/sf0.001")
         p = got.value.args[0]
         assert replace(p, loss=whole.loss, lam=whole.lam, max_rows_per_example=None) == whole
+
+
+def test_documents_are_written_by_the_tasks_and_read_by_few(spark):
+    """A process per file (Hadoop's local file system) and a task per handful of files take longer than the texts."""
+    folder = tempfile.mkdtemp(prefix="docs-") + "/do cs"
+    texts = [(f"k{i}" if i else None, f"w{i % 3} a\rbä") for i in range(400)] + [("k1", "again"), ("", ""), ("null", None)]
+    docs = spark.createDataFrame(texts, "doc string, text string")
+    FI.write_docs(docs, folder, "doc")
+    assert len(os.listdir(folder)) == 402 and all(n.endswith(".txt") for n in os.listdir(folder))
+    lines = FI.read_doc_lines(spark, folder)
+    files = FI.list_docs(spark, folder, lines)
+    assert files.count() == 402 and files.exceptAll(FI.list_docs(spark, folder)).isEmpty()
+    assert lines.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    got = {r["term"]: r["df"] for r in T.idf_of_lines(lines, files).collect()}
+    assert got == {"a": 400, "bä": 400, "w": 400, "again": 1}
+    with pytest.raises(FileExistsError):
+        FI.write_docs(docs, folder, "doc")
+
+
+def test_no_document(spark):
+    folder = tempfile.mkdtemp(prefix="docs-") + "/docs"
+    FI.write_docs(spark.createDataFrame([], "doc_id long, text string"), folder)
+    lines = FI.read_doc_lines(spark, folder)
+    assert lines.count() == FI.list_docs(spark, folder, lines).count() == 0
