@@ -2,13 +2,17 @@
 
 import os
 import tempfile
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkwork.operators import text as T
 from sparkwork.operators.folds import assign_folds
+from sparkwork.plans import blocks
+from sparkwork.plans import factorise as MF
 from sparkwork.plans import linear as LN
 from sparkwork.plans import multi
 from sparkwork.registry import linear as linear_queries
@@ -92,3 +96,34 @@ def test_no_document(spark):
     FI.write_docs(spark.createDataFrame([], "doc_id long, text string"), folder)
     lines = FI.read_doc_lines(spark, folder)
     assert lines.count() == FI.list_docs(spark, folder, lines).count() == 0
+
+
+def test_ratings_are_a_table_that_goes_with_the_training(spark, monkeypatch):
+    """A checkpoint of the ratings is several times as large, and what the steps shuffled would stay on disk."""
+    rows = [(i, (i * 7 + t) % 20, float((i + t) % 5)) for i in range(40) for t in range(4)]
+    R = spark.createDataFrame(rows, "i long, j long, r double")
+    read, released, plain = [], [], blocks.lay_out
+    monkeypatch.setattr(blocks, "lay_out", lambda R, *a: read.extend(R.inputFiles()) or plain(R, *a))
+    monkeypatch.setattr(MF, "release_unused", lambda s: released.append(1))
+    p = MF.MFParams(d=2, maxiter=2, blockwise=True)
+    U, V, _ = MF.train_mf(R, None, p)
+    MF.cross_validate_mf(R, 2, p).collect()
+    assert read and all(f.endswith(".parquet") for f in read) and len(released) == 6
+    assert not [f for f in read if os.path.exists(f.removeprefix("file:").replace("///", "/"))]
+    assert U.count() == 40 and V.count() == 20  # they need no ratings
+
+
+def test_a_block_makes_no_copies_of_its_vectors():
+    n, d = 300_000, 10
+    at = np.arange(n)
+    ratings = pa.table({"i": at % 1000, "j": at % 999, "r": np.ones(n)})
+    keys = np.concatenate([np.arange(1000), np.arange(999)])
+    sides = pa.array(["u"] * 1000 + ["v"] * 999)
+    p = pa.FixedSizeListArray.from_arrays(pa.array(np.ones(1999 * d)), d).cast(pa.list_(pa.float64()))
+    profiles = pa.table({"side": pa.chunked_array([sides]), "key": keys, "p": p})
+    tracemalloc.start()
+    found = blocks._scored(ratings, profiles, d)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(found[-1], d - 1.0) and len(found[-1]) == n
+    assert peak < 20e6  # the vectors of all ratings are 48 MB
